@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from agrispark.llm.mixing import OP10_SQL, op10_mix_sources
 from agrispark.llm.secrets import op8_secret_scan
 
-QUERIES = {"op8_secret_scan": op8_secret_scan}
+QUERIES = {
+    "op8_secret_scan": op8_secret_scan,
+    "op10_mix_sources": op10_mix_sources,
+}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op10_mix_sources": OP10_SQL}
