@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from agrispark.llm.mixing import OP10_SQL, op10_mix_sources
 from agrispark.llm.secrets import op8_secret_scan
+from agrispark.llm.spotsigs import op6_spotsigs
 
 QUERIES = {
+    "op6_spotsigs": op6_spotsigs,
     "op8_secret_scan": op8_secret_scan,
     "op10_mix_sources": op10_mix_sources,
 }
