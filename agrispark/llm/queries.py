@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from agrispark.llm.decontam import op2_decontaminate
 from agrispark.llm.mixing import OP10_SQL, op10_mix_sources
 from agrispark.llm.quality import op4_quality_classifier
 from agrispark.llm.secrets import op8_secret_scan
 from agrispark.llm.spotsigs import op6_spotsigs
 
 QUERIES = {
+    "op2_decontaminate": op2_decontaminate,
     "op4_quality_classifier": op4_quality_classifier,
     "op6_spotsigs": op6_spotsigs,
     "op8_secret_scan": op8_secret_scan,
