@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from agrispark.llm.decontam import op2_decontaminate
+from agrispark.llm.html_extract import op1_html_extract
 from agrispark.llm.mixing import OP10_SQL, op10_mix_sources
 from agrispark.llm.ngram_join import op5_ngram_join
 from agrispark.llm.quality import op4_quality_classifier
@@ -10,6 +11,7 @@ from agrispark.llm.secrets import op8_secret_scan
 from agrispark.llm.spotsigs import op6_spotsigs
 
 QUERIES = {
+    "op1_html_extract": op1_html_extract,
     "op2_decontaminate": op2_decontaminate,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_ngram_join": op5_ngram_join,
