@@ -7,12 +7,14 @@ from agrispark.llm.html_extract import op1_html_extract
 from agrispark.llm.mixing import OP10_SQL, op10_mix_sources
 from agrispark.llm.ngram_join import op5_ngram_join
 from agrispark.llm.quality import op4_quality_classifier
+from agrispark.llm.rindex import op3_suffix_dedup
 from agrispark.llm.secrets import op8_secret_scan
 from agrispark.llm.spotsigs import op6_spotsigs
 
 QUERIES = {
     "op1_html_extract": op1_html_extract,
     "op2_decontaminate": op2_decontaminate,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_ngram_join": op5_ngram_join,
     "op6_spotsigs": op6_spotsigs,
