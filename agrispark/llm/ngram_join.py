@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from agrispark.llm.common import byte_texts, connected_components, mapped, mixed64, table, words_of, written
+from agrispark.llm.common import WordHashes, byte_texts, connected_components, mapped, mixed64, table, words_of, written
 
 BITMAP_WORDS = 8
 #: Documents of entries that share a bucket of shingles.
@@ -33,14 +33,6 @@ OFTEN = 1 / 4000
 CHUNK = 256
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, each computed once for a batch."""
-
-    def __missing__(self, word: bytes) -> int:
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
 def shingle_set(words: list[bytes], k: int, hashes: WordHashes) -> np.ndarray:
     """Sorted distinct hashes of the k-word shingles; the whole sequence as one when it is shorter."""
     n = len(words)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from agrispark.llm.decontam import op2_decontaminate
 from agrispark.llm.html_extract import op1_html_extract
+from agrispark.llm.maxent import op9_lm_score
 from agrispark.llm.mixing import OP10_SQL, op10_mix_sources
 from agrispark.llm.ngram_join import op5_ngram_join
 from agrispark.llm.quality import op4_quality_classifier
@@ -19,6 +20,7 @@ QUERIES = {
     "op5_ngram_join": op5_ngram_join,
     "op6_spotsigs": op6_spotsigs,
     "op8_secret_scan": op8_secret_scan,
+    "op9_lm_score": op9_lm_score,
     "op10_mix_sources": op10_mix_sources,
 }
 
