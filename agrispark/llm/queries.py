@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from agrispark.llm.decontam import op2_decontaminate
 from agrispark.llm.html_extract import op1_html_extract
 from agrispark.llm.maxent import op9_lm_score
@@ -13,6 +14,7 @@ from agrispark.llm.secrets import op8_secret_scan
 from agrispark.llm.spotsigs import op6_spotsigs
 
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
     "op1_html_extract": op1_html_extract,
     "op2_decontaminate": op2_decontaminate,
     "op3_suffix_dedup": op3_suffix_dedup,
