@@ -7,7 +7,7 @@ shingle. Documents with equal sets are one node throughout, so copies cost nothi
 
 First round: under each shared shingle, nodes are paired with one pivot per range of compatible sizes, which is
 linear in the group. Second round: only under shingles whose nodes still lie in different components, all pairs
-across components are tried. In both rounds a 512-bit parity bitmap first bounds the symmetric difference (in
+across components are tried. In both rounds a parity bitmap first bounds the symmetric difference (in
 SQL functions), then the nodes that face the same set are stored in a trie of ordered shingles; one walk shares
 the partial overlap of common beginnings and leaves a subtree as soon as what remains can't reach the bound.
 
@@ -51,9 +51,13 @@ def set_key(s: np.ndarray) -> int:
 
 
 def bitmap(s: np.ndarray) -> np.ndarray:
-    """Parity of the shingles in each of 512 slots: two bitmaps differ in at most as many slots as their sets do."""
-    parity = np.bincount((s & np.uint64(64 * BITMAP_WORDS - 1)).astype(np.int64), minlength=64 * BITMAP_WORDS) & 1
-    return np.packbits(parity.astype(np.uint8)).view(np.int64)
+    """Parity of the shingles in each slot, a slot for two shingles or less: two bitmaps differ in at most as many
+    slots as their sets do. Widths are powers of two, so a wider bitmap folds into a narrower one."""
+    slots = 64 * BITMAP_WORDS
+    while 2 * slots < len(s):
+        slots *= 2
+    parity = np.bincount((s & np.uint64(slots - 1)).astype(np.int64), minlength=slots) & 1
+    return np.packbits(parity.astype(np.uint8), bitorder="little").view(np.int64)
 
 
 def sets_of(batch_texts: list[bytes], k: int) -> list[np.ndarray]:
@@ -75,23 +79,20 @@ def by_bucket(tokens: np.ndarray, buckets: int):
 
 
 def members_of(docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
-    """``(_id, key, n, b0..b7)`` of each document."""
+    """``(_id, key, n, bits)`` of each document."""
     kind = docs.schema[id_col].dataType.simpleString()
-    names = ["_id", "key", "n", *(f"b{j}" for j in range(BITMAP_WORDS))]
 
     def run(batch: pa.RecordBatch):
         sets = sets_of(byte_texts(batch.column(1)), k)
-        maps = np.array([bitmap(s) for s in sets], np.int64).reshape(-1, BITMAP_WORDS)
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column(0), pa.array([set_key(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
-                *(pa.array(np.ascontiguousarray(maps[:, j])) for j in range(BITMAP_WORDS)),
+                pa.array([bitmap(s) for s in sets], pa.list_(pa.int64())),
             ],
-            names=names,
+            names=["_id", "key", "n", "bits"],
         )
 
-    bits = ", ".join(f"b{j} bigint" for j in range(BITMAP_WORDS))
-    return mapped(docs.select(F.col(id_col).alias("_id"), text_col), run, f"_id {kind}, key bigint, n bigint, {bits}")
+    return mapped(docs.select(F.col(id_col).alias("_id"), text_col), run, f"_id {kind}, key bigint, n bigint, bits array<bigint>")
 
 
 def often_shingles(docs: DataFrame, k: int, num: int, den: int, buckets: int, least: int, text_col: str) -> np.ndarray:
@@ -199,10 +200,23 @@ def shared_entries(docs: DataFrame, k: int, num: int, den: int, buckets: int, of
 
 
 def may_link(num: int, den: int, a: str = "a", b: str = "b") -> Column:
-    """Whether sizes and bitmaps leave room for similarity num/den: |A xor B| <= (den-num)/(den+num) (|A|+|B|)."""
+    """Whether sizes and bitmaps leave room for similarity num/den: |A xor B| <= (den-num)/(den+num) (|A|+|B|).
+
+    Compatible sizes have bitmaps of equal width or of one to two; the wider is folded.
+    """
     n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
-    differ = sum((F.bit_count(F.col(f"{a}.b{j}").bitwiseXOR(F.col(f"{b}.b{j}"))) for j in range(BITMAP_WORDS)), F.lit(0))
-    return (F.least(n, m) * den >= F.greatest(n, m) * num) & (differ * (den + num) <= (den - num) * (n + m))
+    x, y = F.col(f"{a}.bits"), F.col(f"{b}.bits")
+
+    def narrowed(p: Column, q: Column) -> Column:
+        half = F.greatest(F.lit(1), (F.size(p) / 2).cast("int"))
+        folded = F.zip_with(F.slice(p, F.lit(1), half), F.slice(p, half + 1, half), lambda u, v: u.bitwiseXOR(v))
+        return F.when(F.size(p) > F.size(q), folded).otherwise(p)
+
+    differ = F.aggregate(
+        F.zip_with(narrowed(x, y), narrowed(y, x), lambda u, v: F.bit_count(u.bitwiseXOR(v))), F.lit(0), lambda total, c: total + c
+    )
+    sizes = F.least(n, m) * den >= F.greatest(n, m) * num
+    return F.when(sizes, differ * (den + num) <= (den - num) * (n + m)).otherwise(False)
 
 
 def trie_walk(query: np.ndarray, members: list[np.ndarray], num: int, den: int) -> list[int]:
@@ -286,15 +300,14 @@ def jaccard_components(
     rows = docs.count()
     buckets = max(8, rows // ROWS_A_BUCKET)
     members = written(members_of(docs, k, id_col, text_col), "members")
-    bits = [f"b{j}" for j in range(BITMAP_WORDS)]
     nodes = written(
-        members.where("n > 0").groupBy("key").agg(F.min("_id").alias("_doc"), F.first("n").alias("n"), *(F.first(b).alias(b) for b in bits)),
+        members.where("n > 0").groupBy("key").agg(F.min("_id").alias("_doc"), F.first("n").alias("n"), F.first("bits").alias("bits")),
         "nodes",
     )
     often = often_shingles(docs, k, num, den, buckets, max(32, int(rows * OFTEN)), text_col)
     entries = written(shared_entries(docs, k, num, den, buckets, often, text_col), "entries")
 
-    lit = nodes.select("key", "n", *bits)
+    lit = nodes.select("key", "n", "bits")
     ends = (
         entries.where("key <> pivot").select(F.col("pivot").alias("a"), F.col("key").alias("b")).distinct().alias("p")
         .join(lit.alias("a"), F.col("p.a") == F.col("a.key")).join(lit.alias("b"), F.col("p.b") == F.col("b.key"))
