@@ -25,6 +25,7 @@ LENGTH = 100
 GRAM = 32
 ROWS_A_BUCKET = 4_000
 ROWS_A_CHUNK = 1_000
+INDEX_BYTES = 400_000
 LOWEST = -(2**63)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -291,26 +292,31 @@ def marked_spans(docs: DataFrame, length: int, id_col: str, text_col: str) -> tu
             begin = np.maximum(place[i] - reach, 0)
             pieces = [texts.get(d, b"")[s : p + length] for d, s, p in zip(doc[i].tolist(), begin.tolist(), place[i].tolist(), strict=True)]
             sizes = np.array([len(x) for x in pieces], np.int32)
-            rows.append((bucket, *_packed(doc[i], begin.astype(np.int32), sizes), b"".join(pieces)))
-        return _table(rows, ["bucket", "docs", "starts", "sizes", "data"], [pa.int32(), *[pa.binary()] * 4])
+            anchor = (part[i] & 0xFFFFFFFF).astype(np.uint32)
+            rows.append((bucket, *_packed(anchor, doc[i], begin.astype(np.int32), sizes), b"".join(pieces)))
+        return _table(rows, ["bucket", "anchors", "docs", "starts", "sizes", "data"], [pa.int32(), *[pa.binary()] * 5])
 
     chunked = keyed.withColumn("chunk", F.pmod("id", F.lit(chunks)).cast("int"))
     gathered = chunked.groupBy("chunk").cogroup(met.where("kind = 1").groupBy("chunk")).applyInArrow(
-        gather, "bucket int, docs binary, starts binary, sizes binary, data binary"
+        gather, "bucket int, anchors binary, docs binary, starts binary, sizes binary, data binary"
     )
 
     def index(group: pa.Table) -> pa.Table:
-        doc, begin, sizes = _unpacked(group, ("docs", np.int64), ("starts", np.int32), ("sizes", np.int32))
+        """Equal strings have equal anchors, so a bucket is indexed in parts of whole anchors, of about ``INDEX_BYTES`` each."""
+        anchor, docs_, begins, sizes = _unpacked(group, ("anchors", np.uint32), ("docs", np.int64), ("starts", np.int32), ("sizes", np.int32))
         data = b"".join(group["data"].to_pylist())
         at = np.cumsum(sizes, dtype=np.int64) - sizes
-        texts = [data[a : a + s] for a, s in zip(at.tolist(), sizes.tolist(), strict=True)]
-        built = RunLengthIndex(texts)
-        ids, rank = np.unique(doc, return_inverse=True)
-        owner = np.repeat(np.arange(len(texts)), sizes.astype(np.int64) + 1)
-        where = begin[owner] + np.arange(len(owner)) - built.starts[owner] if len(owner) else np.empty(0, np.int64)
-        places = (rank[owner].astype(np.int64) << 32) + where
-        marked = built.repeats(length, places)
-        return _table(_span_rows(doc[owner[marked]], where[marked], where[marked] + length, chunks), names, out_kinds)
+        found = []
+        for _, i in _parts((anchor % np.uint32(1 + len(data) // INDEX_BYTES)).astype(np.int64)):
+            doc, begin, size = docs_[i], begins[i], sizes[i].astype(np.int64)
+            built = RunLengthIndex([data[a : a + s] for a, s in zip(at[i].tolist(), size.tolist(), strict=True)])
+            _, rank = np.unique(doc, return_inverse=True)
+            owner = np.repeat(np.arange(len(i)), size + 1)
+            where = begin[owner] + np.arange(len(owner)) - built.starts[owner]
+            marked = built.repeats(length, (rank[owner].astype(np.int64) << 32) + where)
+            found.append((doc[owner[marked]], where[marked], where[marked] + length))
+        spans = [np.concatenate(x).astype(np.int64) for x in zip(*found, strict=True)]
+        return _table(_span_rows(*spans, chunks) if found else [], names, out_kinds)
 
     indexed = gathered.groupBy("bucket").applyInArrow(index, binary)
     return met.where("kind = 0").unionByName(indexed), chunks
