@@ -5,9 +5,12 @@ documents hold come last, the others by hash. Two sets with Jaccard similarity t
 ``n - ceil(t n) + 1``, so only these prefix entries are shuffled, in blocks of numpy arrays keyed by a bucket of the
 shingle. Documents with equal sets are one node throughout, so copies cost nothing.
 
-First round: under each shared shingle, nodes are paired with one pivot per range of compatible sizes, which is
-linear in the group. Second round: only under shingles whose nodes still lie in different components, all pairs
-across components are tried. In both rounds a parity bitmap first bounds the symmetric difference (in
+An entry at position i of a set of n can be the first common one only with a partner of at most
+(n - i) (1 + t) / t - n shingles, and both sides of a pair must allow the other.
+
+First round: under each shared shingle, nodes are paired with one pivot, the node with the fewest rare shingles
+before it, which is linear in the group. Second round: only under shingles whose nodes still lie in different
+components, the allowed pairs across components are tried. In both rounds a parity bitmap first bounds the symmetric difference (in
 SQL functions), then the nodes that face the same set are stored in a trie of ordered shingles; one walk shares
 the partial overlap of common beginnings and leaves a subtree as soon as what remains can't reach the bound.
 
@@ -131,12 +134,16 @@ def often_shingles(docs: DataFrame, k: int, num: int, den: int, buckets: int, le
 
 
 def shared_entries(docs: DataFrame, k: int, num: int, den: int, buckets: int, often: np.ndarray, text_col: str) -> DataFrame:
-    """``(token, key, pivot)`` of prefix entries whose shingle at least two nodes hold; sizes under a pivot are compatible."""
+    """``(token, key, n, most, pivot)`` of prefix entries that could be the first common one of a pair.
+
+    ``most`` is the largest partner that the entry's position allows. The pivot of a shingle is the node whose entry
+    leaves most room; a node that it rules out is its own.
+    """
     last = docs.sparkSession.sparkContext.broadcast(often)
 
     def run(batch: pa.RecordBatch):
         hot = last.value
-        tokens, keys, sizes = [], [], []
+        tokens, keys, sizes, most = [], [], [], []
         seen = set()
         for s in sets_of(byte_texts(batch.column(0)), k):
             key = set_key(s)
@@ -151,51 +158,53 @@ def shared_entries(docs: DataFrame, k: int, num: int, den: int, buckets: int, of
             p = s[: prefix_size(len(s), num, den)]
             tokens.append(p)
             keys.append(np.full(len(p), key, np.int64))
-            sizes.append(np.full(len(p), len(s), np.uint32))
+            sizes.append(np.full(len(p), len(s), np.int32))
+            most.append(((len(s) - np.arange(len(p))) * (num + den) // num - len(s)).astype(np.int32))
         if tokens:
-            t, c, n = np.concatenate(tokens), np.concatenate(keys), np.concatenate(sizes)
+            t, c, n, m = (np.concatenate(x) for x in (tokens, keys, sizes, most))
             rows = by_bucket(t, buckets)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([b for b, _ in rows], pa.int32()),
-                    *(pa.array([x[i].tobytes() for _, i in rows], pa.binary()) for x in (t, c, n)),
+                    *(pa.array([x[i].tobytes() for _, i in rows], pa.binary()) for x in (t, c, n, m)),
                 ],
-                names=["bucket", "tokens", "keys", "sizes"],
+                names=["bucket", "tokens", "keys", "sizes", "most"],
             )
 
+    def groups_of(t: np.ndarray) -> np.ndarray:
+        return np.cumsum(np.append(True, t[1:] != t[:-1])) - 1 if len(t) else np.empty(0, np.int64)
+
     def pair(group: pa.Table) -> pa.Table:
-        t, c, n = (
+        t, c, n, m = (
             np.frombuffer(b"".join(group[name].to_pylist()), kind)
-            for name, kind in (("tokens", np.uint64), ("keys", np.int64), ("sizes", np.uint32))
+            for name, kind in (("tokens", np.uint64), ("keys", np.int64), ("sizes", np.int32), ("most", np.int32))
         )
         order = np.lexsort((c, n, t))
-        t, c, n = t[order], c[order], n[order]
+        t, c, n, m = (x[order] for x in (t, c, n, m))
         fresh = np.ones(len(t), bool)
         fresh[1:] = (t[1:] != t[:-1]) | (c[1:] != c[:-1])
-        t, c, n = t[fresh], c[fresh], n[fresh]
-        alone = np.ones(len(t), bool)
-        alone[1:] &= t[1:] != t[:-1]
-        alone[:-1] &= t[1:] != t[:-1]
-        t, c, n = t[~alone], c[~alone], n[~alone]
-        # one pivot for each run of sizes within num/den of its smallest: the first row of (token, size class)
-        first = np.zeros(len(t), np.int64)
-        starts = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]])) if len(t) else np.empty(0, np.int64)
-        ends = np.append(starts[1:], len(t))
-        open_groups = np.arange(len(starts))
-        at = starts.copy()
-        while len(open_groups):
-            top = (n[at[open_groups]].astype(np.int64) * den) // num
-            nxt = np.empty(len(open_groups), np.int64)
-            for j, g in enumerate(open_groups):
-                nxt[j] = at[g] + np.searchsorted(n[at[g] : ends[g]], top[j], side="right")
-                first[at[g] : nxt[j]] = at[g]
-            at[open_groups] = nxt
-            open_groups = open_groups[nxt < ends[open_groups]]
-        return pa.table({"token": t.view(np.int64), "key": c, "pivot": c[first]})
+        t, c, n, m = (x[fresh] for x in (t, c, n, m))
+        # an entry needs another of a size that it allows: the smallest of its group, or the next if that is itself
+        g = groups_of(t)
+        starts = np.flatnonzero(np.append(True, t[1:] != t[:-1])) if len(t) else np.empty(0, np.int64)
+        second = np.minimum(starts + 1, max(0, len(t) - 1))
+        other = np.where(np.arange(len(t)) == starts[g], second[g], starts[g])
+        able = (other != np.arange(len(t))) & (t[other] == t) & (n[other] <= m) if len(t) else np.empty(0, bool)
+        t, c, n, m = (x[able] for x in (t, c, n, m))
+        order = np.lexsort((c, n - m, t))
+        t, c, n, m = (x[order] for x in (t, c, n, m))
+        g = groups_of(t)
+        starts = np.flatnonzero(np.append(True, t[1:] != t[:-1])) if len(t) else np.empty(0, np.int64)
+        several = (np.diff(np.append(starts, len(t))) > 1)[g] if len(t) else np.empty(0, bool)
+        first = starts[g]
+        allowed = (n <= m[first]) & (n[first] <= m)
+        pivot = np.where(allowed, c[first], c)
+        columns = {"token": t.view(np.int64), "key": c, "n": n, "most": m, "pivot": pivot}
+        return pa.table({name: x[several] for name, x in columns.items()})
 
     return (
-        mapped(docs.select(text_col), run, "bucket int, tokens binary, keys binary, sizes binary", 2000)
-        .groupBy("bucket").applyInArrow(pair, "token bigint, key bigint, pivot bigint")
+        mapped(docs.select(text_col), run, "bucket int, tokens binary, keys binary, sizes binary, most binary", 2000)
+        .groupBy("bucket").applyInArrow(pair, "token bigint, key bigint, n int, most int, pivot bigint")
     )
 
 
@@ -316,14 +325,15 @@ def jaccard_components(
     links = written(verified(tried, nodes, docs, k, num, den, id_col, text_col), "links")
     parts = written(connected_components(links, "a", "b"), "parts")
 
-    placed = entries.select("token", "key").join(parts.withColumnRenamed("node", "key"), "key", "left").select(
-        "token", "key", F.coalesce("component", "key").alias("part")
+    placed = entries.select("token", "key", "most").join(parts.withColumnRenamed("node", "key"), "key", "left").select(
+        "token", "key", "most", F.coalesce("component", "key").alias("part")
     )
     split = placed.groupBy("token").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x <> y").select("token")
     left = written(placed.join(split, "token").join(lit, "key"), "unsettled")
     more = (
         left.alias("a").join(left.alias("b"), F.col("a.token") == F.col("b.token"))
-        .where(F.col("a.part") < F.col("b.part")).where(may_link(num, den))
+        .where((F.col("a.part") < F.col("b.part")) & (F.col("a.n") <= F.col("b.most")) & (F.col("b.n") <= F.col("a.most")))
+        .where(may_link(num, den))
         .select(F.least("a.key", "b.key").alias("a"), F.greatest("a.key", "b.key").alias("b")).distinct()
     )
     done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
