@@ -77,6 +77,7 @@ ADAPTERS = {
                CAST(1 + s_suppkey * 11 % 180 + 150 AS INTEGER) AS s2_sos, CAST(1 + (s_suppkey * 11 % 180) * 2 AS INTEGER) AS s2_eos,
                CAST(1 + s_suppkey % 60 AS INTEGER) AS sos_dekad, CAST(40 + s_suppkey % 60 AS INTEGER) AS eos_dekad
         FROM supplier""",
+    "embeddings_": "SELECT vec_id, embedding, label FROM embeddings",
     "events_": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
     "collections": """
         SELECT concat(CAST(2017 + n_nationkey % 8 AS STRING), '_', n_name) AS ref_id, n_nationkey * 10e0 - 120e0 AS w, n_nationkey * 10e0 - 112e0 AS e,
