@@ -26,6 +26,12 @@ def advance_slot(raw: DataFrame) -> DataFrame:
     return raw.select("sample_id", "ts", "seq", "line", dates.advance_slot(ts, "dekad").alias("next_slot"), dates.slot_end(ts).alias("month_end"))
 
 
+@query("slot_end", "obs_raw", sql="""SELECT sample_id, ts, seq, line, CASE WHEN day(ts) <= 10 THEN CAST(date_trunc('month', ts) AS DATE) + 9
+    WHEN day(ts) <= 20 THEN CAST(date_trunc('month', ts) AS DATE) + 19 ELSE last_day(ts) END AS last_day FROM obs_raw""")
+def slot_end(raw: DataFrame) -> DataFrame:
+    return raw.select("sample_id", "ts", "seq", "line", dates.slot_end(F.col("ts"), "dekad").alias("last_day"))
+
+
 @query("enumerate_slots", "jobs", sql="""SELECT job, len(generate_series(date_trunc('month', start_date), date_trunc('month', end_date), INTERVAL 1 MONTH)) AS n_slots,
   CAST(date_trunc('month', end_date) AS DATE) AS last_slot FROM jobs""")
 def enumerate_slots(jobs: DataFrame) -> DataFrame:

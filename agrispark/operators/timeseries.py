@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from agrispark.functions import dates
 from agrispark.functions.bands import NODATA, RESOLUTION, ndvi, ndvi_scaled, scaled, valid
@@ -11,8 +12,14 @@ from agrispark.registry import query
 
 BANDS = ("b02", "b04", "b08", "vv", "vh")
 CADENCE_DAYS = {"month": 31, "dekad": 10}
-BY_SAMPLE = Window.partitionBy("sample_id")
-IN_ORDER = BY_SAMPLE.orderBy("ts")
+
+
+def by_sample() -> WindowSpec:
+    return Window.partitionBy("sample_id")
+
+
+def in_order() -> WindowSpec:
+    return by_sample().orderBy("ts")
 
 
 @query("dedupe_sample_timestamp", "obs_raw", sql="""
@@ -33,7 +40,7 @@ def dedupe_sample_timestamp(df: DataFrame, order: list[str]) -> DataFrame:
 
 def lag_gap(df: DataFrame) -> DataFrame:
     """Days since the sample's date before."""
-    return df.withColumn("gap", F.datediff("ts", F.lag("ts").over(IN_ORDER)))
+    return df.withColumn("gap", F.datediff("ts", F.lag("ts").over(in_order())))
 
 
 @query("lag_gap", "obs", sql="SELECT sample_id, ts, CAST(ts - lag(ts) OVER (PARTITION BY sample_id ORDER BY ts) AS INTEGER) AS gap FROM obs")
@@ -59,7 +66,7 @@ def q_cadence(obs: DataFrame) -> DataFrame:
 
 
 def series_bounds(df: DataFrame) -> DataFrame:
-    return df.withColumn("start_date", F.min("ts").over(BY_SAMPLE)).withColumn("end_date", F.max("ts").over(BY_SAMPLE))
+    return df.withColumn("start_date", F.min("ts").over(by_sample())).withColumn("end_date", F.max("ts").over(by_sample()))
 
 
 @query("series_bounds", "obs", sql="""SELECT sample_id, ts, min(ts) OVER (PARTITION BY sample_id) AS start_date,
@@ -104,7 +111,7 @@ def q_gap_fill(obs: DataFrame) -> DataFrame:
 
 
 def timestamp_index(df: DataFrame) -> DataFrame:
-    return df.withColumn("ind", F.row_number().over(IN_ORDER) - 1)
+    return df.withColumn("ind", F.row_number().over(in_order()) - 1)
 
 
 @query("timestamp_index", "obs", sql=f"""WITH {_FILLED} SELECT sample_id, ts,
@@ -116,7 +123,7 @@ def q_index(obs: DataFrame) -> DataFrame:
 def valid_position(df: DataFrame) -> DataFrame:
     """Index of the date nearest to the validity date (the lowest of ties), and the position relative to it."""
     near = F.struct(F.abs(F.datediff("valid_time", "ts")), "ind")
-    return df.withColumn("valid_position", F.min_by("ind", near).over(BY_SAMPLE)).withColumn(
+    return df.withColumn("valid_position", F.min_by("ind", near).over(by_sample())).withColumn(
         "valid_position_diff", F.col("ind") - F.col("valid_position")
     )
 
@@ -136,7 +143,7 @@ def q_valid_position(obs: DataFrame) -> DataFrame:
 
 def edge_buffer_filter(df: DataFrame, buffer: int) -> DataFrame:
     """Samples whose valid position is at least ``buffer`` steps from both ends."""
-    last = F.max("ind").over(BY_SAMPLE)
+    last = F.max("ind").over(by_sample())
     return df.withColumn("_last", last).where((F.col("_last") - F.col("valid_position") >= buffer) & (F.col("valid_position") >= buffer)).drop("_last")
 
 
@@ -157,10 +164,10 @@ def trim_series(df: DataFrame, steps: int | str | tuple, buffer: int = 2, least_
         out = df.where(F.col("ts").between(a, b))
         if use_valid_time:
             out = out.where(F.col("valid_time").between(a, b))
-        out = out.withColumn("_n", F.count("*").over(BY_SAMPLE)).where(F.col("_n") >= least_steps).drop("_n")
+        out = out.withColumn("_n", F.count("*").over(by_sample())).where(F.col("_n") >= least_steps).drop("_n")
     else:
         size = least_steps + 2 * buffer if steps == "auto" else steps
-        n = F.count("*").over(BY_SAMPLE)
+        n = F.count("*").over(by_sample())
         centre = F.col("valid_position") if use_valid_time else F.floor(F.col("_n") / 2)
         left = F.greatest(F.lit(0), F.least(centre - size // 2, F.col("_n") - size))
         out = df.withColumn("_n", n).where((F.col("ind") >= left) & (F.col("ind") < left + size)).drop("_n")
@@ -316,7 +323,7 @@ def temporal_subset(df: DataFrame, start: str, end: str, least_coverage: float,
     slots = dates.enumerate_slots(F.to_date(F.lit(start)), F.to_date(F.lit(end)))
     wanted = df.select("sample_id").distinct().select("sample_id", F.explode(slots).alias("ts"))
     joined = wanted.join(df.select("sample_id", "ts", *features), ["sample_id", "ts"], "left")
-    share = F.count(features[0]).over(BY_SAMPLE) / F.count("*").over(BY_SAMPLE)
+    share = F.count(features[0]).over(by_sample()) / F.count("*").over(by_sample())
     return joined.withColumn("coverage", F.round(share, 6)).where(F.col("coverage") >= least_coverage).select(
         "sample_id", "ts", "coverage", *(F.coalesce(f, F.lit(NODATA)).alias(f) for f in features)
     )
@@ -398,7 +405,7 @@ def sample_series_for_plot(obs: DataFrame, n: int = 12, seed: int = 42) -> DataF
 def cumulative_gdd(weather: DataFrame, base: float = 10.0) -> DataFrame:
     """Running sum of degrees above the base."""
     daily = F.greatest(F.col("b02") / 20 - base, F.lit(0.0))
-    return weather.select("sample_id", "ts", F.round(F.sum(daily).over(IN_ORDER.rowsBetween(Window.unboundedPreceding, 0)), 6).alias("gdd"))
+    return weather.select("sample_id", "ts", F.round(F.sum(daily).over(in_order().rowsBetween(Window.unboundedPreceding, 0)), 6).alias("gdd"))
 
 
 @query("latest_per_key", "obs", sql="SELECT sample_id, max(ts) AS ts, arg_max(b02, ts) AS b02 FROM obs GROUP BY sample_id")

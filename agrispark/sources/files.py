@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
@@ -169,3 +172,40 @@ def q_jobs(jobs: DataFrame) -> DataFrame:
     line = F.to_csv(F.struct("job", "status", "duration"))
     parsed = F.from_csv(line, "job string, status string, duration string")
     return jobs.select(parsed.alias("r")).select("r.*")
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path under ``spark.checkpoint.dir``; only where that is unset, under the machine's temp folder."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="agrispark-")
+    return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+@query("merge_partitioned_sink", "obs", sql="SELECT ref_id, count(*) AS n, max(b02) AS top FROM (SELECT ref_id, CASE WHEN ref_id LIKE '2018%' THEN 0 ELSE b02 END AS b02 FROM obs) GROUP BY ref_id")
+def q_merge_sink(obs: DataFrame) -> DataFrame:
+    """All datasets written, those of one year written again with other values: only their partitions change."""
+    path = scratch(obs.sparkSession, "merged")
+    merge_partitioned_sink(obs, path)
+    merge_partitioned_sink(obs.where(F.col("ref_id").startswith("2018")).withColumn("b02", F.lit(0)), path)
+    return obs.sparkSession.read.parquet(path).groupBy("ref_id").agg(F.count("*").alias("n"), F.max("b02").alias("top"))
+
+
+@query("write_wide_sorted", "obs", sql="SELECT sample_id, ref_id, count(*) AS n FROM obs GROUP BY sample_id, ref_id")
+def q_wide(obs: DataFrame) -> DataFrame:
+    path = scratch(obs.sparkSession, "wide")
+    write_wide_sorted(obs.groupBy("sample_id", "ref_id").agg(F.count("*").alias("n")), path)
+    return obs.sparkSession.read.parquet(path)
+
+
+@query("write_split_files", "samples", sql="SELECT CASE WHEN extract = 0 THEN 'train' ELSE 'test' END AS split, count(*) AS n FROM samples GROUP BY 1")
+def q_split_files(samples: DataFrame) -> DataFrame:
+    path = scratch(samples.sparkSession, "splits")
+    write_split_files(samples.select("sample_id", F.when(F.col("extract") == 0, "train").otherwise("test").alias("split")), path)
+    return samples.sparkSession.read.csv(f"{path}/csv", header=True).groupBy("split").agg(F.count("*").alias("n"))
+
+
+@query("list_partition_files", "obs", sql="SELECT DISTINCT ref_id FROM obs")
+def q_list_files(obs: DataFrame) -> DataFrame:
+    """The datasets whose leaf files are found under a partitioned tree."""
+    path = scratch(obs.sparkSession, "tree")
+    merge_partitioned_sink(obs, path)
+    return list_partition_files(obs.sparkSession, path).select(ref_id_of(F.col("path")).alias("ref_id")).distinct()
