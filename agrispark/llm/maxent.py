@@ -5,7 +5,7 @@ class. Classes are hashed word endings (one is the end token alone); the first f
 hashed features of the context (word before, word before that as a skip, both together), trained by gradient steps
 that all tasks take over their own documents and whose weights are averaged between rounds; every training
 document takes part once. The second factor and the base score need the count of every token of the corpus: counts
-are summed by bucket of the token's 64-bit hash and sent back to the chunks of documents that ask for them, so the
+are summed by bucket of the token's 64-bit id and sent back to the chunks of documents that ask for them, so the
 vocabulary is never in one place.
 
 Edge cases: a null or empty text is the end token alone; a null id counts as the empty text in the choice of
@@ -20,16 +20,18 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agrispark.llm.common import WordHashes, byte_texts, mapped, mixed64, slices, table, words_of, written
+from agrispark.llm.common import byte_texts, mapped, slices, table, words_of, written
 
 CLASSES = 64
 SLOT_BITS = 14
 ROUNDS = 2
 STEP_TOKENS = 4096
 RATE = 0.15
+MOST_CACHED = 400_000
 ROWS_A_BUCKET = 4_000
 ROWS_A_CHUNK = 1_000
 #: No word holds white space, so this can stand for the end of a text.
@@ -41,62 +43,78 @@ def is_held_out(doc_id) -> bool:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % 7 == 2
 
 
-class Classes(dict):
-    """Class of a word: 0 for the end token, else its last two bytes hashed."""
+class TokenIds(dict):
+    """64-bit id of a word: its hash, with the class in the low bits. Kept between batches up to a fixed size."""
 
     def __missing__(self, word: bytes) -> int:
-        value = self[word] = 0 if word == END else 1 + zlib.crc32(word[-2:]) % (CLASSES - 1)
+        if len(self) >= MOST_CACHED:
+            self.clear()
+        kind = 0 if word == END else 1 + zlib.crc32(word[-2:]) % (CLASSES - 1)
+        value = self[word] = xxhash.xxh3_64_intdigest(word) // CLASSES * CLASSES + kind
         return value
 
 
-def encoded(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Token hashes, token classes and the number of tokens of each text, the end token included."""
-    hashes, classes, words, sizes = WordHashes(), Classes(), [], []
+_IDS = TokenIds()
+
+
+def encoded(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Token ids of the texts in a row and the number of tokens of each, the end token included."""
+    words, sizes = [], []
     for t in texts:
         found = words_of(t)
         words += found
         words.append(END)
         sizes.append(len(found) + 1)
-    n = len(words)
-    return (
-        np.fromiter(map(hashes.__getitem__, words), np.uint64, n),
-        np.fromiter(map(classes.__getitem__, words), np.uint8, n),
-        np.array(sizes, np.int64),
-    )
+    return np.fromiter(map(_IDS.__getitem__, words), np.uint64, len(words)), np.array(sizes, np.int64)
 
 
-def context_slots(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Feature slots [tokens, 3] of what stands before each token; texts begin with two blanks."""
-    n = len(hashes)
-    place = np.arange(n) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    one = np.where(place >= 1, np.roll(hashes, 1), np.uint64(1))
-    two = np.where(place >= 2, np.roll(hashes, 2), np.uint64(2))
+def classes_of(ids: np.ndarray) -> np.ndarray:
+    return (ids % np.uint64(CLASSES)).astype(np.uint8)
+
+
+def context_slots(ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Feature slots [3, tokens] of what stands before each token; texts begin with two blanks."""
+    n = len(ids)
+    starts = np.cumsum(sizes) - sizes
+    one, two = np.empty(n, np.uint64), np.empty(n, np.uint64)
+    one[1:], two[2:] = ids[:-1], ids[:-2]
+    one[starts] = two[starts] = 1
+    two[np.minimum(starts + 1, n - 1)[sizes > 1]] = 2
     shift = np.uint64(64 - SLOT_BITS)
-    return np.stack(
-        [mixed64(one * _SALTS[0]) >> shift, mixed64(two * _SALTS[1]) >> shift, mixed64(one * _SALTS[2] + two) >> shift], axis=1
-    ).astype(np.int32)
+    return np.stack([one * _SALTS[0] >> shift, two * _SALTS[1] >> shift, (one * _SALTS[2] + two * _SALTS[1]) >> shift]).astype(np.uint16)
+
 
+def shares(weights: np.ndarray, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Scores less their maximum, their exponentials and the sums of those: [tokens, classes] twice and [tokens].
 
-def log_shares(weights: np.ndarray, slots: np.ndarray) -> np.ndarray:
-    """Log probabilities [tokens, classes]; the last row of the weights is the bias."""
-    z = weights[slots[:, 0]] + weights[slots[:, 1]] + weights[slots[:, 2]] + weights[-1]
+    The last row of the weights is the bias.
+    """
+    z = weights.take(slots[0], axis=0)
+    z += weights.take(slots[1], axis=0)
+    z += weights.take(slots[2], axis=0)
+    z += weights[-1]
     z -= z.max(axis=1, keepdims=True)
-    return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+    e = np.exp(z)
+    return z, e, e.sum(axis=1)
 
 
 def stepped(weights: np.ndarray, squares: np.ndarray, slots: np.ndarray, classes: np.ndarray) -> None:
-    """One adaptive gradient step over a block of tokens, in place."""
-    g = np.exp(log_shares(weights, slots))
+    """One gradient step over a block of tokens, in place; the rate adapts to each row of the weights."""
+    _, g, total = shares(weights, slots)
+    g /= total[:, None]
     g[np.arange(len(g)), classes] -= 1
-    for column in range(slots.shape[1]):
-        order = np.argsort(slots[:, column], kind="stable")
-        rows, at = np.unique(slots[order, column], return_index=True)
-        total = np.add.reduceat(g[order], at, axis=0)
-        squares[rows] += total * total
-        weights[rows] -= RATE * total / np.sqrt(squares[rows])
-    total = g.sum(axis=0)
-    squares[-1] += total * total
-    weights[-1] -= RATE * total / np.sqrt(squares[-1])
+    for column in slots:
+        order = np.argsort(column, kind="stable")
+        ordered = column[order]
+        at = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+        rows = ordered[at]
+        change = np.add.reduceat(g.take(order, axis=0), at, axis=0)
+        squares[rows] += np.einsum("ij,ij->i", change, change) / CLASSES
+        change *= (RATE / np.sqrt(squares[rows]))[:, None]
+        weights[rows] -= change
+    change = g.sum(axis=0)
+    squares[-1] += change @ change / CLASSES
+    weights[-1] -= RATE / np.sqrt(squares[-1]) * change
 
 
 def trained(docs: DataFrame, id_col: str, text_col: str) -> np.ndarray:
@@ -110,18 +128,18 @@ def trained(docs: DataFrame, id_col: str, text_col: str) -> np.ndarray:
 
         def run(batches, shared=shared):
             own = shared.value.copy()
-            squares = np.full_like(own, 1e-2)
+            squares = np.full(len(own), 1e-2, np.float32)
             tokens = 0
             for batch in slices(batches, 500):
                 texts = [
                     t for i, t in zip(batch.column(0).to_pylist(), byte_texts(batch.column(1)), strict=True) if not is_held_out(i)
                 ]
                 if texts:
-                    hashes, classes, sizes = encoded(texts)
-                    slots = context_slots(hashes, sizes)
-                    for k in range(0, len(slots), STEP_TOKENS):
-                        stepped(own, squares, slots[k : k + STEP_TOKENS], classes[k : k + STEP_TOKENS])
-                    tokens += len(slots)
+                    ids, sizes = encoded(texts)
+                    slots, classes = context_slots(ids, sizes), classes_of(ids)
+                    for k in range(0, len(ids), STEP_TOKENS):
+                        stepped(own, squares, slots[:, k : k + STEP_TOKENS], classes[k : k + STEP_TOKENS])
+                    tokens += len(ids)
             if tokens:
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -149,43 +167,49 @@ def _by_bucket(hashes: np.ndarray, buckets: int):
     return zip(ids.tolist(), np.split(order, at[1:]), strict=True)
 
 
-def token_counts(docs: DataFrame, buckets: int, id_col: str, text_col: str) -> DataFrame:
-    """``(bucket, hashes, counts, n_tokens, n_types, class_tokens, class_types)``: the training tokens of each bucket."""
+def asked_counts(chunked: DataFrame, buckets: int) -> DataFrame:
+    """``(chunk, hashes, counts, n_tokens, n_types, class_tokens, class_types)`` from rows (chunk, id, text).
 
-    def run(batch: pa.RecordBatch):
-        texts = [t for i, t in zip(batch.column(0).to_pylist(), byte_texts(batch.column(1)), strict=True) if not is_held_out(i)]
+    Each batch sends the distinct tokens of each chunk to their buckets, with how often its training documents hold
+    them. A bucket sums those counts, answers every chunk with the sums of the tokens it asked for, and adds one row
+    (chunk null) with the totals of its training tokens.
+    """
+
+    def ask(batch: pa.RecordBatch):
+        ids, sizes = encoded(byte_texts(batch.column(2)))
+        counted = np.repeat(np.array([not is_held_out(i) for i in batch.column(1).to_pylist()], np.int64), sizes)
+        owner = np.repeat(np.array(batch.column(0).to_pylist(), np.int64), sizes)
         rows = []
-        if texts:
-            hashes, classes, _ = encoded(texts)
-            distinct, first, counts = np.unique(hashes, return_index=True, return_counts=True)
-            kinds = classes[first]
-            rows = [(b, distinct[i].tobytes(), counts[i].tobytes(), kinds[i].tobytes()) for b, i in _by_bucket(distinct, buckets)]
+        for chunk in np.unique(owner).tolist():
+            own = owner == chunk
+            distinct, at = np.unique(ids[own], return_inverse=True)
+            counts = np.bincount(at, counted[own], len(distinct)).astype(np.int64)
+            rows += [(b, chunk, distinct[i].tobytes(), counts[i].tobytes()) for b, i in _by_bucket(distinct, buckets)]
         columns = list(zip(*rows, strict=True)) or [[]] * 4
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], names=["bucket", "hashes", "counts", "kinds"]
-        )
-
-    def add(group: pa.Table) -> pa.Table:
-        hashes, counts, kinds = (
-            np.frombuffer(b"".join(group[n].to_pylist()), k) for n, k in (("hashes", np.uint64), ("counts", np.int64), ("kinds", np.uint8))
-        )
-        distinct, first, at = np.unique(hashes, return_index=True, return_inverse=True)
-        total = np.bincount(at, counts, len(distinct)).astype(np.int64)
-        kinds = kinds[first]
-        return pa.table(
-            {
-                "bucket": group["bucket"][:1],
-                "hashes": pa.array([distinct.tobytes()], pa.binary()), "counts": pa.array([total.tobytes()], pa.binary()),
-                "n_tokens": pa.array([int(total.sum())], pa.int64()), "n_types": pa.array([len(distinct)], pa.int64()),
-                "class_tokens": pa.array([np.bincount(kinds, total, CLASSES).astype(np.int64)], pa.list_(pa.int64())),
-                "class_types": pa.array([np.bincount(kinds, minlength=CLASSES)], pa.list_(pa.int64())),
-            }
+        kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["bucket", "chunk", "hashes", "counts"])
+
+    def answer(group: pa.Table) -> pa.Table:
+        asked = group["hashes"].to_pylist()
+        ids = np.frombuffer(b"".join(asked), np.uint64)
+        known, at = np.unique(ids, return_inverse=True)
+        count = np.bincount(at, np.frombuffer(b"".join(group["counts"].to_pylist()), np.int64), len(known)).astype(np.int64)
+        own = [np.frombuffer(h, np.uint64) for h in asked]
+        found = [count[np.searchsorted(known, h)] for h in own]
+        seen = count > 0
+        kinds = classes_of(known[seen])
+        rows = [(c, h.tobytes(), f.tobytes(), None, None, None, None) for c, h, f in zip(group["chunk"].to_pylist(), own, found, strict=True)]
+        rows.append(
+            (None, None, None, int(count.sum()), int(seen.sum()), np.bincount(kinds, count[seen], CLASSES).astype(np.int64), np.bincount(kinds, minlength=CLASSES))
         )
+        types = [pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+        names = ["chunk", "hashes", "counts", "n_tokens", "n_types", "class_tokens", "class_types"]
+        return pa.table({n: pa.array(c, k) for n, c, k in zip(names, zip(*rows, strict=True), types, strict=True)})
 
     return (
-        mapped(docs.select(id_col, text_col), run, "bucket int, hashes binary, counts binary, kinds binary", 2000)
+        mapped(chunked.select("chunk", "id", "text"), ask, "bucket int, chunk int, hashes binary, counts binary", 2000)
         .groupBy("bucket")
-        .applyInArrow(add, "bucket int, hashes binary, counts binary, n_tokens bigint, n_types bigint, class_tokens array<bigint>, class_types array<bigint>")
+        .applyInArrow(answer, "chunk int, hashes binary, counts binary, n_tokens bigint, n_types bigint, class_tokens array<bigint>, class_types array<bigint>")
     )
 
 
@@ -195,51 +219,21 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     rows = docs.count()
     buckets, chunks = max(8, rows // ROWS_A_BUCKET), max(8, rows // ROWS_A_CHUNK)
     weights = trained(docs, id_col, text_col)
-    counts = written(token_counts(docs, buckets, id_col, text_col), "counts")
-    whole = counts.agg(F.sum("n_tokens").alias("n"), F.sum("n_types").alias("v")).first()
+    # neighbours in id share a chunk, so a batch of the input asks for few of them
+    chunk = F.pmod(F.xxhash64(F.floor(F.coalesce(F.col(id_col).cast("long"), F.lit(-1)) / ROWS_A_CHUNK)), F.lit(chunks)).cast("int")
+    chunked = docs.select(chunk.alias("chunk"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    answers = written(asked_counts(chunked, buckets), "counts")
+    totals = answers.where("chunk is null")
+    whole = totals.agg(F.sum("n_tokens").alias("n"), F.sum("n_types").alias("v")).first()
     by_class = {
         r["k"]: (r["n"], r["v"])
-        for r in counts.select(F.posexplode(F.arrays_zip("class_tokens", "class_types")).alias("k", "x"))
+        for r in totals.select(F.posexplode(F.arrays_zip("class_tokens", "class_types")).alias("k", "x"))
         .groupBy("k").agg(F.sum("x.class_tokens").alias("n"), F.sum("x.class_types").alias("v")).collect()
     }
     n, v = whole["n"] or 0, whole["v"] or 0
     sizes_of_class = np.array([sum(by_class.get(k, (0, 0))) + 1 for k in range(CLASSES)], float)
     shared = docs.sparkSession.sparkContext.broadcast((weights, sizes_of_class))
-
-    # neighbours in id share a chunk, so a batch of the input asks for few of them
-    chunk = F.pmod(F.xxhash64(F.floor(F.coalesce(F.col(id_col).cast("long"), F.lit(-1)) / ROWS_A_CHUNK)), F.lit(chunks)).cast("int")
-    chunked = docs.select(chunk.alias("chunk"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-
-    def ask(batch: pa.RecordBatch):
-        hashes, _, sizes = encoded(byte_texts(batch.column(1)))
-        owner = np.repeat(np.array(batch.column(0).to_pylist(), np.int64), sizes)
-        rows = []
-        for c in np.unique(owner).tolist():
-            distinct = np.unique(hashes[owner == c])
-            rows += [(b, c, distinct[i].tobytes()) for b, i in _by_bucket(distinct, buckets)]
-        columns = list(zip(*rows, strict=True)) or [[]] * 3
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.binary())], names=["bucket", "chunk", "hashes"]
-        )
-
-    def answer(left: pa.Table, right: pa.Table) -> pa.Table:
-        known, count = np.empty(0, np.uint64), np.empty(0, np.int64)
-        if right.num_rows:
-            known, count = np.frombuffer(right["hashes"][0].as_py(), np.uint64), np.frombuffer(right["counts"][0].as_py(), np.int64)
-        out = []
-        for blob in left["hashes"].to_pylist() if left.num_rows else []:
-            h = np.frombuffer(blob, np.uint64)
-            at = np.minimum(np.searchsorted(known, h), max(0, len(known) - 1))
-            hit = known[at] == h if len(known) else np.zeros(len(h), bool)
-            out.append((h[hit].tobytes(), count[at[hit]].tobytes()))
-        chunk_ids = left["chunk"] if left.num_rows else pa.array([], pa.int32())
-        return pa.table({"chunk": chunk_ids, "hashes": pa.array([x for x, _ in out], pa.binary()), "counts": pa.array([x for _, x in out], pa.binary())})
-
-    answers = (
-        mapped(chunked.select("chunk", "text"), ask, "bucket int, chunk int, hashes binary", 2000)
-        .groupBy("bucket").cogroup(counts.select("bucket", "hashes", "counts").groupBy("bucket"))
-        .applyInArrow(answer, "chunk int, hashes binary, counts binary")
-    )
+    answers = answers.where("chunk is not null").select("chunk", "hashes", "counts")
     names = [id_col, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -252,16 +246,16 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         base_whole = math.log10(n + (v + 1))
         out = []
         for batch in slices(left.to_batches(), 200):
-            hashes, classes, sizes = encoded(byte_texts(batch.column("text")))
-            slots = context_slots(hashes, sizes)
+            hashes, sizes = encoded(byte_texts(batch.column("text")))
+            slots, classes = context_slots(hashes, sizes), classes_of(hashes)
             at = np.minimum(np.searchsorted(known, hashes), max(0, len(known) - 1))
             c = np.where(known[at] == hashes, count[at], 0) if len(known) else np.zeros(len(hashes), np.int64)
             seen = np.log10(c + 1.0)
             share = np.empty(len(hashes))
             for k in range(0, len(hashes), STEP_TOKENS):
                 part = slice(k, k + STEP_TOKENS)
-                p = log_shares(w, slots[part])
-                share[part] = p[np.arange(len(p)), classes[part]]
+                z, _, total = shares(w, slots[:, part])
+                share[part] = z[np.arange(len(z)), classes[part]] - np.log(total)
             token = share / math.log(10) + seen - np.log10(of_class[classes])
             starts = np.cumsum(sizes) - sizes
             for i, size, known_tokens, base, s in zip(
