@@ -5,6 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from agrispark.llm.decontam import op2_decontaminate
 from agrispark.llm.html_extract import op1_html_extract
+from agrispark.llm.licenses import op7_license_scan
 from agrispark.llm.maxent import op9_lm_score
 from agrispark.llm.mixing import OP10_SQL, op10_mix_sources
 from agrispark.llm.ngram_join import op5_ngram_join
@@ -21,6 +22,7 @@ QUERIES = {
     "op4_quality_classifier": op4_quality_classifier,
     "op5_ngram_join": op5_ngram_join,
     "op6_spotsigs": op6_spotsigs,
+    "op7_license_scan": op7_license_scan,
     "op8_secret_scan": op8_secret_scan,
     "op9_lm_score": op9_lm_score,
     "op10_mix_sources": op10_mix_sources,
