@@ -75,6 +75,8 @@ def prefix_size(n: int, num: int, den: int) -> int:
 
 def by_bucket(tokens: np.ndarray, buckets: int):
     """(bucket, positions) for the buckets that tokens fall in."""
+    if not len(tokens):
+        return []
     slot = (mixed64(tokens ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(slot, kind="stable")
     ids, starts = np.unique(slot[order], return_index=True)
