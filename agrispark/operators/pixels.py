@@ -155,12 +155,12 @@ def majority_vote(pixels: DataFrame, kernel: int = 3, excluded: int = 3) -> Data
 
 
 @query("majority_vote_weighted", "pixels", sql="""WITH v AS (SELECT p.tile, p.y, p.x, q.label, round(sum(q.prob), 6) AS w, count(*) AS k FROM pixels p JOIN pixels q ON q.tile = p.tile AND abs(q.y - p.y) <= 1 AND abs(q.x - p.x) <= 1 GROUP BY ALL),
-  r AS (SELECT *, row_number() OVER (PARTITION BY tile, y, x ORDER BY w DESC, label) AS r FROM v) SELECT tile, y, x, label, round(w / k, 5) AS prob FROM r WHERE r = 1""")
+  r AS (SELECT *, row_number() OVER (PARTITION BY tile, y, x ORDER BY w DESC, label) AS r FROM v) SELECT tile, y, x, label, round(w / k, 7) AS prob FROM r WHERE r = 1""")
 def majority_vote_weighted(pixels: DataFrame) -> DataFrame:
     """The label with the greatest sum of probability in the square, nothing beyond the edges, with its mean probability."""
     v = neighbours(pixels, 1, ["label", "prob"]).groupBy(*PIXEL, "label").agg(F.round(F.sum("prob"), 6).alias("w"), F.count("*").alias("k"))
     best = v.groupBy(*PIXEL).agg(F.min_by(F.struct("label", "w", "k"), F.struct(-F.col("w"), F.col("label"))).alias("b"))
-    return pixels.select(*PIXEL).join(best, PIXEL).select(*PIXEL, "b.label", F.round(F.col("b.w") / F.col("b.k"), 5).alias("prob"))
+    return pixels.select(*PIXEL).join(best, PIXEL).select(*PIXEL, "b.label", F.round(F.col("b.w") / F.col("b.k"), 7).alias("prob"))
 
 
 @query("smooth_probabilities", "pixels", sql=f"""WITH n AS (SELECT p.tile, p.y, p.x, {_MIRROR.format(i='(p.y + dy)')} AS ny, {_MIRROR.format(i='(p.x + dx)')} AS nx, CASE WHEN dy = 0 AND dx = 0 THEN 3 WHEN dy = 0 OR dx = 0 THEN 2 ELSE 1 END AS k FROM pixels p, range(-1, 2) a(dy), range(-1, 2) b(dx) WHERE p.label <> 3)
