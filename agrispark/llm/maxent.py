@@ -242,21 +242,21 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
             np.frombuffer(b"".join(right[c].to_pylist() if right.num_rows else []), k) for c, k in (("hashes", np.uint64), ("counts", np.int64))
         )
         known, first = np.unique(known, return_index=True)
-        count = count[first]
+        logs, known_count = np.log10(count[first] + 1.0), count[first]
+        class_logs = np.log10(of_class)
         base_whole = math.log10(n + (v + 1))
         out = []
         for batch in slices(left.to_batches(), 200):
             hashes, sizes = encoded(byte_texts(batch.column("text")))
             slots, classes = context_slots(hashes, sizes), classes_of(hashes)
-            at = np.minimum(np.searchsorted(known, hashes), max(0, len(known) - 1))
-            c = np.where(known[at] == hashes, count[at], 0) if len(known) else np.zeros(len(hashes), np.int64)
-            seen = np.log10(c + 1.0)
+            at = np.searchsorted(known, hashes)
+            c, seen = known_count[at], logs[at]  # a chunk has asked for all of its tokens
             share = np.empty(len(hashes))
             for k in range(0, len(hashes), STEP_TOKENS):
                 part = slice(k, k + STEP_TOKENS)
                 z, _, total = shares(w, slots[:, part])
                 share[part] = z[np.arange(len(z)), classes[part]] - np.log(total)
-            token = share / math.log(10) + seen - np.log10(of_class[classes])
+            token = share / math.log(10) + seen - class_logs[classes]
             starts = np.cumsum(sizes) - sizes
             for i, size, known_tokens, base, s in zip(
                 batch.column("id").to_pylist(), sizes.tolist(), np.add.reduceat((c > 0).astype(np.int64), starts).tolist(),
