@@ -31,6 +31,7 @@ SLOT_BITS = 14
 ROUNDS = 2
 STEP_TOKENS = 4096
 RATE = 0.15
+FEW_ROWS = 8
 MOST_CACHED = 400_000
 ROWS_A_BUCKET = 4_000
 ROWS_A_CHUNK = 1_000
@@ -98,6 +99,22 @@ def shares(weights: np.ndarray, slots: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return z, e, e.sum(axis=1)
 
 
+def summed(g: np.ndarray, order: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Sums of the rows of ``g`` in groups, which begin at ``at`` in ``order``.
+
+    Most groups are small: the first rows of all groups are added at once, then the second rows, and so on; what large
+    groups have beyond that is summed by group.
+    """
+    size = np.diff(np.append(at, len(order)))
+    out = g.take(order[at], axis=0)
+    for k in range(1, FEW_ROWS):
+        more = np.flatnonzero(size > k)
+        out[more] += g.take(order[at[more] + k], axis=0)
+    for j in np.flatnonzero(size > FEW_ROWS).tolist():
+        out[j] += g.take(order[at[j] + FEW_ROWS : at[j] + size[j]], axis=0).sum(axis=0)
+    return out
+
+
 def stepped(weights: np.ndarray, squares: np.ndarray, slots: np.ndarray, classes: np.ndarray) -> None:
     """One gradient step over a block of tokens, in place; the rate adapts to each row of the weights."""
     _, g, total = shares(weights, slots)
@@ -108,7 +125,7 @@ def stepped(weights: np.ndarray, squares: np.ndarray, slots: np.ndarray, classes
         ordered = column[order]
         at = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
         rows = ordered[at]
-        change = np.add.reduceat(g.take(order, axis=0), at, axis=0)
+        change = summed(g, order, at)
         squares[rows] += np.einsum("ij,ij->i", change, change) / CLASSES
         change *= (RATE / np.sqrt(squares[rows]))[:, None]
         weights[rows] -= change
