@@ -69,38 +69,41 @@ def cell_classes(samples: DataFrame) -> DataFrame:
     )
 
 
-def greedy_cover(cells: DataFrame, group: str | None, rounds: int = 64) -> DataFrame:
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` computed once and cut from its plan, so that loops don't grow it."""
+    kept = df.persist()
+    out = kept.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else kept.localCheckpoint()
+    kept.unpersist()
+    return out
+
+
+def greedy_cover(cells: DataFrame, group: str | None) -> DataFrame:
     """Cells chosen one a round in each group: the one with most classes not covered yet, until all are.
 
-    Every round is an aggregation and a join over the cell table; groups advance side by side.
+    Every round is an aggregation and a join over the cells that still have such classes; groups advance side by side.
     """
-    keyed = cells.withColumn("g", F.col(group) if group else F.lit("all")).select("g", "cell", "classes").persist()
-    covered = keyed.select("g").distinct().withColumn("have", F.array().cast("array<string>"))
-    picked = None
-    for _ in range(rounds):
-        gain = F.size(F.array_except("classes", "have"))
-        best = (
-            keyed.join(covered, "g").withColumn("gain", gain).where("gain > 0").groupBy("g")
-            .agg(F.min_by(F.struct("cell", "classes", "gain"), F.struct(-F.col("gain"), F.col("cell"))).alias("b"))
-        ).persist()
-        if best.isEmpty():
-            break
-        step = best.select("g", F.col("b.cell").alias("cell"), F.col("b.gain").alias("gain"))
-        picked = step if picked is None else picked.unionByName(step)
-        covered = covered.join(best.select("g", F.col("b.classes").alias("new")), "g", "left").select(
-            "g", F.array_union("have", F.coalesce("new", F.array().cast("array<string>"))).alias("have")
-        ).persist()
-    return picked if picked is not None else keyed.select("g", "cell", F.lit(0).alias("gain")).where("false")
+    gain = F.size("classes")
+    left = settled(cells.withColumn("g", F.col(group) if group else F.lit("all")).select("g", "cell", "classes").where(gain > 0))
+    picked = left.select("g", "cell", F.lit(0).alias("gain")).where("false")
+    while not left.isEmpty():
+        best = settled(
+            left.groupBy("g").agg(F.min_by(F.struct("cell", "classes"), F.struct(-gain, F.col("cell"))).alias("b"))
+            .select("g", F.col("b.cell").alias("cell"), F.col("b.classes").alias("new"))
+        )
+        picked = picked.unionByName(best.select("g", "cell", F.size("new").alias("gain")))
+        missing = left.join(best.select("g", "new"), "g").select("g", "cell", F.array_except("classes", "new").alias("classes"))
+        left = settled(missing.where(gain > 0))
+    return picked
 
 
 @query("greedy_region_coverage", "samples")
 def greedy_region_coverage(samples: DataFrame) -> DataFrame:
-    return greedy_cover(cell_classes(samples), "region", rounds=4)
+    return greedy_cover(cell_classes(samples), "region")
 
 
 @query("greedy_class_coverage", "samples")
 def greedy_class_coverage(samples: DataFrame) -> DataFrame:
-    return greedy_cover(cell_classes(samples), None, rounds=8)
+    return greedy_cover(cell_classes(samples), None)
 
 
 def first_split(samples: DataFrame) -> DataFrame:
@@ -175,17 +178,43 @@ def assign_sample_splits(samples: DataFrame) -> DataFrame:
 
 
 def thinned(samples: DataFrame, distance_degrees: float, per_class: int) -> DataFrame:
-    """Samples of which no two kept ones share a square of ``distance_degrees``, at most ``per_class`` a coarse cell and class.
+    """Samples drawn until none is left: no two within ``distance_degrees``, at most ``per_class`` a coarse cell and class.
 
-    One sample is drawn in each square (rarest class of the coarse cell first, then hash order); a checkerboard of
-    squares keeps drawn samples at least one square apart.
+    Samples of the rarest class of their coarse cell come first, then hash order. In each round a square of the distance
+    draws its first sample when that comes before the first ones of the eight squares about it; then all samples within
+    the distance of a drawn one go, and those of full classes.
     """
-    d = samples.withColumn("gy", F.floor(F.col("lat") / distance_degrees)).withColumn("gx", F.floor(F.col("lon") / distance_degrees))
-    d = d.where((F.pmod("gy", F.lit(2)) == 0) & (F.pmod("gx", F.lit(2)) == 0)).withColumn("coarse", lat_lon_bin(40.0)).withColumn("_c", chance("sample_id"))
-    rare = d.groupBy("coarse", "croptype").agg(F.count("*").alias("n"))
-    ranked = d.join(rare, ["coarse", "croptype"]).withColumn("r", F.row_number().over(Window.partitionBy("gy", "gx").orderBy("n", "_c", "sample_id")))
-    one = ranked.where("r = 1").withColumn("k", F.row_number().over(Window.partitionBy("coarse", "croptype").orderBy("_c", "sample_id")))
-    return one.where(F.col("k") <= per_class)
+    first, square, kind = ["n", "_c", "sample_id"], ["gy", "gx"], ["coarse", "croptype"]
+    d = samples.select(
+        "sample_id", "lat", "lon", "croptype", F.floor(F.col("lat") / distance_degrees).alias("gy"), F.floor(F.col("lon") / distance_degrees).alias("gx"),
+        lat_lon_bin(40.0).alias("coarse"), chance("sample_id").alias("_c"),
+    ).where("gy is not null and gx is not null")
+    around = [F.explode(F.sequence(F.col(c) - 1, F.col(c) + 1)).alias(c) for c in square]
+
+    def spread(rows: DataFrame, *columns: str) -> DataFrame:
+        """The rows sent to their own square and the eight about it."""
+        return rows.select(*columns, "gx", around[0]).select(*columns, "gy", around[1])
+
+    left = settled(d.join(d.groupBy(*kind).agg(F.count("*").alias("n")), kind))
+    drawn = None
+    while True:
+        best = left.groupBy(*square).agg(F.min(F.struct(*first, "lat", "lon", *kind)).alias("b")).select(*square, "b.*")
+        ahead = spread(best.withColumn("key", F.struct(*first)), "key").groupBy(*square).agg(F.min("key").alias("key"))
+        step = best.join(ahead, square).where(F.struct(*first) == F.col("key")).drop("key")
+        if drawn is not None:
+            step = step.join(drawn.groupBy(*kind).agg(F.count("*").alias("have")), kind, "left")
+        else:
+            step = step.withColumn("have", F.lit(0))
+        rank = F.row_number().over(Window.partitionBy(*kind).orderBy(*first))
+        step = settled(step.withColumn("k", rank + F.coalesce("have", F.lit(0))).where(F.col("k") <= per_class).drop("have", "k"))
+        drawn = step if drawn is None else drawn.unionByName(step)
+        if step.isEmpty():
+            return drawn
+        full = drawn.groupBy(*kind).agg(F.count("*").alias("have")).where(F.col("have") >= per_class).select(*kind)
+        near = spread(step.select(*square, F.col("lat").alias("_lat"), F.col("lon").alias("_lon")), "_lat", "_lon").alias("s")
+        within = (F.col("lat") - F.col("_lat")) ** 2 + (F.col("lon") - F.col("_lon")) ** 2 <= distance_degrees**2
+        same = (F.col("l.gy") == F.col("s.gy")) & (F.col("l.gx") == F.col("s.gx"))
+        left = settled(left.join(full, kind, "left_anti").alias("l").join(near, same & within, "left_anti"))
 
 
 @query("distance_class_sampling", "samples")
