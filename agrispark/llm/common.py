@@ -44,6 +44,11 @@ def dropped(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def row_key(docs: DataFrame) -> Column:
+    """64 bits of a row's columns and of which are null: rows that differ have keys of their own, also under one id or none."""
+    return F.xxhash64(*(F.col(f"`{c}`").isNull() for c in docs.columns), *(F.col(f"`{c}`") for c in docs.columns))
+
+
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 

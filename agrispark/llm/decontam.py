@@ -23,7 +23,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agrispark.llm.common import table, written
+from agrispark.llm.common import row_key, table, written
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -179,10 +179,11 @@ def contaminated(
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id leaks no benchmark item, with their own columns."""
+    """The rows of ``docs`` that leak no benchmark item, with their own columns; each row is judged alone, whatever its id."""
     mark = "_" + uuid.uuid4().hex
-    leaks = contaminated(docs, benchmark, id_col=id_col, text_col=text_col).select(F.col(id_col).alias(mark)).distinct()
-    return docs.join(leaks, docs[id_col].eqNullSafe(leaks[mark]), "left_anti")
+    keyed = docs.withColumn(mark, row_key(docs))
+    leaks = contaminated(keyed, benchmark, id_col=mark, text_col=text_col).select(mark).distinct()
+    return keyed.join(leaks, mark, "left_anti").select(*docs.columns)
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,13 +20,15 @@ words is one shingle; repeated rows fall into one node; a component's id is its
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agrispark.llm.common import WordHashes, byte_texts, connected_components, mapped, mixed64, table, words_of, written
+from agrispark.llm.common import WordHashes, byte_texts, connected_components, mapped, mixed64, row_key, table, words_of, written
 
 BITMAP_WORDS = 8
 #: Documents of entries that share a bucket of shingles.
@@ -355,14 +357,15 @@ def jaccard_components(
 
 
 def one_of_each(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of their component, one row an id (the smallest text)."""
-    found = jaccard_components(docs, k, num, den, id_col, text_col)
-    kept = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_kept_id")).distinct()
-    rank = F.row_number().over(Window.partitionBy(id_col).orderBy(F.col(text_col)))
-    return (
-        docs.join(kept, F.col(id_col).eqNullSafe(F.col("_kept_id")), "left_semi")
-        .withColumn("_kept_rank", rank).where("_kept_rank = 1").drop("_kept_rank")
-    )
+    """One row of each component of ``docs``: that of the smallest id, null ids last, then of the smallest hash of the row.
+
+    Rows are told apart by id and hash, so an id that several texts share, or none, drops nothing but equal rows.
+    """
+    mark = "_" + uuid.uuid4().hex
+    keyed = docs.withColumn(mark, F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), row_key(docs).alias("row")))
+    found = jaccard_components(keyed, k, num, den, mark, text_col)
+    kept = found.where(F.col(mark) == F.col("component_id")).select(mark).distinct()
+    return keyed.join(kept, mark, "left_semi").dropDuplicates([mark]).select(*docs.columns)
 
 
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agrispark.llm.common import mapped, table, written
+from agrispark.llm.common import mapped, row_key, table, written
 
 BITS = 18
 #: At most so many labelled documents, those of the smallest hash of their id, fit the document model.
@@ -182,10 +182,10 @@ def site_posteriors(scored: DataFrame) -> tuple[DataFrame, dict]:
     return sites, {t: (mu[t], at_path[t] or 1.0) for t in TASKS}
 
 
-def classified(docs: DataFrame, labels: DataFrame, host: Column, path: Column, id_col="doc_id", text_col="text", most_labelled: int = MOST_LABELLED) -> DataFrame:
-    """``_id``, site columns, evidence, posteriors ``quality`` and ``toxic``, and the decision ``keep``."""
+def classified(docs: DataFrame, labels: DataFrame, host: Column, path: Column, id_col="doc_id", text_col="text", most_labelled: int = MOST_LABELLED, key_col: str | None = None) -> DataFrame:
+    """``_id`` (of ``key_col`` where given, else of ``id_col``, that labels name), site columns, evidence, posteriors ``quality`` and ``toxic``, and the decision ``keep``."""
     weights = trained(docs, labels, most_labelled, id_col, text_col)
-    scored = written(evidence(docs, weights, id_col, text_col, host, path), "evidence")
+    scored = written(evidence(docs, weights, key_col or id_col, text_col, host, path), "evidence")
     sites, figures = site_posteriors(scored)
     sites = written(sites.select("host", "path", "n_path", *(f"{x}_{t}" for t in TASKS for x in ("s_path", "host"))), "sites")
     out = scored.join(
@@ -204,11 +204,12 @@ def classified(docs: DataFrame, labels: DataFrame, host: Column, path: Column, i
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", host_col="source", path_col="lang") -> DataFrame:
-    """The rows of ``docs`` that the classifier keeps, with their own columns; rows of a rejected id all go."""
+    """The rows of ``docs`` that the classifier keeps, with their own columns; each row is judged alone, whatever its id."""
     mark = "_" + uuid.uuid4().hex
-    decisions = classified(docs, labels, F.col(host_col), F.col(path_col), id_col, text_col)
+    keyed = docs.withColumn(mark, row_key(docs))
+    decisions = classified(keyed, labels, F.col(host_col), F.col(path_col), id_col, text_col, key_col=mark)
     rejected = decisions.where(~F.col("keep")).select(F.col("_id").alias(mark)).distinct()
-    return docs.join(rejected, docs[id_col].eqNullSafe(rejected[mark]), "left_anti")
+    return keyed.join(rejected, mark, "left_anti").select(*docs.columns)
 
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

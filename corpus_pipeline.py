@@ -4,8 +4,8 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written a
 next one's documents. All but the last return the columns of documents:
 
 1. ``quality``: rows that the classifier rejects (poor or toxic) go, all others stay.
-2. ``near_duplicates``: of each group linked by a Jaccard similarity of 0.8 over five-word shingles, the smallest id stays.
-3. ``decontaminate``: rows whose id leaks a benchmark item go.
+2. ``near_duplicates``: of each group linked by a Jaccard similarity of 0.8 over five-word shingles, the row of the smallest id stays.
+3. ``decontaminate``: rows that leak a benchmark item go.
 4. ``secrets``: reported secrets are replaced by a marker in the text, and its length is set anew; no row goes.
 5. ``mix``: how many words of each document the mix of sources takes.
 """
