@@ -14,6 +14,7 @@ through ``keep_good`` untouched.
 from __future__ import annotations
 
 import math
+import string
 import uuid
 import zlib
 
@@ -33,12 +34,24 @@ PART = 250
 TASKS = ("quality", "toxic")
 
 
+CAPITALS, SMALL = string.ascii_uppercase.encode(), string.ascii_lowercase.encode()
+
+
+def _letters(text: str) -> tuple[int, int]:
+    """Letters and capitals of the whole text."""
+    if not text.isascii():
+        return sum(map(str.isalpha, text)), sum(map(str.isupper, text))
+    raw = text.encode()
+    upper = len(raw) - len(raw.translate(None, CAPITALS))
+    return upper + len(raw) - len(raw.translate(None, SMALL)), upper
+
+
 def _bins(text: str, words: list[str]) -> list[str]:
     """Shape of the text as named bins: repetition, case, marks, lengths."""
-    n, chars = len(words), max(1, len(text))
+    n = len(words)
     unique = len(set(words)) / n if n else 0.0
-    letters = sum(map(str.isalpha, text[:: max(1, chars // 2000)])) or 1
-    upper = sum(map(str.isupper, text[:: max(1, chars // 2000)])) / letters
+    letters, capitals = _letters(text)
+    upper = capitals / (letters or 1)
     marks = sum(text.count(c) for c in "!|#*%$&@{}<>=_~^") / max(1, n)
     runs = sum(a == b for a, b in zip(words, words[1:], strict=False)) / max(1, n)
     mean = sum(map(len, words)) / max(1, n)
