@@ -36,7 +36,11 @@ TAG = re.compile(
 ATTRIBUTE = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
 SPLIT_NAME = re.compile(r"[^a-z]+")
 #: Elements by how they are parsed (fixed values).
-RAW = frozenset("script style noscript template iframe svg math textarea title object canvas select button".split())
+RAW = frozenset("script style textarea title iframe".split())
+#: Text is left out while one of these is open.
+HIDDEN = frozenset("noscript template svg object canvas select button annotation annotation-xml".split())
+#: Blocks that end an open button, select or svg.
+ENDS = frozenset("article main section aside nav header footer table form h1 h2 h3 h4 h5 h6".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
     """address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure
@@ -84,6 +88,15 @@ def parse(source: str) -> Page:
     links = 0
     pieces: list[str] = []
     linked = 0
+    cover = 0  # depth of the outermost hidden element, 0 for none
+    unclosed: set[str] = set()
+
+    def closing(name: str) -> re.Match | None:
+        """The next closing tag; a name without one is searched for once."""
+        found = None if name in unclosed else re.compile(rf"</{name}\b[^>]*>", re.IGNORECASE).search(source, at)
+        if found is None:
+            unclosed.add(name)
+        return found
 
     def flush() -> None:
         nonlocal linked
@@ -94,9 +107,11 @@ def parse(source: str) -> Page:
         linked = 0
 
     def close_to(depth: int) -> None:
-        nonlocal links
-        if any(name in BLOCK for name, _ in stack[depth:]):
+        nonlocal links, cover
+        if any(name in BLOCK for name, _ in stack[depth : cover or None]):
             flush()
+        if cover >= depth:
+            cover = 0
         links -= sum(name == "a" for name, _ in stack[depth:])
         del stack[depth:]
 
@@ -111,7 +126,7 @@ def parse(source: str) -> Page:
 
     at = 0
     while (m := TAG.search(source, at)) is not None:
-        if m.start() > at:
+        if m.start() > at and not cover:
             run = html.unescape(source[at : m.start()])
             pieces.append(run)
             linked += len(run) if links else 0
@@ -127,17 +142,32 @@ def parse(source: str) -> Page:
                 if name not in BLOCK and stack[depth][0] in ("td", "th", "li", "article", "body"):
                     break
         elif name in RAW:
-            end = re.compile(rf"</{name}\b[^>]*>", re.IGNORECASE).search(source, at)
-            at = end.end() if end else len(source)
+            if name != "iframe":
+                end = closing(name)
+                at = end.end() if end else len(source)
+            elif not (m[3] or m[6] or "").rstrip().endswith("/") and (end := closing(name)):
+                at = end.end()
+            pieces.append(" ")
+        elif name in HIDDEN:
             pieces.append(" ")
+            slash = name == "svg" and (m[3] or m[6] or "").rstrip().endswith("/")
+            if not slash and closing(name):
+                if name == "button":
+                    close_open("button", ())
+                stack.append((name, stack[-1][1]))
+                cover = cover or len(stack) - 1
         elif name in VOID:
-            if name == "hr":
+            if name == "hr" and not cover:
                 flush()
             else:
                 pieces.append(" " if name == "br" else "")
         else:
             attributes = m[3] or m[6] or ""
-            if name in BLOCK:
+            if name in ENDS and cover and stack[cover][0] in ("button", "select", "svg"):
+                close_to(cover)
+            if name in BLOCK and cover:
+                stack.append((name, stack[-1][1]))
+            elif name in BLOCK:
                 close_open("p", ("table", "td", "th", "li", "blockquote", "article", "section", "div", "button"))
                 if name in CLOSES:
                     close_open(*CLOSES[name])
@@ -149,7 +179,7 @@ def parse(source: str) -> Page:
             elif not attributes.rstrip().endswith("/"):
                 stack.append((name, stack[-1][1]))
                 links += name == "a"
-    if at < len(source):
+    if at < len(source) and not cover:
         pieces.append(html.unescape(source[at:]))
     close_to(1)
     flush()
