@@ -85,12 +85,26 @@ def test_near_duplicates_keep_one_of_each_and_all_columns(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [0, 2, 3, 4]
 
 
-def test_trie_walk_equals_sets():
+def test_trie_join_equals_sets(monkeypatch):
     r = np.random.default_rng(3)
-    query = np.unique(r.integers(0, 300, 120).astype(np.uint64))
-    members = [np.unique(np.append(query[r.random(len(query)) < p], r.integers(0, 300, 8).astype(np.uint64))) for p in np.linspace(0.5, 1, 40)]
-    want = [i for i, m in enumerate(members) if 100 * len(np.intersect1d(query, m)) >= 85 * len(np.union1d(query, m))]
-    assert sorted(ngram_join.trie_walk(query, members, 85, 100)) == want
+    base = np.unique(r.integers(1, 300, 120).astype(np.uint64))
+    members = [np.unique(np.append(base[r.random(len(base)) < p], r.integers(1, 300, 8).astype(np.uint64))) for p in np.linspace(0.5, 1, 40)]
+    queries = members[::3] + [base, base[:5]]
+
+    def similar(q, m):
+        return 100 * len(np.intersect1d(q, m)) >= 85 * len(np.union1d(q, m))
+
+    want = {(i, j) for i, q in enumerate(queries) for j, m in enumerate(members) if similar(q, m)}
+    assert sorted(ngram_join.trie_join(queries, members, 85, 100)) == sorted(want)
+    monkeypatch.setattr(ngram_join, "CELLS", 500)
+    assert sorted(ngram_join.trie_join(queries, members, 85, 100)) == sorted(want)
+    # under each shingle, the pairs of which it is the first common one
+    found = []
+    for token in np.unique(np.concatenate(queries)).tolist():
+        q = [i for i, x in enumerate(queries) if token in x]
+        m = [i for i, x in enumerate(members) if token in x]
+        found += [(q[i], m[j]) for i, j in ngram_join.trie_join([queries[i] for i in q], [members[j] for j in m], 85, 100, token)]
+    assert sorted(found) == sorted(want)
 
 
 def test_components_of_a_long_chain(spark):
