@@ -1,24 +1,28 @@
 """Benchmark decontamination in DataFrame operations: SimHash windows, Hamming blocks, exact weighted shingles.
 
 Texts are words of letters and digits in lower case; a window of a document has as many words as the item it is
-tested against. Windows are placed where a document's shingle meets an item's shingle, at the offset that lines the
-two up; a window that shares no shingle with an item has similarity 0, so none is missed. Each window's SimHash
-(64 bits, weighted) is looked up in a multi-index: two fingerprints within ``RADIUS`` bits agree to within
-``RADIUS // BLOCKS`` bits in some block, and the items are entered under every such neighbour of each of their
-blocks. What the index yields is confirmed by the exact weighted Jaccard similarity of the shingle bags.
+tested against. Windows are placed where a document's shingles meet an item's shingles, at the offset that lines them
+up, if the weight met there can reach the similarity asked; elsewhere no window is as similar. Each window's SimHash
+(64 bits, weighted) is looked up among the items of its size in a multi-index of ``BLOCKS`` blocks: two fingerprints
+within ``RADIUS`` bits agree to within ``RADIUS // BLOCKS`` bits in some block; half of these bits are spent on the
+side of the items, which are entered under all such neighbours, half on that of the windows. Of unrelated
+fingerprints one in seven meets in some block, and fewer than one in a thousand lies within the radius; windows of a
+similarity of 0.8 differ from their item in about 10 bits, so 19 loses about one in a thousand of them. What the
+index yields is confirmed by the exact weighted Jaccard similarity of the shingle bags.
 
 The weight of a shingle is ln(1 + items / items that hold it), as a whole number of thousandths, so sums don't
 depend on order.
 
-Edge cases: null texts count as empty; documents or items of fewer than ``SHINGLE`` words match nothing; repeated
-rows of a document id are one document with several texts; several windows of a pair give the best one.
+Edge cases: null texts count as empty; documents or items of fewer than ``SHINGLE`` words match nothing; equal rows
+count once; several texts under one id are judged one by one, and the id has the best of them; rows without an id are
+found like others, under a null id; items that repeat count once, an item without an id is reported as null; only
+the named columns are read; several windows of a pair give the best one.
 """
 
 from __future__ import annotations
 
 import math
 import uuid
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,10 +31,10 @@ from agrispark.llm.common import row_key, table, written
 
 SHINGLE = 5
 SIMILARITY = 0.8
-RADIUS = 23
-BLOCKS = 8
-#: Item tables of at most so many shingles are broadcast (16 bytes a row); larger ones are joined by shuffle.
-MOST_BROADCAST = 1_000_000
+RADIUS = 19
+BLOCKS = 4
+#: Item tables of at most so many shingles are broadcast (six numbers, about 80 bytes a row: 20 MB); larger ones are joined by shuffle.
+MOST_BROADCAST = 250_000
 
 
 def with_shingles(rows: DataFrame, text_col: str, k: int = SHINGLE) -> DataFrame:
@@ -49,32 +53,20 @@ def with_shingles(rows: DataFrame, text_col: str, k: int = SHINGLE) -> DataFrame
     return rows.withColumn("sh", made).drop(text_col)
 
 
-def simhash(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """One 64-bit weighted SimHash ``fp`` per key of rows (keys, s, w)."""
-    sums = [
-        F.sum(F.when(F.shiftrightunsigned("s", b).bitwiseAND(F.lit(1)) == 1, F.col("w")).otherwise(-F.col("w"))).alias(f"b{b}")
-        for b in range(64)
-    ]
-    fp = F.lit(0).cast("long")
-    for b in range(64):
-        fp = fp.bitwiseOR(F.when(F.col(f"b{b}") > 0, F.shiftleft(F.lit(1).cast("long"), b)).otherwise(F.lit(0).cast("long")))
-    return rows.groupBy(*keys).agg(*sums).select(*keys, fp.alias("fp"))
+def simhash(bag: str) -> Column:
+    """The 64-bit weighted SimHash of an array column of (s, c, w)."""
+    total = f"aggregate({bag}, 0L, (acc, x) -> acc + x.c * x.w * (2 * (shiftrightunsigned(x.s, b) & 1L) - 1))"
+    return F.expr(f"aggregate(transform(sequence(0, 63), b -> if({total} > 0, shiftleft(1L, b), 0L)), 0L, (acc, v) -> acc | v)")
 
 
-def blocks_of(fp: str, near: int) -> Column:
-    """Array of (block, value) of a fingerprint, each value with all its neighbours within ``near`` bits."""
+def in_blocks(prints: DataFrame, near: int, *others: str) -> DataFrame:
+    """``(n, block, value, fp, others)``: each block of a fingerprint under all values within ``near`` bits of it."""
     width = 64 // BLOCKS
-    masks = [sum(1 << b for b in c) for n in range(near + 1) for c in combinations(range(width), n)]
-    return F.array(
-        *(
-            F.struct(
-                F.lit(i).alias("block"),
-                F.shiftrightunsigned(fp, i * width).bitwiseAND(F.lit((1 << width) - 1)).bitwiseXOR(F.lit(m)).alias("value"),
-            )
-            for i in range(BLOCKS)
-            for m in masks
-        )
-    )
+    mask = F.filter(F.sequence(F.lit(0), F.lit((1 << width) - 1)), lambda m: F.bit_count(m) <= near)
+    block = F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1)))
+    return prints.select("n", "fp", *others, block.alias("block")).select(
+        "n", "block", F.explode(mask).alias("mask"), "fp", *others
+    ).select("n", "block", F.expr(f"(shiftrightunsigned(fp, block * {width}) & {(1 << width) - 1}L) ^ mask").alias("value"), "fp", *others)
 
 
 def contaminated(
@@ -89,90 +81,77 @@ def contaminated(
     item_text_col: str = "text",
 ) -> DataFrame:
     """``(id, item_id, similarity, start, n_words, distance)``: the best window of each document and item that leak."""
-    items = written(
-        with_shingles(benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("t")), "t", k)
-        .select("item", F.size("sh").alias("n"), F.posexplode_outer("sh").alias("at", "s"))
-        .where("s is not null"),
-        "items",
+    def with_key(rows: DataFrame) -> DataFrame:
+        return rows.select(F.xxhash64(F.col("id").isNull(), "id", "t").alias("row"), "id", "t")
+
+    bench = with_key(benchmark.select(F.col(item_col).alias("id"), F.col(item_text_col).alias("t"))).dropDuplicates(["row"])
+    shingles = written(
+        with_shingles(bench, "t", k).select(F.col("row").alias("i"), F.col("id").alias("item"), F.size("sh").alias("n"), F.posexplode("sh").alias("at", "s")),
+        "shingles",
     )
-    many = items.agg(F.count("*").alias("rows"), F.countDistinct("item").alias("n")).first()
-    held = (lambda d: F.broadcast(d)) if many["rows"] <= MOST_BROADCAST else (lambda d: d)
-    weights = items.groupBy("s").agg(
-        F.round(1000 * F.log1p(F.lit(float(many["n"])) / F.countDistinct("item"))).cast("long").alias("w")
+    many = shingles.agg(F.count("*").alias("rows"), F.countDistinct("i").alias("n")).first()
+    weights = shingles.groupBy("s").agg(
+        F.round(1000 * F.log1p(F.lit(float(many["n"])) / F.countDistinct("i"))).cast("long").alias("w")
     )
-    bags = items.groupBy("item", "n", "s").agg(F.count("*").alias("c")).join(weights, "s")
-    totals = bags.groupBy("item", "n").agg(F.sum(F.col("c") * F.col("w")).alias("total"))
-
-    made = with_shingles(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")), "t", k)
-    entries = items.join(weights, "s").join(totals.select("item", "total"), "item")
-    found = (
-        made.select("id", F.posexplode_outer("sh").alias("pos", "s"))
-        .join(held(entries.select("s", "item", "n", "at", "w", "total")), "s")
-        .groupBy("id", "item", "n", "total", "s", "w")
-        .agg(F.collect_set(F.col("pos") - F.col("at")).alias("starts"))
-        .groupBy("id", "item", "n", "total")
-        .agg(F.sum("w").alias("shared"), F.array_distinct(F.flatten(F.collect_list("starts"))).alias("starts"))
+    shingles = written(shingles.join(weights, "s"), "shingles")
+    items = written(
+        shingles.groupBy("i", "item", "n", "s", "w").agg(F.count("*").alias("c"))
+        .groupBy("i", "item", "n")
+        .agg(F.sum(F.col("c") * F.col("w")).alias("total"), F.max("c").alias("times"), F.collect_list(F.struct("s", "c", "w")).alias("bag"))
+        .withColumn("fp", simhash("bag")),
+        "items",
     )
+
     # a window as similar as asked holds at least that share of the item's weight, repeats counted
-    repeats = bags.groupBy("item").agg(F.max("c").alias("times"))
-    found = written(
-        found.join(repeats, "item").where(F.col("shared") * F.col("times") >= similarity * F.col("total")).select("id", "item", "n", "starts"),
-        "pairs",
-    )
-    placed = found.groupBy("id", "n").agg(F.array_distinct(F.flatten(F.collect_list("starts"))).alias("starts"))
-    start = F.explode("starts").alias("start")
-    windows = (
-        made.join(placed, "id")
-        .select("id", "n", "sh", start)
-        .withColumn("from", F.greatest(F.lit(0), F.col("start")))
-        .select("id", "n", "from", F.slice("sh", F.col("from") + 1, F.col("n") - F.col("from") + F.col("start")).alias("ws"))
-        .select("id", "n", "from", F.explode_outer("ws").alias("s"))
-        .where("s is not null")
+    entries = shingles.join(items.select("i", (similarity * F.col("total") / F.col("times")).alias("least")), "i").select("s", "i", "n", "at", "w", "least")
+    rows = with_key(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")))
+    places = written(
+        with_shingles(rows.select("row", "t"), "t", k).select("row", F.posexplode("sh").alias("pos", "s"))
+        .join(F.broadcast(entries) if many["rows"] <= MOST_BROADCAST else entries, "s")
+        .groupBy("row", "i", "n", "least", "s", "w")
+        .agg(F.collect_set(F.col("pos") - F.col("at")).alias("starts"))
+        .groupBy("row", "i", "n", "least")
+        .agg(F.sum("w").alias("met"), F.flatten(F.collect_list("starts")).alias("starts"))
+        .where("met >= least")
+        .select("row", F.explode(F.transform(F.array_distinct("starts"), lambda x: F.struct(F.col("n"), x.alias("start")))).alias("place"))
+        .groupBy("row").agg(F.collect_set("place").alias("places")),
+        "places",
     )
+    whole = F.expr("slice(sh, greatest(0, place.start) + 1, place.n + least(0, place.start))")
     unknown = round(1000 * math.log1p(max(1, many["n"])))
-    wbags = written(
-        windows.groupBy("id", "n", "from", "s").agg(F.count("*").alias("c")).join(held(weights), "s", "left")
-        .select("id", "n", "from", "s", "c", F.coalesce("w", F.lit(unknown)).cast("long").alias("w")),
+    windows = written(
+        with_shingles(rows.join(places, "row").dropDuplicates(["row"]), "t", k)
+        .select("row", "id", "sh", F.explode("places").alias("place"))
+        .select("row", "id", "place.n", "place.start", F.explode(whole).alias("s"))
+        .groupBy("row", "id", "n", "start", "s").agg(F.count("*").alias("c"))
+        .join(shingles.select("s", "w").distinct(), "s", "left").withColumn("w", F.coalesce("w", F.lit(unknown)).cast("long"))
+        .groupBy("row", "id", "n", "start")
+        .agg(F.sum(F.col("c") * F.col("w")).alias("wtotal"), F.collect_list(F.struct("s", "c", "w")).alias("bag"))
+        .withColumn("fp", simhash("bag")),
         "windows",
     )
-    key = ["id", "n", "from"]
-    prints = written(simhash(wbags.select(*key, "s", (F.col("c") * F.col("w")).alias("w")), key), "prints")
-    item_prints = written(
-        simhash(bags.select("item", "n", "s", (F.col("c") * F.col("w")).alias("w")), ["item", "n"]), "prints"
-    )
-    near = radius // BLOCKS
-    candidates = (
-        prints.select(*key, "fp", F.explode(blocks_of("fp", 0)).alias("x"))
-        .select(*key, "fp", "x.block", "x.value")
-        .join(
-            item_prints.select("item", "n", F.col("fp").alias("ifp"), F.explode(blocks_of("fp", near)).alias("x")).select(
-                "item", "n", "ifp", "x.block", "x.value"
-            ),
-            ["n", "block", "value"],
-        )
-        .withColumn("distance", F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp"))))
-        .where(F.col("distance") <= radius)
-        .select(*key, "item", "distance")
-        .distinct()
+    half = radius // BLOCKS // 2
+    index = in_blocks(items, radius // BLOCKS - half, "i").withColumnRenamed("fp", "ifp")
+    near = written(
+        in_blocks(windows.select("n", "fp").distinct(), half).join(index, ["n", "block", "value"])
+        .select("n", "fp", "i", F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp"))).alias("distance"))
+        .where(F.col("distance") <= radius).distinct(),
+        "near",
     )
-    sums = wbags.groupBy(*key).agg(F.sum(F.col("c") * F.col("w")).alias("wtotal"))
+    key = ["row", "id", "n", "start", "wtotal", "i", "distance"]
     both = (
-        candidates.join(wbags, key)
-        .join(bags.select("item", "s", F.col("c").alias("ic")), ["item", "s"])
-        .groupBy(*key, "item", "distance")
-        .agg(F.sum(F.least("c", "ic") * F.col("w")).alias("inter"))
-        .join(sums, key)
-        .join(totals.select("item", "total"), "item")
+        windows.join(near, ["n", "fp"]).select(*key, F.explode("bag").alias("x")).select(*key, "x.s", "x.c", "x.w")
+        .join(items.select("i", "item", "total", F.explode("bag").alias("y")).select("i", "item", "total", F.col("y.s").alias("s"), F.col("y.c").alias("ic")), ["i", "s"])
+        .groupBy(*key, "item", "total").agg(F.sum(F.least("c", "ic") * F.col("w")).alias("inter"))
         .withColumn("similarity", F.col("inter") / (F.col("wtotal") + F.col("total") - F.col("inter")))
         .where(F.col("similarity") >= similarity)
     )
-    best = F.max(F.struct("similarity", -F.col("from"), F.col("distance"))).alias("b")
+    best = F.max(F.struct("similarity", (-F.greatest(F.lit(0), F.col("start"))).alias("back"), "n", "distance")).alias("b")
     return (
-        both.groupBy("id", "item", "n")
-        .agg(best)
+        both.groupBy("id", "item").agg(best)
         .select(
             F.col("id").alias(id_col), F.col("item").alias("item_id"), F.col("b.similarity").alias("similarity"),
-            (-F.col("b.col2")).cast("long").alias("start"), (F.col("n") + k - 1).cast("long").alias("n_words"),
+            (-F.col("b.back")).cast("long").alias("start"), (F.col("b.n") + k - 1).cast("long").alias("n_words"),
             F.col("b.distance").cast("long").alias("distance"),
         )
     )
