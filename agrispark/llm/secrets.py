@@ -2,11 +2,13 @@
 
 Text patterns find what looks like a credential; encoded candidates (base64, base64url, hex) are decoded and
 parsed before they are reported: signed tokens need a JSON header naming an algorithm, DER keys need nested
-lengths that add up, OpenSSH blobs need length-prefixed fields that fill the blob, and other encoded data is
-reported only when its plain form names a credential itself.
+lengths that add up and the fields of a private key, OpenSSH blobs need the private container with length-prefixed
+fields, PEM blocks need a label of a private key as well, and other encoded data is reported only when its plain form
+names a credential itself. Public keys and certificates are no secrets and are not reported.
 
-Edge cases: a null text counts as empty and has no spans; spans are code points, end exclusive; repeated rows
-give repeated results; other columns of the input pass through ``redact`` untouched.
+Edge cases: a null text counts as empty and has no spans; spans are code points, end exclusive; every pattern is
+linear in the text, however long its runs are; repeated rows give repeated results; other columns of the input pass
+through ``redact`` untouched and never clash.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ import binascii
 import hashlib
 import json
 import re
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -31,8 +34,10 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 #: A maximal run of 24 or more is what the shorter pattern finds once short matches are dropped.
 HEX = re.compile(r"[0-9a-f]{24,}")
-JWT = re.compile(r"([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.[A-Za-z0-9_-]*")
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]+)-----\s*([A-Za-z0-9+/=\s]+?)\s*-----END \1-----")
+#: Runs are entered at their start only and never given back, so a long one is read once.
+JWT = re.compile(r"(?<![A-Za-z0-9_-])(ey[A-Za-z0-9_-]{6,}+)\.([A-Za-z0-9_-]{2,}+)\.[A-Za-z0-9_-]*+")
+PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{1,60})-----")
+PEM_BODY = re.compile(r"\s*+((?:[A-Za-z0-9-]++:[^\n]*+\n)*+)([A-Za-z0-9+/=\s]++)\Z")
 ENCODED = re.compile(r"[A-Za-z0-9+/_-]{24,}={0,2}")
 HEX_ANY = re.compile(r"[0-9A-Fa-f]+\Z")
 
@@ -68,36 +73,78 @@ def der_fills(data: bytes, depth: int = 0) -> bool:
     return at == len(data)
 
 
+def der_fields(data: bytes) -> list[tuple[int, bytes]]:
+    """``(tag, content)`` of the elements of DER data that ``der_fills`` has accepted."""
+    at, found = 0, []
+    while at < len(data):
+        size, more = data[at + 1], 0
+        if size & 0x80:
+            more = size & 0x7F
+            size = int.from_bytes(data[at + 2 : at + 2 + more], "big")
+        found.append((data[at], data[at + 2 + more : at + 2 + more + size]))
+        at += 2 + more + size
+    return found
+
+
 def is_der_key(data: bytes) -> bool:
-    """A DER SEQUENCE that fills the data and holds an INTEGER or a nested SEQUENCE first, as keys do."""
+    """A DER SEQUENCE that fills the data with the fields of a private key.
+
+    These are a version 0 or 1, then eight or more INTEGERs (RSA), five (DSA), an OCTET STRING (EC) or an algorithm and an
+    OCTET STRING (PKCS 8); or an algorithm and an OCTET STRING alone (encrypted).
+    """
     if len(data) < 16 or data[0] != 0x30 or not der_fills(data):
         return False
-    first = data[2 + (data[1] & 0x7F if data[1] & 0x80 else 0) :][:1]
-    return first in (b"\x02", b"\x30")
+    top = der_fields(data)
+    if len(top) != 1:
+        return False
+    fields = der_fields(top[0][1])
+    tags = [t for t, _ in fields]
+    if tags == [0x30, 0x04]:
+        return True
+    if len(fields) < 2 or tags[0] != 0x02 or fields[0][1] not in (b"\0", b"\1"):
+        return False
+    return tags[1] == 0x04 or tags[1:3] == [0x30, 0x04] or len(tags) >= 6 and set(tags[:6]) == {0x02}
 
 
 def is_ssh_key(data: bytes) -> bool:
-    """An OpenSSH private container, or a public key whose length-prefixed fields fill it."""
-    if data.startswith(b"openssh-key-v1\0"):
-        data = data[15:]
-        size = int.from_bytes(data[:4], "big")
-        return 0 < size <= len(data) - 4
-    at, fields = 0, 0
-    while at < len(data):
+    """An OpenSSH private container: its magic, then cipher, key derivation and options as length-prefixed fields."""
+    if not data.startswith(b"openssh-key-v1\0"):
+        return False
+    at = 15
+    for _ in range(3):
         size = int.from_bytes(data[at : at + 4], "big")
-        if at + 4 > len(data) or at + 4 + size > len(data):
+        at += 4 + size
+        if at > len(data) - 4:
             return False
-        if not fields and not re.match(rb"(ssh|ecdsa|sk)-[a-z0-9@.-]+\Z", data[4 : 4 + size]):
-            return False
-        at, fields = at + 4 + size, fields + 1
-    return fields >= 2
+    return int.from_bytes(data[at : at + 4], "big") >= 1
+
+
+def is_private_pem(label: str, body: str) -> bool:
+    """Whether a PEM block of this label holds a private key, in the clear or encrypted under headers."""
+    m = PEM_BODY.match(body) if label.endswith("PRIVATE KEY") else None
+    data = decoded(m[2]) if m else None
+    if not data:
+        return False
+    return is_der_key(data) or is_ssh_key(data) or "ENCRYPTED" in m[1] and len(data) >= 32 and len(data) % 8 == 0
+
+
+def private_pems(text: str) -> list[tuple[str, int, int]]:
+    found, at = [], 0
+    while m := PEM.search(text, at):
+        end = f"-----END {m[1]}-----"
+        dashes = text.find("-----", m.end())
+        at = m.end()
+        if dashes >= 0 and text.startswith(end, dashes) and is_private_pem(m[1], text[m.end() : dashes]):
+            at = dashes + len(end)
+            found.append(("pem", m.start(), at))
+    return found
 
 
 def is_signed_token(header: str, payload: str) -> bool:
     for part, need in ((header, "alg"), (payload, None)):
         try:
             parsed = json.loads(decoded(part) or b"-")
-        except (ValueError, UnicodeDecodeError):
+        except (ValueError, RecursionError):
             return False
         if not isinstance(parsed, dict) or need and need not in parsed:
             return False
@@ -135,16 +182,15 @@ def find_secrets(text: str) -> list[tuple[str, int, int]]:
     if "AKIA" in text:
         found += [("access", *m.span()) for m in ACCESS.finditer(text) if len(m[0]) >= 20]
     found += [("hex", *m.span()) for m in HEX.finditer(text)]
-    if "eyJ" in text:
-        found += [("jwt", *m.span()) for m in JWT.finditer(text) if is_signed_token(m[1], m[2])]
+    found += [("jwt", *m.span()) for m in JWT.finditer(text) if is_signed_token(m[1], m[2])]
     if "-----BEGIN" in text:
-        for m in PEM.finditer(text):
-            data = decoded(m[2])
-            if data and (der_fills(data) or is_ssh_key(data)):
-                found.append(("pem", *m.span()))
-    taken = [(s, e) for k, s, e in found if k in ("jwt", "pem")]
+        found += private_pems(text)
+    taken = sorted((s, e) for k, s, e in found if k in ("jwt", "pem"))
+    ends, at = list(accumulate((e for _, e in taken), max)), 0
     for m in ENCODED.finditer(text):
-        if not any(s < m.end() and m.start() < e for s, e in taken) and (kind := confirmed(m[0])):
+        while at < len(taken) and ends[at] <= m.start():
+            at += 1
+        if (at == len(taken) or taken[at][0] >= m.end()) and (kind := confirmed(m[0])):
             found.append((kind, *m.span()))
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
