@@ -23,8 +23,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path under ``spark.checkpoint.dir``; only where that is unset, under the machine's temp folder."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="agrispark-")
+    """A new path under ``spark.checkpoint.dir``; where that is unset, a temporary folder in local mode, an error on a cluster."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        base = tempfile.mkdtemp(prefix="agrispark-")
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
 
 

@@ -3,8 +3,8 @@
 Words are dealt out in blocks of equal size. Sources get whole numbers of blocks by highest quotients
 ``target / (2k + 1)``; each source's blocks are then apportioned the same way over its shards, and within a
 shard the quota is spread over the blocks by a seeded phase in integer arithmetic, so that every block is taken
-``floor`` or ``ceil`` of quota / blocks times. A shard is a bounded share of a source's documents, so a source
-with a third of all rows is dealt over many tasks.
+``floor`` or ``ceil`` of quota / blocks times. A shard is a bounded share of a source's documents, dealt by a hash of id and
+size, so a source with a third of all rows, or ids in strides, are spread over many tasks.
 
 Edge cases: a null or empty text has size 0 and takes nothing; a null source is a source of its own, last in
 order; repeated rows are documents of their own; a table without words has targets 0; other columns are kept by
@@ -125,7 +125,7 @@ def mix(
     )
     sources = written(sources, "sources")
     placed = sized.join(sources.select("key", "n_shards", "source_size", "target", "source_quota"), "key").withColumn(
-        "shard", F.pmod(F.coalesce(F.col(id_col).cast("long"), F.lit(0)), F.col("n_shards"))
+        "shard", F.pmod(F.conv(F.substring(F.md5(F.concat_ws("|", F.col(id_col).cast("string"), F.col("size").cast("string"))), 1, 8), 16, 10).cast("long"), F.col("n_shards"))
     )
     cells = sainte_lague(
         placed.groupBy("key", "shard", "source_quota").agg(F.sum("size").alias("words")),
@@ -198,7 +198,7 @@ WITH sized AS (
   FROM seats s
 ), placed AS (
   SELECT z.*, q.n_shards, q.source_size, q.target, q.source_quota,
-         ((coalesce(z.doc_id, 0) % q.n_shards) + q.n_shards) % q.n_shards AS shard
+         CAST('0x' || substr(md5(concat_ws('|', CAST(z.doc_id AS VARCHAR), CAST(z.size AS VARCHAR))), 1, 8) AS BIGINT) % q.n_shards AS shard
   FROM sized z JOIN sq q USING (key)
 ), cell AS (
   SELECT key, shard, source_quota, CAST(sum(size) AS BIGINT) AS words FROM placed GROUP BY ALL

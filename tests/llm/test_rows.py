@@ -50,3 +50,15 @@ def test_rejected_row_goes_alone(spark, monkeypatch, i):
 def test_row_keys_tell_nulls_apart(spark):
     docs = spark.createDataFrame([(None, "a"), ("a", None), ("a", "a"), (None, None)], "x string, y string")
     assert docs.select(row_key(docs)).distinct().count() == 4
+
+
+def test_mix_of_null_ids_and_clashing_columns(spark):
+    from agrispark.llm import mixing
+
+    rows = [(None if i % 3 else i, "w " * (i % 40), "s" if i % 2 else None) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").selectExpr("*", "1 as key", "2 as shard", "3 as target", "4 as size")
+    got = mixing.mix(docs, shard_words=200).collect()
+    assert len(got) == 300 and all(0 <= r.taken <= 2 * r.size for r in got)
+    for source in ("s", None):
+        own = [r for r in got if r.source == source]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 64 + 32 * (1 + own[0].source_size // 200)
