@@ -24,7 +24,7 @@ def duck():
 
 
 def shown(v) -> str:
-    if v is None or v is pd.NaT or v != v:
+    if pd.api.types.is_scalar(v) and pd.isna(v):
         return "-"
     if hasattr(v, "year"):
         return str(v)[:10]
