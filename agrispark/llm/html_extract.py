@@ -7,7 +7,8 @@ blocks of nodes with a content marginal of a half or more are the page's text. A
 over labelled pages: those of a bounded sample that mark their article themselves.
 
 Edge cases: null or empty html gives the empty text; unclosed, unmatched and overlapping tags are repaired the way
-browsers do for paragraphs, list items and table cells; very long pages are parsed in one linear pass; without
+browsers do for paragraphs, list items and table cells; very long pages are parsed in one linear
+pass, deep or broken nesting, unclosed comments and quotes included; without
 labelled pages the prior counts alone decide; repeated rows give repeated results.
 """
 
@@ -28,11 +29,14 @@ from agrispark.llm.common import mapped, table
 MOST_LABELLED = 2_000
 
 TAG = re.compile(
-    r"""<!--.*?-->|<!\[CDATA\[.*?\]\]>|<[!?][^>]*+>
+    r"""<(?:!--|!\[CDATA\[|[!?][^>]*+>)
     |<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>
     |<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>""",
-    re.DOTALL | re.VERBOSE,
+    re.VERBOSE,
 )
+LOOSE = re.compile(r"<(?:!--|!\[CDATA\[|[!?][^>]*+>)|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>()()()")
+#: Tags whose quotes close nowhere on the page, after which quotes no longer hide a ``>``.
+MOST_LOOSE = 16
 ATTRIBUTE = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
 SPLIT_NAME = re.compile(r"[^a-z]+")
 #: Elements by how they are parsed (fixed values).
@@ -85,18 +89,24 @@ def hint_of(tag: str, attributes: str) -> str:
 def parse(source: str) -> Page:
     page = Page()
     stack: list[tuple[str, int]] = [("#root", 0)]
+    depths: dict[str, list[int]] = {}  # of the open elements of each name
     links = 0
     pieces: list[str] = []
     linked = 0
     cover = 0  # depth of the outermost hidden element, 0 for none
-    unclosed: set[str] = set()
+    last_end = source.rfind(">")
+    ends: dict[str, int] = {}
 
-    def closing(name: str) -> re.Match | None:
-        """The next closing tag; a name without one is searched for once."""
-        found = None if name in unclosed else re.compile(rf"</{name}\b[^>]*>", re.IGNORECASE).search(source, at)
-        if found is None:
-            unclosed.add(name)
-        return found
+    def closed_later(name: str) -> bool:
+        """Whether a closing tag follows; a name is searched for once."""
+        if name not in ends:
+            ends[name] = max((m.start() for m in re.finditer(rf"</{name}\b", source, re.IGNORECASE)), default=-1)
+        return ends[name] >= at
+
+    def after(name: str) -> int:
+        """Where the next closing tag ends."""
+        found = re.compile(rf"</{name}\b[^>]*>", re.IGNORECASE).search(source, at) if closed_later(name) else None
+        return found.end() if found else len(source)
 
     def flush() -> None:
         nonlocal linked
@@ -106,55 +116,63 @@ def parse(source: str) -> Page:
         pieces.clear()
         linked = 0
 
+    def push(name: str, node: int) -> None:
+        depths.setdefault(name, []).append(len(stack))
+        stack.append((name, node))
+
+    def top(names) -> int:
+        """Depth of the innermost open element of these names, 0 for none."""
+        return max((depths[x][-1] for x in names if depths.get(x)), default=0)
+
     def close_to(depth: int) -> None:
         nonlocal links, cover
         if any(name in BLOCK for name, _ in stack[depth : cover or None]):
             flush()
         if cover >= depth:
             cover = 0
-        links -= sum(name == "a" for name, _ in stack[depth:])
+        for name, _ in stack[depth:]:
+            depths[name].pop()
+            links -= name == "a"
         del stack[depth:]
 
     def close_open(names: str, until: tuple[str, ...]) -> None:
-        kinds = names.split()
-        for depth in range(len(stack) - 1, 0, -1):
-            if stack[depth][0] in kinds:
-                close_to(depth)
-                return
-            if stack[depth][0] in until:
-                return
+        depth = top(names.split())
+        if depth > top(until):
+            close_to(depth)
 
-    at = 0
-    while (m := TAG.search(source, at)) is not None:
+    at, loose = 0, 0
+    while (m := (TAG if loose < MOST_LOOSE else LOOSE).search(source, at)) is not None and m.start() <= last_end:
         if m.start() > at and not cover:
             run = html.unescape(source[at : m.start()])
             pieces.append(run)
             linked += len(run) if links else 0
         at = m.end()
+        if m[0] in ("<!--", "<![CDATA["):
+            mark = "-->" if m[0] == "<!--" else "]]>"
+            if mark not in ends:
+                ends[mark] = source.rfind(mark)
+            at = source.index(mark, at) + 3 if ends[mark] >= at else source.index(">", at) + 1 if at <= last_end else len(source)
+            continue
+        if m[5]:
+            loose += 1
         name = (m[2] or m[5] or "").lower()
         if not name:
             continue
         if m[1] or m[4]:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] == name:
-                    close_to(depth)
-                    break
-                if name not in BLOCK and stack[depth][0] in ("td", "th", "li", "article", "body"):
-                    break
+            depth = top((name,))
+            if depth and (name in BLOCK or depth > top(("td", "th", "li", "article", "body"))):
+                close_to(depth)
         elif name in RAW:
-            if name != "iframe":
-                end = closing(name)
-                at = end.end() if end else len(source)
-            elif not (m[3] or m[6] or "").rstrip().endswith("/") and (end := closing(name)):
-                at = end.end()
+            if name != "iframe" or not (m[3] or m[6] or "").rstrip().endswith("/") and closed_later(name):
+                at = after(name)
             pieces.append(" ")
         elif name in HIDDEN:
             pieces.append(" ")
             slash = name == "svg" and (m[3] or m[6] or "").rstrip().endswith("/")
-            if not slash and closing(name):
+            if not slash and closed_later(name):
                 if name == "button":
                     close_open("button", ())
-                stack.append((name, stack[-1][1]))
+                push(name, stack[-1][1])
                 cover = cover or len(stack) - 1
         elif name in VOID:
             if name == "hr" and not cover:
@@ -166,7 +184,7 @@ def parse(source: str) -> Page:
             if name in ENDS and cover and stack[cover][0] in ("button", "select", "svg"):
                 close_to(cover)
             if name in BLOCK and cover:
-                stack.append((name, stack[-1][1]))
+                push(name, stack[-1][1])
             elif name in BLOCK:
                 close_open("p", ("table", "td", "th", "li", "blockquote", "article", "section", "div", "button"))
                 if name in CLOSES:
@@ -175,9 +193,9 @@ def parse(source: str) -> Page:
                 page.parent.append(stack[-1][1])
                 page.tag.append(name)
                 page.hint.append(hint_of(name, attributes))
-                stack.append((name, len(page.parent) - 1))
+                push(name, len(page.parent) - 1)
             elif not attributes.rstrip().endswith("/"):
-                stack.append((name, stack[-1][1]))
+                push(name, stack[-1][1])
                 links += name == "a"
     if at < len(source) and not cover:
         pieces.append(html.unescape(source[at:]))
@@ -279,7 +297,9 @@ def main_text(source: str | None, potentials: Potentials) -> str:
 
 def trained(pages: DataFrame, most: int = MOST_LABELLED, id_col: str = "page_id", html_col: str = "html") -> Potentials:
     """Potentials from the labelled pages among ``most`` pages; the counts are summed by key in Spark."""
-    chosen = pages.where(F.col(html_col).isNotNull()).select(F.col(id_col).alias("_id"), html_col).orderBy(F.xxhash64("_id"), "_id").limit(most)
+    numbered = pages.where(F.col(html_col).isNotNull()).select(F.xxhash64(F.col(id_col).isNull(), id_col).alias("_id"), F.col(html_col).alias("html"))
+    first = numbered.select("_id").distinct().orderBy(F.xxhash64("_id"), "_id").limit(most)
+    chosen = numbered.join(F.broadcast(first), "_id", "left_semi").dropDuplicates(["_id"])  # ``most`` numbers
 
     def run(batch: pa.RecordBatch):
         counts: Counter = Counter()
@@ -294,7 +314,7 @@ def trained(pages: DataFrame, most: int = MOST_LABELLED, id_col: str = "page_id"
         keys = ["|".join(map(str, k)) for k in counts]
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(list(counts.values()), pa.int64())], names=["k", "c"])
 
-    summed = mapped(chosen.select(html_col).repartition(8), run, "k string, c bigint").groupBy("k").agg(F.sum("c").alias("c")).collect()
+    summed = mapped(chosen.select("html"), run, "k string, c bigint").groupBy("k").agg(F.sum("c").alias("c")).collect()
     counts: Counter = Counter()
     for r in summed:
         name, *states = r["k"].rsplit("|", 2 if r["k"].startswith("edge|") else 1)

@@ -9,14 +9,16 @@ longest match of every suffix with its neighbour, found at run heads only and ca
 step. Suffixes that match over 100 bytes or more form classes; all but the earliest place of a class is marked.
 
 Edge cases: null texts count as empty; texts of fewer bytes than the length asked keep everything; matches never
-cross documents; rows that repeat an id share its marked spans, cut at their own length; null ids come first.
+cross documents; several texts under one id, or under none, are documents of their own, in the order of a hash of
+their text; equal rows of an id are one document; null ids come first, and ids that are no whole numbers are like
+null in order; only the named columns are read.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from agrispark.llm.common import byte_texts, mapped, mixed64, table, written
@@ -197,7 +199,7 @@ def _parts(key: np.ndarray):
 
 
 def _span_rows(docs: np.ndarray, starts: np.ndarray, ends: np.ndarray, chunks: int) -> list[tuple]:
-    """Rows (kind 0, chunk, docs, starts, ends) of marked spans, merged within each document."""
+    """Rows (kind 0, chunk, docs, none, starts, ends) of marked spans, merged within each document."""
     order = np.lexsort((starts, docs))
     docs, starts, ends = docs[order], starts[order], ends[order]
     rows = []
@@ -208,7 +210,7 @@ def _span_rows(docs: np.ndarray, starts: np.ndarray, ends: np.ndarray, chunks: i
         own = docs[at[:-1]][s >> 33]
         s, e = s & ((1 << 33) - 1), e & ((1 << 33) - 1)
         for chunk, i in _parts(np.mod(own, chunks)):
-            rows.append((0, chunk, *_packed(own[i], s[i].astype(np.int32), e[i].astype(np.int32))))
+            rows.append((0, chunk, *_packed(own[i]), None, *_packed(s[i].astype(np.int32), e[i].astype(np.int32))))
     return rows
 
 
@@ -217,49 +219,59 @@ def _table(rows: list[tuple], names: list[str], kinds: list) -> pa.Table:
     return pa.table({n: pa.array(c, k) for n, c, k in zip(names, columns, kinds, strict=True)})
 
 
+def order_of(id_col: str) -> Column:
+    return F.coalesce(F.expr(f"try_cast(`{id_col}` AS BIGINT)"), F.lit(LOWEST))
+
+
+def row_of(id_col: str, text_col: str) -> Column:
+    return F.xxhash64(F.col(id_col).isNull(), F.col(id_col), F.col(text_col))
+
+
 def marked_spans(docs: DataFrame, length: int, id_col: str, text_col: str) -> tuple[DataFrame, int]:
-    """Rows (kind, chunk, docs, starts, ends) of repeated spans, and the number of chunks of document ids."""
+    """Rows (kind, chunk, docs, ids, starts, ends) of repeated spans, and the number of chunks of documents.
+
+    A document is named by a hash of its id and text (``docs``); ``ids`` give its place in the order."""
     rows = docs.count()
     buckets, chunks = max(8, rows // ROWS_A_BUCKET), max(8, rows // ROWS_A_CHUNK)
     reach = length - GRAM
-    keyed = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LOWEST)).alias("id"), F.col(text_col).alias("text"))
-    names, binary = ["kind", "chunk", "docs", "starts", "ends"], "kind int, chunk int, docs binary, starts binary, ends binary"
-    out_kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+    keyed = docs.select(order_of(id_col).alias("id"), F.col(text_col).alias("text"), row_of(id_col, text_col).alias("doc"))
+    names, binary = ["kind", "chunk", "docs", "ids", "starts", "ends"], "kind int, chunk int, docs binary, ids binary, starts binary, ends binary"
+    out_kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 4]
 
     def emit(batch: pa.RecordBatch):
         """Anchors by bucket; of equal anchors and surroundings in a batch the first only, the others are spans."""
         data, starts, ends = _concatenated(byte_texts(batch.column(1)))
-        ids = np.array(batch.column(0).to_pylist(), np.int64)
+        ids, own = (batch.column(k).to_numpy() for k in (0, 2))
         at, anchor, context = anchors(data, starts, ends, length)
         text = np.searchsorted(ends, at, side="right")
-        place, doc = at - starts[text], ids[text]
-        order = np.lexsort((place, doc, context, anchor))
-        place, doc, anchor, context, text = (x[order] for x in (place, doc, anchor, context, text))
+        place, doc, number = at - starts[text], own[text], ids[text]
+        order = np.lexsort((place, doc, number, context, anchor))
+        place, doc, number, anchor, context, text = (x[order] for x in (place, doc, number, anchor, context, text))
         same = np.zeros(len(order), bool)
         same[1:] = (anchor[1:] == anchor[:-1]) & (context[1:] == context[:-1])
-        # rows that repeat an id at the same place are no earlier place
+        # equal rows at the same place are no earlier place
         lead = np.maximum.accumulate(np.where(same, 0, np.arange(len(order)))) if len(order) else order
         later = same & ((doc != doc[lead]) | (place != place[lead]))
         size = (ends - starts)[text]
         spans = _span_rows(doc[later], np.maximum(place[later] - reach, 0), np.minimum(place[later] + length, size[later]), 1)
         rows = [(0, int(anchor[0] % np.uint64(buckets)), None, None, *r[2:]) for r in spans]
-        anchor, context, doc, place, size = (x[~same] for x in (anchor, context, doc, place, size))
+        anchor, context, doc, number, place, size = (x[~same] for x in (anchor, context, doc, number, place, size))
         room = np.minimum(size - place, length)
         for bucket, i in _parts((anchor % np.uint64(buckets)).astype(np.int64)):
             short = (anchor[i] >> np.uint64(32)).astype(np.uint32)
-            rows.append((1, bucket, *_packed(short, context[i], doc[i], place[i].astype(np.int32), room[i].astype(np.int32))))
-        made = _table(rows, ["kind", "bucket", "anchors", "contexts", "docs", "starts", "ends"], [pa.int32(), pa.int32(), *[pa.binary()] * 5])
+            rows.append((1, bucket, *_packed(short, context[i], doc[i], number[i], place[i].astype(np.int32), room[i].astype(np.int32))))
+        made = _table(rows, ["kind", "bucket", "anchors", "contexts", "docs", "ids", "starts", "ends"], [pa.int32(), pa.int32(), *[pa.binary()] * 6])
         yield from made.to_batches()
 
     def meet(group: pa.Table) -> pa.Table:
         kinds = np.array(group["kind"].to_pylist())
         given = group.filter(pa.array(kinds == 0))
         found = [_unpacked(given, ("docs", np.int64), ("starts", np.int32), ("ends", np.int32))]
-        anchor, context, doc, place, room = _unpacked(
-            group.filter(pa.array(kinds == 1)), ("anchors", np.uint32), ("contexts", np.uint64), ("docs", np.int64), ("starts", np.int32), ("ends", np.int32)
+        anchor, context, doc, number, place, room = _unpacked(
+            group.filter(pa.array(kinds == 1)), ("anchors", np.uint32), ("contexts", np.uint64), ("docs", np.int64), ("ids", np.int64), ("starts", np.int32), ("ends", np.int32)
         )
-        order = np.lexsort((place, doc, context, anchor))
-        anchor, context, doc, place, room = (x[order] for x in (anchor, context, doc, place, room))
+        order = np.lexsort((place, doc, number, context, anchor))
+        anchor, context, doc, number, place, room = (x[order] for x in (anchor, context, doc, number, place, room))
         same = np.zeros(len(order), bool)
         same[1:] = (anchor[1:] == anchor[:-1]) & (context[1:] == context[:-1])
         lead = np.maximum.accumulate(np.where(same, 0, np.arange(len(order)))) if len(order) else order
@@ -267,53 +279,56 @@ def marked_spans(docs: DataFrame, length: int, id_col: str, text_col: str) -> tu
         found.append([doc[later], np.maximum(place[later] - reach, 0), place[later] + room[later]])
         rows = _span_rows(*(np.concatenate(x).astype(np.int64) for x in zip(*found, strict=True)), chunks)
         # anchors with several surroundings: one place of each is looked at byte by byte
-        anchor, doc, place, room = (x[~same] for x in (anchor, doc, place, room))
+        anchor, doc, number, place = (x[~same] for x in (anchor, doc, number, place))
         several = np.zeros(len(anchor), bool)
         several[1:] |= anchor[1:] == anchor[:-1]
         several[:-1] |= anchor[1:] == anchor[:-1]
         bucket = group["bucket"][0].as_py()
-        anchor, doc, place = anchor[several], doc[several], place[several]
+        anchor, doc, number, place = (x[several] for x in (anchor, doc, number, place))
         part = (np.full(len(doc), bucket, np.int64) << 32) + anchor
         for chunk, i in _parts(np.mod(doc, chunks)):
-            rows.append((1, chunk, *_packed(doc[i], place[i], part[i])))
+            rows.append((1, chunk, *_packed(doc[i], number[i], place[i], part[i])))
         return _table(rows, names, out_kinds)
 
     met = written(
-        mapped(keyed, emit, "kind int, bucket int, anchors binary, contexts binary, docs binary, starts binary, ends binary", 400)
+        mapped(keyed, emit, "kind int, bucket int, anchors binary, contexts binary, docs binary, ids binary, starts binary, ends binary", 400)
         .groupBy("bucket").applyInArrow(meet, binary),
         "met",
     )
 
     def gather(left: pa.Table, right: pa.Table) -> pa.Table:
-        texts = dict(zip(left["id"].to_pylist(), byte_texts(left["text"]), strict=True)) if left.num_rows else {}
-        doc, place, part = _unpacked(right, ("docs", np.int64), ("starts", np.int32), ("ends", np.int64))
+        texts = dict(zip(left["doc"].to_pylist(), byte_texts(left["text"]), strict=True)) if left.num_rows else {}
+        doc, number, place, part = _unpacked(right, ("docs", np.int64), ("ids", np.int64), ("starts", np.int32), ("ends", np.int64))
         rows = []
         for bucket, i in _parts(part >> 32):
             begin = np.maximum(place[i] - reach, 0)
             pieces = [texts.get(d, b"")[s : p + length] for d, s, p in zip(doc[i].tolist(), begin.tolist(), place[i].tolist(), strict=True)]
             sizes = np.array([len(x) for x in pieces], np.int32)
             anchor = (part[i] & 0xFFFFFFFF).astype(np.uint32)
-            rows.append((bucket, *_packed(anchor, doc[i], begin.astype(np.int32), sizes), b"".join(pieces)))
-        return _table(rows, ["bucket", "anchors", "docs", "starts", "sizes", "data"], [pa.int32(), *[pa.binary()] * 5])
+            rows.append((bucket, *_packed(anchor, doc[i], number[i], begin.astype(np.int32), sizes), b"".join(pieces)))
+        return _table(rows, ["bucket", "anchors", "docs", "ids", "starts", "sizes", "data"], [pa.int32(), *[pa.binary()] * 6])
 
-    chunked = keyed.withColumn("chunk", F.pmod("id", F.lit(chunks)).cast("int"))
+    chunked = keyed.select("doc", "text", F.pmod("doc", F.lit(chunks)).cast("int").alias("chunk"))
     gathered = chunked.groupBy("chunk").cogroup(met.where("kind = 1").groupBy("chunk")).applyInArrow(
-        gather, "bucket int, anchors binary, docs binary, starts binary, sizes binary, data binary"
+        gather, "bucket int, anchors binary, docs binary, ids binary, starts binary, sizes binary, data binary"
     )
 
     def index(group: pa.Table) -> pa.Table:
         """Equal strings have equal anchors, so a bucket is indexed in parts of whole anchors, of about ``INDEX_BYTES`` each."""
-        anchor, docs_, begins, sizes = _unpacked(group, ("anchors", np.uint32), ("docs", np.int64), ("starts", np.int32), ("sizes", np.int32))
+        anchor, docs_, numbers, begins, sizes = _unpacked(group, ("anchors", np.uint32), ("docs", np.int64), ("ids", np.int64), ("starts", np.int32), ("sizes", np.int32))
+        order = np.lexsort((docs_, numbers))
+        ranks = np.empty(len(order), np.int64)
+        ranks[order] = np.cumsum(np.append(True, docs_[order][1:] != docs_[order][:-1])) if len(order) else order
         data = b"".join(group["data"].to_pylist())
         at = np.cumsum(sizes, dtype=np.int64) - sizes
         found = []
         for _, i in _parts((anchor % np.uint32(1 + len(data) // INDEX_BYTES)).astype(np.int64)):
             doc, begin, size = docs_[i], begins[i], sizes[i].astype(np.int64)
             built = RunLengthIndex([data[a : a + s] for a, s in zip(at[i].tolist(), size.tolist(), strict=True)])
-            _, rank = np.unique(doc, return_inverse=True)
+            rank = ranks[i]
             owner = np.repeat(np.arange(len(i)), size + 1)
             where = begin[owner] + np.arange(len(owner)) - built.starts[owner]
-            marked = built.repeats(length, (rank[owner].astype(np.int64) << 32) + where)
+            marked = built.repeats(length, (rank[owner] << 32) + where)
             found.append((doc[owner[marked]], where[marked], where[marked] + length))
         spans = [np.concatenate(x).astype(np.int64) for x in zip(*found, strict=True)]
         return _table(_span_rows(*spans, chunks) if found else [], names, out_kinds)
@@ -326,7 +341,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id
     """``id_col, kept`` (the bytes left), ``n_bytes, n_removed, n_spans`` of each document."""
     kind = docs.schema[id_col].dataType.simpleString()
     spans, chunks = marked_spans(docs, length, id_col, text_col)
-    key = F.coalesce(F.col(id_col).cast("long"), F.lit(LOWEST))
+    key = row_of(id_col, text_col)
     dealt = docs.select(
         F.pmod(key, F.lit(chunks)).cast("int").alias("chunk"), key.alias("id"), F.col(id_col).alias("own_id"), F.col(text_col).alias("text")
     )
