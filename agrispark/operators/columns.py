@@ -107,9 +107,15 @@ def validate_s1_range(obs: DataFrame) -> DataFrame:
     return obs.where(F.col("vv") != NODATA).agg(F.min("vv").alias("low"), F.max("vv").alias("high")).withColumn("ok", F.expr("low >= 1 AND high <= 65535"))
 
 
-@query("mask_band_nodata", "obs", sql="SELECT sample_id, ts, b02, 65535 AS b08 FROM obs")
-def mask_band_nodata(obs: DataFrame, band: str = "b08") -> DataFrame:
-    return obs.withColumn(band, F.lit(NODATA)).select("sample_id", "ts", "b02", "b08")
+@query("mask_band_nodata", "obs", sql="SELECT sample_id, ts, b02, 65535 AS b08, true AS masked FROM obs UNION ALL SELECT sample_id, ts, b02, b08, false FROM obs")
+def q_mask_band_nodata(obs: DataFrame) -> DataFrame:
+    rows = obs.select("sample_id", "ts", "b02", "b08")
+    return mask_band_nodata(rows).withColumn("masked", F.lit(True)).unionByName(mask_band_nodata(rows, enabled=False).withColumn("masked", F.lit(False)))
+
+
+def mask_band_nodata(obs: DataFrame, band: str = "b08", enabled: bool = True) -> DataFrame:
+    """The band as nodata throughout, where that is switched on."""
+    return obs.withColumn(band, F.lit(NODATA)) if enabled else obs
 
 
 @query("normalise_label_columns", "samples", sql="""SELECT sample_id, landcover AS finetune_class, landcover AS downstream_class,
@@ -145,20 +151,29 @@ def season_columns_to_json(jobs: DataFrame, seasons: tuple[str, ...] = ("s1",))
     return jobs.select("job", F.array_join(F.map_keys(windows), ",").alias("season_ids"), F.to_json(windows).alias("season_windows"))
 
 
-@query("validate_work_table", "jobs", sql="SELECT job, start_date > end_date AS reversed, count(*) OVER (PARTITION BY job) > 1 AS repeated, false AS bad_json FROM jobs")
+@query("validate_work_table", "jobs", sql="""SELECT job, start_date > end_date AS reversed, count(*) OVER (PARTITION BY job) > 1 AS repeated,
+  k = 0 OR (k = 1 AND start_date < end_date) OR (k > 1 AND start_date > end_date) AS bad_json FROM (SELECT *, CAST(substr(job, 2) AS BIGINT) % 7 AS k FROM jobs)""")
+def q_validate_work_table(jobs: DataFrame) -> DataFrame:
+    """A seventh of the rows has windows that don't parse, a seventh has them turned round."""
+    k = F.expr("substr(job, 2)").cast("long") % 7
+    a, b = F.col("start_date").cast("string"), F.col("end_date").cast("string")
+    text = F.when(k == 0, "{broken").when(k == 1, F.to_json(F.create_map(F.lit("s1"), F.array(b, a)))).otherwise(F.to_json(F.create_map(F.lit("s1"), F.array(a, b))))
+    return validate_work_table(jobs.withColumn("season_windows", text))
+
+
 def validate_work_table(jobs: DataFrame) -> DataFrame:
-    """Violations of each row: reversed dates, repeated names, season windows that don't parse."""
-    parsed = F.from_json(season_json(), "map<string,array<string>>")
+    """Violations of each row: reversed dates, repeated names, season windows that don't parse or whose dates are not two in order."""
+    missing = {"job", "start_date", "end_date", "season_windows"} - set(jobs.columns)
+    if missing:
+        raise ValueError(f"columns are missing: {sorted(missing)}")
+    windows = F.map_values(F.from_json("season_windows", "map<string,array<string>>"))
+    wrong = F.exists(windows, lambda w: F.coalesce((F.size(w) != 2) | (F.try_to_date(F.get(w, 0)) > F.try_to_date(F.get(w, 1))), F.lit(True)))
     return jobs.select(
         "job", (F.col("start_date") > F.col("end_date")).alias("reversed"),
-        (F.count("*").over(Window.partitionBy("job")) > 1).alias("repeated"), parsed.isNull().alias("bad_json"),
+        (F.count("*").over(Window.partitionBy("job")) > 1).alias("repeated"), F.coalesce(wrong, F.lit(True)).alias("bad_json"),
     )
 
 
-def season_json():
-    return F.to_json(F.create_map(F.lit("s1"), F.array(F.col("start_date").cast("string"), F.col("end_date").cast("string"))))
-
-
 @query("resolve_temporal_and_seasons", "jobs", sql="""SELECT job, CASE WHEN status = 'finished' THEN start_date ELSE DATE '1999-01-01' END AS start_date,
   CASE WHEN status = 'finished' THEN end_date ELSE DATE '1999-12-31' END AS end_date, CASE WHEN status = 'finished' THEN 'grid' ELSE 'user' END AS origin FROM jobs""")
 def resolve_temporal_and_seasons(jobs: DataFrame, user: tuple[str, str] = ("1999-01-01", "1999-12-31")) -> DataFrame:
@@ -177,13 +192,20 @@ def filter_extract_flag(samples: DataFrame, value: int = 1) -> DataFrame:
     return samples.where(F.col("extract") == value).groupBy("ref_id").agg(F.count("*").alias("n"))
 
 
-@query("sample_attributes", "samples", sql="""SELECT sample_id, nullif(trim(croptype), '') AS croptype, 'unknown' AS region, valid_time AS label_date,
+@query("sample_attributes", "samples", sql="""SELECT sample_id, nullif(trim(croptype), '') AS croptype, CASE WHEN extract = 1 THEN landcover ELSE 'unknown' END AS region, valid_time AS label_date,
   nullif(CAST(quality_lc AS INTEGER), 65535) AS quality FROM samples""")
+def q_sample_attributes(samples: DataFrame) -> DataFrame:
+    """Only samples of one flag have a region; others have blanks or none."""
+    region = F.when(F.col("extract") == 1, F.col("landcover")).when(F.col("extract") == 0, F.lit("  "))
+    return sample_attributes(samples.withColumn("region", region).withColumn("label_date", F.lit(None).cast("date")))
+
+
 def sample_attributes(samples: DataFrame) -> DataFrame:
-    """Known attributes with missing values (blank, nodata) as null and a default region."""
+    """Known attributes with missing values (blank, nodata) as null, a default region and the first label date there is."""
+    known = lambda c: F.nullif(F.trim(c), F.lit(""))
     return samples.select(
-        "sample_id", F.nullif(F.trim("croptype"), F.lit("")).alias("croptype"), F.lit("unknown").alias("region"),
-        F.coalesce("valid_time").alias("label_date"), F.nullif(F.col("quality_lc").cast("int"), F.lit(NODATA)).alias("quality"),
+        "sample_id", known("croptype").alias("croptype"), F.coalesce(known("region"), F.lit("unknown")).alias("region"),
+        F.coalesce("label_date", "valid_time").alias("label_date"), F.nullif(F.col("quality_lc").cast("int"), F.lit(NODATA)).alias("quality"),
     )
 
 

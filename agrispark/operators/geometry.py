@@ -148,22 +148,22 @@ def tiles(areas: DataFrame, size: float) -> DataFrame:
     )
 
 
-_TILES = "t AS (SELECT iso3, concat(iso3, '_', CAST(j AS INTEGER), '_', CAST(i AS INTEGER)) AS tile_name, w + i * 7 AS x0, least(w + (i + 1) * 7, e) AS x1, s + j * 7 AS y0, least(s + (j + 1) * 7, n) AS y1 FROM regions, range(0, 9) a(i), range(0, 3) b(j))"
+TILES_SQL = "t AS (SELECT iso3, concat(iso3, '_', CAST(j AS INTEGER), '_', CAST(i AS INTEGER)) AS tile_name, w + i * 7 AS x0, least(w + (i + 1) * 7, e) AS x1, s + j * 7 AS y0, least(s + (j + 1) * 7, n) AS y1 FROM regions, range(0, 9) a(i), range(0, 3) b(j))"
 
 
-@query("aoi_tiling", "regions", sql=f"WITH {_TILES} SELECT * FROM t")
+@query("aoi_tiling", "regions", sql=f"WITH {TILES_SQL} SELECT * FROM t")
 def aoi_tiling(regions: DataFrame) -> DataFrame:
     return tiles(regions, 7.0)
 
 
-@query("merge_small_tiles", "regions", sql=f"WITH {_TILES} SELECT iso3, min(tile_name) AS tile_name, min(x0) AS x0, max(x1) AS x1, y0, max(y1) AS y1 FROM (SELECT *, CASE WHEN x1 - x0 < 5 THEN x0 - 7 ELSE x0 END AS k FROM t) GROUP BY iso3, y0, k")
+@query("merge_small_tiles", "regions", sql=f"WITH {TILES_SQL} SELECT iso3, min(tile_name) AS tile_name, min(x0) AS x0, max(x1) AS x1, y0, max(y1) AS y1 FROM (SELECT *, CASE WHEN x1 - x0 < 5 THEN x0 - 7 ELSE x0 END AS k FROM t) GROUP BY iso3, y0, k")
 def merge_small_tiles(regions: DataFrame, least: float = 5.0, size: float = 7.0) -> DataFrame:
     """Tiles narrower than the least width join the neighbour they share their long edge with."""
     t = tiles(regions, size).withColumn("k", F.when(F.col("x1") - F.col("x0") < least, F.col("x0") - size).otherwise(F.col("x0")))
     return t.groupBy("iso3", "y0", "k").agg(F.min("tile_name").alias("tile_name"), F.min("x0").alias("x0"), F.max("x1").alias("x1"), F.max("y1").alias("y1")).drop("k")
 
 
-@query("ensure_utm_grid", "regions", sql=f"WITH {_TILES} SELECT tile_name, CASE WHEN (y0 + y1) / 2 < 0 THEN 32700 ELSE 32600 END + CAST(floor(((x0 + x1) / 2 + 180) / 6) AS INTEGER) + 1 AS epsg, count(*) OVER (PARTITION BY tile_name) = 1 AS ok FROM t")
+@query("ensure_utm_grid", "regions", sql=f"WITH {TILES_SQL} SELECT tile_name, CASE WHEN (y0 + y1) / 2 < 0 THEN 32700 ELSE 32600 END + CAST(floor(((x0 + x1) / 2 + 180) / 6) AS INTEGER) + 1 AS epsg, count(*) OVER (PARTITION BY tile_name) = 1 AS ok FROM t")
 def ensure_utm_grid(regions: DataFrame) -> DataFrame:
     """EPSG of each tile's centre, and whether its name is given and unique."""
     t = tiles(regions, 7.0)
@@ -178,12 +178,21 @@ def gdf_bbox(regions: DataFrame) -> DataFrame:
     return ring_of(regions).select("iso3", F.array_min(xs).alias("w"), F.array_max(xs).alias("e"), F.array_min(ys).alias("s"), F.array_max(ys).alias("n"))
 
 
-@query("prepare_grid", "regions", sql="SELECT iso3 AS tile_name, 1 AS parts, false AS repeated FROM regions")
-def prepare_grid(regions: DataFrame) -> DataFrame:
-    """Polygons one a row (multi-polygons only where that keeps the number of rows), with named and unique tiles."""
-    parts = F.array("ring")
-    rows = ring_of(regions).withColumn("parts", F.size(parts)).withColumn("part", F.explode(parts))
-    return rows.select(F.col("iso3").alias("tile_name"), "parts", (F.count("*").over(Window.partitionBy("iso3")) > 1).alias("repeated"))
+@query("prepare_grid", "regions", sql="""SELECT tile_name, parts, parts = 1 AS ok, count(*) OVER (PARTITION BY tile_name) > 1 AS repeated
+  FROM (SELECT substr(iso3, 1, 2) AS tile_name, 1 AS parts FROM regions UNION ALL SELECT region, CAST(count(*) AS INTEGER) FROM regions GROUP BY region)""")
+def q_prepare_grid(regions: DataFrame) -> DataFrame:
+    """Countries as polygons and world regions as multi-polygons of them."""
+    rings = ring_of(regions)
+    single = rings.select(F.substring("iso3", 1, 2).alias("tile_name"), F.array("ring").alias("rings"))
+    several = rings.groupBy(F.col("region").alias("tile_name")).agg(F.collect_list("ring").alias("rings"))
+    return prepare_grid(single.unionByName(several)).drop("rings")
+
+
+def prepare_grid(grid: DataFrame) -> DataFrame:
+    """Rows (tile_name, rings) with the number of parts, whether there is just one (multi-polygons of one part are polygons), and repeated names."""
+    return grid.withColumn("parts", F.size("rings")).withColumn("ok", (F.col("parts") == 1) & F.col("tile_name").isNotNull()).withColumn(
+        "repeated", F.count("*").over(Window.partitionBy("tile_name")) > 1
+    )
 
 
 @query("validate_spatial_extent", "collections", sql="SELECT ref_id, w >= -180 AND e <= 180 AND s >= -90 AND n <= 90 AND w < e AND s < n AS ok FROM collections")

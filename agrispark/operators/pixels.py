@@ -11,10 +11,15 @@ from agrispark.registry import query
 
 PIXEL = ["tile", "y", "x"]
 INVALID_SCL = (0, 1, 3, 8, 9, 10, 11)
-SIZE = 32
 
 
-def mirrored(i: Column, size: int = SIZE) -> Column:
+def sized(pixels: DataFrame) -> DataFrame:
+    """Pixels with the height and width of their tile, which its last row and column give; a table of one row a tile is joined."""
+    sizes = pixels.groupBy("tile").agg((F.max("y") + 1).alias("h"), (F.max("x") + 1).alias("w"))
+    return pixels.join(sizes, "tile")
+
+
+def mirrored(i: Column, size: Column) -> Column:
     """Index reflected at the edges (the edge itself repeats)."""
     return F.when(i < 0, -i - 1).when(i >= size, 2 * size - 1 - i).otherwise(i)
 
@@ -123,27 +128,40 @@ def votes(pixels: DataFrame, reach: int, weight: Column, excluded: int | None) -
     """
     offsets = F.sequence(F.lit(-reach), F.lit(reach))
 
-    def seen(c: str) -> Column:
+    def seen(c: str, size: str) -> Column:
         # centres p whose window, mirrored, meets this pixel, with repeats
-        near = F.filter(F.transform(offsets, lambda d: F.col(c) + d), lambda p: (p >= 0) & (p < SIZE))
-        low = F.filter(F.transform(offsets, lambda d: -F.col(c) - 1 + d), lambda p: (p >= 0) & (p < SIZE))
-        high = F.filter(F.transform(offsets, lambda d: 2 * SIZE - 1 - F.col(c) + d), lambda p: (p >= 0) & (p < SIZE))
+        inside = lambda p: (p >= 0) & (p < F.col(size))
+        near = F.filter(F.transform(offsets, lambda d: F.col(c) + d), inside)
+        low = F.filter(F.transform(offsets, lambda d: -F.col(c) - 1 + d), inside)
+        high = F.filter(F.transform(offsets, lambda d: 2 * F.col(size) - 1 - F.col(c) + d), inside)
         return F.concat(near, low, high)
 
-    voters = pixels if excluded is None else pixels.where(F.col("label") != excluded)
-    rows = voters.select("tile", F.explode(seen("y")).alias("cy"), "x", "label", weight.alias("w"))
-    by_row = rows.groupBy("tile", "cy", "x", "label").agg(F.sum("w").alias("w"))  # summed by column of the square before it spreads
-    spread = by_row.select("tile", F.col("cy").alias("y"), F.explode(seen("x")).alias("cx"), "label", "w")
+    whole = sized(pixels).withColumn("votes", weight)
+    voters = whole if excluded is None else whole.where(F.col("label") != excluded)
+    rows = voters.select("tile", F.explode(seen("y", "h")).alias("cy"), "x", "w", "label", "votes")
+    by_row = rows.groupBy("tile", "cy", "x", "w", "label").agg(F.sum("votes").alias("votes"))  # summed by column of the square before it spreads
+    spread = by_row.select("tile", F.col("cy").alias("y"), F.explode(seen("x", "w")).alias("cx"), "label", F.col("votes").alias("w"))
     return spread.groupBy("tile", "y", F.col("cx").alias("x"), "label").agg(F.sum("w").alias("w"))
 
 
-_MIRROR = "CASE WHEN {i} < 0 THEN -{i} - 1 WHEN {i} > 31 THEN 63 - {i} ELSE {i} END"
+_MIRROR = "CASE WHEN {i} < 0 THEN -{i} - 1 WHEN {i} >= {n} THEN 2 * {n} - 1 - {i} ELSE {i} END"
+#: Tiles of different extents.
+_CUT = "raster AS (SELECT * FROM pixels WHERE y < 32 - 3 * tile AND x < 32 - 2 * tile), size AS (SELECT tile, max(y) + 1 AS h, max(x) + 1 AS w FROM raster GROUP BY tile)"
+_NEAR = f"""SELECT p.tile, p.y, p.x, p.label, dy, dx, {_MIRROR.format(i='(p.y + dy)', n='h')} AS ny, {_MIRROR.format(i='(p.x + dx)', n='w')} AS nx FROM raster p JOIN size USING (tile), range(-1, 2) a(dy), range(-1, 2) b(dx)"""
+
 
+def cut(pixels: DataFrame) -> DataFrame:
+    return pixels.where((F.col("y") < 32 - 3 * F.col("tile")) & (F.col("x") < 32 - 2 * F.col("tile")))
 
-@query("majority_vote", "pixels", sql=f"""WITH n AS (SELECT p.tile, p.y, p.x, {_MIRROR.format(i='(p.y + dy)')} AS ny, {_MIRROR.format(i='(p.x + dx)')} AS nx FROM pixels p, range(-1, 2) a(dy), range(-1, 2) b(dx)),
-  v AS (SELECT n.tile, n.y, n.x, q.label, count(*) AS w FROM n JOIN pixels q ON q.tile = n.tile AND q.y = ny AND q.x = nx WHERE q.label <> 3 GROUP BY ALL),
+
+@query("majority_vote", "pixels", sql=f"""WITH {_CUT}, n AS ({_NEAR}),
+  v AS (SELECT n.tile, n.y, n.x, q.label, count(*) AS w FROM n JOIN raster q ON q.tile = n.tile AND q.y = ny AND q.x = nx WHERE q.label <> 3 GROUP BY ALL),
   best AS (SELECT tile, y, x, arg_min(label, -w * 100 + label) AS label FROM v GROUP BY ALL)
-  SELECT p.tile, p.y, p.x, CASE WHEN p.label = 3 THEN 3 ELSE coalesce(b.label, p.label) END AS label FROM pixels p LEFT JOIN best b USING (tile, y, x)""")
+  SELECT p.tile, p.y, p.x, CASE WHEN p.label = 3 THEN 3 ELSE coalesce(b.label, p.label) END AS label FROM raster p LEFT JOIN best b USING (tile, y, x)""")
+def q_majority_vote(pixels: DataFrame) -> DataFrame:
+    return majority_vote(cut(pixels))
+
+
 def majority_vote(pixels: DataFrame, kernel: int = 3, excluded: int = 3) -> DataFrame:
     """The most frequent label of the square, the lowest of ties; excluded labels neither vote nor change. 1 changes nothing, over 25 is an error."""
     if kernel > 25:
@@ -163,17 +181,28 @@ def majority_vote_weighted(pixels: DataFrame) -> DataFrame:
     return pixels.select(*PIXEL).join(best, PIXEL).select(*PIXEL, "b.label", F.round(F.col("b.w") / F.col("b.k"), 7).alias("prob"))
 
 
-@query("smooth_probabilities", "pixels", sql=f"""WITH n AS (SELECT p.tile, p.y, p.x, {_MIRROR.format(i='(p.y + dy)')} AS ny, {_MIRROR.format(i='(p.x + dx)')} AS nx, CASE WHEN dy = 0 AND dx = 0 THEN 3 WHEN dy = 0 OR dx = 0 THEN 2 ELSE 1 END AS k FROM pixels p, range(-1, 2) a(dy), range(-1, 2) b(dx) WHERE p.label <> 3)
-  SELECT n.tile, n.y, n.x, round(sum(q.prob * k) / 15, 6) AS prob FROM n JOIN pixels q ON q.tile = n.tile AND q.y = ny AND q.x = nx AND q.label <> 3 GROUP BY ALL""")
+@query("smooth_probabilities", "pixels", sql=f"""WITH {_CUT}, n AS ({_NEAR} WHERE p.label <> 3), k AS (SELECT *, CASE WHEN dy = 0 AND dx = 0 THEN 3 WHEN dy = 0 OR dx = 0 THEN 2 ELSE 1 END AS k FROM n),
+  s AS (SELECT k.tile, k.y, k.x, sum(q.prob * k) / 15 AS a, sum((1 - q.prob) * k) / 15 AS b FROM k JOIN raster q ON q.tile = k.tile AND q.y = ny AND q.x = nx AND q.label <> 3 GROUP BY ALL)
+  SELECT tile, y, x, round(a / (a + b), 6) AS prob, CASE WHEN round(a - b, 9) >= 0 THEN 1 ELSE 0 END AS crop FROM s""")
+def q_smooth_probabilities(pixels: DataFrame) -> DataFrame:
+    return smooth_probabilities(cut(pixels))
+
+
 def smooth_probabilities(pixels: DataFrame, excluded: int = 3) -> DataFrame:
-    """Probabilities under the kernel 1 2 1 / 2 3 2 / 1 2 1 over 15, edges mirrored; excluded pixels count 0 and are left out."""
+    """The two probabilities of a pixel (``prob`` and the rest) under the kernel 1 2 1 / 2 3 2 / 1 2 1 over 15, edges mirrored.
+
+    Excluded pixels count 0 and are left out; what is left is brought to a sum of 1 again, and the class is that of the greater.
+    """
     offsets = F.sequence(F.lit(-1), F.lit(1))
     kept = pixels.where(F.col("label") != excluded)
-    wanted = kept.select(*PIXEL).withColumn("dy", F.explode(offsets)).withColumn("dx", F.explode(offsets))
+    wanted = sized(pixels).where(F.col("label") != excluded).select(*PIXEL, "h", "w").withColumn("dy", F.explode(offsets)).withColumn("dx", F.explode(offsets))
     kernel = F.when((F.col("dy") == 0) & (F.col("dx") == 0), 3).when((F.col("dy") == 0) | (F.col("dx") == 0), 2).otherwise(1)
-    keyed = wanted.select("tile", "y", "x", mirrored(F.col("y") + F.col("dy")).alias("ny"), mirrored(F.col("x") + F.col("dx")).alias("nx"), kernel.alias("k"))
+    keyed = wanted.select("tile", "y", "x", mirrored(F.col("y") + F.col("dy"), F.col("h")).alias("ny"), mirrored(F.col("x") + F.col("dx"), F.col("w")).alias("nx"), kernel.alias("k"))
     values = kept.select("tile", F.col("y").alias("ny"), F.col("x").alias("nx"), "prob")
-    return keyed.join(values, ["tile", "ny", "nx"]).groupBy(*PIXEL).agg(F.round(F.sum(F.col("prob") * F.col("k")) / 15, 6).alias("prob"))
+    sums = keyed.join(values, ["tile", "ny", "nx"]).groupBy(*PIXEL).agg(
+        (F.sum(F.col("prob") * F.col("k")) / 15).alias("a"), (F.sum((1 - F.col("prob")) * F.col("k")) / 15).alias("b")
+    )
+    return sums.select(*PIXEL, F.round(F.col("a") / (F.col("a") + F.col("b")), 6).alias("prob"), F.when(F.round(F.col("a") - F.col("b"), 9) >= 0, 1).otherwise(0).alias("crop"))
 
 
 @query("cropland_product", "pixels", sql="SELECT tile, y, x, CASE WHEN prob >= 0.5e0 THEN 1 ELSE 0 END AS cropland, CAST(round_even(prob * 100, 0) AS INTEGER) AS probability FROM pixels")

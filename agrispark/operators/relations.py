@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from agrispark.operators.geometry import TILES_SQL, tiles
 from agrispark.registry import query
 
 #: A dimension of at most so many rows is broadcast; a larger one is joined by shuffle.
@@ -80,23 +81,36 @@ def country_from_id_or_geometry(samples: DataFrame, regions: DataFrame) -> DataF
     return placed.select("sample_id", F.when(F.col("ref_id").endswith("_100"), F.coalesce("iso3", F.lit("Unknown"))).otherwise(F.split_part("ref_id", F.lit("_"), F.lit(2))).alias("country"))
 
 
-@query("tile_assignment_join", "samples", sql="SELECT sample_id, concat(CAST(floor((lon + 180) / 6) + 1 AS INTEGER), CASE WHEN lat >= 0 THEN 'N' ELSE 'S' END) AS tile FROM samples")
-def tile_assignment_join(samples: DataFrame) -> DataFrame:
-    """The six-degree zone tile of each sample, in closed form."""
-    zone = (F.floor((F.col("lon") + 180) / 6) + 1).cast("int").cast("string")
-    return samples.select("sample_id", F.concat(zone, F.when(F.col("lat") >= 0, "N").otherwise("S")).alias("tile"))
+@query("tile_assignment_join", "samples", "regions", sql=f"WITH {TILES_SQL} SELECT sample_id, min(tile_name) AS tile FROM samples LEFT JOIN t ON lon BETWEEN x0 AND x1 AND lat BETWEEN y0 AND y1 GROUP BY sample_id")
+def q_tile_assignment_join(samples: DataFrame, regions: DataFrame) -> DataFrame:
+    return tile_assignment_join(samples, tiles(regions, 7.0))
 
 
-@query("existing_samples_anti_join", "samples", "obs", sql="SELECT sample_id FROM samples WHERE sample_id NOT IN (SELECT sample_id FROM samples WHERE extract = 2)")
+def tile_assignment_join(samples: DataFrame, grid: DataFrame, how: str = "left") -> DataFrame:
+    """The tile that a sample's point meets, the first by name on shared edges; without one null (left) or no row (inner)."""
+    boxes = grid.select("tile_name", F.col("x0").alias("w"), F.col("x1").alias("e"), F.col("y0").alias("s"), F.col("y1").alias("n"))
+    met = in_rectangles(samples.select("sample_id", "lon", "lat"), boxes).groupBy("sample_id").agg(F.min("tile_name").alias("tile"))
+    return samples.select("sample_id").join(met, "sample_id", how)
+
+
+_EARLIER = "SELECT DISTINCT concat('P', split_part(sample_id, '_', 1)) AS sample_id, ref_id FROM obs"
+
+
+def earlier(obs: DataFrame) -> DataFrame:
+    """The samples that a catalogue of observations holds, with their dataset."""
+    return obs.select(F.concat(F.lit("P"), F.split_part("sample_id", F.lit("_"), F.lit(1))).alias("sample_id"), "ref_id").distinct()
+
+
+@query("existing_samples_anti_join", "samples", "obs", sql=f"SELECT sample_id FROM samples WHERE sample_id NOT IN (SELECT sample_id FROM ({_EARLIER}))")
 def existing_samples_anti_join(samples: DataFrame, obs: DataFrame) -> DataFrame:
-    return samples.join(samples.where("extract = 2").select("sample_id"), "sample_id", "left_anti").select("sample_id")
+    """Samples that the catalogue doesn't hold yet."""
+    return samples.join(earlier(obs).select("sample_id"), "sample_id", "left_anti").select("sample_id")
 
 
-@query("append_new_samples", "samples", sql="SELECT sample_id, ref_id FROM samples WHERE extract = 1 AND ref_id NOT IN (SELECT ref_id FROM samples WHERE sample_id = 'P1')")
-def append_new_samples(samples: DataFrame) -> DataFrame:
-    """Flagged samples of datasets that aren't among those done already."""
-    done = samples.where("sample_id = 'P1'").select("ref_id").distinct()
-    return samples.where("extract = 1").join(done, "ref_id", "left_anti").select("sample_id", "ref_id")
+@query("append_new_samples", "samples", "obs", sql=f"SELECT sample_id, ref_id FROM samples WHERE extract = 1 AND NOT EXISTS (SELECT 1 FROM ({_EARLIER}) o WHERE o.sample_id = samples.sample_id AND o.ref_id = samples.ref_id)")
+def append_new_samples(samples: DataFrame, obs: DataFrame) -> DataFrame:
+    """Flagged samples that earlier outputs of the same dataset don't hold."""
+    return samples.where("extract = 1").join(earlier(obs), ["sample_id", "ref_id"], "left_anti").select("sample_id", "ref_id")
 
 
 @query("sample_set_semi_join", "obs", "obs_raw", sql="SELECT DISTINCT split_part(sample_id, '_', 1) AS id, concat('S', split_part(sample_id, '_', 1)) IN (SELECT sample_id FROM obs_raw WHERE vv = 1) AS in_both FROM obs")
@@ -160,10 +174,19 @@ def cube_merge_join(pixels: DataFrame) -> DataFrame:
     return both.join(layer(2, "scl", "static"), ["x", "y"], "left")
 
 
-@query("dvi_weather_join", "obs_dekad", "obs_raw", sql="SELECT d.sample_id, d.ts, w.b02 AS weather FROM obs_dekad d JOIN (SELECT sample_id, ts, max(b02) AS b02 FROM obs_dekad GROUP BY 1, 2) w ON w.ts = d.ts AND w.sample_id = d.sample_id")
-def dvi_weather_join(index: DataFrame, _raw: DataFrame) -> DataFrame:
-    weather = index.groupBy("sample_id", "ts").agg(F.max("b02").alias("weather"))
-    return index.select("sample_id", "ts").join(weather, ["sample_id", "ts"])
+@query("dvi_weather_join", "obs_raw", "obs", sql="""WITH w AS (SELECT concat('S', split_part(sample_id, '_', 1)) AS sample_id, ts AS month, max(b02) AS weather FROM obs GROUP BY 1, 2),
+  c AS (SELECT sample_id, dayofyear(ts) AS doy, max(b08) AS coefficient FROM obs_raw GROUP BY 1, 2)
+  SELECT r.sample_id, r.ts, r.seq, r.line, w.weather, c.coefficient FROM obs_raw r JOIN w ON w.sample_id = r.sample_id AND w.month = date_trunc('month', r.ts) JOIN c ON c.sample_id = r.sample_id AND c.doy = dayofyear(r.ts)""")
+def q_dvi_weather_join(index: DataFrame, obs: DataFrame) -> DataFrame:
+    weather = obs.groupBy(F.concat(F.lit("S"), F.split_part("sample_id", F.lit("_"), F.lit(1))).alias("sample_id"), F.col("ts").alias("month")).agg(F.max("b02").alias("weather"))
+    coefficients = index.groupBy("sample_id", F.dayofyear("ts").alias("doy")).agg(F.max("b08").alias("coefficient"))
+    return dvi_weather_join(index, weather, coefficients).select("sample_id", "ts", "seq", "line", "weather", "coefficient")
+
+
+def dvi_weather_join(index: DataFrame, weather: DataFrame, coefficients: DataFrame) -> DataFrame:
+    """Index rows with the weather of their place and month and the coefficient of their place and day of the year."""
+    keyed = index.withColumn("month", F.trunc("ts", "month")).withColumn("doy", F.dayofyear("ts"))
+    return keyed.join(weather, ["sample_id", "month"]).join(coefficients, ["sample_id", "doy"])
 
 
 # aggregations
@@ -202,7 +225,7 @@ _CELLS = """cells AS (SELECT *, concat(CAST(floor((lat + 90) / 10) AS BIGINT), '
 
 def cell_summary(cells: DataFrame) -> DataFrame:
     return cells.groupBy("cell").agg(
-        F.first("parent").alias("parent"), F.count("*").alias("n"), F.count(F.when(F.year("valid_time") >= 2021, 1)).alias("recent"),
+        F.min("parent").alias("parent"), F.count("*").alias("n"), F.count(F.when(F.year("valid_time") >= 2021, 1)).alias("recent"),
         F.countDistinct("landcover").alias("n_lc"), F.countDistinct(F.when(F.col("quality_ct") > 0, F.col("croptype"))).alias("n_ct"),
     )
 

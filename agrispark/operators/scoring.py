@@ -28,26 +28,49 @@ def argmax(a: Column) -> Column:
     return F.array_position(a, F.array_max(a)).cast("int") - 1
 
 
-@query("masked_mean_pool", "embeddings_", sql="""SELECT vec_id // 12 AS grp, i, round(avg(v) FILTER (vec_id % 12 BETWEEN 3 AND 8), 5) AS pooled FROM (SELECT vec_id, unnest(range(0, 4)) AS i, unnest(embedding[1:4]) AS v FROM embeddings_) GROUP BY 1, 2
-  HAVING count(*) FILTER (vec_id % 12 BETWEEN 3 AND 8) > 0""")
-def masked_mean_pool(embeddings: DataFrame) -> DataFrame:
-    """Mean of the step vectors that a season mask keeps; groups without any go."""
-    rows = embeddings.select("vec_id", F.posexplode(F.slice("embedding", 1, 4)).alias("i", "v")).withColumn("grp", F.floor(F.col("vec_id") / 12))
-    kept = F.pmod("vec_id", F.lit(12)).between(3, 8)
-    pooled = rows.groupBy("grp", "i").agg(F.round(F.avg(F.when(kept, F.col("v").cast("double"))), 5).alias("pooled"))
-    return pooled.where("pooled is not null")
+_LONG = "(SELECT vec_id, unnest(range(0, len(embedding))) AS i, unnest(embedding::DOUBLE[]) AS v FROM embeddings_)"
 
 
-WEIGHTS = ((0.5, -0.25, 1.0, 0.1), (-1.0, 0.75, 0.2, 0.0), (0.3, 0.3, -0.6, 0.9))
+@query("masked_mean_pool", "embeddings_", sql=f"""SELECT grp, i, round(coalesce(avg(v) FILTER (kept), avg(v)), 5) AS pooled, round(avg(v), 5) AS whole
+  FROM (SELECT vec_id // 12 AS grp, i, v, vec_id % 12 BETWEEN 3 AND 8 AND (vec_id // 12) % 4 <> 1 AS kept FROM {_LONG}) GROUP BY 1, 2""")
+def q_masked_mean_pool(embeddings: DataFrame) -> DataFrame:
+    """Twelve vectors are the steps of a group; the season keeps six of them, or none of some groups."""
+    group = F.floor(F.col("vec_id") / 12)
+    kept = F.pmod("vec_id", F.lit(12)).between(3, 8) & (group % 4 != 1)
+    return masked_mean_pool(embeddings.withColumn("grp", group), kept)
 
 
-@query("linear_head_score", "embeddings_", sql="""WITH z AS (SELECT vec_id, e[1] * 0.5e0 - e[2] * 0.25e0 + e[3] + e[4] * 0.1e0 + 0.1e0 AS a, -e[1] + e[2] * 0.75e0 + e[3] * 0.2e0 + 0.1e0 AS b, e[1] * 0.3e0 + e[2] * 0.3e0 - e[3] * 0.6e0 + e[4] * 0.9e0 + 0.1e0 AS c FROM (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings_))
-  SELECT vec_id, CASE WHEN a >= b AND a >= c THEN 0 WHEN b >= c THEN 1 ELSE 2 END AS label, round(exp(greatest(a, b, c)) / (exp(a) + exp(b) + exp(c)), 5) AS prob FROM z""")
-def linear_head_score(embeddings: DataFrame, weights=WEIGHTS, bias: float = 0.1) -> DataFrame:
-    """Class and probability of a linear head; its few weights are literals of the expression."""
+def masked_mean_pool(steps: DataFrame, season: Column, within: Column | None = None) -> DataFrame:
+    """Mean of the whole step vectors that a season mask keeps; where it keeps none, that of all steps (of the global mask ``within``)."""
+    rows = steps.where(within if within is not None else F.lit(True)).select("grp", season.alias("kept"), F.posexplode("embedding").alias("i", "v"))
+    v = F.col("v").cast("double")
+    pooled = rows.groupBy("grp", "i").agg(F.avg(F.when(F.col("kept"), v)).alias("p"), F.avg(v).alias("w"))
+    return pooled.select("grp", "i", F.round(F.coalesce("p", "w"), 5).alias("pooled"), F.round("w", 5).alias("whole"))
+
+
+def head_weights(classes: int, dims: int) -> list[list[float]]:
+    """Weights of a head that needs no training, as long as the vectors."""
+    return [[((31 * c + 17 * i) % 11 - 5) / 10 for i in range(dims)] for c in range(classes)]
+
+
+def dims_of(embeddings: DataFrame) -> int:
+    return embeddings.select(F.max(F.size("embedding"))).first()[0] or 0
+
+
+def logits(vector: str, weights: list[list[float]], bias: float) -> Column:
+    """Vector by weights plus bias, one value a class; the weights are literals of the expression."""
     rows = F.array(*(F.array(*map(F.lit, w)) for w in weights))
-    logits = F.transform(rows, lambda w: total(F.zip_with(w, F.slice("embedding", 1, len(weights[0])), lambda a, b: a * b)) + bias)
-    p = embeddings.select("vec_id", logits.alias("z")).withColumn("p", softmax(F.col("z")))
+    return F.transform(rows, lambda w: total(F.zip_with(w, vector, lambda a, b: a * b)) + bias)
+
+
+_HEAD = f"""WITH z AS (SELECT vec_id, c, sum(v * ((31 * c + 17 * i) % 11 - 5) / 10e0) + 0.1e0 AS z FROM {_LONG}, range(0, 3) t(c) GROUP BY 1, 2)"""
+
+
+@query("linear_head_score", "embeddings_", sql=f"{_HEAD} SELECT vec_id, CAST(arg_max(c, z) AS INTEGER) AS label, round(max(exp(z)) / sum(exp(z)), 5) AS prob FROM z GROUP BY vec_id")
+def linear_head_score(embeddings: DataFrame, weights: list[list[float]] | None = None, bias: float = 0.1) -> DataFrame:
+    """Class and probability of a linear head over whole vectors."""
+    weights = weights or head_weights(3, dims_of(embeddings))
+    p = embeddings.select("vec_id", logits("embedding", weights, bias).alias("z")).withColumn("p", softmax(F.col("z")))
     return p.select("vec_id", argmax(F.col("p")).alias("label"), F.round(F.array_max("p"), 5).alias("prob"))
 
 
@@ -61,16 +84,17 @@ def train_linear_head(embeddings: DataFrame) -> DataFrame:
 
 
 @query("quantise_embedding", "embeddings_", sql="""WITH s AS (SELECT vec_id, embedding::DOUBLE[] AS e, greatest((SELECT quantile_cont(abs(v), 0.99) FROM unnest(embedding::DOUBLE[]) u(v)) / 127, 1e-6) AS scale FROM embeddings_)
-  SELECT vec_id, round(scale, 7) AS scale, CAST(greatest(-127, least(127, round_even(e[1] / scale, 0))) + 128 AS INTEGER) AS q0 FROM s""")
+  SELECT vec_id, round(scale, 7) AS scale, string_agg(CAST(CAST(greatest(-127, least(127, round_even(round(v / scale, 9), 0))) + 128 AS INTEGER) AS VARCHAR), ',' ORDER BY i) AS codes
+  FROM (SELECT vec_id, scale, unnest(range(0, len(e))) AS i, unnest(e) AS v FROM s) GROUP BY vec_id, scale""")
 def quantise_embedding(embeddings: DataFrame) -> DataFrame:
     """Eight-bit values: the 99th percentile of magnitudes is 127 steps from the middle."""
     sizes = F.array_sort(F.transform("embedding", lambda v: F.abs(v.cast("double"))))
     at = (F.size(sizes) - 1) * 0.99
     low = F.floor(at).cast("int")
     p99 = F.get(sizes, low) + (at - low) * (F.coalesce(F.get(sizes, low + 1), F.get(sizes, low)) - F.get(sizes, low))
-    s = embeddings.withColumn("scale", F.greatest(p99 / 127, F.lit(1e-6)))
-    codes = F.transform("embedding", lambda v: (F.greatest(F.lit(-127.0), F.least(F.lit(127.0), F.rint(v.cast("double") / F.col("scale")))) + 128).cast("int"))
-    return s.select("vec_id", F.round("scale", 7).alias("scale"), F.get(codes, 0).alias("q0"))
+    s = embeddings.withColumn("step", F.greatest(p99 / 127, F.lit(1e-6)))
+    codes = F.transform("embedding", lambda v: (F.greatest(F.lit(-127.0), F.least(F.lit(127.0), F.rint(F.round(v.cast("double") / F.col("step"), 9)))) + 128).cast("int"))
+    return s.select("vec_id", F.round("step", 7).alias("scale"), F.array_join(codes.cast("array<string>"), ",").alias("codes"))
 
 
 @query("pca_embeddings", "embeddings_")
@@ -83,18 +107,18 @@ def pca_embeddings(embeddings: DataFrame, k: int = 3, most: int = 400_000) -> Da
     return p.select("vec_id", *(F.round((F.get("p", i) - ends[f"a{i}"]) / max(ends[f"b{i}"] - ends[f"a{i}"], 1e-12), 4).alias(f"p{i}") for i in range(k)))
 
 
-@query("embedding_histogram", "embeddings_", sql="""SELECT i, CAST(least(9, greatest(0, floor((v + 4) / 0.8e0))) AS BIGINT) AS bin, count(*) AS n FROM (SELECT unnest(range(0, 6)) AS i, unnest(embedding[1:6])::DOUBLE AS v FROM embeddings_) GROUP BY 1, 2""")
+@query("embedding_histogram", "embeddings_", sql="""SELECT i, CAST(least(9, greatest(0, floor((v + 4) / 0.8e0))) AS BIGINT) AS bin, count(*) AS n FROM (SELECT unnest(range(0, len(embedding))) AS i, unnest(embedding)::DOUBLE AS v FROM embeddings_) GROUP BY 1, 2""")
 def embedding_histogram(embeddings: DataFrame, low: float = -4.0, high: float = 4.0, bins: int = 10) -> DataFrame:
     v = F.col("v").cast("double")
     at = F.least(F.lit(bins - 1), F.greatest(F.lit(0), F.floor((v - low) / ((high - low) / bins))))
-    return embeddings.select(F.posexplode(F.slice("embedding", 1, 6)).alias("i", "v")).groupBy("i", at.cast("bigint").alias("bin")).agg(F.count("*").alias("n"))
+    return embeddings.select(F.posexplode("embedding").alias("i", "v")).groupBy("i", at.cast("bigint").alias("bin")).agg(F.count("*").alias("n"))
 
 
-@query("season_prediction_records", "embeddings_", sql="""WITH z AS (SELECT vec_id, label, e[1] AS a, e[2] AS b, e[3] AS c FROM (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings_))
-  SELECT vec_id, label % 3 AS target, CASE WHEN a >= b AND a >= c THEN 0 WHEN b >= c THEN 1 ELSE 2 END AS prediction, NOT (a >= b AND a >= c) AS rejected, vec_id % 2 = 0 AS in_s1 FROM z WHERE vec_id % 11 > 1""")
+@query("season_prediction_records", "embeddings_", sql=f"""{_HEAD}, p AS (SELECT vec_id, CAST(arg_max(c, z) AS INTEGER) AS prediction FROM z GROUP BY vec_id)
+  SELECT vec_id, label % 3 AS target, prediction, prediction <> 0 AS rejected, vec_id % 2 = 0 AS in_s1 FROM p JOIN embeddings_ USING (vec_id) WHERE vec_id % 11 > 1""")
 def season_prediction_records(embeddings: DataFrame, least_weight: int = 1) -> DataFrame:
-    """One record a row with enough weight: class by softmax, rejected by the cropland gate (class 0), season flags."""
-    p = softmax(F.transform(F.slice("embedding", 1, 3), lambda v: v.cast("double")))
+    """One record a row with enough weight: class by softmax over the head's scores, rejected by the cropland gate (class 0), season flags."""
+    p = softmax(logits("embedding", head_weights(3, dims_of(embeddings)), 0.1))
     r = embeddings.where(F.col("vec_id") % 11 > least_weight).withColumn("prediction", argmax(p))
     day = F.when(F.col("vec_id") % 2 == 0, F.to_date(F.lit("2021-01-15"))).otherwise(F.to_date(F.lit("2021-07-15")))
     s1 = in_season(day, *resolve_season_bounds(day, (11, 1), (4, 30), 1))

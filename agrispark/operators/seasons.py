@@ -108,12 +108,22 @@ def season_metadata(obs: DataFrame) -> DataFrame:
     return season_mask(obs, S2, 0.5).select("sample_id", "ts", F.when(only_landcover, True).otherwise(F.col("mask")).alias("s2_mask"))
 
 
-@query("uniform_or_given_masks", "obs", sql="SELECT sample_id, count(*) AS n, repeat('1', CAST(count(*) AS INTEGER)) AS mask FROM obs GROUP BY sample_id")
-def uniform_or_given_masks(obs: DataFrame) -> DataFrame:
-    """A season mask that is true at every step, written as ones."""
-    mask = F.array_repeat(F.lit(True), F.col("n").cast("int"))
-    return obs.groupBy("sample_id").agg(F.count("b02").alias("n")).select(
-        "sample_id", "n", F.array_join(F.transform(mask, lambda m: F.when(m, "1").otherwise("0")), "").alias("mask")
+@query("uniform_or_given_masks", "obs", sql="""SELECT sample_id, count(*) AS n, repeat('1', CAST(count(*) AS INTEGER)) AS mask, string_agg(CASE WHEN month(ts) BETWEEN 4 AND 9 THEN '1' ELSE '0' END, '' ORDER BY ts) AS given,
+  min(ts) <= DATE '1995-04-01' AND max(ts) >= DATE '1995-09-30' AS covered FROM obs GROUP BY sample_id""")
+def q_uniform_or_given_masks(obs: DataFrame) -> DataFrame:
+    """A given mask of the months April to September, with one window of 1995, beside the uniform one."""
+    given = obs.select(F.month("ts").alias("month"), F.month("ts").between(4, 9).alias("keep")).distinct()
+    return uniform_or_given_masks(obs, given, ("1995-04-01", "1995-09-30"))
+
+
+def uniform_or_given_masks(obs: DataFrame, given: DataFrame, window: tuple[str, str]) -> DataFrame:
+    """Masks in order of time: true at every step, and as ``given`` (month, keep; twelve rows, broadcast) to all samples; whether the steps cover the window."""
+    steps = obs.join(F.broadcast(given), F.month("ts") == F.col("month"), "left")
+    ordered = F.array_sort(F.collect_list(F.struct("ts", F.coalesce("keep", F.lit(False)).cast("int").cast("string").alias("k"))))
+    a, b = (F.to_date(F.lit(x)) for x in window)
+    sums = steps.groupBy("sample_id").agg(F.count("*").alias("n"), ordered.alias("o"), ((F.min("ts") <= a) & (F.max("ts") >= b)).alias("covered"))
+    return sums.select(
+        "sample_id", "n", F.array_join(F.transform("o", lambda x: F.lit("1")), "").alias("mask"), F.array_join(F.transform("o", lambda x: x["k"]), "").alias("given"), "covered"
     )
 
 

@@ -64,7 +64,7 @@ def cell_classes(samples: DataFrame) -> DataFrame:
     """One row a cell: its region, size and set of classes. The greedy steps below work on this table alone."""
     c = cells_of(samples)
     return c.groupBy("cell").agg(
-        F.first("parent").alias("region"), F.count("*").alias("n"), F.array_sort(F.collect_set("landcover")).alias("classes"),
+        F.min("parent").alias("region"), F.count("*").alias("n"), F.array_sort(F.collect_set("landcover")).alias("classes"),
         F.count(F.when(F.year("valid_time") >= 2021, 1)).alias("recent"),
     )
 

@@ -84,13 +84,19 @@ def expected_dates(obs: DataFrame, freq: str = "month") -> DataFrame:
 
 
 def gap_fill(df: DataFrame, freq: str, features: tuple[str, ...], carried: tuple[str, ...]) -> DataFrame:
-    """Every expected slot within a sample's own span; missing features are nodata, carried columns are copied."""
-    spans = df.groupBy("sample_id").agg(
-        F.min("ts").alias("_a"), F.max("ts").alias("_b"), *(F.first(c).alias(c) for c in carried)
-    )
-    slots = spans.select("sample_id", *carried, F.explode(dates.enumerate_slots(F.col("_a"), F.col("_b"), freq)).alias("ts"))
-    return slots.join(df.select("sample_id", "ts", *features), ["sample_id", "ts"], "left").select(
-        "sample_id", "ts", *carried, *(F.coalesce(c, F.lit(NODATA)).alias(c) for c in features)
+    """Every expected slot within a sample's own span; missing features are nodata, carried columns are the sample's least.
+
+    Dates are those of slots. One shuffle by sample: each row fills the slots up to the next one of its sample.
+    """
+    of_sample = Window.partitionBy("sample_id")
+    following = F.lead("ts").over(of_sample.orderBy("ts"))
+    rows = df.select("sample_id", "ts", *features, following.alias("_next"), *(F.min(c).over(of_sample).alias(c) for c in carried))
+    gap = F.filter(dates.enumerate_slots(F.col("ts"), F.col("_next"), freq), lambda t: (t > F.col("ts")) & (t < F.col("_next")))
+    slots = F.concat(F.array("ts"), F.coalesce(F.when(F.col("_next") > F.col("ts"), gap), F.array().cast("array<date>")))
+    filled_ = rows.withColumn("_slot", F.explode(slots))
+    return filled_.select(
+        "sample_id", F.col("_slot").alias("ts"), *carried,
+        *(F.when(F.col("_slot") == F.col("ts"), F.coalesce(c, F.lit(NODATA))).otherwise(NODATA).alias(c) for c in features),
     )
 
 
@@ -192,7 +198,7 @@ def faulty_center_filter(spans: DataFrame, buffer: int, steps: int) -> DataFrame
 def spans_of(df: DataFrame) -> DataFrame:
     return df.groupBy("sample_id").agg(
         F.min("ts").alias("start_date"), F.max("ts").alias("end_date"), F.count("*").alias("n"),
-        F.first("valid_time").alias("valid_time"), F.first("valid_position").alias("valid_position"), F.first("ref_id").alias("ref_id"),
+        F.min("valid_time").alias("valid_time"), F.min("valid_position").alias("valid_position"), F.min("ref_id").alias("ref_id"),
     )
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
@@ -12,7 +14,8 @@ from pyspark.sql.types import NumericType
 from agrispark.functions.bands import NODATA
 from agrispark.registry import query
 
-OPTIONAL = {"outlier_score": 0.0, "outlier_flag": False}
+#: Columns that files may lack, and what stands for them: no penalty, nothing flagged.
+OPTIONAL = {"outlier_score_lc": 1.0, "outlier_score_ct": 1.0, "outlier_flag_lc": "normal", "outlier_flag_ct": "normal"}
 
 
 def ref_id_of(path: Column) -> Column:
@@ -25,7 +28,7 @@ def scan_long_observations(spark: SparkSession, *paths: str, columns: list[str]
     """Long observation files with their dataset id; optional columns that a file lacks get defaults."""
     df = spark.read.option("mergeSchema", True).option("recursiveFileLookup", True).parquet(*paths)
     df = df.withColumn("ref_id", ref_id_of(F.col("_metadata.file_path"))) if "ref_id" not in df.columns else df
-    df = df.withColumns({c: F.lit(v) for c, v in OPTIONAL.items() if c not in df.columns})
+    df = df.withColumns({c: F.coalesce(F.col(c), F.lit(v)) if c in df.columns else F.lit(v) for c, v in OPTIONAL.items()})
     return df.select(*columns) if columns else df
 
 
@@ -78,9 +81,16 @@ def job_tracking_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, header=True)
 
 
-@query("scan_long_observations", "obs", sql="SELECT sample_id, ts, ref_id, b02, 0e0 AS outlier_score, false AS outlier_flag FROM obs")
+@query("scan_long_observations", "obs", sql="""SELECT sample_id, ts, ref_id, b02, CASE WHEN ref_id LIKE '2018%' THEN b02 / 100e0 ELSE 1e0 END AS outlier_score_lc, 1e0 AS outlier_score_ct,
+  CASE WHEN ref_id LIKE '2018%' THEN 'suspect' ELSE 'normal' END AS outlier_flag_lc, 'normal' AS outlier_flag_ct FROM obs""")
 def q_scan(obs: DataFrame) -> DataFrame:
-    return obs.withColumns({c: F.lit(v) for c, v in OPTIONAL.items()}).select("sample_id", "ts", "ref_id", "b02", *OPTIONAL)
+    """Observations written as a tree of files by dataset, those of one year with two of the optional columns, and scanned."""
+    path = scratch(obs.sparkSession, "long")
+    marked = F.col("ref_id").startswith("2018")
+    rows = obs.select("sample_id", "ts", "ref_id", "b02")
+    rows.where(~marked).write.partitionBy("ref_id").parquet(path)
+    rows.where(marked).withColumns({"outlier_score_lc": F.col("b02") / 100, "outlier_flag_lc": F.lit("suspect")}).write.mode("append").partitionBy("ref_id").parquet(path)
+    return scan_long_observations(obs.sparkSession, path, columns=["sample_id", "ts", "ref_id", "b02", *OPTIONAL])
 
 
 @query("ref_id_from_path", "samples", sql="""SELECT sample_id, CASE WHEN extract = 0 THEN ref_id WHEN extract = 1 THEN ref_id ELSE sample_id END AS found FROM samples""")
@@ -92,51 +102,140 @@ def q_ref_id(samples: DataFrame) -> DataFrame:
     return samples.select("sample_id", ref_id_of(path).alias("found"))
 
 
-def query_samples(samples: DataFrame, bbox=None, ref_ids=None, cropland: bool = True, flag: int | None = 1) -> DataFrame:
-    """Samples by box, cropland code range, datasets and extract flag; one of box and datasets is needed."""
+def buffered(bbox: tuple[float, float, float, float], metres: float) -> tuple[float, float, float, float]:
+    """A box (west, south, east, north) widened by a square buffer in web Mercator."""
+    across = math.degrees(metres / EARTH)
+
+    def moved(lat: float, by: float) -> float:
+        y = math.log(math.tan(math.pi / 4 + math.radians(lat) / 2)) * EARTH + by
+        return math.degrees(2 * math.atan(math.exp(y / EARTH)) - math.pi / 2)
+
+    w, s, e, n = bbox
+    return w - across, moved(s, -metres), e + across, moved(n, metres)
+
+
+def query_samples(samples: DataFrame, bbox=None, ref_ids=None, buffer: float = 250_000.0, cropland: bool = True, crop_types=None, least_flag: int | None = None) -> DataFrame:
+    """Samples by buffered box, cropland code range, list of codes, datasets and least extract flag; one of box and datasets is needed."""
     if bbox is None and not ref_ids:
         raise ValueError("give a box or dataset ids")
     out = samples
     if ref_ids:
         out = out.where(F.col("ref_id").isin(*ref_ids))
-    if bbox:
-        w, s, e, n = bbox
+    if bbox is not None:
+        w, s, e, n = buffered(bbox, buffer)
         out = out.where(F.col("lon").between(w, e) & F.col("lat").between(s, n))
     if cropland:
         out = out.where((F.col("ewoc_code") > 1100000000) & (F.col("ewoc_code") < 1115000000))
-    return out if flag is None else out.where(F.col("extract") >= flag)
+    if crop_types is not None:
+        out = out.where(F.col("ewoc_code").isin(*crop_types))
+    return out if least_flag is None else out.where(F.col("extract") >= least_flag)
 
 
-BOX = (-120.0, -40.0, 60.0, 40.0)
-_BOX = "lon BETWEEN -120 AND 60 AND lat BETWEEN -40 AND 40 AND ewoc_code > 1100000000 AND ewoc_code < 1115000000"
+def query_public_samples(samples: DataFrame, bbox=None, ref_ids=None, buffer: float = 250_000.0, cropland: bool = True, crop_types=None, collateral: bool = True) -> DataFrame:
+    """Public samples; collateral ones (flag 0) only where they are wanted."""
+    return query_samples(samples, bbox, ref_ids, buffer, cropland, crop_types, 0 if collateral else 1)
 
 
-@query("query_public_samples", "samples", sql=f"SELECT sample_id, ref_id FROM samples WHERE {_BOX} AND extract >= 1")
-def q_public(samples: DataFrame) -> DataFrame:
-    return query_samples(samples, BOX).select("sample_id", "ref_id")
+def query_private_samples(spark: SparkSession, path: str, bbox=None, ref_ids=None, buffer: float = 250_000.0, cropland: bool = True, crop_types=None) -> DataFrame:
+    """The same over a tree of folders by dataset, whatever the flags; a path without files gives no rows."""
+    try:
+        found = spark.read.parquet(path)
+    except AnalysisException as e:
+        if (e.getCondition() or "").split(".")[0] not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return spark.createDataFrame([], SAMPLE_SCHEMA)
+    return query_samples(found, bbox, ref_ids, buffer, cropland, crop_types)
 
 
-@query("query_private_samples", "samples", sql=f"SELECT sample_id, ref_id FROM samples WHERE {_BOX} AND ref_id LIKE '2018%'")
-def q_private(samples: DataFrame) -> DataFrame:
-    return query_samples(samples.where(F.col("ref_id").startswith("2018")), BOX, flag=None).select("sample_id", "ref_id")
+def query_samples_union(public: DataFrame, private: DataFrame, legend: DataFrame) -> DataFrame:
+    """Public and private samples with their labels, without helper columns; an error when there are none."""
+    both = public.withColumn("source", F.lit("public")).unionByName(private.withColumn("source", F.lit("private")), allowMissingColumns=True).drop("feature_index")
+    if both.isEmpty():
+        raise ValueError("no samples found")
+    labels = legend.select("ewoc_code", "label_full", "sampling_label")
+    known = F.broadcast(labels) if labels.limit(100_001).count() <= 100_000 else labels
+    return both.join(known, "ewoc_code", "left").fillna("Unknown", ["label_full", "sampling_label"])
+
 
+def sample_totals(samples: DataFrame) -> DataFrame:
+    """Samples and crop types by source and dataset, by source, and of all (null for what is summed over)."""
+    return samples.rollup("source", "ref_id").agg(F.countDistinct("sample_id").alias("n"), F.countDistinct("label_full").alias("n_types"))
 
-@query("query_samples_union", "samples", sql=f"""SELECT source, ref_id, count(DISTINCT sample_id) AS n, count(DISTINCT ewoc_code) AS n_codes FROM (SELECT *, 'public' AS source FROM samples WHERE {_BOX} AND extract >= 1
-  UNION ALL SELECT *, 'private' FROM samples WHERE {_BOX} AND ref_id LIKE '2018%') GROUP BY ALL""")
-def query_samples_union(samples: DataFrame) -> DataFrame:
-    """Public and private samples, summed by source and dataset."""
-    public = query_samples(samples, BOX).withColumn("source", F.lit("public"))
-    private = query_samples(samples.where(F.col("ref_id").startswith("2018")), BOX, flag=None).withColumn("source", F.lit("private"))
-    both = public.unionByName(private, allowMissingColumns=True)
-    return both.groupBy("source", "ref_id").agg(F.countDistinct("sample_id").alias("n"), F.countDistinct("ewoc_code").alias("n_codes"))
 
+EARTH = 6378137.0
+SAMPLE_SCHEMA = "sample_id string, lat double, lon double, ewoc_code bigint, extract int, valid_time date, ref_id string"
+BOX = (-110.0, -35.0, 50.0, 35.0)
+CODES = tuple(1100000000 + k * 500000 + m * 1000 for k in range(2, 30, 3) for m in range(1, 6))
+_W, _S, _E, _N = buffered(BOX, 250_000.0)
+_BOX = f"lon BETWEEN {_W!r}e0 AND {_E!r}e0 AND lat BETWEEN {_S!r}e0 AND {_N!r}e0 AND ewoc_code > 1100000000 AND ewoc_code < 1115000000"
+_CODES = f"ewoc_code IN ({', '.join(map(str, CODES))})"
 
-@query("get_reference_samples", "samples", sql="SELECT sample_id, valid_time FROM samples WHERE lon BETWEEN -120 AND 60 AND valid_time BETWEEN DATE '2020-06-01' AND DATE '2021-06-01' AND quality_lc >= 20 AND quality_ct >= 2 AND extract > 0")
-def get_reference_samples(samples: DataFrame, period=("2020-06-01", "2021-06-01"), quality=(20, 2)) -> DataFrame:
-    """Reference samples by place, period, least qualities and flag."""
-    a, b = (F.to_date(F.lit(p)) for p in period)
-    good = (F.col("quality_lc") >= quality[0]) & (F.col("quality_ct") >= quality[1]) & (F.col("extract") > 0)
-    return samples.where(F.col("lon").between(-120, 60) & F.col("valid_time").between(a, b) & good).select("sample_id", "valid_time")
+
+def private_tree(samples: DataFrame) -> str:
+    """The samples of one year, written as folders by dataset."""
+    path = scratch(samples.sparkSession, "private")
+    samples.where(F.col("ref_id").startswith("2018")).select(*(c.split()[0] for c in SAMPLE_SCHEMA.split(", "))).write.partitionBy("ref_id").parquet(path)
+    return path
+
+
+@query("query_public_samples", "samples", sql=f"""SELECT sample_id, ref_id, true AS collateral FROM samples WHERE {_BOX} AND {_CODES} AND extract >= 0
+  UNION ALL SELECT sample_id, ref_id, false FROM samples WHERE {_BOX} AND extract >= 1""")
+def q_public(samples: DataFrame) -> DataFrame:
+    listed = query_public_samples(samples, BOX, crop_types=CODES).select("sample_id", "ref_id", F.lit(True).alias("collateral"))
+    return listed.unionByName(query_public_samples(samples, BOX, collateral=False).select("sample_id", "ref_id", F.lit(False).alias("collateral")))
+
+
+@query("query_private_samples", "samples", sql=f"SELECT sample_id, ref_id FROM samples WHERE {_BOX} AND {_CODES} AND ref_id LIKE '2018%'")
+def q_private(samples: DataFrame) -> DataFrame:
+    spark = samples.sparkSession
+    found = query_private_samples(spark, private_tree(samples), BOX, crop_types=CODES)
+    return found.select("sample_id", "ref_id").unionByName(query_private_samples(spark, scratch(spark, "nothing"), BOX).select("sample_id", "ref_id"))
+
+
+@query("query_samples_union", "samples", "legend", sql=f"""SELECT source, ref_id, count(DISTINCT sample_id) AS n, count(DISTINCT coalesce(label_full, 'Unknown')) AS n_types FROM (SELECT *, 'public' AS source FROM samples WHERE {_BOX} AND extract >= 0
+  UNION ALL SELECT *, 'private' FROM samples WHERE {_BOX} AND ref_id LIKE '2018%') LEFT JOIN legend USING (ewoc_code) GROUP BY ROLLUP (source, ref_id)""")
+def q_samples_union(samples: DataFrame, legend: DataFrame) -> DataFrame:
+    private = query_private_samples(samples.sparkSession, private_tree(samples), BOX)
+    return sample_totals(query_samples_union(query_public_samples(samples, BOX), private, legend))
+
+
+def inside(lon: Column, lat: Column, ring: list[tuple[float, float]]) -> Column:
+    """Whether a point lies in a closed ring, by the number of edges to its right."""
+    crossed = F.lit(0)
+    for (x0, y0), (x1, y1) in zip(ring, ring[1:], strict=False):
+        if y0 != y1:
+            low, high = min(y0, y1), max(y0, y1)
+            at = x0 + (lat - y0) * ((x1 - x0) / (y1 - y0))
+            crossed = crossed + F.when((lat >= low) & (lat < high) & (lon < at), 1).otherwise(0)
+    return crossed % 2 == 1
+
+
+AREA = [(-120.0, -45.0), (60.0, -45.0), (90.0, 10.0), (20.0, 50.0), (-60.0, 30.0), (-120.0, 45.0), (-120.0, -45.0)]
+_CROSSED = " + ".join(f"CASE WHEN lat >= {min(b, d)}e0 AND lat < {max(b, d)}e0 AND lon < {a}e0 + (lat - {b}e0) * {(c - a) / (d - b)!r}e0 THEN 1 ELSE 0 END" for (a, b), (c, d) in zip(AREA, AREA[1:], strict=False) if b != d).replace("--", "+").replace("- -", "+ ")
+
+
+@query("get_reference_samples", "samples", sql=f"""SELECT sample_id, ref_id, valid_time FROM samples WHERE ({_CROSSED}) % 2 = 1
+  AND valid_time BETWEEN DATE '2020-06-01' AND DATE '2021-06-01' AND {_CODES} AND quality_lc >= 20 AND quality_ct >= 2 AND extract > 0 AND (ref_id LIKE '2018%' OR ref_id LIKE '2019%')""")
+def q_reference_samples(samples: DataFrame) -> DataFrame:
+    years = [samples.where(F.col("ref_id").startswith(y)) for y in ("2018", "2019")]
+    return get_reference_samples(years, AREA, ("2020-06-01", "2021-06-01"), CODES, (20, 2), subset=True).select("sample_id", "ref_id", "valid_time")
+
+
+def get_reference_samples(datasets: list[DataFrame], ring: list[tuple[float, float]], period=None, codes=None, quality=(0, 0), subset: bool = False) -> DataFrame:
+    """Union of datasets of points, cut to a polygon, by period, codes, least qualities and (``subset``) extract flag."""
+    w, e, s, n = (f(p[k] for p in ring) for k in (0, 1) for f in (min, max))
+    kept = F.col("lon").between(w, e) & F.col("lat").between(s, n) & inside(F.col("lon"), F.col("lat"), ring)  # the box reaches the scan
+    kept = kept & (F.col("quality_lc") >= quality[0]) & (F.col("quality_ct") >= quality[1])
+    if period:
+        kept = kept & F.col("valid_time").between(*(F.to_date(F.lit(p)) for p in period))
+    if codes is not None:
+        kept = kept & F.col("ewoc_code").isin(*codes)
+    if subset:
+        kept = kept & (F.col("extract") > 0)
+    out = datasets[0].where(kept)
+    for d in datasets[1:]:
+        out = out.unionByName(d.where(kept), allowMissingColumns=True)
+    return out
 
 
 @query("load_samples_for_extraction", "samples", sql="SELECT sample_id, lat, lon, ref_id FROM samples WHERE extract >= 2")
@@ -144,9 +243,22 @@ def load_samples_for_extraction(samples: DataFrame, least: int = 2) -> DataFrame
     return samples.where(F.col("extract") >= least).select("sample_id", "lat", "lon", "ref_id")
 
 
-@query("load_point_extractions", "obs", sql="SELECT sample_id, count(*) AS n FROM obs GROUP BY sample_id")
-def load_point_extractions(obs: DataFrame) -> DataFrame:
-    return obs.groupBy("sample_id").agg(F.count("*").alias("n"))
+def load_point_extractions(spark: SparkSession, path: str, first_only: bool = False) -> DataFrame:
+    """All files of a tree, or the first of them by name."""
+    df = spark.read.option("mergeSchema", True).option("recursiveFileLookup", True).parquet(path)
+    if not first_only:
+        return df
+    first = list_partition_files(spark, path).agg(F.min("path")).first()[0]
+    return spark.read.parquet(first)
+
+
+@query("load_point_extractions", "obs", sql="SELECT sample_id, ts, b02, true AS first FROM obs WHERE ref_id = (SELECT min(ref_id) FROM obs) UNION ALL SELECT sample_id, ts, b02, false FROM obs")
+def q_point_extractions(obs: DataFrame) -> DataFrame:
+    """One file a dataset, read as a whole and the first alone."""
+    path, spark = scratch(obs.sparkSession, "points"), obs.sparkSession
+    obs.repartition(F.col("ref_id")).write.partitionBy("ref_id").parquet(path)
+    every, first = (load_point_extractions(spark, path, x).select("sample_id", "ts", "b02", F.lit(x).alias("first")) for x in (False, True))
+    return first.unionByName(every)
 
 
 @query("merge_patch_files", "obs_raw", sql="""SELECT DISTINCT sample_id, ts, b02 FROM (SELECT *, dense_rank() OVER (PARTITION BY sample_id ORDER BY line) AS r FROM obs_raw) WHERE r = 1""")
@@ -163,15 +275,20 @@ def q_append(obs: DataFrame, dekads: DataFrame) -> DataFrame:
 
 @query("load_legend_csv", "legend", sql="SELECT ewoc_code, level_1, level_2, coalesce(nullif(level_3, 'L3-1'), level_2) AS level_3 FROM legend")
 def q_legend(legend: DataFrame) -> DataFrame:
-    return legend.select("ewoc_code", "level_1", "level_2", F.coalesce(F.nullif("level_3", F.lit("L3-1")), "level_2").alias("level_3"))
+    """The legend written with dashes in its codes and gaps in its last level, and loaded."""
+    path, code = scratch(legend.sparkSession, "legend"), F.col("ewoc_code").cast("string")
+    dashed = F.concat_ws("-", F.substring(code, 1, 2), F.substring(code, 3, 2), F.expr("substr(CAST(ewoc_code AS STRING), 5)"))
+    legend.select(dashed.alias("ewoc_code"), "level_1", "level_2", F.nullif("level_3", F.lit("L3-1")).alias("level_3")).write.csv(path, sep=";", header=True)
+    levels = ["level_1", "level_2", "level_3"]
+    return load_legend_csv(legend.sparkSession, path, levels).select("ewoc_code", *levels)
 
 
 @query("job_tracking_csv", "jobs", sql="SELECT job, status, duration FROM jobs")
 def q_jobs(jobs: DataFrame) -> DataFrame:
-    """The tracking columns, as a CSV line and parsed again."""
-    line = F.to_csv(F.struct("job", "status", "duration"))
-    parsed = F.from_csv(line, "job string, status string, duration string")
-    return jobs.select(parsed.alias("r")).select("r.*")
+    """The tracking columns written as CSV and read."""
+    path = scratch(jobs.sparkSession, "jobs")
+    jobs.select("job", "status", "duration").write.csv(path, header=True)
+    return job_tracking_csv(jobs.sparkSession, path)
 
 
 def scratch(spark: SparkSession, name: str) -> str:
