@@ -256,12 +256,6 @@ def test_language_model(spark):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
-def test_class_shares_sum_to_one():
-    slots = np.zeros((3, 5), np.uint16)
-    z, e, total = maxent.shares(np.random.default_rng(1).normal(size=(20, maxent.CLASSES)).astype(np.float32), slots)
-    assert np.allclose((e / total[:, None]).sum(axis=1), 1)
-
-
 def test_quality_on_held_out_labels(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     split = F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0
