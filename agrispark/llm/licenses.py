@@ -1,18 +1,22 @@
 """License scans in DataFrame operations: sparse TF-IDF cosine to templates, then inheritance from directories.
 
-Lines are compared as well as whole texts: a line whose cosine to a template reaches the threshold is a header, a
-text that does so as a whole makes its path a licence file. Term weights are the document frequencies of the
-template terms over all texts. A line can reach the threshold only if it holds a term outside the set of commonest
-terms whose joint weight stays below it in every template, so lines without such a term are skipped without loss.
-A path without a licence of its own takes that of the licence file in the nearest directory above it.
+Three kinds of pieces of a text are compared with short notices, headers and whole licences: each line, each block of
+several lines (lines without an empty one between them), and the whole text. A line or block whose cosine to a template
+reaches the threshold is a header; a text that is yet closer (``WHOLE``) as a whole, that has nothing but headers, or that is so named
+and has a header, is a licence file. Term weights are the document frequencies of the template terms over all texts.
+A piece can reach the threshold only if it holds a term outside the set of commonest terms whose joint weight stays
+below it in every template, so pieces without such a term are skipped without loss. A path without a licence of its
+own takes that of the licence file in the nearest directory above it, the root being the last.
 
 Edge cases: null and empty texts have no licence of their own but may inherit; equal scores go to the smaller name;
-repeated rows give repeated results; several licence files in a directory give the best score's; a path without
-directories inherits nothing.
+rows are told apart by id, path and text, null or not, so repeated rows give repeated results and several texts under
+one id don't mix; several licence files in a directory give the best score's; a null path inherits nothing; only the
+named columns are read.
 """
 
 from __future__ import annotations
 
+import json
 import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,6 +25,8 @@ from pyspark.sql import functions as F
 from agrispark.llm.common import table, written
 
 THRESHOLD = 0.7
+#: A whole text this close to a template is a licence file; below it may be a short file under a header.
+WHOLE = 0.9
 #: Short notices by licence (fixed values).
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0",
@@ -34,43 +40,74 @@ TEMPLATES = {
 }
 
 
+_GRANT = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:\n\nThe above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."
+_AS_IS = "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+_BSD_HEAD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.\n\n2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+_BSD_NAMES = "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+_BSD_TAIL = "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+_GPL = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {0} as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.\n\nThis program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {0} for more details.\n\nYou should have received a copy of the GNU {0} along with this program. If not, see <https://www.gnu.org/licenses/>."
+#: Whole licences, and the headers of those that are too long to repeat (fixed values).
+WHOLE_TEXTS = {
+    "AGPL-3.0": _GPL.format("Affero General Public License"),
+    "Apache-2.0": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at\n\nhttp://www.apache.org/licenses/LICENSE-2.0\n\nUnless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.",
+    "BSD-2-Clause": f"{_BSD_HEAD}\n\n{_BSD_TAIL}",
+    "BSD-3-Clause": f"{_BSD_HEAD}\n\n{_BSD_NAMES}\n\n{_BSD_TAIL}",
+    "GPL-3.0": _GPL.format("General Public License"),
+    "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.\n\nTHE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+    "LGPL-3.0": _GPL.format("Lesser General Public License"),
+    "MIT": f"{_GRANT}\n\n{_AS_IS}",
+    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+    "Unlicense": f"This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.\n\n{_AS_IS}",
+    "Zlib": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.\n\nPermission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:\n\n1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required.\n\n2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.\n\n3. This notice may not be removed or altered from any source distribution.",
+}
+
+
+def variants(templates: dict[str, str] | None) -> dict[tuple[str, int], str]:
+    """The texts to compare with, by licence and number: the given ones, or notices and whole texts."""
+    if templates is not None:
+        return {(k, 0): t for k, t in templates.items()}
+    return {(k, n): t for n, d in enumerate((TEMPLATES, WHOLE_TEXTS)) for k, t in d.items()}
+
+
+def literal_rows(spark: SparkSession, rows: list, schema: str) -> DataFrame:
+    """A small table as one literal, made without Python workers."""
+    return spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema}>>")))
+
+
 def terms(text: Column) -> Column:
     """Lower-case words of letters and digits, dots inside numbers kept."""
     return F.filter(F.split(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}.]+|\.(?!\d)", " "), " +"), lambda w: w != "")
 
 
-def template_terms(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
-    rows = spark.createDataFrame(list(templates.items()), "license string, text string")
-    return rows.select("license", F.explode(terms(F.col("text"))).alias("term")).groupBy("license", "term").agg(F.count("*").alias("tf"))
-
-
-def weighted_templates(texts: DataFrame, templates: dict[str, str]) -> tuple[list[tuple], int]:
-    """``(license, term, weight, idf)`` rows of unit vectors, one for each term of each template, and the number of texts."""
+def weighted_templates(texts: DataFrame, templates: dict[tuple[str, int], str]) -> tuple[list[dict], int]:
+    """Rows ``(license, variant, term, w, idf)`` of unit vectors, one for each term of each template, and the number of texts."""
     spark = texts.sparkSession
-    wanted = template_terms(spark, templates)
-    vocabulary = [r["term"] for r in wanted.select("term").distinct().collect()]
-    known = F.array(*map(F.lit, vocabulary))
+    given = [{"license": k, "variant": v, "text": t} for (k, v), t in templates.items()]
+    wanted = (
+        literal_rows(spark, given, "license:string,variant:int,text:string").select("license", "variant", F.explode(terms(F.col("text"))).alias("term"))
+        .groupBy("license", "variant", "term").agg(F.count("*").alias("tf")).collect()
+    )
+    known = F.from_json(F.lit(json.dumps(sorted({r["term"] for r in wanted}))), "array<string>")
     held = texts.select(F.explode_outer(F.array_intersect(terms(F.coalesce("text", F.lit(""))), known)).alias("term"))
     df = {r["term"]: r["n"] for r in held.groupBy("term").agg(F.count("*").alias("n")).collect()}
     n = texts.count()
-    counted: dict[str, dict[str, int]] = {name: {} for name in templates}
-    for r in wanted.collect():
-        counted[r["license"]][r["term"]] = r["tf"]
-    rows = []
-    for name in templates:
-        own = {t: tf * (1 + math.log((1 + n) / (1 + df.get(t, 0)))) for t, tf in counted[name].items()}
-        size = math.sqrt(sum(w * w for w in own.values()))
-        rows += [(name, t, w / size, 1 + math.log((1 + n) / (1 + df.get(t, 0)))) for t, w in own.items()]
-    return rows, n
-
-
-def telling_terms(rows: list[tuple], threshold: float) -> list[str]:
-    """Terms without which no line reaches the threshold: the commonest are left out while their joint weight stays below it."""
-    by_license: dict[str, dict[str, float]] = {}
+    idf = {r["term"]: 1 + math.log((1 + n) / (1 + df.get(r["term"], 0))) for r in wanted}
+    sizes: dict[tuple[str, int], float] = {}
+    for r in wanted:
+        sizes[r["license"], r["variant"]] = sizes.get((r["license"], r["variant"]), 0.0) + (r["tf"] * idf[r["term"]]) ** 2
+    return [
+        {"license": r["license"], "variant": r["variant"], "term": r["term"], "w": r["tf"] * idf[r["term"]] / math.sqrt(sizes[r["license"], r["variant"]]), "idf": idf[r["term"]]}
+        for r in wanted
+    ], n
+
+
+def telling_terms(rows: list[dict], threshold: float) -> list[str]:
+    """Terms without which no piece reaches the threshold: the commonest are left out while their joint weight stays below it."""
+    by_license: dict[tuple[str, int], dict[str, float]] = {}
     idf: dict[str, float] = {}
-    for name, t, w, i in rows:
-        by_license.setdefault(name, {})[t] = w
-        idf[t] = i
+    for r in rows:
+        by_license.setdefault((r["license"], r["variant"]), {})[r["term"]] = r["w"]
+        idf[r["term"]] = r["idf"]
     common: set[str] = set()
     for t in sorted(idf, key=lambda x: (idf[x], x)):
         if all(math.sqrt(sum(w * w for u, w in own.items() if u in common or u == t)) < threshold for own in by_license.values()):
@@ -78,57 +115,70 @@ def telling_terms(rows: list[tuple], threshold: float) -> list[str]:
     return sorted(set(idf) - common)
 
 
-def cosines(pieces: DataFrame, key: list[str], rows: list[tuple], n: int, threshold: float) -> DataFrame:
-    """``(key, license, score)`` of pieces (key, words) that reach the threshold for some template."""
-    spark = pieces.sparkSession
-    vectors = spark.createDataFrame(rows, "license string, term string, w double, idf double")
+def cosines(pieces: DataFrame, key: list[str], rows: list[dict], n: int, threshold: float) -> DataFrame:
+    """``(key, license, score)`` of pieces (key, words) that reach the threshold for some template of the licence."""
+    vectors = literal_rows(pieces.sparkSession, rows, "license:string,variant:int,term:string,w:double,idf:double")
     unseen = 1 + math.log(1 + n)
-    telling = F.array(*map(F.lit, telling_terms(rows, threshold)))
+    telling = F.from_json(F.lit(json.dumps(telling_terms(rows, threshold))), "array<string>")
     likely = pieces.where(F.arrays_overlap("words", telling))
     counted = likely.select(*key, F.explode("words").alias("term")).groupBy(*key, "term").agg(F.count("*").alias("tf"))
     # words outside the templates count with the largest weight, that of a word no text holds
     idf = vectors.select("term", "idf").distinct()
     weighted = counted.join(F.broadcast(idf), "term", "left").withColumn("x", F.col("tf") * F.coalesce("idf", F.lit(unseen)))
     sizes = weighted.groupBy(*key).agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("size"))
-    dots = weighted.join(F.broadcast(vectors.select("license", "term", "w")), "term").groupBy(*key, "license").agg(F.sum(F.col("x") * F.col("w")).alias("dot"))
-    return dots.join(sizes, key).select(*key, "license", F.round(F.col("dot") / F.col("size"), 6).alias("score")).where(F.col("score") >= threshold)
+    dots = (
+        weighted.where("idf is not null").join(F.broadcast(vectors.select("license", "variant", "term", "w")), "term")
+        .groupBy(*key, "license", "variant").agg(F.sum(F.col("x") * F.col("w")).alias("dot"))
+    )
+    scores = dots.join(sizes, key).withColumn("score", F.round(F.col("dot") / F.col("size"), 6)).where(F.col("score") >= threshold)
+    return scores.groupBy(*key, "license").agg(F.max("score").alias("score"))
+
+
+def pieces_of(texts: DataFrame) -> DataFrame:
+    """``(_k, kind, piece, words)``: lines (kind 0), blocks of several lines (1) and texts of several lines (2)."""
+    full = lambda x: F.trim(x) != ""
+    lines = F.filter(F.split("text", "\n"), full)
+    blocks = F.filter(F.split("text", r"\n[ \t\r]*\n"), lambda b: F.size(F.filter(F.split(b, "\n"), full)) > 1)
+    whole = F.filter(F.array("text"), lambda x: F.size(lines) > 1)
+    # one array of all pieces: beside it only the key goes along with each of its elements
+    every = F.concat(*(F.transform(F.coalesce(x, F.array().cast("array<string>")), lambda y, k=k: F.struct(F.lit(k).alias("kind"), y.alias("x"))) for k, x in enumerate((lines, blocks, whole))))
+    return texts.select("_k", F.posexplode(every).alias("piece", "p")).select("_k", "p.kind", "piece", terms(F.col("p.x")).alias("words"))
 
 
 def scanned(docs: DataFrame, id_col: str, path: Column, text_col: str = "text", templates: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """Per row: ``id_col, path, own_license, score, n_headers, is_file, license, inherited_from``."""
-    templates = templates or TEMPLATES
-    texts = docs.select(F.col(id_col).alias("_id"), path.alias("_path"), F.col(text_col).alias("text"))
-    rows, n = weighted_templates(texts, templates)
-    lines = texts.select("_id", "_path", F.posexplode(F.split("text", "\n")).alias("line", "l")).where("l <> ''")
-    pieces = lines.select("_id", "_path", "line", terms(F.col("l")).alias("words"))
-    found = written(cosines(pieces, ["_id", "_path", "line"], rows, n, threshold), "headers")
-    best = found.groupBy("_id", "_path").agg(
-        F.min_by(F.struct("license", "score"), F.struct(-F.col("score"), F.col("license"))).alias("b"), F.countDistinct("line").alias("n_headers")
+    named_rows = docs.select(F.col(id_col).alias("_id"), path.alias("_path"), F.col(text_col).alias("text"))
+    key = F.xxhash64(F.col("_id").isNull(), "_id", F.col("_path").isNull(), "_path", F.col("text").isNull(), "text")
+    texts = named_rows.select(key.alias("_k"), "_id", "_path", "text")
+    rows, n = weighted_templates(texts, variants(templates))
+    # equal rows share a key: their terms count twice, which leaves a cosine as it is
+    found = written(cosines(pieces_of(texts), ["_k", "kind", "piece"], rows, n, threshold), "headers")
+    best = found.groupBy("_k").agg(
+        F.min_by(F.struct("license", "score"), F.struct(-F.col("score"), F.col("license"))).alias("b"),
+        F.countDistinct(F.when(F.col("kind") == 0, F.col("piece"))).alias("lines"), F.countDistinct(F.when(F.col("kind") == 1, F.col("piece"))).alias("blocks"),
+        F.max((F.col("kind") == 2) & (F.col("score") >= WHOLE)).alias("whole"),
     )
-    # a text that is nothing but its notices is a licence file, as is one so named
-    n_lines = texts.select("_id", "_path", F.size(F.filter(F.split("text", "\n"), lambda x: F.trim(x) != "")).alias("n_lines"))
+    n_lines = F.size(F.filter(F.split("text", "\n"), lambda x: F.trim(x) != ""))
     named = F.upper(F.element_at(F.split("_path", "/"), -1)).rlike(r"^(LICEN[CS]E|COPYING|NOTICE)(\..*)?$")
     own = written(
-        texts.select("_id", "_path").distinct().join(best, ["_id", "_path"], "left")
-        .join(n_lines.groupBy("_id", "_path").agg(F.max("n_lines").alias("n_lines")), ["_id", "_path"], "left")
-        .select("_id", "_path", F.col("b.license").alias("own"), F.col("b.score").alias("score"), F.coalesce("n_headers", F.lit(0)).cast("long").alias("n_headers"),
-                F.coalesce(F.col("b").isNotNull() & (named | (F.col("n_headers") >= F.col("n_lines"))), F.lit(False)).alias("is_file")),
+        texts.select("_k", "_id", "_path", n_lines.alias("n_lines")).join(best, "_k", "left")
+        .select("_k", "_id", "_path", F.col("b.license").alias("own"), F.col("b.score").alias("score"), (F.coalesce("lines", F.lit(0)) + F.coalesce("blocks", F.lit(0))).cast("long").alias("n_headers"),
+                F.coalesce(F.col("b").isNotNull() & (F.col("whole") | F.coalesce(named, F.lit(False)) | (F.col("lines") >= F.col("n_lines"))), F.lit(False)).alias("is_file")),
         "own",
     )
     folder = F.regexp_replace("_path", "/?[^/]*$", "")
     files = own.where("is_file").withColumn("dir", folder).groupBy("dir").agg(F.min_by("own", F.struct(-F.col("score"), F.col("_path"))).alias("dir_license"))
     parts = F.split(folder, "/")
-    above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, F.lit(1), k), "/"))
-    steps = own.where("own is null").select("_id", "_path", F.explode(above).alias("dir")).where("dir <> ''")
-    nearest = steps.join(files, "dir").groupBy("_id", "_path").agg(F.max_by(F.struct("dir", "dir_license"), F.length("dir")).alias("up"))
-    out = own.join(nearest, ["_id", "_path"], "left")
-    decided = out.select(
-        F.col("_id").alias("_k"), F.col("_path").alias("_q"), F.col("own").alias("own_license"), "score", "n_headers", "is_file",
-        F.coalesce("own", "up.dir_license").alias("license"), F.when(F.col("own").isNull(), F.col("up.dir")).alias("inherited_from"),
+    above = F.array_distinct(F.concat(F.array(F.lit("")), F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, F.lit(1), k), "/"))))
+    # each folder once, however many paths stand in it
+    steps = own.where("own is null and _path is not null").select(folder.alias("folder"), above.alias("above")).distinct().select("folder", F.explode("above").alias("dir"))
+    nearest = steps.join(files, "dir").groupBy("folder").agg(F.max_by(F.struct("dir", "dir_license"), F.length("dir")).alias("up"))
+    out = own.withColumn("folder", folder).join(nearest, "folder", "left")
+    own_none = F.col("own").isNull()
+    return out.select(
+        F.col("_id").alias(id_col), *([F.col("_path").alias("path")] if id_col != "path" else []), F.col("own").alias("own_license"), "score", "n_headers", "is_file",
+        F.coalesce("own", "up.dir_license").alias("license"), F.when(own_none, F.col("up.dir")).alias("inherited_from"),
     )
-    same = F.col("_id").eqNullSafe(F.col("_k")) & F.col("_path").eqNullSafe(F.col("_q"))
-    kept = texts.select("_id", "_path").join(decided, same, "left").drop("_k", "_q")
-    return kept.withColumnsRenamed({"_id": id_col, "_path": "path"}) if id_col != "path" else kept.drop("_path").withColumnRenamed("_id", "path")
 
 
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
