@@ -140,8 +140,12 @@ def pieces_of(texts: DataFrame) -> DataFrame:
     lines = F.filter(F.split("text", "\n"), full)
     blocks = F.filter(F.split("text", r"\n[ \t\r]*\n"), lambda b: F.size(F.filter(F.split(b, "\n"), full)) > 1)
     whole = F.filter(F.array("text"), lambda x: F.size(lines) > 1)
+
+    def of_kind(kind: int, pieces: Column) -> Column:
+        return F.transform(F.coalesce(pieces, F.array().cast("array<string>")), lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("x")))
+
     # one array of all pieces: beside it only the key goes along with each of its elements
-    every = F.concat(*(F.transform(F.coalesce(x, F.array().cast("array<string>")), lambda y, k=k: F.struct(F.lit(k).alias("kind"), y.alias("x"))) for k, x in enumerate((lines, blocks, whole))))
+    every = F.concat(*(of_kind(k, x) for k, x in enumerate((lines, blocks, whole))))
     return texts.select("_k", F.posexplode(every).alias("piece", "p")).select("_k", "p.kind", "piece", terms(F.col("p.x")).alias("words"))
 
 
