@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from agrispark.functions.bands import NON_CROP, POSTPROCESS_NODATA, linear_scale
+from agrispark.functions.bands import NODATA, NON_CROP, POSTPROCESS_NODATA, linear_scale
 from agrispark.functions.dates import align_to_composite
 from agrispark.registry import query
 
@@ -57,30 +57,70 @@ def scl_mask(pixels: DataFrame) -> DataFrame:
     return pixels.select(*PIXEL, bad.alias("masked"), F.when(~bad, F.col("label")).alias("label"))
 
 
-def eroded(pixels: DataFrame, radius: int) -> DataFrame:
-    """Masked pixels all of whose disk is masked: those that no clear pixel reaches. Clear pixels send the rows."""
-    disk = F.col("dy") ** 2 + F.col("dx") ** 2 <= radius**2
-    bad = F.col("scl").isin(*INVALID_SCL)
-    reached = neighbours(pixels.where(~bad), radius, [], disk).select(*PIXEL).distinct()
-    return pixels.where(bad).select(*PIXEL).join(reached, PIXEL, "left_anti")
+def covered(pixels: DataFrame, sources: DataFrame, radius: int) -> DataFrame:
+    """``pixels`` with ``covered``: whether a source lies in the disk about each.
+
+    Sources become runs along their rows; a run reaches the rows within the radius as an interval, wider by half the
+    disk there. A pixel is covered where more intervals have begun than ended, one running sum along its row. So a run
+    sends 2 * radius + 1 rows, whatever its length, and nothing is joined.
+    """
+    row = Window.partitionBy("tile", "y").orderBy("x")
+    runs = sources.select(*PIXEL).withColumn("run", F.col("x") - F.row_number().over(row)).groupBy("tile", "y", "run").agg(F.min("x").alias("a"), F.max("x").alias("b"))
+    half = F.floor(F.sqrt(F.lit(radius**2) - F.col("dy") ** 2))
+    sent = runs.withColumn("dy", F.explode(F.sequence(F.lit(-radius), F.lit(radius)))).select("tile", (F.col("y") + F.col("dy")).alias("y"), (F.col("a") - half).alias("a"), (F.col("b") + half + 1).alias("b"))
+    kind = pixels.schema["x"].dataType
+    ends = sent.select("tile", "y", F.inline(F.array(*(F.struct(F.col(c).cast(kind).alias("x"), F.lit(k).alias("step")) for c, k in (("a", 1), ("b", -1))))))
+    both = pixels.withColumn("step", F.lit(None).cast("int")).unionByName(ends, allowMissingColumns=True)
+    open_ = F.coalesce(F.sum("step").over(row.rangeBetween(Window.unboundedPreceding, 0)), F.lit(0))
+    return both.withColumn("covered", open_ > 0).where("step is null").drop("step")
+
+
+def eroded(pixels: DataFrame, radius: int, masked=INVALID_SCL) -> DataFrame:
+    """Masked pixels all of whose disk is masked: those that no clear pixel reaches; outside the raster counts as masked."""
+    bad = F.coalesce(F.col("scl").isin(*masked), F.lit(False))
+    marked = covered(pixels.select(*PIXEL, bad.alias("bad")), pixels.where(~bad), radius)
+    return marked.where(F.col("bad") & ~F.col("covered")).select(*PIXEL)
+
+
+#: A cloud a tile over the given classes.
+_CLOUDS = "clouds AS (SELECT tile, y, x, CASE WHEN (x - 8 - 4 * tile) * (x - 8 - 4 * tile) + (y - 12) * (y - 12) <= 30 + 10 * tile THEN 9 ELSE scl END AS scl FROM pixels)"
+
 
+def clouds(pixels: DataFrame) -> DataFrame:
+    inside = (F.col("x") - 8 - 4 * F.col("tile")) ** 2 + (F.col("y") - 12) ** 2 <= 30 + 10 * F.col("tile")
+    return pixels.select(*PIXEL, F.when(inside, 9).otherwise(F.col("scl")).alias("scl"))
 
-@query("scl_erode_dilate", "pixels", sql="""WITH bad AS (SELECT * FROM pixels WHERE scl IN (0, 1, 3)), clear AS (SELECT * FROM pixels WHERE scl NOT IN (0, 1, 3, 8, 9, 10, 11)),
-  core AS (SELECT b.tile, b.y, b.x FROM bad b WHERE NOT EXISTS (SELECT 1 FROM clear c WHERE c.tile = b.tile AND (c.y - b.y) * (c.y - b.y) + (c.x - b.x) * (c.x - b.x) <= 1))
-  SELECT p.tile, p.y, p.x, EXISTS (SELECT 1 FROM core c WHERE c.tile = p.tile AND (c.y - p.y) * (c.y - p.y) + (c.x - p.x) * (c.x - p.x) <= 9) AS masked FROM pixels p""")
-def scl_erode_dilate(pixels: DataFrame, erode: int = 1, dilate: int = 3) -> DataFrame:
+
+def _core(bad: str) -> str:
+    return f"""{_CLOUDS}, bad AS (SELECT * FROM clouds WHERE scl IN ({bad})), clear AS (SELECT * FROM clouds WHERE scl NOT IN ({bad})),
+  core AS (SELECT b.tile, b.y, b.x FROM bad b WHERE NOT EXISTS (SELECT 1 FROM clear c WHERE c.tile = b.tile AND (c.y - b.y) * (c.y - b.y) + (c.x - b.x) * (c.x - b.x) <= 9))"""
+
+
+@query("scl_erode_dilate", "pixels", sql=f"""WITH {_core('0, 1, 3, 8, 9, 10, 11')}
+  SELECT p.tile, p.y, p.x, EXISTS (SELECT 1 FROM core c WHERE c.tile = p.tile AND (c.y - p.y) * (c.y - p.y) + (c.x - p.x) * (c.x - p.x) <= 169) AS masked FROM clouds p""")
+def q_scl_erode_dilate(pixels: DataFrame) -> DataFrame:
+    return scl_erode_dilate(clouds(pixels))
+
+
+def scl_erode_dilate(pixels: DataFrame, erode: int = 3, dilate: int = 13) -> DataFrame:
     """The mask eroded by one disk and dilated by another."""
-    disk = F.col("dy") ** 2 + F.col("dx") ** 2 <= dilate**2
-    wide = neighbours(eroded(pixels, erode), dilate, [], disk).select(*PIXEL).distinct().withColumn("m", F.lit(True))
-    return pixels.select(*PIXEL).join(wide, PIXEL, "left").select(*PIXEL, F.coalesce("m", F.lit(False)).alias("masked"))
+    return covered(pixels.select(*PIXEL), eroded(pixels, erode), dilate).withColumnRenamed("covered", "masked")
+
+
+@query("distance_to_mask", "pixels", sql=f"""WITH {_core('3, 8, 9, 10')}, d AS (SELECT p.tile, p.y, p.x, min(greatest(abs(b.y - p.y), abs(b.x - p.x))) AS distance FROM clouds p JOIN core b ON b.tile = p.tile WHERE greatest(abs(b.y - p.y), abs(b.x - p.x)) <= 16 GROUP BY ALL)
+  SELECT p.tile, p.y, p.x, CAST(coalesce(distance, 17) AS INTEGER) AS distance FROM clouds p LEFT JOIN d USING (tile, y, x)""")
+def q_distance_to_mask(pixels: DataFrame) -> DataFrame:
+    return distance_to_mask(clouds(pixels))
 
 
-@query("distance_to_mask", "pixels", sql="""WITH bad AS (SELECT * FROM pixels WHERE scl IN (0, 1, 3)), d AS (SELECT p.tile, p.y, p.x, min(greatest(abs(b.y - p.y), abs(b.x - p.x))) AS distance FROM pixels p JOIN bad b ON b.tile = p.tile WHERE greatest(abs(b.y - p.y), abs(b.x - p.x)) <= 4 GROUP BY ALL)
-  SELECT p.tile, p.y, p.x, CAST(coalesce(distance, 5) AS INTEGER) AS distance FROM pixels p LEFT JOIN d USING (tile, y, x)""")
-def distance_to_mask(pixels: DataFrame, most: int = 4) -> DataFrame:
-    """Chessboard distance to the nearest masked pixel, up to a radius (beyond it: radius + 1)."""
-    sent = neighbours(pixels.where(F.col("scl").isin(*INVALID_SCL)), most, [])
-    near = sent.groupBy(*PIXEL).agg(F.min(F.greatest(F.abs("dy"), F.abs("dx"))).alias("d"))
+def distance_to_mask(pixels: DataFrame, most: int = 16, erode: int = 3, masked=(3, 8, 9, 10)) -> DataFrame:
+    """Chessboard distance to the nearest pixel of the eroded clouds and shadows, up to a radius (beyond it: radius + 1).
+
+    Along rows first and then along columns, with the least distance kept between: 2 * most + 1 rows a pixel twice, not once squared.
+    """
+    steps = F.explode(F.sequence(F.lit(-most), F.lit(most)))
+    along = eroded(pixels, erode, masked).withColumn("s", steps).groupBy("tile", "y", (F.col("x") + F.col("s")).alias("x")).agg(F.min(F.abs("s")).alias("d"))
+    near = along.withColumn("s", steps).groupBy("tile", (F.col("y") + F.col("s")).alias("y"), "x").agg(F.min(F.greatest(F.abs("s"), F.col("d"))).alias("d"))
     return pixels.select(*PIXEL).join(near, PIXEL, "left").select(*PIXEL, F.coalesce("d", F.lit(most + 1)).alias("distance"))
 
 
@@ -111,16 +151,6 @@ def zonal_stats(pixels: DataFrame, nodata: int = 7) -> DataFrame:
     return pixels.groupBy("tile", F.col("label").alias("zone")).agg(*(c.alias(n) for n, c in stats.items()))
 
 
-@query("slope", "pixels", sql="""SELECT p.tile, p.y, p.x, round(degrees(atan(sqrt(power(sum(q.scl * (q.x - p.x) * (2 - abs(q.y - p.y))) / 160, 2) + power(sum(q.scl * (q.y - p.y) * (2 - abs(q.x - p.x))) / 160, 2)))), 4) AS slope
-  FROM pixels p JOIN pixels q ON q.tile = p.tile AND abs(q.y - p.y) <= 1 AND abs(q.x - p.x) <= 1 WHERE p.x BETWEEN 1 AND 30 AND p.y BETWEEN 1 AND 30 GROUP BY p.tile, p.y, p.x HAVING count(*) = 9""")
-def slope(pixels: DataFrame, resolution: float = 20.0) -> DataFrame:
-    """Degrees of slope by the Sobel kernels, where all nine heights are known."""
-    gx = F.sum(F.col("scl") * F.col("dx") * (2 - F.abs("dy"))) / (8 * resolution)
-    gy = F.sum(F.col("scl") * F.col("dy") * (2 - F.abs("dx"))) / (8 * resolution)
-    sums = neighbours(pixels, 1, ["scl"]).groupBy(*PIXEL).agg(gx.alias("gx"), gy.alias("gy"), F.count("*").alias("n"))
-    return sums.where("n = 9").select(*PIXEL, F.round(F.degrees(F.atan(F.sqrt(F.col("gx") ** 2 + F.col("gy") ** 2))), 4).alias("slope"))
-
-
 def votes(pixels: DataFrame, reach: int, weight: Column, excluded: int | None) -> DataFrame:
     """Votes of each label in each pixel's square, edges mirrored: a pixel sends a row for each place that sees it.
 
@@ -154,6 +184,71 @@ def cut(pixels: DataFrame) -> DataFrame:
     return pixels.where((F.col("y") < 32 - 3 * F.col("tile")) & (F.col("x") < 32 - 2 * F.col("tile")))
 
 
+_FILL = """SELECT p.tile, p.y, p.x, coalesce(p.v, a.v, b.v, c.v, d.v) AS v FROM {t} p LEFT JOIN {t} a ON a.tile = p.tile AND a.y = p.y AND a.x = p.x - 1 LEFT JOIN {t} b ON b.tile = p.tile AND b.y = p.y AND b.x = p.x + 1
+  LEFT JOIN {t} c ON c.tile = p.tile AND c.y = p.y - 1 AND c.x = p.x LEFT JOIN {t} d ON d.tile = p.tile AND d.y = p.y + 1 AND d.x = p.x"""
+_SLOPE = f"""WITH {_CUT}, d0 AS (SELECT tile, y, x, CASE WHEN scl <> 2 THEN floor(prob * 200) END AS v FROM raster), d1 AS ({_FILL.format(t='d0')}), d2 AS ({_FILL.format(t='d1')}),
+  py AS (SELECT * FROM d2 UNION ALL SELECT d2.tile, h, x, v FROM d2 JOIN size USING (tile) WHERE h % 2 = 1 AND y = h - 2), px AS (SELECT * FROM py UNION ALL SELECT py.tile, y, w, v FROM py JOIN size USING (tile) WHERE w % 2 = 1 AND x = w - 2),
+  bl AS (SELECT tile, y // 2 AS y, x // 2 AS x, avg(v) AS v FROM px GROUP BY ALL), bs AS (SELECT tile, (h + 1) // 2 AS h, (w + 1) // 2 AS w FROM size),
+  nb AS (SELECT p.tile, p.y, p.x, dy, dx, {_MIRROR.format(i='(p.y + dy)', n='h')} AS ny, {_MIRROR.format(i='(p.x + dx)', n='w')} AS nx FROM bl p JOIN bs USING (tile), range(-1, 2) a(dy), range(-1, 2) b(dx)),
+  g AS (SELECT nb.tile, nb.y, nb.x, sum(q.v * dx * (2 - abs(dy))) / 160 AS gx, sum(q.v * dy * (2 - abs(dx))) / 160 AS gy FROM nb JOIN bl q ON q.tile = nb.tile AND q.y = ny AND q.x = nx WHERE q.v IS NOT NULL GROUP BY nb.tile, nb.y, nb.x HAVING count(*) = 9),
+  s AS (SELECT tile, y, x, degrees(atan(sqrt(gx * gx + gy * gy))) AS s FROM g), f AS (SELECT d0.*, y * (h - 1e0) / (2 * h - 1) AS fy, x * (w - 1e0) / (2 * w - 1) AS fx FROM d0 JOIN bs USING (tile)),
+  k AS (SELECT f.*, floor(fy) + i AS ky, floor(fx) + j AS kx, (CASE WHEN i = 0 THEN 1 - (fy - floor(fy)) ELSE fy - floor(fy) END) * (CASE WHEN j = 0 THEN 1 - (fx - floor(fx)) ELSE fx - floor(fx) END) AS k FROM f, range(0, 2) a(i), range(0, 2) b(j))
+  SELECT k.tile, k.y, k.x, CAST(CASE WHEN bool_or(k.v IS NULL) OR count(s.s) < count(*) THEN 65535 ELSE floor(round(sum(k.k * s.s), 6)) END AS INTEGER) AS slope FROM k LEFT JOIN s ON s.tile = k.tile AND s.y = ky AND s.x = kx WHERE k.k > 1e-9 GROUP BY k.tile, k.y, k.x"""
+
+
+@query("slope", "pixels", sql=_SLOPE)
+def q_slope(pixels: DataFrame) -> DataFrame:
+    """Heights from probabilities, unknown where the class is 2."""
+    return slope(cut(pixels).select(*PIXEL, F.when(F.col("scl") == 2, NODATA).otherwise(F.floor(F.col("prob") * 200)).alias("elevation")))
+
+
+def filled(heights: DataFrame) -> DataFrame:
+    """Unknown heights ``v`` take that of the first known neighbour: left, right, above, below."""
+    sides = F.array(*(F.struct(F.lit(k).alias("k"), (F.col("y") + dy).alias("y"), (F.col("x") + dx).alias("x")) for k, (dy, dx) in enumerate([(0, 1), (0, -1), (1, 0), (-1, 0)])))
+    sent = heights.where("v is not null").select("tile", "v", F.explode(sides).alias("s")).groupBy("tile", "s.y", "s.x").agg(F.min_by("v", "s.k").alias("near"))
+    return heights.join(sent, PIXEL, "left").select(*PIXEL, F.coalesce("v", "near").alias("v"))
+
+
+def slope(pixels: DataFrame, resolution: int = 10) -> DataFrame:
+    """Whole degrees of slope from ``elevation``, 65535 where it is unknown.
+
+    Unknown heights are filled from neighbours twice; block means bring the grid to 20 m (an odd edge is reflected);
+    Sobel kernels with mirrored edges give the slope where all nine means are known; bilinear weights take it back to
+    the pixels, the corner ones of both grids falling together.
+    """
+    factor = 20 // resolution
+    if factor < 1 or factor % 2:
+        raise ValueError(f"no slope at a resolution of {resolution} m")
+    raw = pixels.select(*PIXEL, F.nullif("elevation", F.lit(NODATA)).cast("double").alias("v"))
+    blocks = {c: F.ceil(F.col(n) / factor) for c, n in (("y", "h"), ("x", "w"))}
+
+    def padded(c: str, n: str) -> Column:
+        """The pixel's own index and that beyond an edge for which it stands."""
+        other = 2 * (F.col(n) - 1) - F.col(c)
+        beyond = (other >= F.col(n)) & (other < blocks[c] * factor)
+        return F.when(beyond, F.array(F.col(c), other)).otherwise(F.array(c))
+
+    grown = sized(filled(filled(raw))).withColumn("py", F.explode(padded("y", "h"))).withColumn("px", F.explode(padded("x", "w")))
+    coarse = grown.groupBy("tile", F.floor(F.col("py") / factor).alias("y"), F.floor(F.col("px") / factor).alias("x"), blocks["y"].alias("h"), blocks["x"].alias("w")).agg(F.avg("v").alias("v"))
+    offsets = F.sequence(F.lit(-1), F.lit(1))
+    wanted = coarse.select(*PIXEL, "h", "w").withColumn("dy", F.explode(offsets)).withColumn("dx", F.explode(offsets))
+    keyed = wanted.select(*PIXEL, "dy", "dx", mirrored(F.col("y") + F.col("dy"), F.col("h")).alias("ny"), mirrored(F.col("x") + F.col("dx"), F.col("w")).alias("nx"))
+    known = coarse.where("v is not null").select("tile", F.col("y").alias("ny"), F.col("x").alias("nx"), "v")
+    gx, gy = (F.sum(F.col("v") * F.col(a) * (2 - F.abs(b))) / (8 * 20) for a, b in (("dx", "dy"), ("dy", "dx")))
+    sums = keyed.join(known, ["tile", "ny", "nx"]).groupBy(*PIXEL).agg(gx.alias("gx"), gy.alias("gy"), F.count("*").alias("n")).where("n = 9")
+    degrees = sums.select("tile", F.col("y").alias("by"), F.col("x").alias("bx"), F.degrees(F.atan(F.sqrt(F.col("gx") ** 2 + F.col("gy") ** 2))).alias("s"))
+
+    def corners(c: str, n: str) -> Column:
+        """(block, weight) of the two blocks about a pixel."""
+        at = F.col(c) * (blocks[c] - 1) / (blocks[c] * factor - 1)
+        return F.array(*(F.struct((F.floor(at) + k).alias("at"), (at - F.floor(at) if k else 1 - (at - F.floor(at))).alias("k")) for k in (0, 1)))
+
+    fine = sized(raw).withColumn("cy", F.explode(corners("y", "h"))).withColumn("cx", F.explode(corners("x", "w"))).withColumn("k", F.col("cy.k") * F.col("cx.k")).where("k > 1e-9")
+    met = fine.select(*PIXEL, "v", "k", F.col("cy.at").alias("by"), F.col("cx.at").alias("bx")).join(degrees, ["tile", "by", "bx"], "left")
+    known_all = F.bool_and(F.col("v").isNotNull() & F.col("s").isNotNull())
+    return met.groupBy(*PIXEL).agg(F.when(known_all, F.floor(F.round(F.sum(F.col("k") * F.col("s")), 6))).otherwise(NODATA).cast("int").alias("slope"))
+
+
 @query("majority_vote", "pixels", sql=f"""WITH {_CUT}, n AS ({_NEAR}),
   v AS (SELECT n.tile, n.y, n.x, q.label, count(*) AS w FROM n JOIN raster q ON q.tile = n.tile AND q.y = ny AND q.x = nx WHERE q.label <> 3 GROUP BY ALL),
   best AS (SELECT tile, y, x, arg_min(label, -w * 100 + label) AS label FROM v GROUP BY ALL)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from agrispark.functions.bands import NODATA
 from agrispark.operators.relations import _CELLS, cell_summary, cells_of
 from agrispark.registry import query
+from agrispark.storage import scratch
 
 SEED = 42
 
@@ -70,9 +71,12 @@ def cell_classes(samples: DataFrame) -> DataFrame:
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """``df`` computed once and cut from its plan, so that loops don't grow it."""
+    """``df`` computed once and checkpointed to shared storage, so that loops don't grow its plan and lost executors cost no work."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(scratch(df.sparkSession, "checkpoints"))
     kept = df.persist()
-    out = kept.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else kept.localCheckpoint()
+    out = kept.checkpoint()
     kept.unpersist()
     return out
 
@@ -140,25 +144,58 @@ def ensure_recent_years(samples: DataFrame, least: int = 30) -> DataFrame:
 
 
 @query("correct_split_budget", "samples")
-def correct_split_budget(samples: DataFrame, share: float = 0.15, tolerance: float = 0.02) -> DataFrame:
-    """Cells moved one way between training and each held-out split until its share is within the tolerance.
+def correct_split_budget(samples: DataFrame) -> DataFrame:
+    return balanced(first_split(samples)).select("cell", "n", "split")
 
-    For each split, the cells that may move are ordered by size (smallest first) and taken while their running sum is
-    within the gap; one window over the cell table in place of single moves.
+
+def balanced(cells: DataFrame, shares=(0.7, 0.15, 0.15), tolerance: float = 0.02, most_moves: int = 200, least_recent: int = 1) -> DataFrame:
+    """Cells (cell, region, n, classes, recent, split) moved one by one towards the shares of train, val and test.
+
+    A move goes from a split above its share by more than the tolerance to one below; of the cells that may leave, that
+    whose move brings the two nearest to their shares (the first by name of ties). A cell may not leave that alone holds
+    a class of its split (in val and test: of its region there), nor one whose recent samples test needs. It ends when
+    no such pair or move is left. A move is one aggregation over the cells; the driver holds totals and the moves only.
     """
-    cells = first_split(samples)
-    total = cells.agg(F.sum("n")).first()[0] or 0
-    out = cells.select("cell", "n", "split")
-    for part in ("test", "val"):
-        have = out.where(F.col("split") == part).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-        gap = share * total - have
-        if abs(gap) <= tolerance * total:
-            continue
-        origin, to = ("train", part) if gap > 0 else (part, "train")
-        running = F.sum("n").over(Window.orderBy("n", "cell").rowsBetween(Window.unboundedPreceding, 0))
-        moved = out.where(F.col("split") == origin).withColumn("s", running).where(F.col("s") <= abs(gap)).select("cell", F.lit(to).alias("to"))
-        out = out.join(moved, "cell", "left").select("cell", "n", F.coalesce("to", "split").alias("split"))
-    return out
+    cells = settled(cells)
+    names = ("train", "val", "test")
+    have = {r["split"]: r for r in cells.groupBy("split").agg(F.sum("n").alias("n"), F.sum("recent").alias("recent")).collect()}
+    held = {k: have[k]["n"] if k in have else 0 for k in names}
+    recent = have["test"]["recent"] if "test" in have else 0
+    total = sum(held.values())
+    wanted = {k: total * share for k, share in zip(names, shares, strict=True)}
+    moves: dict[str, str] = {}
+
+    def placed() -> DataFrame:
+        if not moves:
+            return cells
+        to = F.create_map(*(F.lit(x) for move in moves.items() for x in move))
+        return cells.withColumn("split", F.coalesce(F.try_element_at(to, F.col("cell")), F.col("split")))
+
+    while len(moves) < most_moves:
+        gap = {k: held[k] - wanted[k] for k in names}
+        over = sorted((k for k in names if gap[k] > tolerance * total), key=lambda k: -gap[k])
+        under = sorted((k for k in names if gap[k] < -tolerance * total), key=lambda k: gap[k])
+        pairs = [(a, b) for a in over for b in under]
+        if not pairs:
+            break
+        now = placed().where(F.col("split").isin(over))
+        place = F.when(F.col("split") != "train", F.col("region"))
+        alone = now.select("cell", "split", place.alias("place"), F.explode("classes").alias("class")).groupBy("split", "place", "class").agg(
+            F.count("*").alias("k"), F.min("cell").alias("cell")
+        ).where("k = 1").select("cell").distinct()
+        free = now.join(alone, "cell", "left_anti").where((F.col("split") != "test") | (F.lit(recent) - F.col("recent") >= least_recent))
+        to = F.array(*(F.struct(F.lit(k).alias("rank"), F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(gap[a]).alias("more"), F.lit(gap[b]).alias("less")) for k, (a, b) in enumerate(pairs)))
+        tried = free.where("n > 0").select("cell", "n", "recent", "split", F.explode(to).alias("p")).where("split = p.a")
+        tried = tried.withColumn("score", F.abs(F.col("p.more") - F.col("n")) + F.abs(F.col("p.less") + F.col("n")))
+        better = tried.where(F.col("score") < F.abs("p.more") + F.abs("p.less"))
+        best = better.agg(F.min_by(F.struct("cell", "n", "recent", "p.a", "p.b"), F.struct("p.rank", "score", "cell")).alias("m")).first()["m"]
+        if best is None:
+            break
+        moves[best["cell"]] = best["b"]
+        held[best["a"]] -= best["n"]
+        held[best["b"]] += best["n"]
+        recent += best["recent"] * ((best["b"] == "test") - (best["a"] == "test"))
+    return placed()
 
 
 @query("split_distribution", "samples", sql=f"WITH {_SPLIT} SELECT split, count(*) AS n_cells, sum(n) AS n, round(sum(n) * 1e0 / sum(sum(n)) OVER (), 6) AS share FROM sp GROUP BY split")
@@ -281,13 +318,66 @@ def window_with_data(obs: DataFrame, steps: int = 3) -> DataFrame:
     return at.groupBy("sample_id").agg(F.min("ind").alias("window_start"))
 
 
-@query("sensor_masking", "obs", sql=f"""SELECT sample_id, ts, CASE WHEN {_chance("concat(sample_id, '|', CAST(ts AS VARCHAR))")} < 0.2e0 THEN 65535 ELSE b02 END AS b02, CASE WHEN {_chance('sample_id')} < 0.1e0 THEN 65535 ELSE vv END AS vv FROM obs""")
-def sensor_masking(obs: DataFrame, step_share: float = 0.2, sample_share: float = 0.1) -> DataFrame:
-    """Seeded loss of single optical steps and of whole radar series."""
-    return obs.select(
-        "sample_id", "ts", F.when(chance("sample_id", "ts") < step_share, NODATA).otherwise(F.col("b02")).alias("b02"),
-        F.when(chance("sample_id") < sample_share, NODATA).otherwise(F.col("vv")).alias("vv"),
-    )
+_STEP = "concat(sample_id, '|', CAST(ts AS VARCHAR))"
+
+
+@query("sensor_masking", "obs", sql=f"""WITH o AS (SELECT *, CAST(split_part(sample_id, '_', 1) AS INTEGER) AS elevation, row_number() OVER (PARTITION BY sample_id ORDER BY ts) - 1 AS i, count(*) OVER (PARTITION BY sample_id) AS t FROM obs),
+  k AS (SELECT *, 2 + CAST(floor({_chance('sample_id', 3)} * 4) AS INTEGER) AS len FROM o), b AS (SELECT *, CAST(floor({_chance('sample_id', 4)} * (t - len + 1)) AS INTEGER) AS start FROM k),
+  d AS (SELECT *, {_chance('sample_id', 1)} < 0.1e0 OR {_chance(_STEP, 2)} < 0.1e0 AS rd, ({_chance('sample_id', 5)} < 0.3e0 AND (len >= t OR i BETWEEN start AND start + len - 1)) OR {_chance(_STEP, 6)} < 0.2e0 AS od, vv = 65535 AND vh = 65535 AS rm, b02 = 65535 AND b04 = 65535 AS om FROM b),
+  g AS (SELECT *, count(*) FILTER (NOT (rd OR rm)) OVER s = 0 AND count(*) FILTER (NOT (od OR om)) OVER s = 0 AS lost, count(*) FILTER (od AND NOT om) OVER s AS ok, count(*) FILTER (rd AND NOT rm) OVER s AS rk,
+    row_number() OVER (s ORDER BY CASE WHEN od AND NOT om THEN 0 ELSE 1 END, {_chance(_STEP, 7)}, ts) AS first_o, row_number() OVER (s ORDER BY CASE WHEN rd AND NOT rm THEN 0 ELSE 1 END, {_chance(_STEP, 7)}, ts) AS first_r FROM d WINDOW s AS (PARTITION BY sample_id)),
+  m AS (SELECT *, od AND NOT (lost AND ok > 0 AND first_o = 1) AS od2, rd AND NOT (lost AND ok = 0 AND rk > 0 AND first_r = 1) AS rd2 FROM g)
+  SELECT sample_id, ts, CASE WHEN od2 THEN 65535 ELSE b02 END AS b02, CASE WHEN od2 THEN 65535 ELSE b04 END AS b04, CASE WHEN rd2 THEN 65535 ELSE vv END AS vv, CASE WHEN rd2 THEN 65535 ELSE vh END AS vh,
+  CASE WHEN {_chance(_STEP, 8)} < 0.1e0 THEN 65535 ELSE b08 END AS b08, CASE WHEN {_chance('sample_id', 9)} < 0.05e0 THEN 65535 ELSE elevation END AS elevation FROM m""")
+def q_sensor_masking(obs: DataFrame) -> DataFrame:
+    """b08 stands for a weather band, the first part of the id for a height."""
+    bands = {"optical": ("b02", "b04"), "radar": ("vv", "vh"), "meteo": ("b08",), "dem": ("elevation",)}
+    whole = obs.withColumn("elevation", F.split_part("sample_id", F.lit("_"), F.lit(1)).cast("int"))
+    masked = sensor_masking(whole, bands, radar_full=0.1, radar_step=0.1, cloud_block=0.3, cloud_step=0.2, meteo_step=0.1, dem_all=0.05)
+    return masked.select("sample_id", "ts", *(b for family in bands.values() for b in family))
+
+
+def sensor_masking(
+    obs: DataFrame, bands: dict[str, tuple[str, ...]], radar_full=0.0, radar_step=0.0, cloud_block=0.0, cloud_step=0.0, meteo_step=0.0, dem_all=0.0, block=(2, 5),
+) -> DataFrame:
+    """Seeded loss of sensors: radar by series or step, optical by a block of steps or by step, weather by step, heights by series.
+
+    Where that, with what is missing already, would leave a sample without any radar and optical step, one lost optical
+    step stays (if it has none, a radar one), unless the loss of that sensor is certain. All windows are by sample: one shuffle.
+    """
+    shares = {"radar_full": radar_full, "radar_step": radar_step, "cloud_block": cloud_block, "cloud_step": cloud_step, "meteo_step": meteo_step, "dem_all": dem_all}
+    if wrong := [k for k, v in shares.items() if not 0 <= v <= 1]:
+        raise ValueError(f"not in [0, 1]: {', '.join(wrong)}")
+    if block[0] > block[1]:
+        raise ValueError("the least block is longer than the longest")
+    if radar_full >= 1 and cloud_step >= 1:
+        raise ValueError("both sensors would be lost in every sample")
+
+    def gone(family: str) -> Column:
+        return F.array_min(F.array(*(F.col(b) == NODATA for b in bands[family])))
+
+    sample, step = ("sample_id",), ("sample_id", "ts")
+    by = Window.partitionBy("sample_id")
+    o = obs.withColumn("_i", F.row_number().over(by.orderBy("ts")) - 1).withColumn("_t", F.count("*").over(by))
+    o = o.withColumn("_len", block[0] + F.floor(chance(*sample, seed=3) * (block[1] - block[0] + 1)))
+    start = F.floor(chance(*sample, seed=4) * (F.col("_t") - F.col("_len") + 1))
+    in_block = (F.col("_len") >= F.col("_t")) | F.col("_i").between(start, start + F.col("_len") - 1)
+    o = o.withColumn("_rd", (chance(*sample, seed=1) < radar_full) | (chance(*step, seed=2) < radar_step))
+    o = o.withColumn("_od", ((chance(*sample, seed=5) < cloud_block) & in_block) | (chance(*step, seed=6) < cloud_step))
+    o = o.withColumn("_rm", gone("radar")).withColumn("_om", gone("optical"))
+    left = [F.count(F.when(~(F.col(d) | F.col(m)), 1)).over(by) for d, m in (("_rd", "_rm"), ("_od", "_om"))]
+    back = {"o": F.col("_od") & ~F.col("_om"), "r": F.col("_rd") & ~F.col("_rm")}
+    o = o.withColumn("_lost", (left[0] == 0) & (left[1] == 0)).withColumn("_h", chance(*step, seed=7))
+    for k, c in back.items():
+        o = o.withColumn(f"_{k}n", F.count(F.when(c, 1)).over(by)).withColumn(f"_{k}1", F.row_number().over(by.orderBy(F.when(c, 0).otherwise(1), "_h", "ts")) == 1)
+    optical_back = F.col("_lost") & (F.col("_on") > 0) & F.lit(cloud_step < 1)
+    radar_back = F.col("_lost") & ~((F.col("_on") > 0) & F.lit(cloud_step < 1)) & (F.col("_rn") > 0) & F.lit(radar_full < 1)
+    lost = {
+        "optical": F.col("_od") & ~(optical_back & F.col("_o1")), "radar": F.col("_rd") & ~(radar_back & F.col("_r1")),
+        "meteo": chance(*step, seed=8) < meteo_step, "dem": chance(*sample, seed=9) < dem_all,
+    }
+    masked = {b: F.when(lost[family], NODATA).otherwise(F.col(b)) for family, names in bands.items() for b in names}
+    return o.select(*(masked[c].alias(c) if c in masked else F.col(c) for c in obs.columns))
 
 
 @query("repeat_samples", "samples", sql="SELECT sample_id, CAST(k AS INTEGER) AS copy FROM samples, range(1, 4) r(k)")

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import math
-import tempfile
-import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -13,6 +11,7 @@ from pyspark.sql.types import NumericType
 
 from agrispark.functions.bands import NODATA
 from agrispark.registry import query
+from agrispark.storage import scratch
 
 #: Columns that files may lack, and what stands for them: no penalty, nothing flagged.
 OPTIONAL = {"outlier_score_lc": 1.0, "outlier_score_ct": 1.0, "outlier_flag_lc": "normal", "outlier_flag_ct": "normal"}
@@ -291,16 +290,6 @@ def q_jobs(jobs: DataFrame) -> DataFrame:
     return job_tracking_csv(jobs.sparkSession, path)
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path under ``spark.checkpoint.dir``; where that is unset, a temporary folder in local mode, an error on a cluster."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        base = tempfile.mkdtemp(prefix="agrispark-")
-    return f"{base}/{name}-{uuid.uuid4().hex}"
-
-
 @query("merge_partitioned_sink", "obs", sql="SELECT ref_id, count(*) AS n, max(b02) AS top FROM (SELECT ref_id, CASE WHEN ref_id LIKE '2018%' THEN 0 ELSE b02 END AS b02 FROM obs) GROUP BY ref_id")
 def q_merge_sink(obs: DataFrame) -> DataFrame:
     """All datasets written, those of one year written again with other values: only their partitions change."""
