@@ -8,6 +8,11 @@ indexed: a suffix array, its run-compressed Burrows-Wheeler transform with the s
 longest match of every suffix with its neighbour, found at run heads only and carried on by one byte less for each
 step. Suffixes that match over 100 bytes or more form classes; all but the earliest place of a class is marked.
 
+An anchor with thousands of different surroundings would bring them all to one task. A sample of the documents shows
+which these are; they are kept as a bitmap of fixed size. Around them each 100-byte string has its own key, 128 bits of
+hash, of which a batch sends the earliest place only, so a hot anchor is spread over as many tasks as it has strings.
+An anchor that shares its bit takes the same way with the same result.
+
 Edge cases: null texts count as empty; texts of fewer bytes than the length asked keep everything; matches never
 cross documents; several texts under one id, or under none, are documents of their own, in the order of a hash of
 their text; equal rows of an id are one document; null ids come first, and ids that are no whole numbers are like
@@ -29,6 +34,10 @@ ROWS_A_BUCKET = 4_000
 ROWS_A_CHUNK = 1_000
 INDEX_BYTES = 400_000
 LOWEST = -(2**63)
+#: One document in so many is looked at for hot anchors; so many different surroundings there make one.
+SAMPLED = 64
+HOT = 32
+SLOTS = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _BYTE_VALUES = mixed64(np.arange(1, 257, dtype=np.uint64))
@@ -178,6 +187,43 @@ def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int
     return at, g[at], mixed64(around + (at - left).astype(np.uint64) * np.uint64(1009) + (right - at).astype(np.uint64))
 
 
+def slot_of(anchor: np.ndarray) -> np.ndarray:
+    return ((anchor >> np.uint64(12)) % np.uint64(SLOTS)).astype(np.int64)
+
+
+_POWERS = mixed64(np.arange(1_000, 1_000 + 2 * LENGTH, dtype=np.uint64)).reshape(2, LENGTH) | np.uint64(1)
+
+
+def string_hashes(data: np.ndarray, at: np.ndarray, length: int, rows: int = 8_192) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit hashes of the strings of ``length`` that start at the places."""
+    powers = _POWERS if length == LENGTH else mixed64(np.arange(1_000, 1_000 + 2 * length, dtype=np.uint64)).reshape(2, length) | np.uint64(1)
+    out = np.empty((2, len(at)), np.uint64)
+    if len(at):
+        strings = np.lib.stride_tricks.sliding_window_view(data, length)
+        for k in range(0, len(at), rows):
+            values = _BYTE_VALUES[strings[at[k : k + rows]]]
+            for j in (0, 1):
+                out[j, k : k + rows] = mixed64((values * powers[j]).sum(axis=1, dtype=np.uint64))
+    return out[0], out[1]
+
+
+def hot_slots(keyed: DataFrame, length: int) -> np.ndarray:
+    """A bitmap of anchors with many different surroundings, from one document in ``SAMPLED``; at most ``SLOTS`` numbers reach the driver."""
+
+    def probe(batch: pa.RecordBatch):
+        data, starts, ends = _concatenated(byte_texts(batch.column(0)))
+        _, anchor, context = anchors(data, starts, ends, length)
+        columns = [anchor.view(np.int64), context.view(np.int64), slot_of(anchor)]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["anchor", "context", "slot"])
+
+    sample = keyed.where(F.pmod("doc", F.lit(SAMPLED)) == 0).select("text")
+    pairs = mapped(sample, probe, "anchor bigint, context bigint, slot bigint", 400).groupBy("anchor", "context").agg(F.min("slot").alias("slot"))
+    hot = pairs.groupBy("anchor").agg(F.count("*").alias("k"), F.min("slot").alias("slot")).where(F.col("k") >= HOT).select("slot").distinct()
+    bits = np.zeros(SLOTS, bool)
+    bits[[r["slot"] for r in hot.collect()]] = True
+    return bits
+
+
 def _concatenated(texts: list[bytes]):
     sizes = np.array([len(t) for t in texts], np.int64)
     ends = np.cumsum(sizes)
@@ -227,6 +273,20 @@ def row_of(id_col: str, text_col: str) -> Column:
     return F.xxhash64(F.col(id_col).isNull(), F.col(id_col), F.col(text_col))
 
 
+def _later(same: np.ndarray, doc: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Which of sorted entries, ``same`` as the one before or not, come after the first of theirs; equal rows at the same place don't."""
+    lead = np.maximum.accumulate(np.where(same, 0, np.arange(len(same)))) if len(same) else np.arange(0)
+    return same & ((doc != doc[lead]) | (place != place[lead]))
+
+
+def earliest(first: np.ndarray, second: np.ndarray, doc: np.ndarray, number: np.ndarray, place: np.ndarray):
+    """``(order, same, later)`` of strings given by two hashes: sorted so that the earliest place of each comes first."""
+    order = np.lexsort((place, doc, number, second, first))
+    same = np.zeros(len(order), bool)
+    same[1:] = (first[order][1:] == first[order][:-1]) & (second[order][1:] == second[order][:-1])
+    return order, same, _later(same, doc[order], place[order])
+
+
 def marked_spans(docs: DataFrame, length: int, id_col: str, text_col: str) -> tuple[DataFrame, int]:
     """Rows (kind, chunk, docs, ids, starts, ends) of repeated spans, and the number of chunks of documents.
 
@@ -237,6 +297,7 @@ def marked_spans(docs: DataFrame, length: int, id_col: str, text_col: str) -> tu
     keyed = docs.select(order_of(id_col).alias("id"), F.col(text_col).alias("text"), row_of(id_col, text_col).alias("doc"))
     names, binary = ["kind", "chunk", "docs", "ids", "starts", "ends"], "kind int, chunk int, docs binary, ids binary, starts binary, ends binary"
     out_kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 4]
+    hot = docs.sparkSession.sparkContext.broadcast(np.packbits(hot_slots(keyed, length)))
 
     def emit(batch: pa.RecordBatch):
         """Anchors by bucket; of equal anchors and surroundings in a batch the first only, the others are spans."""
@@ -249,13 +310,14 @@ def marked_spans(docs: DataFrame, length: int, id_col: str, text_col: str) -> tu
         place, doc, number, anchor, context, text = (x[order] for x in (place, doc, number, anchor, context, text))
         same = np.zeros(len(order), bool)
         same[1:] = (anchor[1:] == anchor[:-1]) & (context[1:] == context[:-1])
-        # equal rows at the same place are no earlier place
-        lead = np.maximum.accumulate(np.where(same, 0, np.arange(len(order)))) if len(order) else order
-        later = same & ((doc != doc[lead]) | (place != place[lead]))
+        later = _later(same, doc, place)
         size = (ends - starts)[text]
         spans = _span_rows(doc[later], np.maximum(place[later] - reach, 0), np.minimum(place[later] + length, size[later]), 1)
         rows = [(0, int(anchor[0] % np.uint64(buckets)), None, None, *r[2:]) for r in spans]
-        anchor, context, doc, number, place, size = (x[~same] for x in (anchor, context, doc, number, place, size))
+        known = np.unpackbits(hot.value)[slot_of(anchor)] > 0
+        rows += spread(data, starts, ends, own, ids, (starts[text] + place)[known & ~same], text[known & ~same])
+        cold = ~same & ~known
+        anchor, context, doc, number, place, size = (x[cold] for x in (anchor, context, doc, number, place, size))
         room = np.minimum(size - place, length)
         for bucket, i in _parts((anchor % np.uint64(buckets)).astype(np.int64)):
             short = (anchor[i] >> np.uint64(32)).astype(np.uint32)
@@ -263,10 +325,35 @@ def marked_spans(docs: DataFrame, length: int, id_col: str, text_col: str) -> tu
         made = _table(rows, ["kind", "bucket", "anchors", "contexts", "docs", "ids", "starts", "ends"], [pa.int32(), pa.int32(), *[pa.binary()] * 6])
         yield from made.to_batches()
 
+    def spread(data, starts, ends, own, ids, at, text) -> list[tuple]:
+        """Rows of kind 2: the strings about hot anchors by hash, the first of each in the batch; the others are spans."""
+        low, high = np.maximum(at - reach, starts[text]), np.minimum(at, ends[text] - length)
+        fit = high >= low
+        sizes = (high - low + 1)[fit]
+        begin = np.repeat(low[fit] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+        begin, one = np.unique(begin, return_index=True)
+        text = np.repeat(text[fit], sizes)[one]
+        first, second = string_hashes(data, begin, length)
+        doc, number, place = own[text], ids[text], begin - starts[text]
+        order, same, later = earliest(first, second, doc, number, place)
+        first, second, doc, number, place = (x[order] for x in (first, second, doc, number, place))
+        spans = _span_rows(doc[later], place[later], place[later] + length, 1)
+        rows = [(0, int(first[0] % np.uint64(buckets)), None, None, *r[2:]) for r in spans]
+        first, second, doc, number, place = (x[~same] for x in (first, second, doc, number, place))
+        for bucket, i in _parts((first % np.uint64(buckets)).astype(np.int64)):
+            rows.append((2, bucket, *_packed(first[i], second[i], doc[i], number[i], place[i].astype(np.int32)), None))
+        return rows
+
     def meet(group: pa.Table) -> pa.Table:
         kinds = np.array(group["kind"].to_pylist())
         given = group.filter(pa.array(kinds == 0))
         found = [_unpacked(given, ("docs", np.int64), ("starts", np.int32), ("ends", np.int32))]
+        first, second, doc, number, place = _unpacked(
+            group.filter(pa.array(kinds == 2)), ("anchors", np.uint64), ("contexts", np.uint64), ("docs", np.int64), ("ids", np.int64), ("starts", np.int32)
+        )
+        order, _, later = earliest(first, second, doc, number, place)
+        doc, place = doc[order][later], place[order][later]
+        found.append([doc, place, place + length])
         anchor, context, doc, number, place, room = _unpacked(
             group.filter(pa.array(kinds == 1)), ("anchors", np.uint32), ("contexts", np.uint64), ("docs", np.int64), ("ids", np.int64), ("starts", np.int32), ("ends", np.int32)
         )
@@ -274,8 +361,7 @@ def marked_spans(docs: DataFrame, length: int, id_col: str, text_col: str) -> tu
         anchor, context, doc, number, place, room = (x[order] for x in (anchor, context, doc, number, place, room))
         same = np.zeros(len(order), bool)
         same[1:] = (anchor[1:] == anchor[:-1]) & (context[1:] == context[:-1])
-        lead = np.maximum.accumulate(np.where(same, 0, np.arange(len(order)))) if len(order) else order
-        later = same & ((doc != doc[lead]) | (place != place[lead]))
+        later = _later(same, doc, place)
         found.append([doc[later], np.maximum(place[later] - reach, 0), place[later] + room[later]])
         rows = _span_rows(*(np.concatenate(x).astype(np.int64) for x in zip(*found, strict=True)), chunks)
         # anchors with several surroundings: one place of each is looked at byte by byte
