@@ -66,38 +66,44 @@ def below(v: np.ndarray, shift: float) -> int:
     return count
 
 
-def intervals(v: np.ndarray, wanted: int, group: int = GROUP) -> list[tuple[float, float, int]]:
-    """``(low, high, number)`` of intervals that together hold the ``wanted`` largest eigenvalues, the last perhaps more."""
+def intervals(v: np.ndarray, wanted: int, group: int = GROUP) -> list[tuple[float, float, int, int]]:
+    """``(low, high, number, about)`` of intervals that together hold the ``wanted`` largest eigenvalues, the last perhaps more.
+
+    ``about`` counts the eigenvalues within one and a half times the interval's radius of its centre. Those just outside
+    the circle pass the contour almost as well as those inside, so the block of vectors must have room for them;
+    intervals are halved until few stand there or the interval is no wider than rounding allows.
+    """
     n, radius = len(v), np.abs(v).sum(axis=1)
     low, high = float((np.diagonal(v) - radius).min()) - 1e-300, float(radius.max()) * 1.01 + 1e-300
     counts = {low: 0, high: n}
 
     def count(x: float) -> int:
         if x not in counts:
-            counts[x] = below(v, x)
+            counts[x] = 0 if x <= low else n if x >= high else below(v, x)
         return counts[x]
 
     out, todo = [], [(low, high)]
     while todo:
-        a, b = todo.pop()  # the higher half first
+        a, b = todo.pop()
         if count(b) <= n - wanted or count(a) == count(b):
             continue
-        m = (a + b) / 2
-        if (count(b) - count(a) > group or count(a) < n - wanted - group) and b - a > 1e-10 * high and a < m < b:
+        m, rim = (a + b) / 2, (b - a) / 4
+        about = count(b + rim) - count(a - rim)
+        if (count(b) - count(a) > group or about > 3 * group) and b - a > 1e-10 * high and a < m < b:
             todo += [(a, m), (m, b)]
         else:
-            out.append((a, b, count(b) - count(a)))
+            out.append((a, b, count(b) - count(a), about))
     return out
 
 
-def inside(v: np.ndarray, low: float, high: float, number: int, nodes: int = NODES) -> np.ndarray:
-    """Orthonormal columns that span the eigenvectors of the ``number`` eigenvalues between low and high."""
+def inside(v: np.ndarray, low: float, high: float, number: int, about: int, nodes: int = NODES) -> np.ndarray:
+    """Orthonormal columns that span the eigenvectors of the ``number`` eigenvalues between low and high; ``about``: as above."""
     n = len(v)
     centre, radius = (low + high) / 2, (high - low) / 2
     x, w = np.polynomial.legendre.leggauss(nodes)
     angle = np.pi / 2 * (1 - x)
     ring = radius * np.exp(1j * angle)
-    width = min(n, max(number + 4, int(1.5 * number)))
+    width = min(n, max(about, number) + 4)
     q = np.linalg.qr(np.random.default_rng(width).standard_normal((n, width)))[0]
     scale = max(float(np.abs(v).sum(axis=1).max()), 1e-300)
     held = None

@@ -16,7 +16,7 @@ def spectrum(values, seed=1):
 
 CASES = {
     "spread": np.linspace(1, 60, 64), "clustered": [5.0] * 10 + [5 + 1e-9] * 10 + [1.0] * 30, "steep": 10.0 ** -np.arange(0, 14, 0.5),
-    "rank": [3.0, 2.0] + [0.0] * 20, "one": [7.0], "two": [2.0, 1.0], "equal": [1.0] * 40,
+    "dominant": [930.0] + list(np.linspace(60.0, 70.0, 63)), "dense": np.concatenate([np.linspace(10, 11, 150), [1000.0, 1e5]]), "rank": [3.0, 2.0] + [0.0] * 20, "one": [7.0], "two": [2.0, 1.0], "equal": [1.0] * 40,
 }
 
 
@@ -47,13 +47,13 @@ def test_inertia_counts():
 
 def test_contour_keeps_only_what_is_inside():
     v = spectrum(np.arange(1.0, 41.0))
-    q = W.inside(v, 10.5, 20.5, 10)
+    q = W.inside(v, 10.5, 20.5, 10, 16)
     assert np.allclose(np.sort(np.linalg.eigvalsh(q.T @ v @ q)), np.arange(11.0, 21.0), atol=1e-10)
 
 
 def test_a_wrong_count_is_an_error():
     with pytest.raises(ArithmeticError):
-        W.inside(spectrum(np.arange(1.0, 21.0)), 2.5, 5.5, 4)
+        W.inside(spectrum(np.arange(1.0, 21.0)), 2.5, 5.5, 4, 6)
 
 
 def expected(rows):
