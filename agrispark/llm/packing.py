@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from agrispark.llm.common import mapped, slices, table, written
 
 LENGTH, END = 1024, 2
-#: Pieces in a bucket of the numbering.
+#: Pieces in a bucket of the numbering, at most; there are as many buckets as shuffle partitions at least.
 BUCKET = 200_000
 
 
@@ -142,7 +142,8 @@ def best_fit(histogram: dict[int, int], length: int = LENGTH) -> tuple[list[tupl
 
 def numbered(parts: DataFrame) -> DataFrame:
     """Pieces with ``number``, from 0 within their length."""
-    buckets = max(1, parts.count() // BUCKET)
+    partitions = int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(partitions, parts.count() // BUCKET)
     dealt = parts.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)))
     before = Window.partitionBy("length").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     base = dealt.groupBy("_bucket", "length").agg(F.count("*").alias("_n")).withColumn("_base", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
