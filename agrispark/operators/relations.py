@@ -6,14 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from agrispark.operators.geometry import TILES_SQL, tiles
+from agrispark.operators.polygons import PLACED_SQL, placed
 from agrispark.registry import query
-
-#: A dimension of at most so many rows is broadcast; a larger one is joined by shuffle.
-MOST_BROADCAST = 100_000
-
-
-def small(dimension: DataFrame) -> DataFrame:
-    return F.broadcast(dimension) if dimension.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST else dimension
+from agrispark.storage import small
 
 
 # joins
@@ -43,42 +38,10 @@ def in_rectangles(points: DataFrame, regions: DataFrame, cell: float = 10.0) ->
     return keyed.join(boxes, ["_cx", "_cy"]).where(inside).drop("_cx", "_cy")
 
 
-def region_of(samples: DataFrame, regions: DataFrame) -> DataFrame:
-    """The region of each sample: the first rectangle that holds it, else the nearest one."""
-    points = samples.select("sample_id", "lon", "lat")
-    held = in_rectangles(points, regions).groupBy("sample_id").agg(F.min(F.struct("iso3", "region")).alias("r"))
-    rest = points.join(held, "sample_id", "left_anti")
-    dx = F.greatest(F.col("w") - F.col("lon"), F.col("lon") - F.col("e"), F.lit(0.0))
-    dy = F.greatest(F.col("s") - F.col("lat"), F.col("lat") - F.col("n"), F.lit(0.0))
-    boxes = F.collect_list(F.struct("iso3", "region", "w", "e", "s", "n"))
-    # the rectangles are one bounded row, met by the unmatched points only
-    listed = regions.agg(boxes.alias("boxes"))
-    near = (
-        rest.join(F.broadcast(listed)).select("sample_id", "lon", "lat", F.explode("boxes").alias("b")).select("sample_id", "lon", "lat", "b.*")
-        .groupBy("sample_id").agg(F.min_by(F.struct("iso3", "region"), F.struct(F.round(dx * dx + dy * dy, 9), F.col("iso3"))).alias("r"))
-    )
-    return held.withColumn("nearest", F.lit(False)).unionByName(near.withColumn("nearest", F.lit(True))).select("sample_id", "r.iso3", "r.region", "nearest")
-
-
-_REGION = """reg AS (SELECT sample_id, iso3, region, d > 0 AS nearest FROM (SELECT sample_id, iso3, region, d, row_number() OVER (PARTITION BY sample_id ORDER BY d, iso3) AS k FROM
-  (SELECT sample_id, iso3, region, round(power(greatest(w - lon, lon - e, 0), 2) + power(greatest(s - lat, lat - n, 0), 2), 9) AS d FROM samples, regions)) WHERE k = 1)"""
-
-
-@query("spatial_join_within", "samples", "regions", sql="SELECT sample_id, min(iso3) AS iso3 FROM samples JOIN regions ON lon BETWEEN w AND e AND lat BETWEEN s AND n GROUP BY sample_id")
-def spatial_join_within(samples: DataFrame, regions: DataFrame) -> DataFrame:
-    return in_rectangles(samples.select("sample_id", "lon", "lat"), regions).groupBy("sample_id").agg(F.min("iso3").alias("iso3"))
-
-
-@query("nearest_polygon_join", "samples", "regions", sql=f"WITH {_REGION} SELECT * FROM reg")
-def nearest_polygon_join(samples: DataFrame, regions: DataFrame) -> DataFrame:
-    return region_of(samples, regions)
-
-
-@query("country_from_id_or_geometry", "samples", "regions", sql=f"WITH {_REGION} SELECT sample_id, CASE WHEN s.ref_id LIKE '%_100' THEN coalesce(iso3, 'Unknown') ELSE split_part(s.ref_id, '_', 2) END AS country FROM samples s LEFT JOIN reg USING (sample_id)")
-def country_from_id_or_geometry(samples: DataFrame, regions: DataFrame) -> DataFrame:
+@query("country_from_id_or_geometry", "samples", "outlines", sql=f"WITH {PLACED_SQL.format('samples')} SELECT sample_id, CASE WHEN s.ref_id LIKE '%_100' THEN coalesce(iso3, 'Unknown') ELSE split_part(s.ref_id, '_', 2) END AS country FROM samples s LEFT JOIN reg USING (sample_id)")
+def country_from_id_or_geometry(samples: DataFrame, outlines: DataFrame) -> DataFrame:
     """The code in the dataset id; for ambiguous ids that of the geometry."""
-    placed = samples.join(region_of(samples, regions).select("sample_id", "iso3"), "sample_id", "left")
-    return placed.select("sample_id", F.when(F.col("ref_id").endswith("_100"), F.coalesce("iso3", F.lit("Unknown"))).otherwise(F.split_part("ref_id", F.lit("_"), F.lit(2))).alias("country"))
+    return placed(samples.select("sample_id", "ref_id", "lon", "lat"), outlines).select("sample_id", F.when(F.col("ref_id").endswith("_100"), F.coalesce("iso3", F.lit("Unknown"))).otherwise(F.split_part("ref_id", F.lit("_"), F.lit(2))).alias("country"))
 
 
 @query("tile_assignment_join", "samples", "regions", sql=f"WITH {TILES_SQL} SELECT sample_id, min(tile_name) AS tile FROM samples LEFT JOIN t ON lon BETWEEN x0 AND x1 AND lat BETWEEN y0 AND y1 GROUP BY sample_id")
@@ -128,17 +91,17 @@ def semi_anti_filters(samples: DataFrame, legend: DataFrame) -> DataFrame:
     return kept.join(ignored, "sample_id", "left_anti").select("sample_id")
 
 
-@query("region_filter", "samples", "regions", sql=f"WITH {_REGION} SELECT sample_id, region FROM reg WHERE lower(region) IN ('asia', 'europe')")
-def region_filter(samples: DataFrame, regions: DataFrame, wanted: str = "Asia, EUROPE") -> DataFrame:
+@query("region_filter", "samples", "outlines", sql=f"WITH {PLACED_SQL.format('samples')} SELECT sample_id, region FROM reg WHERE lower(region) IN ('asia', 'europe')")
+def region_filter(samples: DataFrame, outlines: DataFrame, wanted: str = "Asia, EUROPE") -> DataFrame:
     """Samples of the listed regions, whatever their case; ``all`` or blank keeps every one, an unknown name is an error."""
-    placed = region_of(samples, regions)
+    found = placed(samples.select("sample_id", "lon", "lat"), outlines)
     names = [w.strip().lower() for w in wanted.split(",") if w.strip()]
     if not names or "all" in names:
-        return placed.select("sample_id", "region")
-    known = {r[0].lower() for r in regions.select("region").distinct().collect()}
+        return found.select("sample_id", "region")
+    known = {r[0].lower() for r in outlines.select("region").distinct().collect()}
     if unknown := set(names) - known:
         raise ValueError(f"unknown regions {sorted(unknown)}; known: {sorted(known)}")
-    return placed.where(F.lower("region").isin(names)).select("sample_id", "region")
+    return found.where(F.lower("region").isin(names)).select("sample_id", "region")
 
 
 @query("datasets_in_area", "collections", sql="SELECT DISTINCT ref_id FROM collections WHERE e >= -100 AND w <= 0 AND n >= -40 AND s <= 10 AND ref_id NOT LIKE '%GLO%'")

@@ -1,11 +1,15 @@
-"""Where intermediate tables go."""
+"""Intermediate tables, and which tables are small enough to broadcast."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: A table of at most so many rows is broadcast; a larger one is joined by shuffle.
+MOST_BROADCAST = 100_000
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -16,3 +20,15 @@ def scratch(spark: SparkSession, name: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="agrispark-")
     return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to shared storage and read back, so that loops and counts don't compute it again."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def small(dimension: DataFrame) -> DataFrame:
+    """The table, marked for broadcast if its count allows it."""
+    return F.broadcast(dimension) if dimension.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST else dimension
