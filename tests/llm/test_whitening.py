@@ -35,6 +35,15 @@ def test_components(name):
     assert np.abs(v @ u - u * e).max() < 1e-12 * want[0]
 
 
+def test_many_spectra_of_noise():
+    for seed in range(40):
+        x = np.random.default_rng(seed).standard_normal((200 + 50 * seed, 64)) * (1 + 0.1 * (seed % 5))
+        v = np.cov(x.T, bias=True) * 64
+        e, u = W.components(v)
+        assert np.abs(e - np.sort(np.linalg.eigvalsh(v))[::-1][:32]).max() < 1e-11 * e[0]
+        assert np.abs(v @ u - u * e).max() < 1e-11 * e[0]
+
+
 def test_inertia_counts():
     rng = np.random.default_rng(2)
     for n in (1, 2, 5, 30):
