@@ -123,20 +123,6 @@ def lat_lon_bins(samples: DataFrame, size: float = 0.25) -> DataFrame:
     return samples.select("sample_id", F.concat_ws("_", F.floor((F.col("lat") + 90) / size).cast("string"), F.floor((F.col("lon") + 180) / size).cast("string")).alias("bin"))
 
 
-def quad_cell(lon: Column, lat: Column, level: int) -> Column:
-    """Cell of a quad tree over the globe at a level, digits from the top; the parent is the id less its last digit."""
-    x, y = F.floor((lon + 180) / 360 * 2**level).cast("long"), F.floor((lat + 90) / 180 * 2**level).cast("long")
-    digits = [F.shiftright(x, k).bitwiseAND(F.lit(1)) + 2 * F.shiftright(y, k).bitwiseAND(F.lit(1)) for k in range(level - 1, -1, -1)]
-    return F.concat(*(d.cast("string") for d in digits))
-
-
-@query("hierarchical_cell", "samples", sql="""WITH q AS (SELECT sample_id, CAST(floor((lon + 180) / 360 * 16) AS BIGINT) AS x, CAST(floor((lat + 90) / 180 * 16) AS BIGINT) AS y FROM samples)
-  SELECT sample_id, concat((x >> 3 & 1) + 2 * (y >> 3 & 1), (x >> 2 & 1) + 2 * (y >> 2 & 1), (x >> 1 & 1) + 2 * (y >> 1 & 1), (x & 1) + 2 * (y & 1)) AS cell, concat((x >> 3 & 1) + 2 * (y >> 3 & 1), (x >> 2 & 1) + 2 * (y >> 2 & 1)) AS parent FROM q""")
-def hierarchical_cell(samples: DataFrame) -> DataFrame:
-    cell = quad_cell(F.col("lon"), F.col("lat"), 4)
-    return samples.select("sample_id", cell.alias("cell"), F.substring(cell, 1, 2).alias("parent"))
-
-
 def tiles(areas: DataFrame, size: float) -> DataFrame:
     """Squares of a size that meet each area, clipped to it, numbered by row and column."""
     n = lambda a, b: F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil((F.col(b) - F.col(a)) / size).cast("int") - 1))

@@ -214,58 +214,6 @@ def assign_sample_splits(samples: DataFrame) -> DataFrame:
     return joined.select("sample_id", F.when(none, "ignore").when(F.col("split").isNull(), "train").when(held, "ignore").otherwise(F.col("split")).alias("split"))
 
 
-def thinned(samples: DataFrame, distance_degrees: float, per_class: int) -> DataFrame:
-    """Samples drawn until none is left: no two within ``distance_degrees``, at most ``per_class`` a coarse cell and class.
-
-    Samples of the rarest class of their coarse cell come first, then hash order. In each round a square of the distance
-    draws its first sample when that comes before the first ones of the eight squares about it; then all samples within
-    the distance of a drawn one go, and those of full classes.
-    """
-    first, square, kind = ["n", "_c", "sample_id"], ["gy", "gx"], ["coarse", "croptype"]
-    d = samples.select(
-        "sample_id", "lat", "lon", "croptype", F.floor(F.col("lat") / distance_degrees).alias("gy"), F.floor(F.col("lon") / distance_degrees).alias("gx"),
-        lat_lon_bin(40.0).alias("coarse"), chance("sample_id").alias("_c"),
-    ).where("gy is not null and gx is not null")
-    around = [F.explode(F.sequence(F.col(c) - 1, F.col(c) + 1)).alias(c) for c in square]
-
-    def spread(rows: DataFrame, *columns: str) -> DataFrame:
-        """The rows sent to their own square and the eight about it."""
-        return rows.select(*columns, "gx", around[0]).select(*columns, "gy", around[1])
-
-    left = settled(d.join(d.groupBy(*kind).agg(F.count("*").alias("n")), kind))
-    drawn = None
-    while True:
-        best = left.groupBy(*square).agg(F.min(F.struct(*first, "lat", "lon", *kind)).alias("b")).select(*square, "b.*")
-        ahead = spread(best.withColumn("key", F.struct(*first)), "key").groupBy(*square).agg(F.min("key").alias("key"))
-        step = best.join(ahead, square).where(F.struct(*first) == F.col("key")).drop("key")
-        if drawn is not None:
-            step = step.join(drawn.groupBy(*kind).agg(F.count("*").alias("have")), kind, "left")
-        else:
-            step = step.withColumn("have", F.lit(0))
-        rank = F.row_number().over(Window.partitionBy(*kind).orderBy(*first))
-        step = settled(step.withColumn("k", rank + F.coalesce("have", F.lit(0))).where(F.col("k") <= per_class).drop("have", "k"))
-        drawn = step if drawn is None else drawn.unionByName(step)
-        if step.isEmpty():
-            return drawn
-        full = drawn.groupBy(*kind).agg(F.count("*").alias("have")).where(F.col("have") >= per_class).select(*kind)
-        near = spread(step.select(*square, F.col("lat").alias("_lat"), F.col("lon").alias("_lon")), "_lat", "_lon").alias("s")
-        within = (F.col("lat") - F.col("_lat")) ** 2 + (F.col("lon") - F.col("_lon")) ** 2 <= distance_degrees**2
-        same = (F.col("l.gy") == F.col("s.gy")) & (F.col("l.gx") == F.col("s.gx"))
-        left = settled(left.join(full, kind, "left_anti").alias("l").join(near, same & within, "left_anti"))
-
-
-@query("distance_class_sampling", "samples")
-def distance_class_sampling(samples: DataFrame) -> DataFrame:
-    return thinned(samples, 2.0, 3).select("sample_id", "lat", "lon", "croptype")
-
-
-@query("run_sampling", "samples")
-def run_sampling(samples: DataFrame) -> DataFrame:
-    """All samples with their new extract flag."""
-    drawn = thinned(samples, 2.0, 3).select("sample_id", F.lit(1).alias("_d"))
-    return samples.join(drawn, "sample_id", "left").select("sample_id", F.coalesce("_d", F.lit(0)).alias("extract"))
-
-
 @query("sample_per_dataset_class", "samples", sql=f"""SELECT ref_id, landcover, sample_id FROM (SELECT *, row_number() OVER (PARTITION BY ref_id, landcover ORDER BY {_chance('sample_id')}, sample_id) AS r FROM samples) WHERE r <= 3""")
 def sample_per_dataset_class(samples: DataFrame, size: int = 3) -> DataFrame:
     drawn = samples.withColumn("_c", chance("sample_id")).withColumn("r", F.row_number().over(Window.partitionBy("ref_id", "landcover").orderBy("_c", "sample_id")))
@@ -287,20 +235,6 @@ def subsample_class(samples: DataFrame, size: int = 20) -> DataFrame:
     return ranked.where("r <= n").select("sample_id").unionByName(samples.where("extract <> 1").select("sample_id"))
 
 
-@query("weighted_draw", "samples")
-def weighted_draw(samples: DataFrame, draws_a_shard: int = 50, shards: int = 8) -> DataFrame:
-    """Draws with replacement in proportion to weight: each shard of samples gets its share of draws, evenly spaced over its weights.
-
-    The cumulative weight is taken within a shard, and a sample's draws are the marks that fall in its interval.
-    """
-    d = samples.withColumn("shard", F.pmod(F.xxhash64("sample_id", F.lit(SEED)), F.lit(shards)))
-    whole = samples.agg(F.sum("weight")).first()[0] or 1.0
-    upto = F.sum("weight").over(Window.partitionBy("shard").orderBy("sample_id").rowsBetween(Window.unboundedPreceding, 0))
-    step = whole / (draws_a_shard * shards)
-    marks = d.withColumn("b", F.floor(upto / step)).withColumn("a", F.floor((upto - F.col("weight")) / step))
-    return marks.select("sample_id", (F.col("b") - F.col("a")).alias("times")).where("times > 0")
-
-
 @query("select_window_start", "samples", sql="SELECT sample_id, greatest(0, least(CAST(quality_ct AS INTEGER) * 4 - 6, 24 - 12)) AS window_start FROM samples")
 def select_window_start(samples: DataFrame, steps: int = 12, available: int = 24) -> DataFrame:
     """First of ``steps`` steps round the valid position, kept within what is available."""

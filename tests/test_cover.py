@@ -1,12 +1,9 @@
-"""Greedy cover and distance sampling run to their end."""
+"""Greedy cover runs to its end."""
 
 from pyspark.sql import functions as F
 
 from agrispark.operators import splits
 
-SCHEMA = "sample_id string, lat double, lon double, croptype string"
-
-
 def test_cover_goes_on_until_all_classes_are_covered(spark):
     cells = spark.createDataFrame(
         [("a", f"c{k:02}", [f"x{k}", "y"]) for k in range(12)] + [("b", "d0", ["x"]), ("b", "d1", []), ("c", "e0", [])],
@@ -24,30 +21,3 @@ def test_registered_cover_covers_every_region(spark):
     ).withColumn("valid_time", F.to_date(F.lit("2020-01-01")))
     assert splits.greedy_region_coverage(samples).count() == 9
     assert splits.greedy_class_coverage(samples).count() == 9
-
-
-def thin(spark, rows, cap):
-    got = splits.thinned(spark.createDataFrame(rows, SCHEMA), 2.0, cap).select("sample_id", "lat", "lon", "croptype", "coarse").collect()
-    return {r.sample_id: r for r in got}
-
-
-def test_samples_of_every_square_can_be_drawn(spark):
-    rows = [("odd", 3.0, 3.0, "a"), ("odd row", 3.0, 9.0, "a"), ("odd column", 9.0, 3.0, "a"), ("even", 13.0, 13.0, "a")]
-    assert set(thin(spark, rows, 9)) == {r[0] for r in rows}
-    assert not thin(spark, [("x", None, 1.0, "a"), ("y", 1.0, None, "a"), ("z", 1.0, 1.0, None)], 9)
-
-
-def test_thinning_is_apart_capped_and_leaves_nothing_to_draw(spark):
-    rows = [(f"s{k}", (k * 37 % 1100) / 100, (k * 91 % 1300) / 100, f"c{min(k % 11, 3)}") for k in range(300)] + [("rare", 5.0, 5.0, "rare")]
-    got = thin(spark, rows, 3)
-
-    def near(a, b):
-        return (a[1] - b[1]) ** 2 + (a[2] - b[2]) ** 2 <= 4
-
-    kept = [r for r in rows if r[0] in got]
-    held = {c: sum(r[3] == c for r in kept) for c in {r[3] for r in rows}}
-    assert "rare" in got
-    assert max(held.values()) <= 3
-    assert not any(near(a, b) for i, a in enumerate(kept) for b in kept[:i])
-    lost = [r for r in rows if r[0] not in got and not any(near(r, b) for b in kept)]
-    assert all(held[r[3]] == 3 for r in lost)
