@@ -81,35 +81,6 @@ def settled(df: DataFrame) -> DataFrame:
     return out
 
 
-def greedy_cover(cells: DataFrame, group: str | None) -> DataFrame:
-    """Cells chosen one a round in each group: the one with most classes not covered yet, until all are.
-
-    Every round is an aggregation and a join over the cells that still have such classes; groups advance side by side.
-    """
-    gain = F.size("classes")
-    left = settled(cells.withColumn("g", F.col(group) if group else F.lit("all")).select("g", "cell", "classes").where(gain > 0))
-    picked = left.select("g", "cell", F.lit(0).alias("gain")).where("false")
-    while not left.isEmpty():
-        best = settled(
-            left.groupBy("g").agg(F.min_by(F.struct("cell", "classes"), F.struct(-gain, F.col("cell"))).alias("b"))
-            .select("g", F.col("b.cell").alias("cell"), F.col("b.classes").alias("new"))
-        )
-        picked = picked.unionByName(best.select("g", "cell", F.size("new").alias("gain")))
-        missing = left.join(best.select("g", "new"), "g").select("g", "cell", F.array_except("classes", "new").alias("classes"))
-        left = settled(missing.where(gain > 0))
-    return picked
-
-
-@query("greedy_region_coverage", "samples")
-def greedy_region_coverage(samples: DataFrame) -> DataFrame:
-    return greedy_cover(cell_classes(samples), "region")
-
-
-@query("greedy_class_coverage", "samples")
-def greedy_class_coverage(samples: DataFrame) -> DataFrame:
-    return greedy_cover(cell_classes(samples), None)
-
-
 def first_split(samples: DataFrame) -> DataFrame:
     """Cells with a split: hash shares of 15 % test and 15 % validation."""
     c = cell_classes(samples).withColumn("_c", chance("cell"))
