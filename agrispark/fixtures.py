@@ -10,7 +10,18 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Outlines of polygons by vertex, at a scale: a region of seven corners (0), a hole in it (1) and an island to the east (2).
+_OUTLINES = """
+        SELECT n_name AS iso3, r_name AS region, ring, k, -180e0 + (n_nationkey % 5) * 72e0 + (dx - CASE WHEN k = 1 AND ring = 0 THEN (n_nationkey % 3) * 5e0 ELSE 0e0 END) * {0} AS lon,
+               -60e0 + floor(n_nationkey / 5e0) * 24e0 + (dy + CASE WHEN k = 4 AND ring = 0 THEN (n_nationkey % 4) * 1e0 ELSE 0e0 END) * {0} AS lat
+        FROM nation JOIN region ON n_regionkey = r_regionkey CROSS JOIN (VALUES
+          (0, 0, 0e0, 0e0), (0, 1, 60e0, 0e0), (0, 2, 60e0, 12e0), (0, 3, 40e0, 20e0), (0, 4, 30e0, 9e0), (0, 5, 12e0, 20e0), (0, 6, 0e0, 15e0), (0, 7, 0e0, 0e0),
+          (1, 0, 20e0, 3e0), (1, 1, 28e0, 3e0), (1, 2, 26e0, 7e0), (1, 3, 20e0, 6e0), (1, 4, 20e0, 3e0),
+          (2, 0, 62e0, 2e0), (2, 1, 68e0, 2e0), (2, 2, 66e0, 8e0), (2, 3, 62e0, 2e0)) AS v(ring, k, dx, dy)"""
+
 ADAPTERS = {
+    "outlines": _OUTLINES.format("1e0"),
+    "estates": _OUTLINES.format("0.05e0"),
     # long observations: about 700 series by month, with gaps inside
     "obs": """
         SELECT concat(CAST(l_suppkey AS STRING), '_', CAST(l_linenumber AS STRING)) AS sample_id,
@@ -56,14 +67,6 @@ ADAPTERS = {
         SELECT n_name AS iso3, r_name AS region, -180e0 + (n_nationkey % 5) * 72e0 AS w, -180e0 + (n_nationkey % 5) * 72e0 + 60e0 AS e,
                -60e0 + floor(n_nationkey / 5e0) * 24e0 AS s, -60e0 + floor(n_nationkey / 5e0) * 24e0 + 20e0 AS n
         FROM nation JOIN region ON n_regionkey = r_regionkey""",
-    # outlines of polygons by vertex: a region of seven corners (0), a hole in it (1) and an island to the east (2)
-    "outlines": """
-        SELECT n_name AS iso3, r_name AS region, ring, k, -180e0 + (n_nationkey % 5) * 72e0 + dx - CASE WHEN k = 1 AND ring = 0 THEN (n_nationkey % 3) * 5e0 ELSE 0e0 END AS lon,
-               -60e0 + floor(n_nationkey / 5e0) * 24e0 + dy + CASE WHEN k = 4 AND ring = 0 THEN (n_nationkey % 4) * 1e0 ELSE 0e0 END AS lat
-        FROM nation JOIN region ON n_regionkey = r_regionkey CROSS JOIN (VALUES
-          (0, 0, 0e0, 0e0), (0, 1, 60e0, 0e0), (0, 2, 60e0, 12e0), (0, 3, 40e0, 20e0), (0, 4, 30e0, 9e0), (0, 5, 12e0, 20e0), (0, 6, 0e0, 15e0), (0, 7, 0e0, 0e0),
-          (1, 0, 20e0, 3e0), (1, 1, 28e0, 3e0), (1, 2, 26e0, 7e0), (1, 3, 20e0, 6e0), (1, 4, 20e0, 3e0),
-          (2, 0, 62e0, 2e0), (2, 1, 68e0, 2e0), (2, 2, 66e0, 8e0), (2, 3, 62e0, 2e0)) AS v(ring, k, dx, dy)""",
     # samples of which some have no or impossible coordinates
     "located": """
         SELECT concat('P', CAST(p_partkey AS STRING)) AS sample_id, CASE WHEN p_partkey % 50 = 0 THEN NULL WHEN p_partkey % 50 = 1 THEN 95e0 ELSE -60e0 + (p_partkey * 37 % 12000) / 100e0 END AS lat,

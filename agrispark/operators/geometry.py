@@ -36,12 +36,12 @@ def bbox_buffer(samples: DataFrame, metres: float = 250000.0) -> DataFrame:
     return samples.select("sample_id", *(F.round(v, 6).alias(k) for k, v in {"w": w, "e": e, "s": s, "n": n}.items()))
 
 
-def to_utm(lon: Column, lat: Column) -> tuple[Column, Column, Column]:
-    """(epsg, easting, northing) by the third-order Krueger series."""
+def to_utm(lon: Column, lat: Column, zone: Column | None = None, south: Column | None = None) -> tuple[Column, Column, Column]:
+    """(epsg, easting, northing) by the third-order Krueger series, in the point's own zone and half of the globe unless given."""
     n = FLATTENING / (2 - FLATTENING)
     a = RADIUS / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
     alpha = (n / 2 - 2 * n**2 / 3 + 5 * n**3 / 16, 13 * n**2 / 48 - 3 * n**3 / 5, 61 * n**3 / 240)
-    zone = F.floor((lon + 180) / 6) + 1
+    zone = F.floor((lon + 180) / 6) + 1 if zone is None else zone
     k = 2 * n**0.5 / (1 + n)
     sin = F.sin(F.radians(lat))
     t = F.sinh(F.atanh(sin) - k * F.atanh(k * sin))
@@ -51,7 +51,7 @@ def to_utm(lon: Column, lat: Column) -> tuple[Column, Column, Column]:
     for j, c in enumerate(alpha, 1):
         east = east + c * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
         north = north + c * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
-    south = lat < 0
+    south = lat < 0 if south is None else south
     return (
         (F.when(south, 32700).otherwise(32600) + zone).cast("int"), 500000 + SCALE * a * east,
         SCALE * a * north + F.when(south, 10000000.0).otherwise(0.0),
@@ -137,18 +137,6 @@ def tiles(areas: DataFrame, size: float) -> DataFrame:
 TILES_SQL = "t AS (SELECT iso3, concat(iso3, '_', CAST(j AS INTEGER), '_', CAST(i AS INTEGER)) AS tile_name, w + i * 7 AS x0, least(w + (i + 1) * 7, e) AS x1, s + j * 7 AS y0, least(s + (j + 1) * 7, n) AS y1 FROM regions, range(0, 9) a(i), range(0, 3) b(j))"
 
 
-@query("aoi_tiling", "regions", sql=f"WITH {TILES_SQL} SELECT * FROM t")
-def aoi_tiling(regions: DataFrame) -> DataFrame:
-    return tiles(regions, 7.0)
-
-
-@query("merge_small_tiles", "regions", sql=f"WITH {TILES_SQL} SELECT iso3, min(tile_name) AS tile_name, min(x0) AS x0, max(x1) AS x1, y0, max(y1) AS y1 FROM (SELECT *, CASE WHEN x1 - x0 < 5 THEN x0 - 7 ELSE x0 END AS k FROM t) GROUP BY iso3, y0, k")
-def merge_small_tiles(regions: DataFrame, least: float = 5.0, size: float = 7.0) -> DataFrame:
-    """Tiles narrower than the least width join the neighbour they share their long edge with."""
-    t = tiles(regions, size).withColumn("k", F.when(F.col("x1") - F.col("x0") < least, F.col("x0") - size).otherwise(F.col("x0")))
-    return t.groupBy("iso3", "y0", "k").agg(F.min("tile_name").alias("tile_name"), F.min("x0").alias("x0"), F.max("x1").alias("x1"), F.max("y1").alias("y1")).drop("k")
-
-
 @query("ensure_utm_grid", "regions", sql=f"WITH {TILES_SQL} SELECT tile_name, CASE WHEN (y0 + y1) / 2 < 0 THEN 32700 ELSE 32600 END + CAST(floor(((x0 + x1) / 2 + 180) / 6) AS INTEGER) + 1 AS epsg, count(*) OVER (PARTITION BY tile_name) = 1 AS ok FROM t")
 def ensure_utm_grid(regions: DataFrame) -> DataFrame:
     """EPSG of each tile's centre, and whether its name is given and unique."""
