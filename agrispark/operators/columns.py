@@ -193,19 +193,27 @@ def filter_extract_flag(samples: DataFrame, value: int = 1) -> DataFrame:
 
 
 @query("sample_attributes", "samples", sql="""SELECT sample_id, nullif(trim(croptype), '') AS croptype, CASE WHEN extract = 1 THEN landcover ELSE 'unknown' END AS region, valid_time AS label_date,
-  nullif(CAST(quality_lc AS INTEGER), 65535) AS quality FROM samples""")
+  nullif(CAST(quality_lc AS INTEGER), 65535) AS quality, CASE WHEN p IS NOT NULL AND p - greatest(0, least(p - 6, 9)) < 12 THEN p - greatest(0, least(p - 6, 9)) END AS valid_position
+  FROM (SELECT *, CASE WHEN extract < 2 THEN CAST(quality_ct AS INTEGER) * 4 END AS p FROM samples)""")
 def q_sample_attributes(samples: DataFrame) -> DataFrame:
-    """Only samples of one flag have a region; others have blanks or none."""
+    """Only samples of one flag have a region, others have blanks or none; windows of 12 of 21 steps, with positions before, in and behind them."""
     region = F.when(F.col("extract") == 1, F.col("landcover")).when(F.col("extract") == 0, F.lit("  "))
-    return sample_attributes(samples.withColumn("region", region).withColumn("label_date", F.lit(None).cast("date")))
+    position = F.when(F.col("extract") < 2, F.col("quality_ct").cast("int") * 4)
+    start = F.greatest(F.lit(0), F.least(position - 6, F.lit(9)))
+    return sample_attributes(samples.withColumns({"region": region, "label_date": F.lit(None).cast("date"), "valid_position": position, "window_start": start}), 12)
 
 
-def sample_attributes(samples: DataFrame) -> DataFrame:
-    """Known attributes with missing values (blank, nodata) as null, a default region and the first label date there is."""
+def sample_attributes(samples: DataFrame, steps: int) -> DataFrame:
+    """Known attributes with missing values (blank, nodata) as null, a default region, the first label date there is, and the valid position.
+
+    The position counts from ``window_start``, the first of the sample's ``steps`` steps; one outside the window is null.
+    """
     known = lambda c: F.nullif(F.trim(c), F.lit(""))
+    at = F.col("valid_position") - F.col("window_start")
     return samples.select(
         "sample_id", known("croptype").alias("croptype"), F.coalesce(known("region"), F.lit("unknown")).alias("region"),
         F.coalesce("label_date", "valid_time").alias("label_date"), F.nullif(F.col("quality_lc").cast("int"), F.lit(NODATA)).alias("quality"),
+        F.when(at.between(0, steps - 1), at).alias("valid_position"),
     )
 
 

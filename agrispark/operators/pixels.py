@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from agrispark.functions.bands import NODATA, NON_CROP, POSTPROCESS_NODATA, linear_scale
 from agrispark.functions.dates import align_to_composite
 from agrispark.registry import query
+from agrispark.storage import small
 
 PIXEL = ["tile", "y", "x"]
 INVALID_SCL = (0, 1, 3, 8, 9, 10, 11)
@@ -139,9 +140,12 @@ def resample_join(pixels: DataFrame, factor: int = 2) -> DataFrame:
 
 @query("point_extract", "pixels", sql="SELECT p.tile, p.y, p.x, round(avg(q.prob), 6) AS mean FROM pixels p JOIN pixels q ON q.tile = p.tile AND abs(q.y - p.y) <= 1 AND abs(q.x - p.x) <= 1 WHERE p.label = 3 AND p.x % 8 = 0 GROUP BY p.tile, p.y, p.x")
 def point_extract(pixels: DataFrame) -> DataFrame:
-    """Mean of the pixels round each point."""
+    """Mean of the pixels round each point: the points are sent to the places about them, the pixels stay."""
     points = pixels.where("label = 3 and x % 8 = 0").select(*PIXEL)
-    return neighbours(pixels, 1, ["prob"]).join(points, PIXEL).groupBy(*PIXEL).agg(F.round(F.avg("prob"), 6).alias("mean"))
+    around = lambda c: F.explode(F.sequence(F.col(c) - 1, F.col(c) + 1)).alias(c)
+    sent = points.select("tile", F.col("y").alias("py"), F.col("x").alias("px"), "x", around("y")).select("tile", "py", "px", "y", around("x"))
+    means = pixels.join(small(sent), PIXEL).groupBy("tile", "py", "px").agg(F.round(F.avg("prob"), 6).alias("mean"))
+    return means.select("tile", F.col("py").alias("y"), F.col("px").alias("x"), "mean")
 
 
 @query("zonal_stats", "pixels", sql="""SELECT tile, label AS zone, round(avg(nullif(scl, 7)), 6) AS mean, sum(nullif(scl, 7)) AS total, count(nullif(scl, 7)) AS n, round(stddev_pop(nullif(scl, 7)), 6) AS std, min(nullif(scl, 7)) AS low, max(nullif(scl, 7)) AS high FROM pixels GROUP BY tile, label""")

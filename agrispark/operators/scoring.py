@@ -75,12 +75,14 @@ def linear_head_score(embeddings: DataFrame, weights: list[list[float]] | None =
 
 
 @query("train_linear_head", "embeddings_")
-def train_linear_head(embeddings: DataFrame) -> DataFrame:
-    """Class-balanced multinomial head fitted by Spark ML, and its prediction for each row."""
-    counts = embeddings.groupBy("label").agg(F.count("*").alias("c"))
-    data = embeddings.join(counts, "label").select("vec_id", F.col("label").cast("double").alias("label"), (1 / F.col("c")).alias("w"), array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
-    model = LogisticRegression(weightCol="w", maxIter=20, regParam=0.01).fit(data)
-    return model.transform(data).select("vec_id", F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction"))
+def train_linear_head(embeddings: DataFrame, share: float = 0.2) -> DataFrame:
+    """Class-balanced multinomial head fitted by Spark ML on what a hash of the id doesn't hold out, and its prediction for each row."""
+    held = F.pmod(F.xxhash64("vec_id"), F.lit(1000)) < share * 1000
+    rows = embeddings.withColumn("held_out", held)
+    counts = rows.where("not held_out").groupBy("label").agg(F.count("*").alias("c"))
+    data = rows.join(F.broadcast(counts), "label", "left").select("vec_id", "held_out", F.col("label").cast("double").alias("label"), (1 / F.col("c")).alias("w"), array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
+    model = LogisticRegression(weightCol="w", maxIter=20, regParam=0.01).fit(data.where("not held_out"))
+    return model.transform(data).select("vec_id", "held_out", F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction"))
 
 
 @query("quantise_embedding", "embeddings_", sql="""WITH s AS (SELECT vec_id, embedding::DOUBLE[] AS e, greatest((SELECT quantile_cont(abs(v), 0.99) FROM unnest(embedding::DOUBLE[]) u(v)) / 127, 1e-6) AS scale FROM embeddings_)
@@ -99,9 +101,10 @@ def quantise_embedding(embeddings: DataFrame) -> DataFrame:
 
 @query("pca_embeddings", "embeddings_")
 def pca_embeddings(embeddings: DataFrame, k: int = 3, most: int = 400_000) -> DataFrame:
-    """Principal components from at most ``most`` rows (a fixed bound), every row projected and scaled to 0-1."""
+    """Principal components from about ``most`` rows at most (a fixed bound, by a threshold of a hash), every row projected and scaled to 0-1."""
     data = embeddings.select("vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("v"))
-    model = PCA(k=k, inputCol="v", outputCol="p").fit(data.orderBy(F.xxhash64("vec_id")).limit(most))
+    share = min(1.0, most / max(1, data.count()))
+    model = PCA(k=k, inputCol="v", outputCol="p").fit(data.where(F.pmod(F.xxhash64("vec_id"), F.lit(2**30)) < int(share * 2**30)))
     p = model.transform(data).select("vec_id", vector_to_array("p").alias("p"))
     ends = p.agg(*(f(F.get("p", i)).alias(f"{n}{i}") for i in range(k) for n, f in (("a", F.min), ("b", F.max)))).first()
     return p.select("vec_id", *(F.round((F.get("p", i) - ends[f"a{i}"]) / max(ends[f"b{i}"] - ends[f"a{i}"], 1e-12), 4).alias(f"p{i}") for i in range(k)))

@@ -137,15 +137,15 @@ def near_points(samples: DataFrame) -> DataFrame:
     return samples.select("sample_id", (F.pmod(F.col("lat"), F.lit(8.0)) + 10).alias("lat"), (F.pmod(F.col("lon"), F.lit(7.0)) + 19).alias("lon"))
 
 
-def calendar_lookup(points: DataFrame, calendar: DataFrame, most_degrees: float = 5.0, most_cells: int = 300_000) -> DataFrame:
-    """Season days of each point's half-degree cell, or of the nearest cell within ``most_degrees``.
+def calendar_lookup(points: DataFrame, calendar: DataFrame, most_degrees: float = 5.0, values=("s1_sos", "s1_eos")) -> DataFrame:
+    """Values of each point's half-degree cell, or of the nearest cell within ``most_degrees``.
 
     Cells are matched by an equi-join. Only what is left looks for the nearest: each point is sent to the 10 x 10
     degree blocks that its search square touches, and meets the cells of those blocks.
     """
-    cells = calendar.select("lat", "lon", "s1_sos", "s1_eos")
+    cells = calendar.select("lat", "lon", *values)
     keyed = points.withColumn("_la", snapped(F.col("lat"))).withColumn("_lo", snapped(F.col("lon")))
-    named = cells.select(F.col("lat").alias("_la"), F.col("lon").alias("_lo"), "s1_sos", "s1_eos")
+    named = cells.select(F.col("lat").alias("_la"), F.col("lon").alias("_lo"), *values)
     exact = keyed.join(named, ["_la", "_lo"])
     rest = keyed.join(named, ["_la", "_lo"], "left_anti")
     size = 2 * most_degrees
@@ -156,14 +156,14 @@ def calendar_lookup(points: DataFrame, calendar: DataFrame, most_degrees: float
     spread = rest.withColumn("_bla", F.explode(F.array_distinct(F.array(block(F.col("_la"), -most_degrees), block(F.col("_la"), most_degrees))))).withColumn(
         "_blo", F.explode(F.array_distinct(F.array(block(F.col("_lo"), -most_degrees), block(F.col("_lo"), most_degrees))))
     )
-    boxed = cells.select(block(F.col("lat"), 0).alias("_bla"), block(F.col("lon"), 0).alias("_blo"), F.struct("lat", "lon", "s1_sos", "s1_eos").alias("c"))
+    boxed = cells.select(block(F.col("lat"), 0).alias("_bla"), block(F.col("lon"), 0).alias("_blo"), F.struct("lat", "lon", *values).alias("c"))
     distance = (F.col("c.lat") - F.col("_la")) ** 2 + (F.col("c.lon") - F.col("_lo")) ** 2
     nearest = (
         spread.join(boxed, ["_bla", "_blo"]).withColumn("_d", distance).where(F.col("_d") <= most_degrees**2)
         .groupBy("sample_id").agg(F.min_by("c", F.struct("_d", "c.lat", "c.lon")).alias("c"))
-        .select("sample_id", "c.s1_sos", "c.s1_eos", F.lit(True).alias("fallback"))
+        .select("sample_id", *(f"c.{v}" for v in values), F.lit(True).alias("fallback"))
     )
-    return exact.select("sample_id", "s1_sos", "s1_eos", F.lit(False).alias("fallback")).unionByName(nearest)
+    return exact.select("sample_id", *values, F.lit(False).alias("fallback")).unionByName(nearest)
 
 
 _POINTS = "p AS (SELECT sample_id, ((lat % 8 + 8) % 8) + 10 AS lat, ((lon % 7 + 7) % 7) + 19 AS lon FROM samples), q AS (SELECT *, floor(lat * 2) / 2 + 0.25e0 AS la, floor(lon * 2) / 2 + 0.25e0 AS lo FROM p)"
@@ -181,40 +181,71 @@ def calendar_equi_join(samples: DataFrame, calendar: DataFrame) -> DataFrame:
     return keyed.join(calendar, ["lat", "lon"]).select("sample_id", "s1_sos", "s2_eos")
 
 
+def wrapped(lon: Column) -> Column:
+    """Longitude brought to -180 to 180."""
+    return F.pmod(lon + 180, F.lit(360.0)) - 180
+
+
 def extents(collections: DataFrame) -> DataFrame:
-    return collections.select("ref_id", (F.pmod(F.col("w"), F.lit(4.0)) + 20).alias("w"), (F.pmod(F.col("w"), F.lit(4.0)) + 22).alias("e"), F.lit(10.0).alias("s"), (F.col("n") % 3 + 13).alias("n"))
+    """Boxes about the calendar's area moved to the dateline; some lie south of all cells, some too far from any."""
+    number = F.length("ref_id") + F.col("n").cast("int")
+    south = F.when(number % 5 == 0, 6.0).when(number % 5 == 1, 40.0).otherwise(10.0)
+    west = F.pmod(F.col("w"), F.lit(4.0)) + 177.5
+    return collections.select("ref_id", wrapped(west).alias("w"), wrapped(west + 2).alias("e"), south.alias("s"), (south + 1 + F.pmod(F.col("n"), F.lit(3.0))).alias("n"))
 
 
-_EXT = "x AS (SELECT ref_id, ((w % 4 + 4) % 4) + 20 AS w, ((w % 4 + 4) % 4) + 22 AS e, 10e0 AS s, n % 3 + 13 AS n FROM collections)"
+def at_dateline(calendar: DataFrame) -> DataFrame:
+    return calendar.withColumn("lon", wrapped(F.col("lon") + 157.5))
 
 
-def extent_median(extents_: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Median start and end dekads of the cells in each extent, joined by whole-degree blocks that the extent covers."""
-    blocks = extents_.withColumn("_bla", F.explode(F.sequence(F.floor("s").cast("int"), F.floor("n").cast("int")))).withColumn(
-        "_blo", F.explode(F.sequence(F.floor("w").cast("int"), F.floor("e").cast("int")))
-    )
-    cells = calendar.withColumn("_bla", F.floor("lat").cast("int")).withColumn("_blo", F.floor("lon").cast("int"))
-    inside = blocks.join(cells, ["_bla", "_blo"]).where(F.col("lat").between(F.col("s"), F.col("n")) & F.col("lon").between(F.col("w"), F.col("e")))
-    return inside.groupBy("ref_id").agg(
+_EXT = """x AS (SELECT ref_id, CASE WHEN w0 >= 180 THEN w0 - 360 ELSE w0 END AS w, CASE WHEN w0 + 2 >= 180 THEN w0 - 358 ELSE w0 + 2 END AS e, s, s + 1 + n3 AS n FROM (SELECT ref_id, ((w % 4 + 4) % 4) + 177.5e0 AS w0, ((n % 3 + 3) % 3) AS n3,
+  CASE WHEN (length(ref_id) + CAST(trunc(n) AS INTEGER)) % 5 = 0 THEN 6e0 WHEN (length(ref_id) + CAST(trunc(n) AS INTEGER)) % 5 = 1 THEN 40e0 ELSE 10e0 END AS s FROM collections)),
+  cal AS (SELECT lat, CASE WHEN lon + 157.5e0 >= 180 THEN lon - 202.5e0 ELSE lon + 157.5e0 END AS lon, sos_dekad, eos_dekad FROM calendar)"""
+
+
+def extent_median(extents_: DataFrame, calendar: DataFrame, most_degrees: float = 5.0) -> DataFrame:
+    """Median start and end dekads of the valid cells (1 to 108) in each extent, joined by whole-degree blocks that it covers.
+
+    An extent whose west is greater than its east goes over the dateline. Without a valid cell inside, the cell of the
+    centre counts, or the nearest one within ``most_degrees`` (``fallback``); without one, or if that isn't valid, the
+    medians are null.
+    """
+    good = lambda c: F.col(c).between(1, 108)
+    west, east = F.floor("w").cast("int"), F.floor("e").cast("int")
+    across = F.col("w") > F.col("e")
+    columns = F.when(across, F.concat(F.sequence(west, F.lit(180)), F.sequence(F.lit(-180), east))).otherwise(F.sequence(F.least(west, east), F.greatest(west, east)))
+    blocks = extents_.withColumn("_bla", F.explode(F.sequence(F.floor("s").cast("int"), F.floor("n").cast("int")))).withColumn("_blo", F.explode(columns))
+    cells = calendar.where(good("sos_dekad") & good("eos_dekad")).select("lat", "lon", "sos_dekad", "eos_dekad", F.floor("lat").cast("int").alias("_bla"), F.floor("lon").cast("int").alias("_blo"))
+    within = F.when(across, (F.col("lon") >= F.col("w")) | (F.col("lon") <= F.col("e"))).otherwise(F.col("lon").between(F.col("w"), F.col("e")))
+    inside = blocks.join(cells, ["_bla", "_blo"]).where(F.col("lat").between(F.col("s"), F.col("n")) & within)
+    found = inside.groupBy("ref_id").agg(
         F.rint(F.median("sos_dekad")).cast("int").alias("sos_dekad"), F.rint(F.median("eos_dekad")).cast("int").alias("eos_dekad"),
         (F.max("sos_dekad") - F.min("sos_dekad") > 7).alias("wide_spread"),
     )
+    middle = F.when(across, wrapped(F.col("w") + (F.col("e") + 360 - F.col("w")) / 2)).otherwise((F.col("w") + F.col("e")) / 2)
+    rest = extents_.join(found, "ref_id", "left_anti").select(F.col("ref_id").alias("sample_id"), ((F.col("s") + F.col("n")) / 2).alias("lat"), middle.alias("lon"))
+    near = calendar_lookup(rest, calendar, most_degrees, ("sos_dekad", "eos_dekad")).where(good("sos_dekad") & good("eos_dekad"))
+    near = rest.select("sample_id").join(near, "sample_id", "left").select(F.col("sample_id").alias("ref_id"), F.col("sos_dekad").cast("int"), F.col("eos_dekad").cast("int"), F.lit(False).alias("wide_spread"), F.lit(True).alias("fallback"))
+    return found.withColumn("fallback", F.lit(False)).unionByName(near)
 
 
-_EXTM = f"""{_EXT}, m AS (SELECT ref_id, CAST(round_even(median(sos_dekad), 0) AS INTEGER) AS sos_dekad, CAST(round_even(median(eos_dekad), 0) AS INTEGER) AS eos_dekad,
-  max(sos_dekad) - min(sos_dekad) > 7 AS wide_spread FROM x JOIN calendar c ON c.lat BETWEEN x.s AND x.n AND c.lon BETWEEN x.w AND x.e GROUP BY ref_id)"""
+_EXTM = f"""{_EXT}, f AS (SELECT ref_id, CAST(round_even(median(sos_dekad), 0) AS INTEGER) AS sos_dekad, CAST(round_even(median(eos_dekad), 0) AS INTEGER) AS eos_dekad, max(sos_dekad) - min(sos_dekad) > 7 AS wide_spread
+    FROM x JOIN cal c ON c.lat BETWEEN x.s AND x.n AND CASE WHEN x.w > x.e THEN c.lon >= x.w OR c.lon <= x.e ELSE c.lon BETWEEN x.w AND x.e END WHERE sos_dekad BETWEEN 1 AND 108 AND eos_dekad BETWEEN 1 AND 108 GROUP BY ref_id),
+  o AS (SELECT ref_id, floor((s + n) / 2 * 2) / 2 + 0.25e0 AS la, floor(CASE WHEN mid >= 180 THEN mid - 360 ELSE mid END * 2) / 2 + 0.25e0 AS lo FROM (SELECT *, CASE WHEN w > e THEN w + (e + 360 - w) / 2 ELSE (w + e) / 2 END AS mid FROM x) WHERE ref_id NOT IN (SELECT ref_id FROM f)),
+  k1 AS (SELECT ref_id, arg_min({{'a': sos_dekad, 'b': eos_dekad}}, {{'d': (lat - la) * (lat - la) + (lon - lo) * (lon - lo), 'lat': lat, 'lon': lon}}) AS v FROM o, cal WHERE (lat - la) * (lat - la) + (lon - lo) * (lon - lo) <= 25 GROUP BY ref_id),
+  m AS (SELECT *, false AS fallback FROM f UNION ALL SELECT o.ref_id, CASE WHEN v.a BETWEEN 1 AND 108 AND v.b BETWEEN 1 AND 108 THEN CAST(v.a AS INTEGER) END, CASE WHEN v.a BETWEEN 1 AND 108 AND v.b BETWEEN 1 AND 108 THEN CAST(v.b AS INTEGER) END, false, true FROM o LEFT JOIN k1 USING (ref_id))"""
 
 
 @query("calendar_extent_median", "collections", "calendar", sql=f"WITH {_EXTM} SELECT * FROM m")
 def q_extent_median(collections: DataFrame, calendar: DataFrame) -> DataFrame:
-    return extent_median(extents(collections), calendar)
+    return extent_median(extents(collections), at_dateline(calendar))
 
 
 @query("season_dates_for_extent", "collections", "calendar", sql=f"""WITH {_EXTM}, k AS (SELECT ref_id, 2023 * 12 + (sos_dekad - 1) // 3 + CASE WHEN (sos_dekad - 1) % 3 = 2 THEN 1 ELSE 0 END AS a,
     2023 * 12 + (eos_dekad - 1) // 3 - CASE WHEN (eos_dekad - 1) % 3 = 0 THEN 1 ELSE 0 END AS b FROM m)
   SELECT ref_id, make_date(a // 12, a % 12 + 1, 1) AS season_start, last_day(make_date(b // 12, b % 12 + 1, 1)) AS season_end FROM k""")
 def season_dates_for_extent(collections: DataFrame, calendar: DataFrame, year: int = 2024) -> DataFrame:
-    m = extent_median(extents(collections), calendar)
+    m = extent_median(extents(collections), at_dateline(calendar))
     y = F.lit(year)
     return m.select(
         "ref_id", dates.dekad_date(F.col("sos_dekad"), y, "first").alias("season_start"), dates.dekad_date(F.col("eos_dekad"), y, "last").alias("season_end")
@@ -232,10 +263,10 @@ def doy_season_dates(calendar: DataFrame) -> DataFrame:
 
 
 @query("enrich_grid_with_calendar", "collections", "calendar", sql=f"""WITH {_EXTM}, k AS (SELECT ref_id, 2023 * 12 + (sos_dekad - 1) // 3 + CASE WHEN (sos_dekad - 1) % 3 = 2 THEN 1 ELSE 0 END AS a FROM m)
-  SELECT ref_id, concat('{{"s1":"', CAST(make_date(a // 12, a % 12 + 1, 1) AS VARCHAR), '"}}') AS season_windows FROM k""")
+  SELECT ref_id, coalesce('{{"s1":"' || CAST(make_date(a // 12, a % 12 + 1, 1) AS VARCHAR) || '"}}', '{{}}') AS season_windows FROM k""")
 def enrich_grid_with_calendar(collections: DataFrame, calendar: DataFrame, year: int = 2024) -> DataFrame:
     """Each tile with its season start as JSON."""
-    m = extent_median(extents(collections), calendar)
+    m = extent_median(extents(collections), at_dateline(calendar))
     start = dates.dekad_date(F.col("sos_dekad"), F.lit(year), "first").cast("string")
     return m.select("ref_id", F.to_json(F.struct(start.alias("s1"))).alias("season_windows"))
 

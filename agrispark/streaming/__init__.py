@@ -7,13 +7,11 @@ from pyspark.sql import functions as F
 
 
 def stream_composites(observations: DataFrame, late: str = "40 days") -> DataFrame:
-    """Mean of each sample's values by month of the event time ``ts`` (a timestamp), for a streaming DataFrame.
+    """Mean and number of each sample's values by month of the event time ``ts`` (a timestamp), for a streaming DataFrame.
 
-    State of a month is dropped once the watermark has passed its end, so it is bounded by the lateness allowed.
+    The month is the event time of the watermark: in append mode a month comes out once the latest month seen began more
+    than ``late`` after it, and its state is dropped then, so state is bounded by the lateness allowed. Rows that come
+    later still are left out; rows without a time count nowhere.
     """
-    month = F.date_trunc("month", "ts")
-    return (
-        observations.withWatermark("ts", late)
-        .groupBy("sample_id", F.window("ts", "1 day").alias("day"), month.alias("month"))
-        .agg(F.avg("value").alias("value"), F.count("*").alias("n"))
-    )
+    monthly = observations.where("ts is not null").withColumn("month", F.date_trunc("month", "ts")).withWatermark("month", late)
+    return monthly.groupBy("sample_id", "month").agg(F.avg("value").alias("value"), F.count("*").alias("n"))
