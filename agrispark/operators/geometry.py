@@ -174,17 +174,6 @@ def validate_spatial_extent(collections: DataFrame) -> DataFrame:
     return collections.select("ref_id", F.expr("w >= -180 AND e <= 180 AND s >= -90 AND n <= 90 AND w < e AND s < n").alias("ok"))
 
 
-@query("plan_extraction_units", "samples", sql="""WITH u AS (SELECT *, (row_number() OVER (PARTITION BY year(valid_time), ref_id ORDER BY sample_id) - 1) // 10 AS k FROM samples)
-  SELECT CAST(year(valid_time) AS INTEGER) AS year, ref_id, CAST(k AS INTEGER) AS unit, count(*) AS n, CAST(date_trunc('month', greatest(min(valid_time) - 275, DATE '2017-01-01')) AS DATE) AS start_date, last_day(least(max(valid_time) + 275, DATE '2021-12-31')) AS end_date FROM u GROUP BY ALL""")
-def plan_extraction_units(samples: DataFrame, most: int = 10, reach: int = 275) -> DataFrame:
-    """Units of at most so many samples of a year and dataset, with their period in whole months."""
-    order = Window.partitionBy(F.year("valid_time"), "ref_id").orderBy("sample_id")
-    u = samples.withColumn("unit", F.floor((F.row_number().over(order) - 1) / most).cast("int")).withColumn("year", F.year("valid_time"))
-    start = F.greatest(F.date_sub(F.min("valid_time"), reach), F.to_date(F.lit("2017-01-01")))
-    end = F.least(F.date_add(F.max("valid_time"), reach), F.to_date(F.lit("2021-12-31")))
-    return u.groupBy("year", "ref_id", "unit").agg(F.count("*").alias("n"), F.trunc(start, "month").alias("start_date"), F.last_day(end).alias("end_date"))
-
-
 @query("orbit_choice", "pixels", sql="SELECT tile, orbit, area FROM (SELECT tile, CASE WHEN scl % 2 = 0 THEN 'ascending' ELSE 'descending' END AS orbit, count(*) AS area FROM pixels WHERE label > 0 GROUP BY ALL) WHERE area > 0")
 def orbit_choice(pixels: DataFrame) -> DataFrame:
     """One unit for each orbit direction with coverage."""

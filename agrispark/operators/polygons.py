@@ -15,7 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from agrispark.operators.geometry import RADIUS, to_web_mercator
+from agrispark.operators.geometry import RADIUS, to_utm, to_web_mercator
 from agrispark.registry import query
 from agrispark.storage import kept, small
 
@@ -73,15 +73,15 @@ def crossed(edges: Column, cx: Column, cy: Column, x: Column, y: Column) -> Colu
     return F.size(F.filter(edges, upright)) + F.size(F.filter(edges, level))
 
 
-def cells_of_shapes(edges: DataFrame, size: float) -> DataFrame:
-    """``(cx, cy, shapes)``: for each cell that a polygon touches, its polygons by key, ``(shape, odd, near)``."""
-    slack = 1e-9 * size
+def cells_of_shapes(edges: DataFrame, size: float, margin: float = 0.0) -> DataFrame:
+    """``(cx, cy, shapes)``: for each cell that a polygon touches, its polygons by key, ``(shape, odd, near)``; ``near`` has the edges within the margin."""
+    slack = margin + 1e-9 * size
     steps = lambda a, b, shift: F.explode(F.sequence(cell_of(a - slack, size, shift), cell_of(b + slack, size, shift)))
     low, high = F.least("y0", "y1"), F.greatest("y0", "y1")
     rows = edges.withColumn("e", F.struct("x0", "y0", "x1", "y1")).withColumn("cy", steps(low, high, NORTH))
     bottom = F.col("cy") * size - NORTH * size
     flat = F.col("y0") == F.col("y1")
-    ends = [F.when(flat, F.col(c)).otherwise(_x_at(F.col("e"), F.greatest(low, F.least(high, y)))) for c, y in (("x0", bottom), ("x1", bottom + size))]
+    ends = [F.when(flat, F.col(c)).otherwise(_x_at(F.col("e"), F.greatest(low, F.least(high, y)))) for c, y in (("x0", bottom - slack), ("x1", bottom + size + slack))]
     near = rows.withColumn("cx", steps(F.least(*ends), F.greatest(*ends), EAST)).groupBy("shape", "cx", "cy").agg(F.collect_list("e").alias("near"))
     strips = rows.groupBy("shape", "cy").agg(F.collect_list("e").alias("strip"))
     spans = near.groupBy("shape", "cy").agg(F.sequence(F.min("cx"), F.max("cx")).alias("cx")).withColumn("cx", F.explode("cx"))
@@ -100,6 +100,33 @@ def first_within(points: DataFrame, edges: DataFrame, size: float) -> DataFrame:
     return keyed.join(small(cells), ["cx", "cy"], "left").withColumn("held", F.get(inside, F.lit(0))["shape"]).drop("cx", "cy", "shapes")
 
 
+def inset(points: DataFrame, outlines: DataFrame, metres: float, keys=KEYS, size: float = 2.0) -> DataFrame:
+    """The points (with lon, lat) inside any polygon and at least ``metres`` from its edges, in the UTM zone of the polygon's middle.
+
+    Edges are straight between their ends in UTM. Latitudes beyond 80 degrees see edges of fewer metres only.
+    """
+    box = outlines.groupBy(*keys).agg(((F.min("lon") + F.max("lon")) / 2).alias("_mid"), (F.min("lat") + F.max("lat") < 0).alias("south")).withColumn("zone", F.floor((F.col("_mid") + 180) / 6) + 1).drop("_mid")
+    zoned = outlines.join(small(box), list(keys))
+    margin = metres / 110_000 / math.cos(math.radians(80))
+    cells = kept(cells_of_shapes(edges_of(zoned, (*keys, "zone", "south")), size, margin), "cells")
+    keyed = points.withColumns({"_cx": cell_of(F.col("lon"), size, EAST), "_cy": cell_of(F.col("lat"), size, NORTH)})
+    cx, cy = centre_of(F.col("_cx"), size, EAST), centre_of(F.col("_cy"), size, NORTH)
+    held = cells.select(F.col("cx").alias("_cx"), F.col("cy").alias("_cy"), F.col("shapes").alias("_shapes"))
+
+    def well_inside(s) -> Column:
+        zone, south = s["shape"]["zone"], s["shape"]["south"]
+        _, x, y = to_utm(F.col("lon"), F.col("lat"), zone, south)
+
+        def far(e) -> Column:
+            (_, x0, y0), (_, x1, y1) = (to_utm(e[f"x{k}"], e[f"y{k}"], zone, south) for k in "01")
+            line = F.struct(x0.alias("x0"), y0.alias("y0"), x1.alias("x1"), y1.alias("y1"), x.alias("x"), y.alias("y"))
+            return F.get(F.transform(F.array(line), lambda g: segment_distance(g["x"], g["y"], g) >= metres), F.lit(0))
+
+        return (s["odd"] != (crossed(s["near"], cx, cy, F.col("lon"), F.col("lat")) % 2 == 1)) & F.forall(s["near"], far)
+
+    return keyed.join(small(held), ["_cx", "_cy"]).where(F.exists("_shapes", well_inside)).drop("_cx", "_cy", "_shapes")
+
+
 def segment_distance(x: Column, y: Column, e) -> Column:
     dx, dy = e["x1"] - e["x0"], e["y1"] - e["y0"]
     t = F.least(F.greatest(((x - e["x0"]) * dx + (y - e["y0"]) * dy) / (dx * dx + dy * dy), F.lit(0.0)), F.lit(1.0))

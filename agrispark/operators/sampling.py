@@ -9,9 +9,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from agrispark.operators.geometry import to_web_mercator
+from agrispark.operators.geometry import TILES_SQL, tiles, to_web_mercator
 from agrispark.operators.hexes import hex_cell, hex_name, hex_parent
-from agrispark.operators.splits import SEED, chance
+from agrispark.operators.relations import tile_assignment_join
+from agrispark.operators.splits import SEED, _chance, chance
 from agrispark.registry import query
 from agrispark.storage import kept, small
 
@@ -196,3 +197,43 @@ def weighted_draw(samples: DataFrame, size: int = 32, seed: int = SEED) -> DataF
     batches = -(-samples.count() // size)
     out = mixed_batches({"landcover": pool.select("id", "weight"), "croptype": pool.where("extract = 1").select("id", "weight")}, {"landcover": 0.5, "croptype": 0.5}, size, batches, seed)
     return out.withColumnRenamed("id", "sample_id")
+
+
+# units of extraction
+
+
+_UNIT = f"""{TILES_SQL}, tl AS (SELECT sample_id, min(tile_name) AS tile FROM samples LEFT JOIN t ON lon BETWEEN x0 AND x1 AND lat BETWEEN y0 AND y1 GROUP BY sample_id),
+  u AS (SELECT *, CAST(year(valid_time) AS INTEGER) AS year, (row_number() OVER (PARTITION BY year(valid_time), tile ORDER BY {_chance('sample_id')}, sample_id) - 1) // 10 AS k FROM samples JOIN tl USING (sample_id)),
+  w AS (SELECT *, CAST(date_trunc('month', greatest(min(valid_time) OVER p - 275, DATE '2017-01-01')) AS DATE) AS start_date, last_day(least(max(valid_time) OVER p + 275, DATE '2021-12-31')) AS end_date FROM u WINDOW p AS (PARTITION BY year, tile, k))"""
+_FEATURE = """'{"type":"Feature","geometry":{"type":"Point","coordinates":[' || CAST(CAST(lon AS DECIMAL(10,5)) AS VARCHAR) || ',' || CAST(CAST(lat AS DECIMAL(10,5)) AS VARCHAR) || ']},"properties":{"sample_id":"' || sample_id || '","ref_id":"' || ref_id || '","valid_time":"' || CAST(valid_time AS VARCHAR) || '","start_date":"' || CAST(start_date AS VARCHAR) || '","end_date":"' || CAST(end_date AS VARCHAR) || '"}}'"""
+
+
+@query("plan_extraction_units", "samples", "regions", sql=f"""WITH {_UNIT} SELECT year, tile, CAST(k AS INTEGER) AS unit, count(*) AS n, start_date, end_date,
+  '{{"type":"FeatureCollection","features":[' || string_agg({_FEATURE}, ',' ORDER BY sample_id) || ']}}' AS geometry FROM w GROUP BY year, tile, k, start_date, end_date""")
+def q_extraction_units(samples: DataFrame, regions: DataFrame) -> DataFrame:
+    tiled = tile_assignment_join(samples, tiles(regions, 7.0)).join(samples, "sample_id")
+    return plan_extraction_units(tiled, 10)
+
+
+def plan_extraction_units(samples: DataFrame, most: int = 500, reach: int = 275, first: str = "2017-01-01", last: str = "2021-12-31") -> DataFrame:
+    """Units of at most ``most`` samples of a year and tile, with their period in whole months and their points as GeoJSON.
+
+    The period reaches ``reach`` days before the first and after the last validity date, within ``first`` and ``last``.
+    Samples are dealt to units in hash order; those without a tile are units of their own, without a date none.
+    """
+    dated = samples.where("valid_time is not null").withColumn("year", F.year("valid_time")).withColumn("_c", chance("sample_id"))
+    # null tiles take part in the joins of the ranking under an empty name
+    named = dated.withColumn("_tile", F.coalesce("tile", F.lit("")))
+    u = ranked(named, ["year", "_tile"], ["_c", "sample_id"], "_k").withColumn("unit", F.floor((F.col("_k") - 1) / most).cast("int"))
+    start = F.trunc(F.greatest(F.date_sub(F.min("valid_time"), reach), F.to_date(F.lit(first))), "month")
+    end = F.last_day(F.least(F.date_add(F.max("valid_time"), reach), F.to_date(F.lit(last))))
+    points = F.array_sort(F.collect_list(F.struct("sample_id", "ref_id", "valid_time", F.col("lon").cast("decimal(10,5)").alias("lon"), F.col("lat").cast("decimal(10,5)").alias("lat"))))
+    units = u.groupBy("year", "_tile", "unit").agg(F.first("tile").alias("tile"), F.count("*").alias("n"), start.alias("start_date"), end.alias("end_date"), points.alias("points"))
+
+    def feature(p: Column) -> Column:
+        properties = F.struct(p["sample_id"].alias("sample_id"), p["ref_id"].alias("ref_id"), p["valid_time"].cast("string").alias("valid_time"), F.col("start_date").cast("string").alias("start_date"), F.col("end_date").cast("string").alias("end_date"))
+        place = F.struct(F.lit("Point").alias("type"), F.array(p["lon"], p["lat"]).alias("coordinates"))
+        return F.struct(F.lit("Feature").alias("type"), place.alias("geometry"), properties.alias("properties"))
+
+    collection = F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), F.transform("points", feature).alias("features")))
+    return units.select("year", "tile", "unit", "n", "start_date", "end_date", collection.alias("geometry"))

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from agrispark.functions.bands import NODATA
+from agrispark.operators.grid import _utm_sql
+from agrispark.operators.polygons import inset
 from agrispark.registry import query
 from agrispark.storage import scratch
 
@@ -198,33 +200,40 @@ def q_samples_union(samples: DataFrame, legend: DataFrame) -> DataFrame:
     return sample_totals(query_samples_union(query_public_samples(samples, BOX), private, legend))
 
 
-def inside(lon: Column, lat: Column, ring: list[tuple[float, float]]) -> Column:
-    """Whether a point lies in a closed ring, by the number of edges to its right."""
-    crossed = F.lit(0)
-    for (x0, y0), (x1, y1) in zip(ring, ring[1:], strict=False):
-        if y0 != y1:
-            low, high = min(y0, y1), max(y0, y1)
-            at = x0 + (lat - y0) * ((x1 - x0) / (y1 - y0))
-            crossed = crossed + F.when((lat >= low) & (lat < high) & (lon < at), 1).otherwise(0)
-    return crossed % 2 == 1
+def _utm(lon: str, lat: str, x: str, y: str, source: str) -> str:
+    """SQL of ``source`` (with zone and south) and the UTM coordinates of a point of it."""
+    inner = f"(SELECT *, {lon} AS lon_, {lat} AS lat_ FROM ({source}))"
+    text = _utm_sql("zone", "south").format(inner).replace("radians(lat)", "radians(lat_)").replace("radians(lon -", "radians(lon_ -")
+    return f"SELECT * EXCLUDE (x, y, lon_, lat_), x AS {x}, y AS {y} FROM ({text})"
 
 
-AREA = [(-120.0, -45.0), (60.0, -45.0), (90.0, 10.0), (20.0, 50.0), (-60.0, 30.0), (-120.0, 45.0), (-120.0, -45.0)]
-_CROSSED = " + ".join(f"CASE WHEN lat >= {min(b, d)}e0 AND lat < {max(b, d)}e0 AND lon < {a}e0 + (lat - {b}e0) * {(c - a) / (d - b)!r}e0 THEN 1 ELSE 0 END" for (a, b), (c, d) in zip(AREA, AREA[1:], strict=False) if b != d).replace("--", "+").replace("- -", "+ ")
+_PIECES = "SELECT iso3, lon AS a0, lat AS b0, lead(lon) OVER (PARTITION BY iso3, ring ORDER BY k) AS a1, lead(lat) OVER (PARTITION BY iso3, ring ORDER BY k) AS b1 FROM outlines"
+_MIDDLES = "SELECT iso3, CAST(floor(((min(lon) + max(lon)) / 2 + 180) / 6) + 1 AS INTEGER) AS zone, min(lat) + max(lat) < 0 AS south FROM outlines GROUP BY iso3"
+_WELL = f"""pc AS (SELECT * FROM ({_PIECES}) WHERE a1 IS NOT NULL), inn AS (SELECT sample_id, any_value(lon) AS plon, any_value(lat) AS plat, iso3 FROM samples, pc WHERE (b0 > lat) <> (b1 > lat) AND lon < (a1 - a0) * (lat - b0) / (b1 - b0) + a0 GROUP BY sample_id, iso3 HAVING count(*) % 2 = 1),
+  ut AS ({_utm('plon', 'plat', 'px', 'py', f'SELECT * FROM inn JOIN ({_MIDDLES}) USING (iso3)')}),
+  ue AS ({_utm('a1', 'b1', 'x1', 'y1', _utm('a0', 'b0', 'x0', 'y0', f'SELECT * FROM pc JOIN ({_MIDDLES}) USING (iso3)'))}),
+  well AS (SELECT sample_id FROM (SELECT sample_id, iso3, min(sqrt((px - x0 - t * (x1 - x0)) ** 2 + (py - y0 - t * (y1 - y0)) ** 2)) AS d FROM
+    (SELECT sample_id, ut.iso3 AS iso3, px, py, x0, y0, x1, y1, least(greatest(((px - x0) * (x1 - x0) + (py - y0) * (y1 - y0)) / ((x1 - x0) ** 2 + (y1 - y0) ** 2), 0), 1) AS t FROM ut JOIN ue USING (iso3)) GROUP BY 1, 2) WHERE d >= 50000)"""
 
 
-@query("get_reference_samples", "samples", sql=f"""SELECT sample_id, ref_id, valid_time FROM samples WHERE ({_CROSSED}) % 2 = 1
+@query("get_reference_samples", "samples", "outlines", sql=f"""WITH {_WELL} SELECT sample_id, ref_id, valid_time FROM samples WHERE sample_id IN (SELECT sample_id FROM well)
   AND valid_time BETWEEN DATE '2020-06-01' AND DATE '2021-06-01' AND {_CODES} AND quality_lc >= 20 AND quality_ct >= 2 AND extract > 0 AND (ref_id LIKE '2018%' OR ref_id LIKE '2019%')""")
-def q_reference_samples(samples: DataFrame) -> DataFrame:
+def q_reference_samples(samples: DataFrame, outlines: DataFrame) -> DataFrame:
+    """An inset of 50 km, so that it shows among few samples."""
     years = [samples.where(F.col("ref_id").startswith(y)) for y in ("2018", "2019")]
-    return get_reference_samples(years, AREA, ("2020-06-01", "2021-06-01"), CODES, (20, 2), subset=True).select("sample_id", "ref_id", "valid_time")
+    return get_reference_samples(years, outlines, ("2020-06-01", "2021-06-01"), CODES, (20, 2), subset=True, metres=50_000.0).select("sample_id", "ref_id", "valid_time")
 
 
-def get_reference_samples(datasets: list[DataFrame], ring: list[tuple[float, float]], period=None, codes=None, quality=(0, 0), subset: bool = False) -> DataFrame:
-    """Union of datasets of points, cut to a polygon, by period, codes, least qualities and (``subset``) extract flag."""
-    w, e, s, n = (f(p[k] for p in ring) for k in (0, 1) for f in (min, max))
-    kept = F.col("lon").between(w, e) & F.col("lat").between(s, n) & inside(F.col("lon"), F.col("lat"), ring)  # the box reaches the scan
-    kept = kept & (F.col("quality_lc") >= quality[0]) & (F.col("quality_ct") >= quality[1])
+def get_reference_samples(datasets: list[DataFrame], extent: DataFrame | None, period=None, codes=None, quality=(0, 0), subset: bool = False, metres: float = 20.0, keys=("iso3",)) -> DataFrame:
+    """Union of datasets of points, cut to an extent, by period, codes, least qualities and (``subset``) extract flag.
+
+    The extent is a table of polygons by vertex, ``(keys, ring, k, lon, lat)``, taken in by ``metres`` in UTM; its box
+    reaches the scans. Without one, nothing is cut.
+    """
+    kept = (F.col("quality_lc") >= quality[0]) & (F.col("quality_ct") >= quality[1])
+    if extent is not None:
+        box = extent.agg(*(f(c).alias(f"{n}_{c}") for c in ("lon", "lat") for n, f in (("a", F.min), ("b", F.max)))).first()
+        kept = kept & F.col("lon").between(box["a_lon"], box["b_lon"]) & F.col("lat").between(box["a_lat"], box["b_lat"])
     if period:
         kept = kept & F.col("valid_time").between(*(F.to_date(F.lit(p)) for p in period))
     if codes is not None:
@@ -234,7 +243,7 @@ def get_reference_samples(datasets: list[DataFrame], ring: list[tuple[float, flo
     out = datasets[0].where(kept)
     for d in datasets[1:]:
         out = out.unionByName(d.where(kept), allowMissingColumns=True)
-    return out
+    return out if extent is None else inset(out, extent, metres, keys)
 
 
 @query("load_samples_for_extraction", "samples", sql="SELECT sample_id, lat, lon, ref_id FROM samples WHERE extract >= 2")
