@@ -87,6 +87,12 @@ ADAPTERS = {
                CAST(min(l_quantity) AS INTEGER) % 4 AS label, floor(avg(l_extendedprice) % 1000) / 1000e0 AS prob,
                CAST(max(l_linenumber) AS INTEGER) AS scl
         FROM lineitem GROUP BY 1, 2, 3""",
+    # rasters of unequal extents
+    "rasters": """
+        SELECT CAST(l_suppkey % 4 AS INTEGER) AS tile, CAST(l_partkey % (32 - 2 * (l_suppkey % 4)) AS INTEGER) AS x, CAST(l_orderkey % (32 - 3 * (l_suppkey % 4)) AS INTEGER) AS y,
+               CAST(min(l_quantity) AS INTEGER) % 4 AS label, floor(avg(l_extendedprice) % 1000) / 1000e0 AS prob,
+               CAST(max(l_linenumber) AS INTEGER) AS scl
+        FROM lineitem GROUP BY 1, 2, 3""",
     "calendar": """
         SELECT CAST(floor(s_suppkey / 10e0) AS INTEGER) * 5e-1 + 1025e-2 AS lat, CAST(s_suppkey % 10 AS INTEGER) * 5e-1 + 2025e-2 AS lon,
                CAST(1 + s_suppkey * 7 % 200 AS INTEGER) AS s1_sos, CAST(1 + (s_suppkey * 7 % 200) + 100 AS INTEGER) AS s1_eos,

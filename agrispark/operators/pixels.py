@@ -180,14 +180,10 @@ def votes(pixels: DataFrame, reach: int, weight: Column, excluded: int | None) -
 
 _MIRROR = "CASE WHEN {i} < 0 THEN -{i} - 1 WHEN {i} >= {n} THEN 2 * {n} - 1 - {i} ELSE {i} END"
 #: Tiles of different extents.
-_CUT = "raster AS (SELECT * FROM pixels WHERE y < 32 - 3 * tile AND x < 32 - 2 * tile), size AS (SELECT tile, max(y) + 1 AS h, max(x) + 1 AS w FROM raster GROUP BY tile)"
+_CUT = "raster AS (SELECT * FROM rasters), size AS (SELECT tile, max(y) + 1 AS h, max(x) + 1 AS w FROM raster GROUP BY tile)"
 _NEAR = f"""SELECT p.tile, p.y, p.x, p.label, dy, dx, {_MIRROR.format(i='(p.y + dy)', n='h')} AS ny, {_MIRROR.format(i='(p.x + dx)', n='w')} AS nx FROM raster p JOIN size USING (tile), range(-1, 2) a(dy), range(-1, 2) b(dx)"""
 
 
-def cut(pixels: DataFrame) -> DataFrame:
-    return pixels.where((F.col("y") < 32 - 3 * F.col("tile")) & (F.col("x") < 32 - 2 * F.col("tile")))
-
-
 _FILL = """SELECT p.tile, p.y, p.x, coalesce(p.v, a.v, b.v, c.v, d.v) AS v FROM {t} p LEFT JOIN {t} a ON a.tile = p.tile AND a.y = p.y AND a.x = p.x - 1 LEFT JOIN {t} b ON b.tile = p.tile AND b.y = p.y AND b.x = p.x + 1
   LEFT JOIN {t} c ON c.tile = p.tile AND c.y = p.y - 1 AND c.x = p.x LEFT JOIN {t} d ON d.tile = p.tile AND d.y = p.y + 1 AND d.x = p.x"""
 _SLOPE = f"""WITH {_CUT}, d0 AS (SELECT tile, y, x, CASE WHEN scl <> 2 THEN floor(prob * 200) END AS v FROM raster), d1 AS ({_FILL.format(t='d0')}), d2 AS ({_FILL.format(t='d1')}),
@@ -200,10 +196,10 @@ _SLOPE = f"""WITH {_CUT}, d0 AS (SELECT tile, y, x, CASE WHEN scl <> 2 THEN floo
   SELECT k.tile, k.y, k.x, CAST(CASE WHEN bool_or(k.v IS NULL) OR count(s.s) < count(*) THEN 65535 ELSE floor(round(sum(k.k * s.s), 6)) END AS INTEGER) AS slope FROM k LEFT JOIN s ON s.tile = k.tile AND s.y = ky AND s.x = kx WHERE k.k > 1e-9 GROUP BY k.tile, k.y, k.x"""
 
 
-@query("slope", "pixels", sql=_SLOPE)
+@query("slope", "rasters", sql=_SLOPE)
 def q_slope(pixels: DataFrame) -> DataFrame:
     """Heights from probabilities, unknown where the class is 2."""
-    return slope(cut(pixels).select(*PIXEL, F.when(F.col("scl") == 2, NODATA).otherwise(F.floor(F.col("prob") * 200)).alias("elevation")))
+    return slope(pixels.select(*PIXEL, F.when(F.col("scl") == 2, NODATA).otherwise(F.floor(F.col("prob") * 200)).alias("elevation")))
 
 
 def filled(heights: DataFrame) -> DataFrame:
@@ -253,12 +249,12 @@ def slope(pixels: DataFrame, resolution: int = 10) -> DataFrame:
     return met.groupBy(*PIXEL).agg(F.when(known_all, F.floor(F.round(F.sum(F.col("k") * F.col("s")), 6))).otherwise(NODATA).cast("int").alias("slope"))
 
 
-@query("majority_vote", "pixels", sql=f"""WITH {_CUT}, n AS ({_NEAR}),
+@query("majority_vote", "rasters", sql=f"""WITH {_CUT}, n AS ({_NEAR}),
   v AS (SELECT n.tile, n.y, n.x, q.label, count(*) AS w FROM n JOIN raster q ON q.tile = n.tile AND q.y = ny AND q.x = nx WHERE q.label <> 3 GROUP BY ALL),
   best AS (SELECT tile, y, x, arg_min(label, -w * 100 + label) AS label FROM v GROUP BY ALL)
   SELECT p.tile, p.y, p.x, CASE WHEN p.label = 3 THEN 3 ELSE coalesce(b.label, p.label) END AS label FROM raster p LEFT JOIN best b USING (tile, y, x)""")
 def q_majority_vote(pixels: DataFrame) -> DataFrame:
-    return majority_vote(cut(pixels))
+    return majority_vote(pixels)
 
 
 def majority_vote(pixels: DataFrame, kernel: int = 3, excluded: int = 3) -> DataFrame:
@@ -280,11 +276,11 @@ def majority_vote_weighted(pixels: DataFrame) -> DataFrame:
     return pixels.select(*PIXEL).join(best, PIXEL).select(*PIXEL, "b.label", F.round(F.col("b.w") / F.col("b.k"), 7).alias("prob"))
 
 
-@query("smooth_probabilities", "pixels", sql=f"""WITH {_CUT}, n AS ({_NEAR} WHERE p.label <> 3), k AS (SELECT *, CASE WHEN dy = 0 AND dx = 0 THEN 3 WHEN dy = 0 OR dx = 0 THEN 2 ELSE 1 END AS k FROM n),
+@query("smooth_probabilities", "rasters", sql=f"""WITH {_CUT}, n AS ({_NEAR} WHERE p.label <> 3), k AS (SELECT *, CASE WHEN dy = 0 AND dx = 0 THEN 3 WHEN dy = 0 OR dx = 0 THEN 2 ELSE 1 END AS k FROM n),
   s AS (SELECT k.tile, k.y, k.x, sum(q.prob * k) / 15 AS a, sum((1 - q.prob) * k) / 15 AS b FROM k JOIN raster q ON q.tile = k.tile AND q.y = ny AND q.x = nx AND q.label <> 3 GROUP BY ALL)
   SELECT tile, y, x, round(a / (a + b), 6) AS prob, CASE WHEN round(a - b, 9) >= 0 THEN 1 ELSE 0 END AS crop FROM s""")
 def q_smooth_probabilities(pixels: DataFrame) -> DataFrame:
-    return smooth_probabilities(cut(pixels))
+    return smooth_probabilities(pixels)
 
 
 def smooth_probabilities(pixels: DataFrame, excluded: int = 3) -> DataFrame:
