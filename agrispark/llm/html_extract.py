@@ -2,7 +2,8 @@
 
 Block elements of a page are nodes with two states, boilerplate and content. A node's own features (tag, hints in
 class, id and role, text length, link share, sentence marks) give its unary potential; a 2 x 2 potential joins each
-node to its parent. Sum-product messages up and down the tree yield the exact marginal of every node, and the text
+node to its parent, one for each kind of region that the node stands in: that of the nearest hint at or above it. So
+the state of a comment list or a sidebar carries down to paragraphs that look like an article's. Sum-product messages up and down the tree yield the exact marginal of every node, and the text
 blocks of nodes with a content marginal of a half or more are the page's text. All potentials are smoothed counts
 over labelled pages: those of a bounded sample that mark their article themselves.
 
@@ -34,6 +35,9 @@ TAG = re.compile(
     |<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>""",
     re.VERBOSE,
 )
+COMMENT_END = re.compile(r"--!?>")
+#: Attributes of elements that browsers don't show.
+UNSEEN = re.compile(r"""(?:^|[\s"'])hidden(?=[\s=/]|$)|\bstyle\s*=\s*(?:"[^"]*?display\s*:\s*none|'[^']*?display\s*:\s*none)""", re.IGNORECASE)
 LOOSE = re.compile(r"<(?:!--|!\[CDATA\[|[!?][^>]*+>)|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>()()()")
 #: Tags whose quotes close nowhere on the page, after which quotes no longer hide a ``>``.
 MOST_LOOSE = 16
@@ -42,7 +46,7 @@ SPLIT_NAME = re.compile(r"[^a-z]+")
 #: Elements by how they are parsed (fixed values).
 RAW = frozenset("script style textarea title iframe".split())
 #: Text is left out while one of these is open.
-HIDDEN = frozenset("noscript template svg object canvas select button annotation annotation-xml".split())
+HIDDEN = frozenset("noscript template svg object canvas select button datalist label video audio annotation annotation-xml".split())
 #: Blocks that end an open button, select or svg.
 ENDS = frozenset("article main section aside nav header footer table form h1 h2 h3 h4 h5 h6".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -66,6 +70,10 @@ BAD_WORDS = frozenset(
     skip social sponsor sponsored subscribe subscription tags toolbar widget reply replies reader""".split()
 )
 GOOD_WORDS = frozenset("article body content entry main post story text".split())
+#: Words for boilerplate that say nothing beside one for content: a story's header is part of it.
+WEAK_WORDS = frozenset("header footer reader tags copyright banner masthead".split())
+#: Words for which elements within a line are left out as well.
+INLINE_WORDS = frozenset("ad ads advert advertisement advertising promo promoted share sharing social sponsor sponsored".split())
 
 
 class Page:
@@ -76,14 +84,24 @@ class Page:
         self.blocks: list[tuple[int, str, int]] = []
 
 
-def hint_of(tag: str, attributes: str) -> str:
+def words_of_names(attributes: str) -> set[str]:
     words: set[str] = set()
     if "=" in attributes:
         for m in ATTRIBUTE.finditer(attributes):
             words.update(SPLIT_NAME.split((m[1] or m[2] or m[3] or "").lower()))
-    if tag in BAD_TAGS or words & BAD_WORDS:
+    return words
+
+
+def hint_of(tag: str, attributes: str) -> str:
+    words = words_of_names(attributes)
+    bad, good = words & BAD_WORDS, words & GOOD_WORDS
+    if tag in BAD_TAGS or bad and (bad - WEAK_WORDS or not good):
         return "bad"
-    return "good" if tag in GOOD_TAGS or words & GOOD_WORDS else "none"
+    return "none" if bad else "good" if tag in GOOD_TAGS or good else "none"
+
+
+def unseen(attributes: str) -> bool:
+    return bool(attributes) and UNSEEN.search(attributes) is not None
 
 
 def parse(source: str) -> Page:
@@ -141,17 +159,25 @@ def parse(source: str) -> Page:
             close_to(depth)
 
     at, loose = 0, 0
-    while (m := (TAG if loose < MOST_LOOSE else LOOSE).search(source, at)) is not None and m.start() <= last_end:
+    # nothing is looked for behind the last ``>``, where every ``<`` would be followed to the end in vain
+    while at <= last_end and (m := (TAG if loose < MOST_LOOSE else LOOSE).search(source, at, last_end + 1)) is not None:
         if m.start() > at and not cover:
             run = html.unescape(source[at : m.start()])
             pieces.append(run)
             linked += len(run) if links else 0
         at = m.end()
         if m[0] in ("<!--", "<![CDATA["):
-            mark = "-->" if m[0] == "<!--" else "]]>"
+            comment = m[0] == "<!--"
+            if comment and (early := next((e for e in (">", "->") if source.startswith(e, at)), None)):
+                at += len(early)  # an empty comment may end at once
+                continue
+            mark = "-->" if comment else "]]>"
             if mark not in ends:
-                ends[mark] = source.rfind(mark)
-            at = source.index(mark, at) + 3 if ends[mark] >= at else source.index(">", at) + 1 if at <= last_end else len(source)
+                ends[mark] = max(source.rfind(x) for x in (("-->", "--!>") if comment else (mark,)))
+            if ends[mark] < at:
+                at = source.index(">", at) + 1 if at <= last_end else len(source)
+            else:
+                at = COMMENT_END.search(source, at).end() if comment else source.index(mark, at) + 3
             continue
         if m[5]:
             loose += 1
@@ -183,8 +209,13 @@ def parse(source: str) -> Page:
             attributes = m[3] or m[6] or ""
             if name in ENDS and cover and stack[cover][0] in ("button", "select", "svg"):
                 close_to(cover)
-            if name in BLOCK and cover:
+            if cover or unseen(attributes) and closed_later(name):
+                if not cover:
+                    if name in BLOCK:
+                        flush()
+                    cover = len(stack)
                 push(name, stack[-1][1])
+                links += name == "a"
             elif name in BLOCK:
                 close_open("p", ("table", "td", "th", "li", "blockquote", "article", "section", "div", "button"))
                 if name in CLOSES:
@@ -195,6 +226,9 @@ def parse(source: str) -> Page:
                 page.hint.append(hint_of(name, attributes))
                 push(name, len(page.parent) - 1)
             elif not attributes.rstrip().endswith("/"):
+                if words_of_names(attributes) & INLINE_WORDS and closed_later(name):
+                    pieces.append(" ")
+                    cover = len(stack)
                 push(name, stack[-1][1])
                 links += name == "a"
     if at < len(source) and not cover:
@@ -226,6 +260,14 @@ def features(page: Page) -> list[tuple[str, ...]]:
     ]
 
 
+def regions(page: Page) -> list[str]:
+    """For each node the nearest hint at or above it."""
+    out = ["none"]
+    for v in range(1, len(page.parent)):
+        out.append(page.hint[v] if page.hint[v] != "none" else out[page.parent[v]])
+    return out
+
+
 def labels(page: Page) -> list[int] | None:
     """Content states of a page that marks one article itself; None when it doesn't."""
     articles = [v for v, t in enumerate(page.tag) if t in GOOD_TAGS]
@@ -239,12 +281,13 @@ def labels(page: Page) -> list[int] | None:
 
 
 class Potentials:
-    """Log potentials: of features by state, of child state by parent state, with prior counts for the hints."""
+    """Log potentials: of features by state, of child state by parent state and the child's region, with prior counts for the hints."""
 
     def __init__(self, counts: Counter) -> None:
         self.table: dict[str, tuple[float, float]] = {}
         seen = Counter({("hint bad", 0): 40, ("hint bad", 1): 0.5, ("hint good", 1): 8, ("hint good", 0): 2})
-        edges = Counter({(0, 0): 8.0, (0, 1): 2.0, (1, 0): 1.0, (1, 1): 20.0})
+        edges = Counter({(r, *k): c for r in ("good", "none") for k, c in {(0, 0): 8.0, (0, 1): 2.0, (1, 0): 1.0, (1, 1): 20.0}.items()})
+        edges |= Counter({("bad", 0, 0): 20.0, ("bad", 0, 1): 0.001, ("bad", 1, 0): 20.0, ("bad", 1, 1): 0.001})
         for key, c in counts.items():
             if key[0] == "edge":
                 edges[key[1:]] += c
@@ -257,7 +300,7 @@ class Potentials:
             total = [sum(seen[name, y] + 0.5 for name in names) for y in (0, 1)]
             for name in names:
                 self.table[name] = tuple(math.log((seen[name, y] + 0.5) / total[y]) for y in (0, 1))
-        self.edge = [[math.log(edges[x, y] / (edges[x, 0] + edges[x, 1])) for y in (0, 1)] for x in (0, 1)]
+        self.edge = {r: [[math.log(edges[r, x, y] / (edges[r, x, 0] + edges[r, x, 1])) for y in (0, 1)] for x in (0, 1)] for r in ("good", "none", "bad")}
 
 
 def _add(a: float, b: float) -> float:
@@ -266,7 +309,8 @@ def _add(a: float, b: float) -> float:
 
 def marginals(page: Page, potentials: Potentials) -> list[float]:
     """Content marginal of each node by sum-product: one pass up, one down. The root is boilerplate."""
-    n, parent, edge = len(page.parent), page.parent, potentials.edge
+    n, parent = len(page.parent), page.parent
+    edges = [potentials.edge[r] for r in regions(page)]
     unary = []
     for names in features(page):
         found = [potentials.table.get(x, (0.0, 0.0)) for x in names]
@@ -275,13 +319,13 @@ def marginals(page: Page, potentials: Potentials) -> list[float]:
     up = [list(u) for u in unary]
     sent: list[tuple[float, float]] = [(0.0, 0.0)] * n
     for v in range(n - 1, 0, -1):
-        b = up[v]
+        b, edge = up[v], edges[v]
         sent[v] = tuple(_add(edge[x][0] + b[0], edge[x][1] + b[1]) for x in (0, 1))
         up[parent[v]][0] += sent[v][0]
         up[parent[v]][1] += sent[v][1]
     whole = [list(up[0])] + [[0.0, 0.0]] * (n - 1)
     for v in range(1, n):
-        p = whole[parent[v]]
+        p, edge = whole[parent[v]], edges[v]
         rest = (p[0] - sent[v][0], p[1] - sent[v][1])
         whole[v] = [up[v][y] + _add(edge[0][y] + rest[0], edge[1][y] + rest[1]) for y in (0, 1)]
     return [1 / (1 + math.exp(min(700.0, b[0] - b[1]))) for b in whole]
@@ -307,18 +351,19 @@ def trained(pages: DataFrame, most: int = MOST_LABELLED, id_col: str = "page_id"
             page = parse(source)
             states = labels(page)
             if states is not None:
+                where = regions(page)
                 for v, names in enumerate(features(page)):
                     counts.update((name, states[v]) for name in names)
                     if v:
-                        counts["edge", states[page.parent[v]], states[v]] += 1
+                        counts["edge", where[v], states[page.parent[v]], states[v]] += 1
         keys = ["|".join(map(str, k)) for k in counts]
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(list(counts.values()), pa.int64())], names=["k", "c"])
 
     summed = mapped(chosen.select("html"), run, "k string, c bigint").groupBy("k").agg(F.sum("c").alias("c")).collect()
     counts: Counter = Counter()
     for r in summed:
-        name, *states = r["k"].rsplit("|", 2 if r["k"].startswith("edge|") else 1)
-        counts[(name, *map(int, states))] = r["c"]
+        name, *states = r["k"].rsplit("|", 3 if r["k"].startswith("edge|") else 1)
+        counts[(name, *(int(x) if x.isdigit() else x for x in states))] = r["c"]
     return Potentials(counts)
 
 

@@ -293,9 +293,10 @@ def test_marginals_equal_enumeration():
     unary = [[sum(pot.table.get(x, (0, 0))[y] for x in names) for y in (0, 1)] for names in html_extract.features(page)]
     unary[0][1] -= 20
     mass = np.zeros((n, 2))
+    where = html_extract.regions(page)
     for code in range(2**n):
         y = [code >> v & 1 for v in range(n)]
-        p = math.exp(sum(unary[v][y[v]] for v in range(n)) + sum(pot.edge[y[page.parent[v]]][y[v]] for v in range(1, n)))
+        p = math.exp(sum(unary[v][y[v]] for v in range(n)) + sum(pot.edge[where[v]][y[page.parent[v]]][y[v]] for v in range(1, n)))
         for v in range(n):
             mass[v, y[v]] += p
     assert np.allclose(html_extract.marginals(page, pot), mass[:, 1] / mass.sum(axis=1))
