@@ -1,7 +1,8 @@
 """License scans in DataFrame operations: sparse TF-IDF cosine to templates, then inheritance from directories.
 
-Three kinds of pieces of a text are compared with short notices, headers and whole licences: each line, each block of
-several lines (lines without an empty one between them), and the whole text. A line or block whose cosine to a template
+Three kinds of pieces of a text are compared with short notices, SPDX lines, titles, headers and whole licences: each
+line, each block of several lines (lines without an empty one between them), and the whole text. What tells a licence
+from its kin, such as its version, must be among a piece's words as well. A line or block whose cosine to a template
 reaches the threshold is a header; a text that is yet closer (``WHOLE``) as a whole, that has nothing but headers, or that is so named
 and has a header, is a licence file. Term weights are the document frequencies of the template terms over all texts.
 A piece can reach the threshold only if it holds a term outside the set of commonest terms whose joint weight stays
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import json
 import math
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,22 +41,77 @@ TEMPLATES = {
     "Unlicense": "This is free and unencumbered software released into the public domain",
 }
 
+#: Names of licences by SPDX identifier (fixed values).
+NAMES = {
+    "0BSD": ["Zero-Clause BSD License"],
+    "AGPL-3.0": ["GNU Affero General Public License, version 3"],
+    "Apache-2.0": ["Apache License, Version 2.0", "Apache License 2.0"],
+    "Artistic-2.0": ["Artistic License 2.0"],
+    "BSD-2-Clause": ["BSD 2-Clause License"],
+    "BSD-3-Clause": ["BSD 3-Clause License"],
+    "BSL-1.0": ["Boost Software License, Version 1.0"],
+    "CC-BY-3.0": ["CC BY 3.0", "Creative Commons Attribution 3.0 Unported"],
+    "CC-BY-4.0": ["CC BY 4.0", "Creative Commons Attribution 4.0 International"],
+    "CC-BY-NC-4.0": ["CC BY-NC 4.0", "Creative Commons Attribution-NonCommercial 4.0 International"],
+    "CC-BY-NC-SA-4.0": ["CC BY-NC-SA 4.0", "Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International"],
+    "CC-BY-ND-4.0": ["CC BY-ND 4.0", "Creative Commons Attribution-NoDerivatives 4.0 International"],
+    "CC-BY-SA-4.0": ["CC BY-SA 4.0", "Creative Commons Attribution-ShareAlike 4.0 International"],
+    "CC0-1.0": ["CC0 1.0 Universal"],
+    "CDDL-1.0": ["Common Development and Distribution License, Version 1.0"],
+    "EPL-1.0": ["Eclipse Public License, Version 1.0"],
+    "EPL-2.0": ["Eclipse Public License, Version 2.0", "Eclipse Public License 2.0"],
+    "EUPL-1.2": ["European Union Public Licence, Version 1.2"],
+    "GPL-2.0": ["GNU General Public License, version 2", "GPL version 2"],
+    "GPL-3.0": ["GNU General Public License, version 3", "GPL version 3"],
+    "ISC": ["ISC License"],
+    "LGPL-2.1": ["GNU Lesser General Public License, version 2.1"],
+    "LGPL-3.0": ["GNU Lesser General Public License, version 3"],
+    "MIT": ["MIT License"],
+    "MPL-1.1": ["Mozilla Public License, Version 1.1"],
+    "MPL-2.0": ["Mozilla Public License, Version 2.0", "Mozilla Public License 2.0"],
+    "MS-PL": ["Microsoft Public License"],
+    "NCSA": ["University of Illinois/NCSA Open Source License"],
+    "PostgreSQL": ["PostgreSQL License"],
+    "Unlicense": ["The Unlicense"],
+    "Zlib": ["zlib License"],
+}
+#: Forms of a notice; the name stands in the braces.
+FORMS = ("Licensed under the {}", "This work is licensed under {}", "Released under the {}")
+#: Words of names that many licences share, besides which all words of a name must be there.
+SHARED = frozenset("a and general gnu international licence license open public software source the universal unported version".split())
+#: First lines of licence files (fixed values).
+TITLES = {
+    "AGPL-3.0": "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007",
+    "Apache-2.0": "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/",
+    "GPL-2.0": "GNU GENERAL PUBLIC LICENSE Version 2, June 1991",
+    "GPL-3.0": "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+    "LGPL-2.1": "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999",
+    "LGPL-3.0": "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+}
+#: What must be in pieces that are like the notices, titles and texts of these licences.
+NEEDED = {
+    "AGPL-3.0": ("affero", "3"), "Apache-2.0": ("apache", "2.0"), "CC-BY-NC-4.0": ("nc", "4.0"), "GPL-2.0": ("2",), "GPL-3.0": ("3",), "LGPL-2.1": ("lesser", "2.1"),
+    "LGPL-3.0": ("lesser", "3"), "MIT": (), "MPL-2.0": ("mozilla", "2.0"),
+}
+
 
 _GRANT = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:\n\nThe above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."
 _AS_IS = "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
 _BSD_HEAD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.\n\n2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
 _BSD_NAMES = "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
 _BSD_TAIL = "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
-_GPL = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {0} as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.\n\nThis program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {0} for more details.\n\nYou should have received a copy of the GNU {0} along with this program. If not, see <https://www.gnu.org/licenses/>."
+_GPL = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {0} as published by the Free Software Foundation, either version {1} of the License, or (at your option) any later version.\n\nThis program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {0} for more details.\n\nYou should have received a copy of the GNU {0} along with this program. If not, see <https://www.gnu.org/licenses/>."
 #: Whole licences, and the headers of those that are too long to repeat (fixed values).
 WHOLE_TEXTS = {
-    "AGPL-3.0": _GPL.format("Affero General Public License"),
+    "AGPL-3.0": _GPL.format("Affero General Public License", "3"),
     "Apache-2.0": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at\n\nhttp://www.apache.org/licenses/LICENSE-2.0\n\nUnless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.",
     "BSD-2-Clause": f"{_BSD_HEAD}\n\n{_BSD_TAIL}",
     "BSD-3-Clause": f"{_BSD_HEAD}\n\n{_BSD_NAMES}\n\n{_BSD_TAIL}",
-    "GPL-3.0": _GPL.format("General Public License"),
+    "GPL-2.0": _GPL.format("General Public License", "2"),
+    "GPL-3.0": _GPL.format("General Public License", "3"),
     "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.\n\nTHE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
-    "LGPL-3.0": _GPL.format("Lesser General Public License"),
+    "LGPL-2.1": _GPL.format("Lesser General Public License", "2.1"),
+    "LGPL-3.0": _GPL.format("Lesser General Public License", "3"),
     "MIT": f"{_GRANT}\n\n{_AS_IS}",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
     "Unlicense": f"This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.\n\n{_AS_IS}",
@@ -62,11 +119,22 @@ WHOLE_TEXTS = {
 }
 
 
-def variants(templates: dict[str, str] | None) -> dict[tuple[str, int], str]:
-    """The texts to compare with, by licence and number: the given ones, or notices and whole texts."""
+def words_in(text: str) -> list[str]:
+    """The terms of a plain ASCII text, as ``terms`` finds them."""
+    return re.sub(r"[^0-9a-z.]+|\.(?![0-9])", " ", text.lower()).split()
+
+
+def variants(templates: dict[str, str] | None) -> list[tuple[str, str, list[str]]]:
+    """``(licence, text, words that must be there)``: the given texts, or notices, SPDX lines, titles and whole texts."""
     if templates is not None:
-        return {(k, 0): t for k, t in templates.items()}
-    return {(k, n): t for n, d in enumerate((TEMPLATES, WHOLE_TEXTS)) for k, t in d.items()}
+        return [(k, t, []) for k, t in templates.items()]
+    out = [(k, t, [*NEEDED.get(k, ())]) for d in (TEMPLATES, TITLES, WHOLE_TEXTS) for k, t in d.items()]
+    for k, names in NAMES.items():
+        out.append((k, f"SPDX-License-Identifier: {k}", words_in(k)))
+        for name in names:
+            needed = sorted({*words_in(name)} - SHARED)
+            out += [(k, form.format(name), needed) for form in FORMS] + ([(k, name, needed)] if len(words_in(name)) > 3 else [])
+    return out
 
 
 def literal_rows(spark: SparkSession, rows: list, schema: str) -> DataFrame:
@@ -79,10 +147,14 @@ def terms(text: Column) -> Column:
     return F.filter(F.split(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}.]+|\.(?!\d)", " "), " +"), lambda w: w != "")
 
 
-def weighted_templates(texts: DataFrame, templates: dict[tuple[str, int], str]) -> tuple[list[dict], int]:
-    """Rows ``(license, variant, term, w, idf)`` of unit vectors, one for each term of each template, and the number of texts."""
+def weighted_templates(texts: DataFrame, templates: list[tuple[str, str, list[str]]]) -> tuple[list[dict], int]:
+    """Rows ``(license, variant, term, w, idf, needed, lacks)`` of unit vectors, one for each term of each template, and the number of texts.
+
+    ``needed`` is 1 for a word that must be there, ``lacks`` the number of such words of the template.
+    """
     spark = texts.sparkSession
-    given = [{"license": k, "variant": v, "text": t} for (k, v), t in templates.items()]
+    given = [{"license": k, "variant": v, "text": t} for v, (k, t, _) in enumerate(templates)]
+    needed = [{*words} for _, _, words in templates]
     wanted = (
         literal_rows(spark, given, "license:string,variant:int,text:string").select("license", "variant", F.explode(terms(F.col("text"))).alias("term"))
         .groupBy("license", "variant", "term").agg(F.count("*").alias("tf")).collect()
@@ -96,7 +168,7 @@ def weighted_templates(texts: DataFrame, templates: dict[tuple[str, int], str])
     for r in wanted:
         sizes[r["license"], r["variant"]] = sizes.get((r["license"], r["variant"]), 0.0) + (r["tf"] * idf[r["term"]]) ** 2
     return [
-        {"license": r["license"], "variant": r["variant"], "term": r["term"], "w": r["tf"] * idf[r["term"]] / math.sqrt(sizes[r["license"], r["variant"]]), "idf": idf[r["term"]]}
+        {"license": r["license"], "variant": r["variant"], "term": r["term"], "w": r["tf"] * idf[r["term"]] / math.sqrt(sizes[r["license"], r["variant"]]), "idf": idf[r["term"]], "needed": int(r["term"] in needed[r["variant"]]), "lacks": len(needed[r["variant"]])}
         for r in wanted
     ], n
 
@@ -117,7 +189,7 @@ def telling_terms(rows: list[dict], threshold: float) -> list[str]:
 
 def cosines(pieces: DataFrame, key: list[str], rows: list[dict], n: int, threshold: float) -> DataFrame:
     """``(key, license, score)`` of pieces (key, words) that reach the threshold for some template of the licence."""
-    vectors = literal_rows(pieces.sparkSession, rows, "license:string,variant:int,term:string,w:double,idf:double")
+    vectors = literal_rows(pieces.sparkSession, rows, "license:string,variant:int,term:string,w:double,idf:double,needed:int,lacks:int")
     unseen = 1 + math.log(1 + n)
     telling = F.from_json(F.lit(json.dumps(telling_terms(rows, threshold))), "array<string>")
     likely = pieces.where(F.arrays_overlap("words", telling))
@@ -127,8 +199,9 @@ def cosines(pieces: DataFrame, key: list[str], rows: list[dict], n: int, thresho
     weighted = counted.join(F.broadcast(idf), "term", "left").withColumn("x", F.col("tf") * F.coalesce("idf", F.lit(unseen)))
     sizes = weighted.groupBy(*key).agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("size"))
     dots = (
-        weighted.where("idf is not null").join(F.broadcast(vectors.select("license", "variant", "term", "w")), "term")
-        .groupBy(*key, "license", "variant").agg(F.sum(F.col("x") * F.col("w")).alias("dot"))
+        weighted.where("idf is not null").join(F.broadcast(vectors.select("license", "variant", "term", "w", "needed", "lacks")), "term")
+        .groupBy(*key, "license", "variant").agg(F.sum(F.col("x") * F.col("w")).alias("dot"), F.sum("needed").alias("held"), F.max("lacks").alias("lacks"))
+        .where("held = lacks").drop("held", "lacks")
     )
     scores = dots.join(sizes, key).withColumn("score", F.round(F.col("dot") / F.col("size"), 6)).where(F.col("score") >= threshold)
     return scores.groupBy(*key, "license").agg(F.max("score").alias("score"))
@@ -173,12 +246,16 @@ def scanned(docs: DataFrame, id_col: str, path: Column, text_col: str = "text",
     folder = F.regexp_replace("_path", "/?[^/]*$", "")
     files = own.where("is_file").withColumn("dir", folder).groupBy("dir").agg(F.min_by("own", F.struct(-F.col("score"), F.col("_path"))).alias("dir_license"))
     parts = F.split(folder, "/")
-    above = F.array_distinct(F.concat(F.array(F.lit("")), F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, F.lit(1), k), "/"))))
+    above = F.filter(F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, F.lit(1), k), "/"))), lambda d: d != "")
+    # the root stands above every path, so its licence is a constant and no key of the join
+    root = files.where("dir = ''").first()
     # each folder once, however many paths stand in it
     steps = own.where("own is null and _path is not null").select(folder.alias("folder"), above.alias("above")).distinct().select("folder", F.explode("above").alias("dir"))
-    nearest = steps.join(files, "dir").groupBy("folder").agg(F.max_by(F.struct("dir", "dir_license"), F.length("dir")).alias("up"))
+    nearest = steps.join(files.where("dir <> ''"), "dir").groupBy("folder").agg(F.max_by(F.struct("dir", "dir_license"), F.length("dir")).alias("up"))
     out = own.withColumn("folder", folder).join(nearest, "folder", "left")
     own_none = F.col("own").isNull()
+    up = F.coalesce("up", F.when(F.col("_path").isNotNull() & F.lit(root is not None), F.struct(F.lit("").alias("dir"), F.lit(root["dir_license"] if root else None).cast("string").alias("dir_license"))))
+    out = out.withColumn("up", up)
     return out.select(
         F.col("_id").alias(id_col), *([F.col("_path").alias("path")] if id_col != "path" else []), F.col("own").alias("own_license"), "score", "n_headers", "is_file",
         F.coalesce("own", "up.dir_license").alias("license"), F.when(own_none, F.col("up.dir")).alias("inherited_from"),
