@@ -187,39 +187,66 @@ def telling_terms(rows: list[dict], threshold: float) -> list[str]:
     return sorted(set(idf) - common)
 
 
+def squares(words: Column) -> Column:
+    """The sum of the squared numbers of each word: the j-th of equal words in a row adds 2j - 1."""
+    start = F.struct(F.lit("").alias("last"), F.lit(0).cast("long").alias("run"), F.lit(0).cast("long").alias("total"))
+
+    def step(a: Column, w: Column) -> Column:
+        run = F.when(w == a["last"], a["run"] + 1).otherwise(F.lit(1).cast("long"))
+        return F.struct(w.alias("last"), run.alias("run"), (a["total"] + 2 * run - 1).alias("total"))
+
+    return F.aggregate(F.sort_array(words), start, step, lambda a: a["total"])
+
+
 def cosines(pieces: DataFrame, key: list[str], rows: list[dict], n: int, threshold: float) -> DataFrame:
-    """``(key, license, score)`` of pieces (key, words) that reach the threshold for some template of the licence."""
-    vectors = literal_rows(pieces.sparkSession, rows, "license:string,variant:int,term:string,w:double,idf:double,needed:int,lacks:int")
-    unseen = 1 + math.log(1 + n)
+    """``(key, license, score)`` of pieces (key, words) that reach the threshold for some template of the licence.
+
+    Only words of the templates are sent on; what the others add to a piece's length is summed before. Words outside
+    the templates count with the largest weight, that of a word no text holds. A piece whose template words alone are
+    too short a part of it for any cosine of the threshold goes before templates are looked at.
+    """
+    spark = pieces.sparkSession
+    number = {t: k for k, t in enumerate(sorted({r["term"] for r in rows}))}
+    weight = {r["term"]: r["idf"] for r in rows}
+    known = literal_rows(spark, [{"term": t, "t": k, "idf": weight[t]} for t, k in number.items()], "term:string,t:int,idf:double")
+    vectors = literal_rows(spark, [{k: r[k] for k in ("license", "variant", "w", "needed", "lacks")} | {"t": number[r["term"]]} for r in rows], "license:string,variant:int,w:double,needed:int,lacks:int,t:int")
+    unseen = (1 + math.log(1 + n)) ** 2
     telling = F.from_json(F.lit(json.dumps(telling_terms(rows, threshold))), "array<string>")
-    likely = pieces.where(F.arrays_overlap("words", telling))
-    counted = likely.select(*key, F.explode("words").alias("term")).groupBy(*key, "term").agg(F.count("*").alias("tf"))
-    # words outside the templates count with the largest weight, that of a word no text holds
-    idf = vectors.select("term", "idf").distinct()
-    weighted = counted.join(F.broadcast(idf), "term", "left").withColumn("x", F.col("tf") * F.coalesce("idf", F.lit(unseen)))
-    sizes = weighted.groupBy(*key).agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("size"))
+    likely = pieces.where(F.arrays_overlap("words", telling)).withColumn("all", squares(F.col("words")))
+    held = likely.select(*key, "all", F.explode("words").alias("term")).join(F.broadcast(known), "term")
+    counted = held.groupBy(*key, "all", "t", "idf").agg(F.count("*").alias("tf"))
+    x = F.col("tf") * F.col("idf")
+    bags = counted.groupBy(*key, "all").agg(F.sum(x * x).alias("own"), F.sum(F.col("tf") * F.col("tf")).alias("tf2"), F.collect_list(F.struct("t", x.alias("x"))).alias("bag"))
+    sized = bags.withColumn("size", F.sqrt(F.col("own") + unseen * (F.col("all") - F.col("tf2")))).where(F.sqrt("own") >= (threshold - 1e-6) * F.col("size"))
     dots = (
-        weighted.where("idf is not null").join(F.broadcast(vectors.select("license", "variant", "term", "w", "needed", "lacks")), "term")
-        .groupBy(*key, "license", "variant").agg(F.sum(F.col("x") * F.col("w")).alias("dot"), F.sum("needed").alias("held"), F.max("lacks").alias("lacks"))
-        .where("held = lacks").drop("held", "lacks")
+        sized.select(*key, "size", F.explode("bag").alias("b")).select(*key, "size", "b.t", "b.x").join(F.broadcast(vectors), "t")
+        .groupBy(*key, "size", "license", "variant").agg(F.sum(F.col("x") * F.col("w")).alias("dot"), F.sum("needed").alias("held"), F.max("lacks").alias("lacks"))
+        .where("held = lacks")
     )
-    scores = dots.join(sizes, key).withColumn("score", F.round(F.col("dot") / F.col("size"), 6)).where(F.col("score") >= threshold)
+    scores = dots.withColumn("score", F.round(F.col("dot") / F.col("size"), 6)).where(F.col("score") >= threshold)
     return scores.groupBy(*key, "license").agg(F.max("score").alias("score"))
 
 
 def pieces_of(texts: DataFrame) -> DataFrame:
-    """``(_k, kind, piece, words)``: lines (kind 0), blocks of several lines (1) and texts of several lines (2)."""
+    """``(_k, kind, piece, words)``: lines (kind 0), blocks of several lines (1) and texts of several lines (2).
+
+    A text is split into words once, line by line; the words of blocks and of the whole are those of their lines.
+    """
     full = lambda x: F.trim(x) != ""
-    lines = F.filter(F.split("text", "\n"), full)
-    blocks = F.filter(F.split("text", r"\n[ \t\r]*\n"), lambda b: F.size(F.filter(F.split(b, "\n"), full)) > 1)
-    whole = F.filter(F.array("text"), lambda x: F.size(lines) > 1)
+    by_block = F.transform(F.split("text", r"\n[ \t\r]*\n"), lambda b: F.transform(F.filter(F.split(b, "\n"), full), terms))
 
     def of_kind(kind: int, pieces: Column) -> Column:
-        return F.transform(F.coalesce(pieces, F.array().cast("array<string>")), lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("x")))
+        return F.transform(pieces, lambda words: F.struct(F.lit(kind).alias("kind"), words.alias("words")))
+
+    def every(blocks: Column) -> Column:
+        lines = F.flatten(blocks)
+        several = F.transform(F.filter(blocks, lambda b: F.size(b) > 1), F.flatten)
+        whole = F.filter(F.array(F.flatten(lines)), lambda _: F.size(lines) > 1)
+        return F.filter(F.concat(of_kind(0, lines), of_kind(1, several), of_kind(2, whole)), lambda p: F.size(p["words"]) > 0)
 
-    # one array of all pieces: beside it only the key goes along with each of its elements
-    every = F.concat(*(of_kind(k, x) for k, x in enumerate((lines, blocks, whole))))
-    return texts.select("_k", F.posexplode(every).alias("piece", "p")).select("_k", "p.kind", "piece", terms(F.col("p.x")).alias("words"))
+    # bound to a name, so that it is computed once; beside the array only the key goes along with each of its elements
+    pieces = F.get(F.transform(F.array(by_block), every), F.lit(0))
+    return texts.where("text is not null").select("_k", F.posexplode(pieces).alias("piece", "p")).select("_k", "p.kind", "piece", "p.words")
 
 
 def scanned(docs: DataFrame, id_col: str, path: Column, text_col: str = "text", templates: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
