@@ -265,8 +265,10 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     rows = docs.count()
     buckets, chunks = max(8, rows // ROWS_A_BUCKET), max(8, rows // ROWS_A_CHUNK)
     weights = trained(docs, id_col, text_col)
-    # neighbours in id share a chunk, so a batch of the input asks for few of them
-    chunk = F.pmod(F.xxhash64(F.floor(F.coalesce(F.col(id_col).cast("long"), F.lit(-1)) / ROWS_A_CHUNK)), F.lit(chunks)).cast("int")
+    # neighbours in id share a chunk, so a batch of the input asks for few of them; rows without a number as id are dealt one by one
+    number = F.col(id_col).try_cast("long")
+    dealt = F.when(number.isNotNull(), F.xxhash64(F.floor(number / ROWS_A_CHUNK))).otherwise(F.xxhash64(id_col, text_col))
+    chunk = F.pmod(dealt, F.lit(chunks)).cast("int")
     chunked = docs.select(chunk.alias("chunk"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     answers = written(asked_counts(chunked, buckets), "counts")
     totals = answers.where("chunk is null")

@@ -58,3 +58,35 @@ def test_repeats_nulls_empty_training_and_clashing_columns(spark):
     held = next(i for i in range(100) if maxent.is_held_out(i))
     r = maxent.scored(spark.createDataFrame([(held, "a b")], "doc_id bigint, text string")).first()
     assert (r.train_tokens, r.n_known, r.base_score) == (0, 0, 0.0) and r.held_out and math.isfinite(r.score)
+
+
+def test_scores_from_the_weights_token_by_token(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 60")
+    weights = maxent.trained(docs, "doc_id", "text")
+    got = {r.doc_id: r for r in maxent.scored(docs).collect()}
+    texts = {r.doc_id: (r.text or "").encode() for r in docs.collect()}
+    counts = {}
+    for i, t in texts.items():
+        if not maxent.is_held_out(i):
+            for h in maxent.encoded([t])[0].tolist():
+                counts[h] = counts.get(h, 0) + 1
+    size = {}
+    for h, c in counts.items():
+        leaf = int(maxent.leaves_of(np.array([h], np.uint64))[0])
+        tokens, types = size.get(leaf, (0, 0))
+        size[leaf] = (tokens + c, types + 1)
+    for i in sorted(texts)[:12]:
+        ids, sizes = maxent.encoded([texts[i]])
+        leaves, total = maxent.leaves_of(ids), 0.0
+        for slots, outcomes in zip(maxent.context_slots(ids, sizes), (leaves // maxent.CLASSES, leaves % maxent.CLASSES), strict=True):
+            for t in range(len(ids)):
+                z = sum(weights[row].astype(float) for row in slots[:, t])
+                total += (z[outcomes[t]] - math.log(sum(math.exp(x - z.max()) for x in z)) - z.max()) / math.log(10)
+        total += sum(math.log10(counts.get(h, 0) + 1) - math.log10(sum(size.get(int(k), (0, 0))) + 1) for h, k in zip(ids.tolist(), leaves, strict=True))
+        assert math.isclose(got[i].score, total, rel_tol=1e-4, abs_tol=1e-3), i
+
+
+def test_ids_that_are_no_numbers_and_long_texts(spark):
+    docs = spark.createDataFrame([("a", "x y z"), ("b", "x y z"), (None, "x y"), ("7", "word " * 60_000), (None, None)], "doc_id string, text string")
+    got = {(r.doc_id, r.n_tokens): r for r in maxent.scored(docs).collect()}
+    assert set(got) == {("a", 4), ("b", 4), (None, 3), ("7", 60_001), (None, 1)} and all(math.isfinite(r.score) for r in got.values())
