@@ -58,7 +58,24 @@ def to_utm(lon: Column, lat: Column, zone: Column | None = None, south: Column |
     )
 
 
-@query("utm_projection", "samples")
+def utm_sql(zone: str, south: str) -> str:
+    """SQL with a place for a table of (lon, lat, ...): easting x and northing y by the same series."""
+    n = FLATTENING / (2 - FLATTENING)
+    a = RADIUS / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
+    k = 2 * n**0.5 / (1 + n)
+    alpha = (n / 2 - 2 * n**2 / 3 + 5 * n**3 / 16, 13 * n**2 / 48 - 3 * n**3 / 5, 61 * n**3 / 240)
+    number = lambda v: repr(v) if "e" in repr(v) else f"{v!r}e0"
+    east = "eta" + "".join(f" + {number(c)} * cos({2 * j} * xi) * sinh({2 * j} * eta)" for j, c in enumerate(alpha, 1))
+    north = "xi" + "".join(f" + {number(c)} * sin({2 * j} * xi) * cosh({2 * j} * eta)" for j, c in enumerate(alpha, 1))
+    t = f"sinh(atanh(sin(radians(lat))) - {number(k)} * atanh({number(k)} * sin(radians(lat))))"
+    return f"""SELECT * EXCLUDE (xi, eta, t, d), 500000e0 + {number(SCALE * a)} * ({east}) AS x, {number(SCALE * a)} * ({north}) + CASE WHEN {south} THEN 10000000e0 ELSE 0e0 END AS y FROM
+      (SELECT *, atan2(t, cos(d)) AS xi, atanh(sin(d) / sqrt(1 + t * t)) AS eta FROM (SELECT *, {t} AS t, radians(lon - (({zone}) * 6 - 183)) AS d FROM {{0}}))"""
+
+
+_ZONED = utm_sql("CAST(floor((lon + 180) / 6) AS INTEGER) + 1", "lat < 0").format("samples")
+
+
+@query("utm_projection", "samples", sql=f"SELECT sample_id, CASE WHEN lat < 0 THEN 32700 ELSE 32600 END + CAST(floor((lon + 180) / 6) AS INTEGER) + 1 AS epsg, round(x, 3) AS easting, round(y, 3) AS northing FROM ({_ZONED})")
 def utm_projection(samples: DataFrame) -> DataFrame:
     epsg, e, n = to_utm(F.col("lon"), F.col("lat"))
     return samples.select("sample_id", epsg.alias("epsg"), F.round(e, 3).alias("easting"), F.round(n, 3).alias("northing"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from agrispark.operators.geometry import to_utm
+from agrispark.operators.geometry import to_utm, utm_sql
 from agrispark.operators.polygons import segment_distance
 from agrispark.registry import query
 from agrispark.storage import kept, small
@@ -198,21 +198,6 @@ def merged(tiles: DataFrame, least: float = 100.0, gap: float = 20.0) -> DataFra
 # queries
 
 
-def _utm_sql(zone: str, south: str) -> str:
-    """SQL of easting and northing of (lon, lat) by the same series, from the latitude on the sphere of equal angles."""
-    f = 1 / 298.257223563
-    n = f / (2 - f)
-    a = 6378137.0 / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
-    k = 2 * n**0.5 / (1 + n)
-    alpha = (n / 2 - 2 * n**2 / 3 + 5 * n**3 / 16, 13 * n**2 / 48 - 3 * n**3 / 5, 61 * n**3 / 240)
-    number = lambda v: repr(v) if "e" in repr(v) else f"{v!r}e0"
-    east = "eta" + "".join(f" + {number(c)} * cos({2 * j} * xi) * sinh({2 * j} * eta)" for j, c in enumerate(alpha, 1))
-    north = "xi" + "".join(f" + {number(c)} * sin({2 * j} * xi) * cosh({2 * j} * eta)" for j, c in enumerate(alpha, 1))
-    t = f"sinh(atanh(sin(radians(lat))) - {number(k)} * atanh({number(k)} * sin(radians(lat))))"
-    return f"""SELECT * EXCLUDE (xi, eta, t, d), 500000e0 + {number(0.9996 * a)} * ({east}) AS x, {number(0.9996 * a)} * ({north}) + CASE WHEN {south} THEN 10000000e0 ELSE 0e0 END AS y FROM
-      (SELECT *, atan2(t, cos(d)) AS xi, atanh(sin(d) / sqrt(1 + t * t)) AS eta FROM (SELECT *, {t} AS t, radians(lon - (({zone}) * 6 - 183)) AS d FROM {{0}}))"""
-
-
 def _strip_sql(name: str, source: str, piece: str, axis: str, size: float, origin: str, index: str) -> str:
     """CTEs that cut the vertices of ``source`` (piece columns, ring, k, x, y) into strips: one half-plane after the other, by window functions over the vertices."""
     keys, other = f"{piece}, ring", "y" if axis == "x" else "x"
@@ -235,7 +220,7 @@ def grid_sql(size: float) -> str:
     """CTEs up to ``g``: tile_name, tile, epsg and area of the tiles of the outlines."""
     letters = lambda text, k: f"substr('{text}', CAST(({k}) % {len(text)} AS INTEGER) + 1, 1)"
     steps = [_strip_sql("za", "v", "id", "x", 6.0, "(-180e0)", "zone"), _strip_sql("zb", "za", "id, zone", "y", 8.0, "(-80e0)", "band")]
-    flat = f"u AS ({_utm_sql('zone + 1', 'band < 10').format('(SELECT * EXCLUDE (x, y), x AS lon, y AS lat FROM zb WHERE band BETWEEN 0 AND 19)')})"
+    flat = f"u AS ({utm_sql('zone + 1', 'band < 10').format('(SELECT * EXCLUDE (x, y), x AS lon, y AS lat FROM zb WHERE band BETWEEN 0 AND 19)')})"
     flat = flat.replace("SELECT * EXCLUDE (xi, eta, t, d)", "SELECT * EXCLUDE (xi, eta, t, d, lon, lat)", 1)
     squares = [_strip_sql("sa", "u", "id, zone, band", "x", SQUARE, "0e0", "e"), _strip_sql("sb", "sa", "id, zone, band, e", "y", SQUARE, "0e0", "n")]
     started = "sc AS (SELECT *, min(x) OVER w AS west, min(y) OVER w AS south FROM sb WINDOW w AS (PARTITION BY id, zone, band, e, n))"

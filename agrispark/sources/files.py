@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from agrispark.functions.bands import NODATA
-from agrispark.operators.grid import _utm_sql
+from agrispark.operators.geometry import utm_sql
 from agrispark.operators.polygons import inset
 from agrispark.registry import query
 from agrispark.storage import scratch
@@ -173,9 +173,9 @@ _CODES = f"ewoc_code IN ({', '.join(map(str, CODES))})"
 
 
 def private_tree(samples: DataFrame) -> str:
-    """The samples of one year, written as folders by dataset."""
+    """The samples written as folders by dataset."""
     path = scratch(samples.sparkSession, "private")
-    samples.where(F.col("ref_id").startswith("2018")).select(*(c.split()[0] for c in SAMPLE_SCHEMA.split(", "))).write.partitionBy("ref_id").parquet(path)
+    samples.select(*(c.split()[0] for c in SAMPLE_SCHEMA.split(", "))).write.partitionBy("ref_id").parquet(path)
     return path
 
 
@@ -186,7 +186,7 @@ def q_public(samples: DataFrame) -> DataFrame:
     return listed.unionByName(query_public_samples(samples, BOX, collateral=False).select("sample_id", "ref_id", F.lit(False).alias("collateral")))
 
 
-@query("query_private_samples", "samples", sql=f"SELECT sample_id, ref_id FROM samples WHERE {_BOX} AND {_CODES} AND ref_id LIKE '2018%'")
+@query("query_private_samples", "samples", sql=f"SELECT sample_id, ref_id FROM samples WHERE {_BOX} AND {_CODES}")
 def q_private(samples: DataFrame) -> DataFrame:
     spark = samples.sparkSession
     found = query_private_samples(spark, private_tree(samples), BOX, crop_types=CODES)
@@ -194,7 +194,7 @@ def q_private(samples: DataFrame) -> DataFrame:
 
 
 @query("query_samples_union", "samples", "legend", sql=f"""SELECT source, ref_id, count(DISTINCT sample_id) AS n, count(DISTINCT coalesce(label_full, 'Unknown')) AS n_types FROM (SELECT *, 'public' AS source FROM samples WHERE {_BOX} AND extract >= 0
-  UNION ALL SELECT *, 'private' FROM samples WHERE {_BOX} AND ref_id LIKE '2018%') LEFT JOIN legend USING (ewoc_code) GROUP BY ROLLUP (source, ref_id)""")
+  UNION ALL SELECT *, 'private' FROM samples WHERE {_BOX}) LEFT JOIN legend USING (ewoc_code) GROUP BY ROLLUP (source, ref_id)""")
 def q_samples_union(samples: DataFrame, legend: DataFrame) -> DataFrame:
     private = query_private_samples(samples.sparkSession, private_tree(samples), BOX)
     return sample_totals(query_samples_union(query_public_samples(samples, BOX), private, legend))
@@ -203,7 +203,7 @@ def q_samples_union(samples: DataFrame, legend: DataFrame) -> DataFrame:
 def _utm(lon: str, lat: str, x: str, y: str, source: str) -> str:
     """SQL of ``source`` (with zone and south) and the UTM coordinates of a point of it."""
     inner = f"(SELECT *, {lon} AS lon_, {lat} AS lat_ FROM ({source}))"
-    text = _utm_sql("zone", "south").format(inner).replace("radians(lat)", "radians(lat_)").replace("radians(lon -", "radians(lon_ -")
+    text = utm_sql("zone", "south").format(inner).replace("radians(lat)", "radians(lat_)").replace("radians(lon -", "radians(lon_ -")
     return f"SELECT * EXCLUDE (x, y, lon_, lat_), x AS {x}, y AS {y} FROM ({text})"
 
 
@@ -217,10 +217,10 @@ _WELL = f"""pc AS (SELECT * FROM ({_PIECES}) WHERE a1 IS NOT NULL), inn AS (SELE
 
 
 @query("get_reference_samples", "samples", "outlines", sql=f"""WITH {_WELL} SELECT sample_id, ref_id, valid_time FROM samples WHERE sample_id IN (SELECT sample_id FROM well)
-  AND valid_time BETWEEN DATE '2020-06-01' AND DATE '2021-06-01' AND {_CODES} AND quality_lc >= 20 AND quality_ct >= 2 AND extract > 0 AND (ref_id LIKE '2018%' OR ref_id LIKE '2019%')""")
+  AND valid_time BETWEEN DATE '2020-06-01' AND DATE '2021-06-01' AND {_CODES} AND quality_lc >= 20 AND quality_ct >= 2 AND extract > 0""")
 def q_reference_samples(samples: DataFrame, outlines: DataFrame) -> DataFrame:
     """An inset of 50 km, so that it shows among few samples."""
-    years = [samples.where(F.col("ref_id").startswith(y)) for y in ("2018", "2019")]
+    years = [samples.where(F.col("ref_id").startswith(str(y))) for y in range(2017, 2025)]
     return get_reference_samples(years, outlines, ("2020-06-01", "2021-06-01"), CODES, (20, 2), subset=True, metres=50_000.0).select("sample_id", "ref_id", "valid_time")
 
 
