@@ -230,7 +230,8 @@ def grid_sql(size: float) -> str:
     row = letters(ROWS, "n + CASE WHEN (zone + 1) % 2 = 0 THEN 5 ELSE 0 END")
     areas = f"""r AS (SELECT id, zone, band, e, n, i, j, ring, abs(sum((px - ox) * (y - oy) - (x - ox) * (py - oy))) / 2 AS area FROM ({edge}) GROUP BY ALL),
       q AS (SELECT id, zone, band, e, n, i, j, sum(CASE WHEN ring = 1 THEN -area ELSE area END) AS area, concat(lpad(CAST(zone + 1 AS VARCHAR), 2, '0'), {letters(BANDS, 'band')}, {column}, {row}) AS tile FROM r GROUP BY ALL HAVING sum(CASE WHEN ring = 1 THEN -area ELSE area END) > 1),
-      g AS (SELECT concat_ws('_', id, tile, CAST(row_number() OVER (PARTITION BY id, tile ORDER BY e, n, i, j) - 1 AS VARCHAR)) AS tile_name, tile, CAST(CASE WHEN band < 10 THEN 32700 ELSE 32600 END + zone + 1 AS INTEGER) AS epsg, round(area / 1e6, 3) AS km2 FROM q)"""
+      gk AS (SELECT *, concat_ws('_', id, tile, CAST(row_number() OVER (PARTITION BY id, tile ORDER BY e, n, i, j) - 1 AS VARCHAR)) AS tile_name, CAST(CASE WHEN band < 10 THEN 32700 ELSE 32600 END + zone + 1 AS INTEGER) AS epsg FROM q),
+      g AS (SELECT tile_name, tile, epsg, round(area / 1e6, 3) AS km2 FROM gk)"""
     vertices = "v AS (SELECT iso3 AS id, ring, k, lon AS x, lat AS y FROM (SELECT *, max(k) OVER (PARTITION BY iso3, ring) AS last FROM estates) WHERE k < last)"
     return ", ".join([vertices, *steps, flat, *squares, started, *tiles, areas])
 
@@ -242,7 +243,35 @@ def aoi_tiling(estates: DataFrame) -> DataFrame:
     return grid.select("tile_name", "tile", "epsg", F.round(F.col("area") / 1e6, 3).alias("km2"))
 
 
-@query("merge_small_tiles", "estates")
+def merge_sql(size: float, least: float, gap: float) -> str:
+    """CTEs up to ``mg``: the tiles merged, by comparing all edges of a zone."""
+    at = "id, zone, band, e, n, i, j"
+    w = f"w AS (PARTITION BY {at}, ring ORDER BY k), l AS (PARTITION BY {at}, ring ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
+    edges = f"ed AS (SELECT * FROM (SELECT {at}, coalesce(lag(x) OVER w, last_value(x) OVER l) AS ax, coalesce(lag(y) OVER w, last_value(y) OVER l) AS ay, x AS bx, y AS by_ FROM tb WINDOW {w}) JOIN (SELECT {at}, tile_name, epsg FROM gk) USING ({at}) WHERE ax <> bx OR ay <> by_)"
+    turned = "SELECT *, sqrt((bx - ax) * (bx - ax) + (by_ - ay) * (by_ - ay)) AS len, CASE WHEN bx < ax OR (bx = ax AND by_ < ay) THEN -1 ELSE 1 END AS turn FROM ed"
+    lines = f"ln AS (SELECT tile_name, epsg, round(ux, 7) AS ru, round(uy, 7) AS rv, round(ax * uy - ay * ux, 2) AS off, least(ax * ux + ay * uy, bx * ux + by_ * uy) AS a, greatest(ax * ux + ay * uy, bx * ux + by_ * uy) AS b FROM (SELECT *, turn * (bx - ax) / len AS ux, turn * (by_ - ay) / len AS uy FROM ({turned})))"
+
+    def reach(point: str, line: str) -> str:
+        t = f"least(greatest((({point}.ax - {line}.ax) * ({line}.bx - {line}.ax) + ({point}.ay - {line}.ay) * ({line}.by_ - {line}.ay)) / (({line}.bx - {line}.ax) ** 2 + ({line}.by_ - {line}.ay) ** 2), 0), 1)"
+        return f"sqrt(({point}.ax - {line}.ax - {t} * ({line}.bx - {line}.ax)) ** 2 + ({point}.ay - {line}.ay - {t} * ({line}.by_ - {line}.ay)) ** 2)"
+
+    rounds = ["lb0 AS (SELECT tile_name, CASE WHEN tile_name IN (SELECT tile_name FROM lk) THEN '1' ELSE '0' END || tile_name AS label FROM (SELECT tile_name FROM lk UNION SELECT goes FROM lk))", "nb AS (SELECT tile_name, goes AS other FROM lk UNION SELECT goes, tile_name FROM lk)"]
+    rounds += [f"lb{k} AS (SELECT o.tile_name, least(o.label, min(p.label)) AS label FROM lb{k - 1} o JOIN nb USING (tile_name) JOIN lb{k - 1} p ON p.tile_name = nb.other GROUP BY o.tile_name, o.label)" for k in range(1, 13)]
+    return ", ".join([
+        grid_sql(size), edges, lines,
+        "bx AS (SELECT tile_name, any_value(epsg) AS epsg, min(ax) AS w, max(ax) AS e_, min(ay) AS s, max(ay) AS n_ FROM ed GROUP BY tile_name)",
+        f"sm AS (SELECT * FROM bx WHERE e_ - w < {least!r}e0 OR n_ - s < {least!r}e0)",
+        "sh AS (SELECT o.tile_name, p.tile_name AS goes, round(sum(least(o.b, p.b) - greatest(o.a, p.a)), 2) AS len FROM ln o JOIN ln p ON o.epsg = p.epsg AND o.ru = p.ru AND o.rv = p.rv AND o.off = p.off AND o.tile_name <> p.tile_name AND least(o.b, p.b) > greatest(o.a, p.a) WHERE o.tile_name IN (SELECT tile_name FROM sm) GROUP BY 1, 2)",
+        "be AS (SELECT tile_name, arg_min(goes, {'l': -len, 'g': goes}) AS goes FROM sh WHERE len > 0 GROUP BY tile_name)",
+        f"cl AS (SELECT o.tile_name, p.tile_name AS goes FROM sm o JOIN bx p ON o.epsg = p.epsg AND o.tile_name <> p.tile_name AND o.w - {gap!r}e0 <= p.e_ AND o.e_ + {gap!r}e0 >= p.w AND o.s - {gap!r}e0 <= p.n_ AND o.n_ + {gap!r}e0 >= p.s WHERE o.tile_name NOT IN (SELECT tile_name FROM be))",
+        f"fr AS (SELECT cl.tile_name, goes, round(min(least({reach('u', 'v')}, {reach('v', 'u')})), 2) AS far FROM cl JOIN ed u ON u.tile_name = cl.tile_name JOIN ed v ON v.tile_name = goes GROUP BY 1, 2)",
+        f"lk AS (SELECT * FROM be UNION ALL SELECT tile_name, arg_min(goes, {{'f': far, 'g': goes}}) FROM fr WHERE far <= {gap!r}e0 GROUP BY tile_name)",
+        *rounds,
+        "mg AS (SELECT coalesce(substr(label, 2), tile_name) AS tile_name, epsg, round(sum(area) / 1e6, 3) AS km2, count(*) AS n_merged FROM gk LEFT JOIN lb12 USING (tile_name) GROUP BY 1, 2)",
+    ])
+
+
+@query("merge_small_tiles", "estates", sql=f"WITH {merge_sql(20_000.0, 5_000.0, 20.0)} SELECT * FROM mg")
 def merge_small_tiles(estates: DataFrame) -> DataFrame:
     """The tiles of 20 km with those under 5 km wide or high merged into neighbours."""
     grid = production_grid(rings_of(estates, "iso3").withColumnRenamed("iso3", "id"), 20.0)
