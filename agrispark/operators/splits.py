@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from agrispark.functions.bands import NODATA
-from agrispark.operators.relations import _CELLS, cell_summary, cells_of
+from agrispark.operators.relations import _CELLS, cells_of
 from agrispark.registry import query
 from agrispark.storage import scratch
 
