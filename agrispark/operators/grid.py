@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from agrispark.operators.geometry import to_utm, utm_sql
 from agrispark.operators.polygons import segment_distance
 from agrispark.registry import query
-from agrispark.storage import kept, small
+from agrispark.storage import dropped, kept, small
 
 #: Letters of latitude bands, of columns of squares (by zone modulo three) and of rows (fixed values of the military grid).
 BANDS, COLUMNS, ROWS = "CDEFGHJKLMNPQRSTUVWX", ("STUVWXYZ", "ABCDEFGH", "JKLMNPQR"), "ABCDEFGHJKLMNPQRSTUV"
@@ -185,6 +185,7 @@ def merged(tiles: DataFrame, least: float = 100.0, gap: float = 20.0) -> DataFra
     while True:
         said = both.drop("label").join(labels.select(F.col("tile_name").alias("into"), "label"), "into").groupBy("tile_name").agg(F.min("label").alias("said"))
         after = kept(labels.join(said, "tile_name").select("tile_name", F.least("label", "said").alias("label"), (F.col("said") < F.col("label")).alias("moved")), "labels")
+        dropped(labels)
         labels = after.drop("moved")
         if after.where("moved").isEmpty():
             break

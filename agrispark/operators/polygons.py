@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from agrispark.operators.geometry import RADIUS, to_utm, to_web_mercator
 from agrispark.registry import query
-from agrispark.storage import kept, small
+from agrispark.storage import dropped, kept, small
 
 #: Shares of a cell by which the grid is moved east and north, so that centres don't meet edges between round coordinates.
 EAST, NORTH = 0.3819660113, 0.7320508076
@@ -160,7 +160,8 @@ def near_edges(cells: DataFrame, edges: DataFrame, size: float) -> DataFrame:
         out = done if out is None else out.unionByName(done)
         if last:
             break
-        todo = kept(todo.join(done, ["nx", "ny"], "left_anti"), "todo")
+        before, todo = todo, kept(todo.join(done, ["nx", "ny"], "left_anti"), "todo")
+        dropped(before)
         reach *= 4
     return out
 

@@ -14,7 +14,7 @@ from agrispark.operators.hexes import hex_cell, hex_name, hex_parent
 from agrispark.operators.relations import tile_assignment_join
 from agrispark.operators.splits import SEED, _chance, chance
 from agrispark.registry import query
-from agrispark.storage import kept, small
+from agrispark.storage import dropped, kept, small
 
 #: Sampling labels that count as land cover (fixed values); all others are crop types.
 LAND_COVER = (
@@ -71,12 +71,14 @@ def apart(samples: DataFrame, metres: float, most: int | None = None) -> DataFra
         front = kept(front.where(F.col("k") + F.coalesce("have", F.lit(0)) <= F.col("cap")).drop("k", "have"), "front")
         blocked = _near(left, front, size, metres).where("o < _o").select(F.col("_o.sample_id").alias("sample_id")).distinct()
         step = kept(front.join(blocked, "sample_id", "left_anti"), "step")
+        dropped(front)
         if step.isEmpty():
             return (left.where("false") if drawn is None else drawn).select("sample_id", "lat", "lon", "class", "coarse", "fine")
         drawn = step if drawn is None else drawn.unionByName(step)
         gone = _near(left, step, size, metres).select("sample_id").distinct()
         full = drawn.groupBy(*kind).agg(F.count("*").alias("have"), F.max("cap").alias("cap")).where("have >= cap").select(*kind)
-        left = kept(left.join(gone, "sample_id", "left_anti").join(small(full), kind, "left_anti"), "left")
+        before, left = left, kept(left.join(gone, "sample_id", "left_anti").join(small(full), kind, "left_anti"), "left")
+        dropped(before)
 
 
 def _near(left: DataFrame, few: DataFrame, size: float, metres: float) -> DataFrame:

@@ -29,6 +29,15 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dropped(*tables: DataFrame) -> None:
+    """Delete the files of tables that ``kept`` wrote and no plan reads any more."""
+    for df in tables:
+        for f in df.inputFiles()[:1]:
+            spark = df.sparkSession
+            path = spark._jvm.org.apache.hadoop.fs.Path(f).getParent()
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def small(dimension: DataFrame) -> DataFrame:
     """The table, marked for broadcast if its count allows it."""
     return F.broadcast(dimension) if dimension.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST else dimension
