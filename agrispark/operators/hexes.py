@@ -13,7 +13,8 @@ import itertools
 import math
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from agrispark.registry import query
@@ -47,57 +48,43 @@ def faces() -> list[tuple[list[float], list[float], list[float]]]:
 FACES = faces()
 
 
-def _rounded(q: Column, r: Column) -> tuple[Column, Column]:
-    """The lattice point whose hexagon holds (q, r)."""
-    s = -q - r
-    a, b, c = (F.floor(v + 0.5) for v in (q, r, s))
-    da, db, dc = F.abs(a - q), F.abs(b - r), F.abs(c - s)
-    first = (da > db) & (da > dc)
-    return F.when(first, -b - c).otherwise(a), F.when(~first & (db > dc), -a - c).otherwise(b)
-
-
-def _bound(value: Column, f) -> Column:
-    """``f`` of a value that is computed once."""
-    return F.get(F.transform(F.array(value), f), F.lit(0))
-
-
-def _cell(face: Column, q: Column, r: Column) -> Column:
-    return F.struct(face.cast("int").alias("face"), q.cast("long").alias("q"), r.cast("long").alias("r"))
-
-
-def hex_cell(lon: Column, lat: Column, level: int) -> Column:
-    """The cell ``(face, q, r)`` of a level that holds a point; null for null coordinates."""
-    grow = STEP**level / SPACING
-    triples = [F.array(*(F.struct(*(F.lit(v[k]).alias(n) for k, n in enumerate("xyz"))) for v in (f[j] for f in FACES))) for j in range(3)]
-
-    def dot(v: Column, p: Column) -> Column:
-        return v["x"] * p["x"] + v["y"] * p["y"] + v["z"] * p["z"]
-
-    def on_face(p: Column) -> Column:
-        heights = F.transform(triples[0], lambda n: dot(n, p))
-        return _bound(F.struct(F.array_max(heights).alias("h"), F.array_position(heights, F.array_max(heights)).cast("int").alias("f"), p.alias("p")), on_plane)
-
-    def on_plane(s: Column) -> Column:
-        x, y = (dot(F.element_at(triples[j], s["f"]), s["p"]) / s["h"] for j in (1, 2))
-        u, v = x * grow.real - y * grow.imag, x * grow.imag + y * grow.real
-        r = v / math.sqrt(0.75)
-        return _bound(F.struct(s["f"].alias("f"), (u - r / 2).alias("q"), r.alias("r")), lambda w: _cell(w["f"] - 1, *_rounded(w["q"], w["r"])))
-
-    flat = F.cos(F.radians(lat))
-    point = F.struct((flat * F.cos(F.radians(lon))).alias("x"), (flat * F.sin(F.radians(lon))).alias("y"), F.sin(F.radians(lat)).alias("z"))
-    return F.when(lon.isNotNull() & lat.isNotNull(), _bound(point, on_face))
-
-
-def hex_parent(cell: Column, steps: int = 1) -> Column:
-    """The cell ``steps`` levels up."""
-    def up(c: Column, _: Column) -> Column:
-        return _cell(c["face"], *_rounded((3 * c["q"] + c["r"]) / 7, (2 * c["r"] - c["q"]) / 7))
-
-    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), cell, up) if steps else cell
-
-
-def hex_name(cell: Column, level: int) -> Column:
-    return F.when(cell.isNotNull(), F.concat_ws(":", F.lit(str(level)), *(cell[k].cast("string") for k in ("face", "q", "r"))))
+def lattice_cells(x: np.ndarray, y: np.ndarray, z: np.ndarray, finest: int, coarsest: int) -> dict[str, np.ndarray]:
+    """``face`` of points of the unit globe, and ``q<level>``, ``r<level>`` of the hexagon that holds each, from the finest level up."""
+    grow = STEP**finest / SPACING
+    heights = np.stack([n[0] * x + n[1] * y + n[2] * z for n, _, _ in FACES])
+    face = heights.argmax(axis=0)
+    top = np.take_along_axis(heights, face[None], axis=0)[0]
+    first, second = (np.array([f[j] for f in FACES])[face].T for j in (1, 2))
+    east, north = ((t[0] * x + t[1] * y + t[2] * z) / top for t in (first, second))
+    u, v = east * grow.real - north * grow.imag, east * grow.imag + north * grow.real
+    q, r = u - v / math.sqrt(0.75) / 2, v / math.sqrt(0.75)
+    out = {"face": face}
+    for level in range(finest, coarsest - 1, -1):
+        if level < finest:
+            q, r = (3 * q + r) / 7, (2 * r - q) / 7
+        s = -q - r
+        a, b, c = (np.nan_to_num(np.floor(t + 0.5)).astype(np.int64) for t in (q, r, s))
+        da, db, dc = np.abs(a - q), np.abs(b - r), np.abs(c - s)
+        far = (da > db) & (da > dc)
+        q, r = np.where(far, -b - c, a), np.where(~far & (db > dc), -a - c, b)
+        out |= {f"q{level}": q, f"r{level}": r}
+    return out
+
+
+def with_hexes(points: DataFrame, levels: dict[str, int]) -> DataFrame:
+    """``points`` (``lon``, ``lat``) with the name of the cell that holds each at every level given; null for null coordinates."""
+    finest, coarsest = max(levels.values()), min(levels.values())
+    fields = ", ".join(f"q{k} long, r{k} long" for k in range(finest, coarsest - 1, -1))
+
+    @F.pandas_udf(f"face int, {fields}")
+    def cells(x: pd.Series, y: pd.Series, z: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame(lattice_cells(x.to_numpy(float), y.to_numpy(float), z.to_numpy(float), finest, coarsest))
+
+    flat, lon, lat = F.cos(F.radians("lat")), F.radians("lon"), F.radians("lat")
+    d = points.withColumn("_hex", cells(flat * F.cos(lon), flat * F.sin(lon), F.sin(lat)))
+    known = F.col("lon").isNotNull() & F.col("lat").isNotNull()
+    name = {n: F.concat_ws(":", F.lit(str(k)), *(F.col(f"_hex.{c}").cast("string") for c in ("face", f"q{k}", f"r{k}"))) for n, k in levels.items()}
+    return d.withColumns({n: F.when(known, c) for n, c in name.items()}).drop("_hex")
 
 
 _HEX = "CASE WHEN abs(a - q) > abs(b - r) AND abs(a - q) > abs(c + q + r) THEN -b - c ELSE a END AS q, CASE WHEN NOT (abs(a - q) > abs(b - r) AND abs(a - q) > abs(c + q + r)) AND abs(b - r) > abs(c + q + r) THEN -a - c ELSE b END AS r"
@@ -124,6 +111,5 @@ def hex_sql(level: int, names: dict[int, str]) -> str:
 @query("hierarchical_cell", "samples", sql=f"SELECT sample_id, cell, parent, coarse, top FROM ({hex_sql(5, {5: 'cell', 4: 'parent', 3: 'coarse', 0: 'top'})})")
 def hierarchical_cell(samples: DataFrame) -> DataFrame:
     """The cell of level 5 and those above it at levels 4, 3 and 0."""
-    cells = samples.select("sample_id", hex_cell(F.col("lon"), F.col("lat"), 5).alias("c"))
-    up = {name: hex_name(hex_parent(F.col("c"), 5 - level), level).alias(name) for name, level in {"cell": 5, "parent": 4, "coarse": 3, "top": 0}.items()}
-    return cells.select("sample_id", *up.values())
+    levels = {"cell": 5, "parent": 4, "coarse": 3, "top": 0}
+    return with_hexes(samples.select("sample_id", "lon", "lat"), levels).select("sample_id", *levels)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from agrispark.operators.geometry import TILES_SQL, tiles, to_web_mercator
-from agrispark.operators.hexes import hex_cell, hex_name, hex_parent
+from agrispark.operators.hexes import with_hexes
 from agrispark.operators.relations import tile_assignment_join
 from agrispark.operators.splits import SEED, _chance, chance
 from agrispark.registry import query
@@ -56,12 +56,13 @@ def apart(samples: DataFrame, metres: float, most: int | None = None) -> DataFra
     d = samples.where("lat is not null and lon is not null and class is not null and coarse is not null and fine is not null")
     d = d.select("sample_id", "lat", "lon", "class", "cap", "coarse", "fine", x.alias("x"), y.alias("y"), chance("sample_id").alias("_c"))
     size = max(metres, 1e-9)
-    d = d.withColumns({"gx": F.floor(F.col("x") / size), "gy": F.floor(F.col("y") / size)})
+    d = kept(d.withColumns({"gx": F.floor(F.col("x") / size), "gy": F.floor(F.col("y") / size)}), "placed")
     kind, square = ["coarse", "class"], ["coarse", "gx", "gy"]
     turns = ranked(d, [*kind, "fine"], ["_c", "sample_id"], "turn")
     count = d.groupBy(*kind).agg(F.count("*").alias("n"))
     order = F.struct("n", "class", "turn", "fine", "_c", "sample_id")
     left = kept(turns.join(count, kind).where("cap > 0").withColumn("o", order).drop("turn", "n", "_c"), "left")
+    dropped(d)
     most = most or (left.agg(F.max("cap")).first()[0] or 0)
     drawn = None
     while True:
@@ -91,8 +92,7 @@ def _near(left: DataFrame, few: DataFrame, size: float, metres: float) -> DataFr
 
 def in_cells(samples: DataFrame, coarse: int, fine: int) -> DataFrame:
     """Samples with the names of their hexagonal cells of two levels; the coarse cell is the ancestor of the fine one."""
-    cells = samples.withColumn("_cell", hex_cell(F.col("lon"), F.col("lat"), fine))
-    return cells.withColumns({"fine": hex_name(F.col("_cell"), fine), "coarse": hex_name(hex_parent(F.col("_cell"), fine - coarse), coarse)}).drop("_cell")
+    return with_hexes(samples, {"fine": fine, "coarse": coarse})
 
 
 def distance_class_samples(samples: DataFrame, cap: Column, metres: float, coarse: int = 3, fine: int | None = None) -> DataFrame:
