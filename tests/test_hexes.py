@@ -43,3 +43,11 @@ def test_plan_has_no_lambdas_and_cells_once(spark, name):
 
     plan = plans.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "lambda" not in plan and plan.count("ArrowEvalPython ") == 1
+
+
+def test_sampling_takes_its_cells_from_the_same_step(spark):
+    from agrispark.operators.sampling import in_cells
+
+    df = spark.createDataFrame([(1, 10.0, 50.0)], "sample_id long, lon double, lat double")
+    plan = in_cells(df, 0, 2)._jdf.queryExecution().executedPlan().toString()
+    assert "lambda" not in plan and plan.count("ArrowEvalPython ") == 1
