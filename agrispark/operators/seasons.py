@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from agrispark.functions import dates
 from agrispark.registry import query
+from agrispark.storage import kept, small
 
 S1 = ((11, 1), (4, 30), 1)
 S2 = ((4, 1), (9, 30), 0)
@@ -140,14 +141,17 @@ def near_points(samples: DataFrame) -> DataFrame:
 def calendar_lookup(points: DataFrame, calendar: DataFrame, most_degrees: float = 5.0, values=("s1_sos", "s1_eos")) -> DataFrame:
     """Values of each point's half-degree cell, or of the nearest cell within ``most_degrees``.
 
-    Cells are matched by an equi-join. Only what is left looks for the nearest: each point is sent to the 10 x 10
-    degree blocks that its search square touches, and meets the cells of those blocks.
+    What holds for a point holds for its whole half-degree cell, so cells that hold points are looked up, each once
+    however many points it has, and points are joined with what was found. Cells are matched by an equi-join. Only what
+    is left looks for the nearest: it is sent to the 10 x 10 degree blocks that its search square touches, and meets
+    the cells of those blocks.
     """
     cells = calendar.select("lat", "lon", *values)
     keyed = points.withColumn("_la", snapped(F.col("lat"))).withColumn("_lo", snapped(F.col("lon")))
+    held = keyed.select("_la", "_lo").distinct()
     named = cells.select(F.col("lat").alias("_la"), F.col("lon").alias("_lo"), *values)
-    exact = keyed.join(named, ["_la", "_lo"])
-    rest = keyed.join(named, ["_la", "_lo"], "left_anti")
+    exact = held.join(named, ["_la", "_lo"])
+    rest = held.join(named, ["_la", "_lo"], "left_anti")
     size = 2 * most_degrees
 
     def block(x: Column, shift: float) -> Column:
@@ -160,10 +164,11 @@ def calendar_lookup(points: DataFrame, calendar: DataFrame, most_degrees: float
     distance = (F.col("c.lat") - F.col("_la")) ** 2 + (F.col("c.lon") - F.col("_lo")) ** 2
     nearest = (
         spread.join(boxed, ["_bla", "_blo"]).withColumn("_d", distance).where(F.col("_d") <= most_degrees**2)
-        .groupBy("sample_id").agg(F.min_by("c", F.struct("_d", "c.lat", "c.lon")).alias("c"))
-        .select("sample_id", *(f"c.{v}" for v in values), F.lit(True).alias("fallback"))
+        .groupBy("_la", "_lo").agg(F.min_by("c", F.struct("_d", "c.lat", "c.lon")).alias("c"))
+        .select("_la", "_lo", *(f"c.{v}" for v in values), F.lit(True).alias("fallback"))
     )
-    return exact.select("sample_id", *values, F.lit(False).alias("fallback")).unionByName(nearest)
+    found = kept(exact.select("_la", "_lo", *values, F.lit(False).alias("fallback")).unionByName(nearest), "found")
+    return keyed.join(small(found), ["_la", "_lo"]).select("sample_id", *values, "fallback")
 
 
 _POINTS = "p AS (SELECT sample_id, ((lat % 8 + 8) % 8) + 10 AS lat, ((lon % 7 + 7) % 7) + 19 AS lon FROM samples), q AS (SELECT *, floor(lat * 2) / 2 + 0.25e0 AS la, floor(lon * 2) / 2 + 0.25e0 AS lo FROM p)"
