@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -128,40 +128,74 @@ def season_prediction_records(embeddings: DataFrame, least_weight: int = 1) -> D
     return r.select("vec_id", (F.col("label") % 3).alias("target"), "prediction", (F.col("prediction") != 0).alias("rejected"), s1.alias("in_s1"))
 
 
-def fit_growth(x: np.ndarray, y: np.ndarray, base: float = 0.11, rounds: int = 60) -> tuple[float, float, float, float, float]:
-    """(a, b, c, r2, rmse) of a * exp(-((x - b) / c)^2 / 2) + base by damped least squares."""
-    p = np.array([max(y.max() - base, 1e-3), x[y.argmax()], max(np.ptp(x) / 4, 1e-3)])
-    damp = 1e-2
-    error = lambda q: y - (q[0] * np.exp(-0.5 * ((x - q[1]) / q[2]) ** 2) + base)
-    r = error(p)
+def fit_growths(x: np.ndarray, y: np.ndarray, base: float = 0.11, rounds: int = 60) -> np.ndarray:
+    """Rows (a, b, c, r2, rmse) of a * exp(-((x - b) / c)^2 / 2) + base by damped least squares, for each row of ``x`` and ``y``.
+
+    All series take their steps together; each has its own damping. A series whose step no longer changes it is done.
+    """
+    n = np.arange(len(y))
+    p = np.stack([np.maximum(y.max(axis=1) - base, 1e-3), x[n, y.argmax(axis=1)], np.maximum(np.ptp(x, axis=1) / 4, 1e-3)], axis=1)
+    error = lambda q, x, y: y - (q[:, :1] * np.exp(-0.5 * ((x - q[:, 1:2]) / q[:, 2:]) ** 2) + base)
+    square = lambda r: (r[:, None] @ r[:, :, None])[:, 0, 0]
+    damp = np.full(len(y), 1e-2)
+    r = error(p, x, y)
+    least = square(r)
+    at = n  # series under way
     for _ in range(rounds):
-        u = (x - p[1]) / p[2]
+        if not len(at):
+            break
+        xs, ys, ps = x[at], y[at], p[at]
+        u = (xs - ps[:, 1:2]) / ps[:, 2:]
         g = np.exp(-0.5 * u * u)
-        j = np.column_stack([g, p[0] * g * u / p[2], p[0] * g * u * u / p[2]])
-        h = j.T @ j
-        step = np.linalg.solve(h + damp * np.diag(np.diag(h) + 1e-9), j.T @ r)
-        q = p + step
-        q[2] = max(abs(q[2]), 1e-3)
-        s = error(q)
-        if s @ s < r @ r:
-            p, r, damp = q, s, damp * 0.5
-        else:
-            damp *= 4
-    spread = ((y - y.mean()) ** 2).sum()
-    return (*p.tolist(), 1 - (r @ r) / spread if spread else 0.0, float(np.sqrt(np.mean(r * r))))
+        j = np.stack([g, ps[:, :1] * g * u / ps[:, 2:], ps[:, :1] * g * u * u / ps[:, 2:]], axis=2)
+        t = j.transpose(0, 2, 1)
+        h = t @ j
+        i = np.arange(3)
+        damped = h.copy()
+        damped[:, i, i] += damp[at, None] * (h[:, i, i] + 1e-9)
+        q = ps + np.linalg.solve(damped, t @ r[at][:, :, None])[:, :, 0]
+        q[:, 2] = np.maximum(np.abs(q[:, 2]), 1e-3)
+        s = error(q, xs, ys)
+        size = square(s)
+        better = size < least[at]
+        good = at[better]
+        p[good], r[good], least[good] = q[better], s[better], size[better]
+        damp[at] = np.where(better, damp[at] * 0.5, damp[at] * 4)
+        at = at[(q != ps).any(axis=1)]
+    spread = ((y - y.mean(axis=1, keepdims=True)) ** 2).sum(axis=1)
+    share = np.divide(least, spread, out=np.ones(len(y)), where=spread != 0)
+    return np.column_stack([p, 1 - share, np.sqrt((r * r).mean(axis=1))])
+
+
+def fit_growth(x: np.ndarray, y: np.ndarray, base: float = 0.11, rounds: int = 60) -> tuple[float, float, float, float, float]:
+    """``fit_growths`` of one series."""
+    return tuple(fit_growths(x[None], y[None], base, rounds)[0].tolist())
 
 
 @query("gaussian_growth_fit", "obs")
 def gaussian_growth_fit(obs: DataFrame, least: int = 20) -> DataFrame:
-    """Growth curve of each sample with enough observations. A group is one series: its length is bounded by its dates."""
-
-    def fit(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("day")
-        values = fit_growth(rows["day"].to_numpy(float), rows["v"].to_numpy(float)) if len(rows) >= least else (None,) * 5
-        return pd.DataFrame([(rows["sample_id"].iloc[0], len(rows), *values)], columns=["sample_id", "n", "a", "b", "c", "r2", "rmse"])
+    """Growth curve of each sample with enough observations. A series is one row: its length is bounded by its dates.
+
+    The series of a batch of rows that are equally long are fitted together.
+    """
+
+    def fit(batches):
+        for batch in batches:
+            first, v = batch.column("day"), batch.column("v")
+            sizes = np.diff(first.offsets.to_numpy())
+            starts = first.offsets.to_numpy()[:-1]
+            # of the whole child arrays, as offsets count from their beginning
+            days, values = (c.values.to_numpy(zero_copy_only=False).astype(float) for c in (first, v))
+            out = np.empty((len(sizes), 5))
+            for n in np.unique(sizes).tolist():
+                rows = np.flatnonzero(sizes == n)
+                cells = starts[rows, None] + np.arange(n)
+                out[rows] = fit_growths(days[cells], values[cells])
+            yield pa.RecordBatch.from_arrays([batch.column("sample_id"), pa.array(sizes.astype(np.int64)), *(pa.array(c) for c in out.T)], names=["sample_id", "n", "a", "b", "c", "r2", "rmse"])
 
     series = obs.select("sample_id", F.datediff("ts", F.to_date(F.lit("1995-01-01"))).alias("day"), (F.col("b04") / 4000).alias("v"))
-    return series.groupBy("sample_id").applyInPandas(fit, "sample_id string, n long, a double, b double, c double, r2 double, rmse double").where(F.col("n") >= least)
+    rows = series.groupBy("sample_id").agg(F.sort_array(F.collect_list(F.struct("day", "v"))).alias("s")).where(F.size("s") >= least)
+    return rows.select("sample_id", "s.day", "s.v").mapInArrow(fit, "sample_id string, n long, a double, b double, c double, r2 double, rmse double")
 
 
 @query("yield_forecast", "obs", sql="""WITH k AS (SELECT sample_id, month(ts) AS m, avg(b02) AS a, avg(b04) AS b FROM obs GROUP BY 1, 2), f AS (SELECT sample_id, m, round(0.5e0 * a + 0.01e0 * b + 2, 5) AS y FROM k)
