@@ -9,6 +9,7 @@ from pyspark.sql.window import WindowSpec
 from agrispark.functions import dates
 from agrispark.functions.bands import NODATA, RESOLUTION, ndvi, ndvi_scaled, scaled, valid
 from agrispark.registry import query
+from agrispark.storage import dealt
 
 BANDS = ("b02", "b04", "b08", "vv", "vh")
 CADENCE_DAYS = {"month": 31, "dekad": 10}
@@ -101,7 +102,7 @@ def gap_fill(df: DataFrame, freq: str, features: tuple[str, ...], carried: tuple
 
 
 def filled(obs: DataFrame) -> DataFrame:
-    return gap_fill(obs, "month", BANDS, ("valid_time", "ref_id"))
+    return gap_fill(dealt(obs, "sample_id"), "month", BANDS, ("valid_time", "ref_id"))
 
 
 _FILLED = """filled AS (SELECT e.sample_id, e.ts, e.valid_time, e.ref_id, coalesce(b02, 65535) AS b02, coalesce(b04, 65535) AS b04,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -10,6 +11,9 @@ from pyspark.sql import functions as F
 
 #: A table of at most so many rows is broadcast; a larger one is joined by shuffle.
 MOST_BROADCAST = 100_000
+#: Estimated bytes of a table that one task sorts.
+BYTES_A_TASK = 2 << 20
+MOST_TASKS = 10_000
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -41,3 +45,14 @@ def dropped(*tables: DataFrame) -> None:
 def small(dimension: DataFrame) -> DataFrame:
     """The table, marked for broadcast if its count allows it."""
     return F.broadcast(dimension) if dimension.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST else dimension
+
+
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` dealt by keys over a number of tasks in proportion to its estimated size, so that sorts by key don't grow with the input.
+
+    The estimate is the optimizer's, from the sizes of the files read. Left to itself Spark joins partitions up to a size
+    of compressed bytes, whose rows take many times that in memory. Where only few keys are so large, tasks still spill.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(size / BYTES_A_TASK))
+    return df.repartition(min(tasks, MOST_TASKS), *keys)
