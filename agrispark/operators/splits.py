@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from agrispark.functions.bands import NODATA
 from agrispark.operators.relations import _CELLS, cells_of
 from agrispark.registry import query
-from agrispark.storage import scratch
+from agrispark.storage import dealt, scratch
 
 SEED = 42
 
@@ -263,7 +263,7 @@ def sensor_masking(
 
     sample, step = ("sample_id",), ("sample_id", "ts")
     by = Window.partitionBy("sample_id")
-    o = obs.withColumn("_i", F.row_number().over(by.orderBy("ts")) - 1).withColumn("_t", F.count("*").over(by))
+    o = dealt(obs, "sample_id").withColumn("_i", F.row_number().over(by.orderBy("ts")) - 1).withColumn("_t", F.count("*").over(by))
     o = o.withColumn("_len", block[0] + F.floor(chance(*sample, seed=3) * (block[1] - block[0] + 1)))
     start = F.floor(chance(*sample, seed=4) * (F.col("_t") - F.col("_len") + 1))
     in_block = (F.col("_len") >= F.col("_t")) | F.col("_i").between(start, start + F.col("_len") - 1)
