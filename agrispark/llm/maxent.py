@@ -42,9 +42,10 @@ PARTS_AT = CLASS_SLOTS + 1
 TABLE = PARTS_AT + PART_SLOTS + CLASSES
 ROUNDS = 3
 STEP_TOKENS = 4096
+#: Tokens whose probabilities are summed at once.
+SUM_TOKENS = 32_768
 #: Step of a round, and how many occurrences a weight's evidence is shrunk by.
 RATE, SHRINK = 0.4, 8.0
-FEW_ROWS = 8
 BLOCKS = 256
 TASKS_A_SUM = 1024
 MOST_CACHED = 400_000
@@ -116,33 +117,22 @@ def shares(weights: np.ndarray, slots: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return z, e, e.sum(axis=1)
 
 
-def summed(g: np.ndarray, order: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Sums of the rows of ``g`` in groups, which begin at ``at`` in ``order``.
-
-    Most groups are small: the first rows of all groups are added at once, then the second rows, and so on; what large
-    groups have beyond that is summed by group.
-    """
-    size = np.diff(np.append(at, len(order)))
-    out = g.take(order[at], axis=0)
-    for k in range(1, FEW_ROWS):
-        more = np.flatnonzero(size > k)
-        out[more] += g.take(order[at[more] + k], axis=0)
-    for j in np.flatnonzero(size > FEW_ROWS).tolist():
-        out[j] += g.take(order[at[j] + FEW_ROWS : at[j] + size[j]], axis=0).sum(axis=0)
-    return out
-
-
 def add_expected(expected: np.ndarray, weights: np.ndarray, slots: np.ndarray) -> None:
-    """Add to each row the probabilities that the model gives to the outcomes of the tokens under it."""
-    for k in range(0, slots.shape[1], STEP_TOKENS):
-        part = slots[:, k : k + STEP_TOKENS]
-        _, p, total = shares(weights, part)
-        p /= total[:, None]
+    """Add to each row the probabilities that the model gives to the outcomes of the tokens under it, summed outcome by outcome in doubles."""
+    for k in range(0, slots.shape[1], SUM_TOKENS):
+        part = slots[:, k : k + SUM_TOKENS]
+        by_outcome = np.empty((CLASSES, part.shape[1]))
+        for j in range(0, part.shape[1], STEP_TOKENS):
+            _, p, total = shares(weights, part[:, j : j + STEP_TOKENS])
+            p /= total[:, None]
+            by_outcome[:, j : j + STEP_TOKENS] = p.T
         for column in part:
-            order = np.argsort(column, kind="stable")
-            ordered = column[order]
-            at = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
-            expected[ordered[at]] += summed(p, order, at)
+            low, high = int(column.min()), int(column.max()) + 1
+            if high - low == 1:
+                expected[low] += by_outcome.sum(axis=1)
+            else:
+                at = column.astype(np.intp) - low
+                expected[low:high] += np.stack([np.bincount(at, p, high - low) for p in by_outcome], axis=1)
 
 
 def observed(slots: np.ndarray, outcomes: np.ndarray) -> np.ndarray:
@@ -150,6 +140,12 @@ def observed(slots: np.ndarray, outcomes: np.ndarray) -> np.ndarray:
     return np.bincount(cells, minlength=TABLE * CLASSES).reshape(TABLE, CLASSES)
 
 
+def of_round(rows: DataFrame, r: int) -> DataFrame:
+    """Rows of a round; a task takes those of as many partitions as there are rounds, since each task sends sums of a fixed size."""
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.rdd.getNumPartitions() // ROUNDS))
+    return rows.where(F.col("round") == r).coalesce(tasks)
+
+
 def trained(docs: DataFrame, id_col: str, text_col: str) -> np.ndarray:
     """Weights [rows, classes], of fixed size, after ``ROUNDS`` rounds over disjoint parts of the training documents."""
     weights = None
@@ -182,8 +178,6 @@ def trained(docs: DataFrame, id_col: str, text_col: str) -> np.ndarray:
                         seen += observed(slots, outcomes)
                         if w is not None:
                             add_expected(expected, w, slots)
-            if w is None:
-                expected += seen.sum(axis=1, keepdims=True) / CLASSES
             if seen.any():
                 task = TaskContext.get().partitionId() // TASKS_A_SUM
                 yield pa.RecordBatch.from_arrays(
@@ -194,13 +188,15 @@ def trained(docs: DataFrame, id_col: str, text_col: str) -> np.ndarray:
                     names=["block", "part", "seen", "expected"],
                 )
 
-        kept = rows.where(F.col("round") == r).select(id_col, text_col)
+        kept = of_round(rows, r).select(id_col, text_col)
         # sums of bounded groups of tasks, then of those
         sums = kept.mapInArrow(run, schema).groupBy("block", "part").applyInArrow(first_add, schema).groupBy("block").applyInArrow(add, schema)
         seen, expected = np.zeros((2, TABLE, CLASSES))
         for row in sums.collect():
             for total, x in ((seen, row["seen"]), (expected, row["expected"])):
                 total[cuts[row["block"]]] = np.frombuffer(x).reshape(-1, CLASSES)
+        if weights is None:
+            expected += seen.sum(axis=1, keepdims=True) / CLASSES
         change = RATE * np.log((seen + SHRINK) / (expected + SHRINK))
         weights = (change if weights is None else weights + change).astype(np.float32)
     return weights

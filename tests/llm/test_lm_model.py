@@ -90,3 +90,26 @@ def test_ids_that_are_no_numbers_and_long_texts(spark):
     docs = spark.createDataFrame([("a", "x y z"), ("b", "x y z"), (None, "x y"), ("7", "word " * 60_000), (None, None)], "doc_id string, text string")
     got = {(r.doc_id, r.n_tokens): r for r in maxent.scored(docs).collect()}
     assert set(got) == {("a", 4), ("b", 4), (None, 3), ("7", 60_001), (None, 1)} and all(math.isfinite(r.score) for r in got.values())
+
+
+def test_expected_counts_are_summed_in_doubles():
+    weights = np.random.default_rng(3).normal(size=(maxent.TABLE, maxent.CLASSES)).astype(np.float32)
+    ids, sizes = maxent.encoded([b"the cat sat on the mat " * 10_000])
+    for slots in maxent.context_slots(ids, sizes):
+        want, got = np.zeros((2, maxent.TABLE, maxent.CLASSES))
+        for k in range(0, slots.shape[1], maxent.STEP_TOKENS):
+            part = slots[:, k : k + maxent.STEP_TOKENS]
+            _, p, total = maxent.shares(weights, part)
+            for column in part:
+                np.add.at(want, column, (p / total[:, None]).astype(float))
+        maxent.add_expected(got, weights, slots)
+        assert np.allclose(got, want, rtol=1e-10, atol=1e-9)
+
+
+def test_a_round_has_a_third_of_the_tasks_and_all_of_its_rows(spark):
+    """Each task of a round shuffles sums of a fixed size."""
+    rows = spark.range(3000, numPartitions=60).withColumn("round", F.col("id") % maxent.ROUNDS)
+    parts = [maxent.of_round(rows, r) for r in range(maxent.ROUNDS)]
+    assert [p.rdd.getNumPartitions() for p in parts] == [20] * maxent.ROUNDS
+    assert sorted(r.id for p in parts for r in p.collect()) == list(range(3000))
+    assert maxent.of_round(rows.coalesce(9), 0).rdd.getNumPartitions() == min(9, max(3, spark.sparkContext.defaultParallelism))
