@@ -24,6 +24,8 @@ LAND_COVER = (
 )
 #: Parts of the hash range that ranks are counted in, so that a group of any size is ranked by many tasks.
 PARTS = 64
+#: Rows of a class and coarse cell that one step looks at (Spark limits groups before the shuffle up to 1,000).
+SEEN = 500
 #: Rows in a shard of a draw.
 SHARD = 100_000
 
@@ -47,47 +49,73 @@ def apart(samples: DataFrame, metres: float, most: int | None = None) -> DataFra
     hash, the second of each, ...). A sample is drawn unless one drawn before it in its coarse cell lies within
     ``metres`` of web Mercator, or its class has ``cap`` samples there. Rows without coordinates or class are not drawn.
 
-    What that order decides is found in rounds. Of each class and coarse cell, those undecided samples stand at the
-    front which fit under the cap even if all before them are drawn; of these, every one without an undecided sample
-    before it within the distance is drawn, all at once. Then its neighbours and full classes leave. Neighbours are
-    found by squares of the distance, so no task sees a whole coarse cell.
+    What that order decides is found in rounds. The first ``SEEN`` rows left of each class and coarse cell (more where caps
+    are large) are taken in order, cell by cell, up to the first class that has neither all it may have nor all its rows
+    among them. Then classes that are full and the neighbours of what was drawn leave. No task sees more of a coarse cell
+    than those first rows; neighbours are found by squares of the distance.
     """
     x, y = to_web_mercator(F.col("lon"), F.greatest(F.lit(-89.9), F.least(F.lit(89.9), F.col("lat"))))
     d = samples.where("lat is not null and lon is not null and class is not null and coarse is not null and fine is not null")
     d = d.select("sample_id", "lat", "lon", "class", "cap", "coarse", "fine", x.alias("x"), y.alias("y"), chance("sample_id").alias("_c"))
     size = max(metres, 1e-9)
     d = kept(d.withColumns({"gx": F.floor(F.col("x") / size), "gy": F.floor(F.col("y") / size)}), "placed")
-    kind, square = ["coarse", "class"], ["coarse", "gx", "gy"]
+    kind = ["coarse", "class"]
     turns = ranked(d, [*kind, "fine"], ["_c", "sample_id"], "turn")
-    count = d.groupBy(*kind).agg(F.count("*").alias("n"))
+    count = d.groupBy(*kind).agg(F.count("*").alias("n"), F.max("cap").alias("top"))
     order = F.struct("n", "class", "turn", "fine", "_c", "sample_id")
-    left = kept(turns.join(count, kind).where("cap > 0").withColumn("o", order).drop("turn", "n", "_c"), "left")
+    left = kept(turns.join(count, kind).where("cap > 0").withColumn("o", order).drop("turn", "_c"), "left")
     dropped(d)
     most = most or (left.agg(F.max("cap")).first()[0] or 0)
-    drawn = None
+    seen = max(SEEN, 2 * most)
+    first = F.row_number().over(Window.partitionBy(*kind).orderBy("o"))
+    own = ["sample_id", "lat", "lon", "class", "cap", "coarse", "fine", "x", "y", "gx", "gy"]
+    decide, drawn, have = in_turn(seen, metres, own), None, None
     while True:
-        have = None if drawn is None else drawn.groupBy(*kind).agg(F.count("*").alias("have"))
-        front = left.withColumn("k", F.row_number().over(Window.partitionBy(*kind).orderBy("o"))).where(F.col("k") <= most)
-        front = front.withColumn("have", F.lit(0)) if have is None else front.join(have, kind, "left")
-        front = kept(front.where(F.col("k") + F.coalesce("have", F.lit(0)) <= F.col("cap")).drop("k", "have"), "front")
-        blocked = _near(left, front, size, metres).where("o < _o").select(F.col("_o.sample_id").alias("sample_id")).distinct()
-        step = kept(front.join(blocked, "sample_id", "left_anti"), "step")
-        dropped(front)
+        front = left.select(*own, "n", "top", "o").withColumn("k", first).where(F.col("k") <= seen + 1).drop("o")
+        front = front.withColumn("have", F.lit(0).cast("long")) if have is None else front.join(have, kind, "left").fillna(0, ["have"])
+        step = kept(front.groupBy("coarse").applyInArrow(decide, left.select(*own).schema), "step")
         if step.isEmpty():
             return (left.where("false") if drawn is None else drawn).select("sample_id", "lat", "lon", "class", "coarse", "fine")
         drawn = step if drawn is None else drawn.unionByName(step)
-        gone = _near(left, step, size, metres).select("sample_id").distinct()
-        full = drawn.groupBy(*kind).agg(F.count("*").alias("have"), F.max("cap").alias("cap")).where("have >= cap").select(*kind)
-        before, left = left, kept(left.join(gone, "sample_id", "left_anti").join(small(full), kind, "left_anti"), "left")
+        have = small(drawn.groupBy(*kind).agg(F.count("*").alias("have")))
+        rest = left.join(have, kind, "left").where("have is null or have < cap").drop("have")
+        before, left = left, kept(_far(rest, step, size, metres), "left")
         dropped(before)
 
 
-def _near(left: DataFrame, few: DataFrame, size: float, metres: float) -> DataFrame:
-    """Rows of ``left`` within the distance of rows of ``few`` (``_x``, ``_y``, ``_o``) of the same coarse cell, themselves included."""
-    around = lambda c: F.explode(F.sequence(F.col(c) - 1, F.col(c) + 1)).alias(c)
-    sent = few.select("coarse", "gy", F.col("x").alias("_x"), F.col("y").alias("_y"), F.col("o").alias("_o"), around("gx"))
-    sent = sent.select("coarse", "gx", "_x", "_y", "_o", around("gy"))
-    return left.join(small(sent), ["coarse", "gx", "gy"]).where((F.col("x") - F.col("_x")) ** 2 + (F.col("y") - F.col("_y")) ** 2 <= metres**2)
+def in_turn(seen: int, metres: float, columns: list[str]):
+    """A function of the first rows of a coarse cell: of each class ``seen`` in order (``k``), one more if it has more rows."""
+
+    def run(cell: pa.Table) -> pa.Table:
+        cell = cell.sort_by([("n", "ascending"), ("class", "ascending"), ("k", "ascending")])
+        x, y, k, cap, top, had = (cell[c].to_numpy() for c in ("x", "y", "k", "cap", "top", "have"))
+        near, drawn = np.zeros(len(k), bool), []
+        starts = np.flatnonzero(k == 1).tolist()
+        for a, b in zip(starts, [*starts[1:], len(k)], strict=True):
+            have, more = had[a], k[b - 1] > seen
+            for i in range(a, b - 1 if more else b):
+                if not near[i] and have < cap[i]:
+                    drawn.append(i)
+                    have += 1
+                    near |= (x - x[i]) ** 2 + (y - y[i]) ** 2 <= metres**2
+                    near[i] = True
+                elif have >= top[a]:
+                    break
+            if more and have < top[a]:
+                break  # rows not seen come before the classes that follow
+        return cell.select(columns).take(pa.array(drawn, pa.int64()))
+
+    return run
+
+
+def _far(left: DataFrame, few: DataFrame, size: float, metres: float) -> DataFrame:
+    """Rows of ``left`` that are neither among ``few`` nor within the distance of one of them in the same coarse cell."""
+    around = lambda c: F.explode(F.sequence(F.col(c) - 1, F.col(c) + 1)).alias(f"_{c}")
+    sent = few.select(F.col("coarse").alias("_coarse"), "gy", F.col("x").alias("_x"), F.col("y").alias("_y"), around("gx"))
+    sent = sent.select("_coarse", "_gx", "_x", "_y", around("gy"))
+    square = (F.col("coarse") == F.col("_coarse")) & (F.col("gx") == F.col("_gx")) & (F.col("gy") == F.col("_gy"))
+    within = (F.col("x") - F.col("_x")) ** 2 + (F.col("y") - F.col("_y")) ** 2 <= metres**2
+    return left.join(small(few.select("sample_id")), "sample_id", "left_anti").join(small(sent), square & within, "left_anti")
 
 
 def in_cells(samples: DataFrame, coarse: int, fine: int) -> DataFrame:

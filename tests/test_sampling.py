@@ -60,6 +60,41 @@ def test_draws_are_those_of_one_by_one(spark, where):
     assert all(math.dist(a[1:], b[1:]) > 1500 for k, a in enumerate(points) for b in points[:k] if a[0] == b[0])
 
 
+def steps_of(monkeypatch):
+    """Names of the tables that are written from here on."""
+    written, kept = [], S.kept
+    monkeypatch.setattr(S, "kept", lambda df, name: written.append(name) or kept(df, name))
+    return written
+
+
+def test_classes_in_each_others_way_are_drawn_in_one_step(spark, monkeypatch):
+    """Classes of a coarse cell that lie among one another don't take a pass over all samples each."""
+    rng = random.Random(4)
+    own = [(f"s{k}", 1.0 + rng.uniform(0, 0.2), 1.0 + rng.uniform(0, 0.2), f"c{k % 8}", 3, f"c{k % 3}", f"f{k % 7}") for k in range(480)]
+    written = steps_of(monkeypatch)
+    assert {r.sample_id for r in S.apart(spark.createDataFrame(own, SCHEMA), 1500.0).collect()} == one_by_one(own, 1500.0)
+    assert written.count("step") == 2 and written.count("left") == 2
+
+
+@pytest.mark.parametrize("seen", [1, 6, 40])
+def test_classes_beyond_the_rows_seen_hold_up_those_after_them(spark, monkeypatch, seen):
+    """Crowds in one place, of which the rows seen give fewer than the class may have."""
+    monkeypatch.setattr(S, "SEEN", seen)
+    rng = random.Random(seen)
+    crowd = [(f"d{k}", 1.0 + rng.uniform(0, 0.001), 1.0 + rng.uniform(0, 0.001), "a", 2, "c0", "f0") for k in range(60)]
+    own = crowd + rows(rng, 240, (1.0, 1.0), 0.1) + [("far", 1.3, 1.3, "a", 2, "c0", "f9")]
+    own = [(*r[:3], r[3], 2, *r[5:]) for r in own]
+    written = steps_of(monkeypatch)
+    got = [r.sample_id for r in S.apart(spark.createDataFrame(own, SCHEMA), 1500.0).collect()]
+    assert len(got) == len(set(got)) and set(got) == one_by_one(own, 1500.0)
+    assert seen == 40 or written.count("step") > 2
+
+
+def test_a_sample_without_a_number_as_place_is_drawn_once(spark):
+    odd = [("n", math.nan, 1.0, "a", 3, "c", "f"), ("s", 5.0, 5.0, "a", 3, "c", "f")]
+    assert sorted(r.sample_id for r in S.apart(spark.createDataFrame(odd, SCHEMA), 10.0).collect()) == ["n", "s"]
+
+
 def test_rare_classes_first_and_fine_cells_in_turn(spark):
     crowd = [(f"s{k}", 1.0 + k * 1e-4, 1.0, "many", 4, "c", f"f{k % 8}") for k in range(80)]
     rare = [("r", 1.004, 1.0, "rare", 4, "c", "f9")]
