@@ -127,8 +127,10 @@ def distance_class_samples(samples: DataFrame, cap: Column, metres: float, coars
     """Draws of ``apart`` among samples of a known class (``sampling_label``) and of some quality in both respects."""
     good = samples.where("sampling_label is not null and sampling_label <> 'unknown' and quality_ct > 0 and quality_lc > 0")
     capped = good.withColumnRenamed("sampling_label", "class").withColumn("cap", cap)
+    if fine:
+        return apart(in_cells(capped, coarse, fine), metres)
     most = capped.agg(F.max("cap")).first()[0] or 0
-    return apart(in_cells(capped, coarse, fine or (5 if most <= 50 else 6)), metres, most)
+    return apart(in_cells(capped, coarse, 5 if most <= 50 else 6), metres, most)
 
 
 def run_sampling(samples: DataFrame, legend: DataFrame, most_lc: int = 30, most_ct: int = 30, metres: float = 1500.0, land_cover=LAND_COVER, coarse: int = 3, fine: int | None = None) -> DataFrame:

@@ -91,10 +91,19 @@ def test_classes_beyond_the_rows_seen_hold_up_those_after_them(spark, monkeypatc
 
 
 def test_a_sample_without_a_number_as_place_is_drawn_once(spark):
-    odd = [("n", math.nan, 1.0, "a", 3, "c", "f"), ("s", 5.0, 5.0, "a", 3, "c", "f")]
+    odd = [("n", 5.0, math.nan, "a", 3, "c", "f"), ("s", 5.0, 5.0, "a", 3, "c", "f")]
     assert sorted(r.sample_id for r in S.apart(spark.createDataFrame(odd, SCHEMA), 10.0).collect()) == ["n", "s"]
 
 
+def test_a_given_level_takes_no_pass_for_the_largest_cap(spark, monkeypatch, labelled):
+    monkeypatch.setattr(S, "apart", lambda samples, metres, most=None: samples)
+    samples = labelled[0].withColumn("sampling_label", F.lit("a"))
+    spark.sparkContext.setJobGroup("level", "level")
+    S.distance_class_samples(samples, F.lit(3), 1500.0, coarse=0, fine=2)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("level")
+    spark.sparkContext.setJobGroup("", "")
+
+
 def test_rare_classes_first_and_fine_cells_in_turn(spark):
     crowd = [(f"s{k}", 1.0 + k * 1e-4, 1.0, "many", 4, "c", f"f{k % 8}") for k in range(80)]
     rare = [("r", 1.004, 1.0, "rare", 4, "c", "f9")]
