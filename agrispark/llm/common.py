@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +17,8 @@ from pyspark.sql import functions as F
 #: Words are runs of anything but space and the ASCII controls tab to carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
+#: Whether Spark deletes the shuffle files of a query as soon as it ends, in place of when the driver collects garbage.
+FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,20 +35,33 @@ def scratch(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
 
 
+@contextmanager
+def freed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the queries that run inside are deleted when each of them ends."""
+    before = spark.conf.get(FREED, "false")
+    spark.conf.set(FREED, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(FREED, before)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once as Parquet to shared storage and read back, which cuts its lineage."""
+    """``df`` written once as Parquet to shared storage and read back, which cuts its lineage; its shuffle files go."""
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.parquet(path)
+    with freed(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def dropped(df: DataFrame) -> None:
-    """Delete the files of a table that ``written`` made and nobody reads any more."""
-    spark = df.sparkSession
-    for f in df.inputFiles()[:1]:
-        path = spark._jvm.org.apache.hadoop.fs.Path(f).getParent()
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def dropped(*tables: DataFrame) -> None:
+    """Delete the files of tables that ``written`` made and nobody reads any more."""
+    for df in tables:
+        for f in df.inputFiles()[:1]:
+            spark = df.sparkSession
+            path = spark._jvm.org.apache.hadoop.fs.Path(f).getParent()
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def row_key(docs: DataFrame) -> Column:

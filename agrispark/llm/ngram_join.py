@@ -31,12 +31,13 @@ from __future__ import annotations
 import uuid
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agrispark.llm.common import WordHashes, byte_texts, connected_components, mapped, mixed64, row_key, slices, table, words_of, written
+from agrispark.llm.common import WordHashes, byte_texts, connected_components, dropped, freed, mapped, mixed64, row_key, slices, table, words_of, written
 
 BITMAP_WORDS = 8
 LATE = np.uint64(1 << 63)
@@ -50,6 +51,8 @@ HOT = 32_000
 #: Shingles of the sets on one side of a block, and cells of a walk's tables of queries.
 BLOCK = 1_000_000
 CELLS = 4_000_000
+#: Bits of a sieve of rows: in a piece, which one task makes, and in all (8 MB).
+PIECE, MOST_BITS = 1 << 20, 1 << 26
 
 
 def shingle_set(words: list[bytes], k: int, hashes: WordHashes) -> np.ndarray:
@@ -158,7 +161,8 @@ def often_shingles(counted: DataFrame, least: int) -> tuple[np.ndarray, np.ndarr
         total = np.bincount(at, counts, len(distinct)).astype(np.int64)
         return pa.table({"token": distinct[total >= least].view(np.int64), "held": total[total >= least]})
 
-    found = counted.select("bucket", "tokens", "counts").groupBy("bucket").applyInArrow(add, "token bigint, held bigint").collect()
+    with freed(counted.sparkSession):
+        found = counted.select("bucket", "tokens", "counts").groupBy("bucket").applyInArrow(add, "token bigint, held bigint").collect()
     tokens, held = (np.array([r[c] for r in found], np.int64) for c in ("token", "held"))
     order = np.argsort(tokens)
     return tokens[order].view(np.uint64), held[order]
@@ -334,28 +338,58 @@ def forest(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return kept
 
 
+def sieve(chosen: DataFrame) -> np.ndarray:
+    """A bitmap of the hashes ``_row`` by their last bits, sixteen bits a row up to ``MOST_BITS``; made piece by piece."""
+    bits = min(MOST_BITS, max(64, 1 << (16 * chosen.count()).bit_length()))
+    piece = min(PIECE, bits)
+
+    def mark(group: pa.Table) -> pa.Table:
+        held = np.zeros(piece, bool)
+        held[group["at"].to_numpy() % piece] = True
+        return pa.table({"piece": group["piece"][:1], "held": pa.array([np.packbits(held).tobytes()], pa.binary())})
+
+    at = chosen.select(F.col("_row").bitwiseAND(bits - 1).alias("at")).distinct()
+    with freed(chosen.sparkSession):
+        found = at.select("at", F.floor(F.col("at") / piece).alias("piece")).groupBy("piece").applyInArrow(mark, "piece bigint, held binary").collect()
+    out = np.zeros(bits // 8, np.uint8)
+    for r in found:
+        out[r["piece"] * piece // 8 :][: piece // 8] = np.frombuffer(r["held"], np.uint8)
+    return out
+
+
 def sets_for(keys: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, often: np.ndarray, id_col: str, text_col: str) -> DataFrame:
-    """``(key, set)`` in the global order, from the text of one row of each node."""
-    chosen = nodes.join(keys, "key").select("_row", "key")
-    texts = docs.select(row_of(id_col, text_col).alias("_row"), F.col(text_col).alias("text")).join(chosen, "_row").select("key", "text")
-    last = docs.sparkSession.sparkContext.broadcast(often)
+    """``(key, set)`` in the global order, from the text of one row of each node.
+
+    Rows that a sieve of the chosen ones rules out go before anything is shuffled; of the others sets are shuffled, not texts.
+    """
+    chosen = written(nodes.join(keys, "key").select("_row", "key"), "chosen")
+    spark = docs.sparkSession
+    last, held = spark.sparkContext.broadcast(often), spark.sparkContext.broadcast(sieve(chosen))
+
+    @F.pandas_udf("boolean")
+    def maybe(row: pd.Series) -> pd.Series:
+        at = row.to_numpy() & (8 * len(held.value) - 1)
+        return pd.Series(held.value[at >> 3] >> (7 - (at & 7)) & 1 == 1)
 
     def make(batches):
         seen: set[int] = set()  # equal rows
         for batch in slices(batches, 1000):
-            keys = batch.column(0).to_pylist()
+            rows = batch.column(0).to_pylist()
             new = []
-            for i, key in enumerate(keys):
-                if key not in seen:
-                    seen.add(key)
+            for i, row in enumerate(rows):
+                if row not in seen:
+                    seen.add(row)
                     new.append(i)
             sets = sets_of(byte_texts(batch.column(1).take(pa.array(new, pa.int64()))), k)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([keys[i] for i in new], pa.int64()), pa.array([in_order(s, last.value).tobytes() for s in sets], pa.binary())],
-                names=["key", "set"],
+                [pa.array([rows[i] for i in new], pa.int64()), pa.array([in_order(s, last.value).tobytes() for s in sets], pa.binary())],
+                names=["_row", "set"],
             )
 
-    return written(texts.mapInArrow(make, "key bigint, set binary"), "sets")
+    texts = docs.select(row_of(id_col, text_col).alias("_row"), F.col(text_col).alias("text")).where(maybe("_row"))
+    sets = written(texts.mapInArrow(make, "_row bigint, set binary").join(chosen, "_row").select("key", "set"), "sets")
+    dropped(chosen)
+    return sets
 
 
 def _walk(num: int, den: int, anchored: bool):
@@ -410,15 +444,16 @@ def jaccard_components(
     """Per document: ``id_col, n_shingles, component_id``; documents link when den * |A and B| >= num * |A or B|."""
     rows = docs.count()
     buckets = max(8, rows // ROWS_A_BUCKET)
-    made = written(hashed(docs, k, num, den, buckets, id_col, text_col), "members")
-    members = made.where("bucket is null").select("_id", "_row", "key", "n", "bits")
+    made = written(hashed(docs, k, num, den, buckets, id_col, text_col), "hashed")
+    members = written(made.where("bucket is null").select("_id", "key", "n"), "members")
     nodes = written(
-        members.where("n > 0").groupBy("key").agg(
+        made.where("bucket is null and n > 0").groupBy("key").agg(
             F.min("_id").alias("_doc"), F.min("_row").alias("_row"), F.first("n").alias("n"), F.first("bits").alias("bits")
         ),
         "nodes",
     )
     often, held = often_shingles(made.where("bucket is not null"), max(32, int(rows * OFTEN)))
+    dropped(made)
     entries = written(shared_entries(docs, k, num, den, buckets, often, held, text_col, hot), "entries")
     find = (nodes, docs, k, often, id_col, text_col)
     lit = nodes.select("key", "n", "bits")
@@ -439,7 +474,9 @@ def jaccard_components(
         .join(lit.alias("a"), F.col("p.a") == F.col("a.key")).join(lit.alias("b"), F.col("p.b") == F.col("b.key"))
     )
     tried = written(ends.where(may_link(num, den)).select("p.a", "p.b"), "tried")
-    links = written(verified(tried, sets_for(keys_of(tried), *find), num, den), "links")
+    sets = sets_for(keys_of(tried), *find)
+    links = written(verified(tried, sets, num, den), "links")
+    dropped(sets)
     parts = written(connected_components(links, "a", "b"), "parts")
 
     placed = rest.select("token", "key", "n", "most").join(parts.withColumnRenamed("node", "key"), "key", "left").select(
@@ -456,6 +493,7 @@ def jaccard_components(
         .select("token", "key", "n", "most", "part", (F.col("part") != F.col("home")).alias("query"), "singly"),
         "unsettled",
     )
+    dropped(entries)
     few = unsettled.where("singly").join(nodes.select("key", "bits"), "key")
     more = (
         few.where("query").alias("a").join(few.alias("b"), F.col("a.token") == F.col("b.token"))
@@ -467,6 +505,7 @@ def jaccard_components(
     blocks = unsettled.where("not singly").select("token", "key", "n", "query")
     sets = sets_for(keys_of(more).union(blocks.select("key")).distinct(), *find)
     found = written(verified(more, sets, num, den).unionByName(block_links(blocks, sets, num, den, block)).distinct(), "links")
+    dropped(sets, unsettled)
     if not found.isEmpty():
         parts = written(connected_components(links.unionByName(found), "a", "b"), "parts")
 
