@@ -43,8 +43,8 @@ BITMAP_WORDS = 8
 LATE = np.uint64(1 << 63)
 #: Documents of entries that share a bucket of shingles.
 ROWS_A_BUCKET = 8_000
-#: A shingle of more than this share of documents (and more than 32) goes last in the global order.
-OFTEN = 1 / 4000
+#: A shingle of so many documents goes last in the global order, if no more shingles than that are as frequent.
+OFTEN, MOST_OFTEN = 32, 500_000
 CHUNK = 256
 #: Documents that may hold a shingle before it is dealt over several groups.
 HOT = 32_000
@@ -147,11 +147,12 @@ def row_of(id_col: str, text_col: str) -> Column:
     return F.xxhash64(F.col(id_col).isNull(), F.col(id_col), F.col(text_col))
 
 
-def often_shingles(counted: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray]:
+def often_shingles(counted: DataFrame, least: int = OFTEN, most: int = MOST_OFTEN) -> tuple[np.ndarray, np.ndarray]:
     """Sorted shingles that at least ``least`` documents hold among their first by hash, and how many do.
 
-    Counts are summed in each batch before they are shuffled. At most entries / ``least`` shingles come back, a few
-    times 4000 whatever the input.
+    Counts are summed in each batch before they are shuffled. While there are more than ``most`` such shingles, ``least``
+    is doubled, so what is collected is bounded. A share of the documents in its place would let the groups of the other
+    shingles grow with the input, and with them the sets that are sent under each.
     """
 
     def add(group: pa.Table) -> pa.Table:
@@ -161,8 +162,11 @@ def often_shingles(counted: DataFrame, least: int) -> tuple[np.ndarray, np.ndarr
         total = np.bincount(at, counts, len(distinct)).astype(np.int64)
         return pa.table({"token": distinct[total >= least].view(np.int64), "held": total[total >= least]})
 
-    with freed(counted.sparkSession):
-        found = counted.select("bucket", "tokens", "counts").groupBy("bucket").applyInArrow(add, "token bigint, held bigint").collect()
+    held = written(counted.select("bucket", "tokens", "counts").groupBy("bucket").applyInArrow(add, "token bigint, held bigint"), "held")
+    while held.where(F.col("held") >= least).count() > most:
+        least *= 2
+    found = held.where(F.col("held") >= least).collect()
+    dropped(held)
     tokens, held = (np.array([r[c] for r in found], np.int64) for c in ("token", "held"))
     order = np.argsort(tokens)
     return tokens[order].view(np.uint64), held[order]
@@ -452,7 +456,7 @@ def jaccard_components(
         ),
         "nodes",
     )
-    often, held = often_shingles(made.where("bucket is not null"), max(32, int(rows * OFTEN)))
+    often, held = often_shingles(made.where("bucket is not null"))
     dropped(made)
     entries = written(shared_entries(docs, k, num, den, buckets, often, held, text_col, hot), "entries")
     find = (nodes, docs, k, often, id_col, text_col)

@@ -59,3 +59,11 @@ def test_sets_are_of_the_chosen_rows(spark):
     nodes = docs.select(ngram_join.row_of("doc_id", "text").alias("_row"), F.col("doc_id").alias("key"))
     sets = ngram_join.sets_for(spark.range(5).select(F.col("id").alias("key")), nodes, docs, 4, np.empty(0, np.uint64), "doc_id", "text")
     assert sorted((r.key, len(r.set) // 8) for r in sets.collect()) == [(i, 6) for i in range(5)]
+
+
+def test_frequent_shingles_are_those_of_32_documents_whatever_the_input(spark):
+    texts = ["one two three four"] * 40 + ["five six seven eight"] * 100 + [f"a{i} b{i} c{i} d{i}" for i in range(200_000)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    made = ngram_join.hashed(docs, 4, 85, 100, 8, "doc_id", "text").where("bucket is not null")
+    assert sorted(ngram_join.often_shingles(made)[1]) == [40, 100]  # by share, 50 documents would be needed
+    assert list(ngram_join.often_shingles(made, most=1)[1]) == [100]
